@@ -91,3 +91,129 @@ SELECT CAST(RANK() OVER (ORDER BY total_views DESC) AS BIGINT) AS rank, company,
        {sql_round_pct('total_views', 'SUM(total_views) OVER ()')} AS market_share_pct,
        {AS_OF_SQL} AS report_date
 FROM daily_metrics""")
+
+
+def _metrics_cte(where: str) -> str:
+    return f"""
+daily_metrics AS (
+  SELECT company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views,
+         MAX(count_views) AS max_views, MIN(count_views) AS min_views,
+         CAST(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY count_views) AS DOUBLE) AS median_views
+  FROM filtered_pageviews WHERE {where} GROUP BY company
+),
+rankings AS (
+  SELECT CAST(RANK() OVER (ORDER BY total_views DESC) AS BIGINT) AS rank, company, page_count, total_views,
+         {sql_round_div('total_views', 'page_count')} AS avg_views, median_views, max_views, min_views,
+         {sql_round_pct('total_views', 'SUM(total_views) OVER ()')} AS market_share_pct
+  FROM daily_metrics
+)"""
+
+
+def rankings_window(days: int = 7, companies: list[str] | None = None) -> str:
+    where = f"WHERE company IN ({', '.join(_q(c) for c in companies)})" if companies else ""
+    return with_adapter(_metrics_cte(_window(days)), f"SELECT * FROM rankings {where}")
+
+
+def _winner_sql(where: str, report_date: bool) -> str:
+    rd = f", {AS_OF_SQL} AS report_date" if report_date else ""
+    return with_adapter(f"""
+company_totals AS (
+  SELECT company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views
+  FROM filtered_pageviews WHERE {where} GROUP BY company
+),
+winner AS (
+  SELECT company, page_count, total_views, RANK() OVER (ORDER BY total_views DESC) AS rank FROM company_totals
+),
+runner_up AS (
+  SELECT company AS runner_up_company, total_views AS runner_up_views FROM winner WHERE rank = 2
+)""", f"""
+SELECT w.company AS winner_company, w.page_count AS winner_page_count, w.total_views AS winner_total_views,
+       r.runner_up_company, r.runner_up_views, w.total_views - r.runner_up_views AS lead_by_views,
+       {sql_round_pct('w.total_views - r.runner_up_views', 'r.runner_up_views')} AS lead_percentage,
+       (SELECT CAST(SUM(total_views) AS BIGINT) FROM company_totals) AS grand_total_views,
+       {sql_round_pct('w.total_views', '(SELECT SUM(total_views) FROM company_totals)')} AS winner_market_share
+       {rd}
+FROM winner w CROSS JOIN runner_up r
+WHERE w.rank = 1""")
+
+
+def biggest_company() -> str:
+    return _winner_sql(f"processing_date = {AS_OF_SQL}", True)
+
+
+def winner_window(days: int = 7) -> str:
+    return _winner_sql(_window(days), False) + "\nORDER BY r.runner_up_company LIMIT 1"
+
+
+def filtered_window(days: int = 7, companies: list[str] | None = None) -> str:
+    comp = f" AND company IN ({', '.join(_q(c) for c in companies)})" if companies else ""
+    return with_adapter("", f"""
+SELECT domain, page_title, count_views, company, processing_date, filtered_at, filter_method
+FROM filtered_pageviews WHERE {_window(days)}{comp}""")
+
+
+def daily_trends(days: int = 7) -> str:
+    return with_adapter("", f"""
+SELECT processing_date, company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views
+FROM filtered_pageviews WHERE {_window(days)} GROUP BY processing_date, company""")
+
+
+def top_pages(days: int, k: int, companies: list[str] | None) -> str:
+    comp = f" AND company IN ({', '.join(_q(c) for c in companies)})" if companies else ""
+    return with_adapter("", f"""
+SELECT company, rank, page_title, count_views, processing_date, domain FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY company ORDER BY count_views DESC, processing_date DESC,
+                                    domain, page_title) AS BIGINT) AS rank
+  FROM filtered_pageviews WHERE {_window(days)}{comp})
+WHERE rank <= {int(k)}""")
+
+
+def overview(days: int = 7) -> str:
+    return with_adapter("", f"""
+SELECT COUNT(*) AS total_pages, CAST(SUM(count_views) AS BIGINT) AS total_views,
+       {sql_round_div('SUM(count_views)', 'COUNT(*)')} AS avg_views,
+       COUNT(DISTINCT company) AS companies
+FROM filtered_pageviews WHERE {_window(days)}""")
+
+
+def title_search(query: str, days: int) -> str:
+    return with_adapter("", f"""
+SELECT processing_date, page_title, company, count_views, filter_method
+FROM filtered_pageviews WHERE {_window(days)} AND regexp_matches(page_title, {_q(query)}, 'i')""")
+
+
+def v_daily_company_summary() -> str:
+    return with_adapter("", f"""
+SELECT company, processing_date, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views,
+       {sql_round_div('SUM(count_views)', 'COUNT(*)')} AS avg_views,
+       MAX(count_views) AS max_views, MIN(count_views) AS min_views
+FROM filtered_pageviews GROUP BY company, processing_date""")
+
+
+def v_data_quality_metrics(limit: int | None = None) -> str:
+    sub = "(SELECT COUNT(*) FROM filtered_pageviews f WHERE f.processing_date = r.processing_date)"
+    tail = f"\nORDER BY processing_date DESC LIMIT {int(limit)}" if limit else ""
+    return with_adapter("", f"""
+SELECT processing_date, COUNT(*) AS raw_records,
+       COALESCE({sub}, 0) AS filtered_records,
+       {sql_round_pct(f'COALESCE({sub}, 0)', 'COUNT(*)')} AS filter_rate_pct,
+       MIN(loaded_at) AS first_loaded, MAX(loaded_at) AS last_loaded,
+       COUNT(DISTINCT source_file) AS source_files
+FROM raw_pageviews r GROUP BY processing_date""" + tail)
+
+
+def v_top_pages_by_company(days: int = 7) -> str:
+    return with_adapter("", f"""
+SELECT company, page_title, count_views, processing_date, domain,
+       CAST(row_number() OVER (PARTITION BY company ORDER BY count_views DESC, processing_date DESC,
+                               domain, page_title) AS BIGINT) AS rank
+FROM filtered_pageviews WHERE {_window(days)}""")
+
+
+def v_sentiment_distribution() -> str:
+    return with_adapter("", f"""
+SELECT company, processing_date, sentiment_label, COUNT(*) AS count,
+       {sql_round_div('SUM(CAST(sentiment_score * 1000 AS BIGINT))', 'COUNT(sentiment_score) * 1000', 3)}
+         AS avg_score,
+       CAST(SUM(count_views) AS BIGINT) AS total_views
+FROM sentiment_results GROUP BY company, processing_date, sentiment_label""")

@@ -19,12 +19,49 @@ def _filtered(spark: SparkSession, sf: str) -> DataFrame:
     return tb.filtered_pageviews(spark, sf)
 
 
+# Parameters of the registered analytics (the dashboard's defaults).
+DAYS = 7
+SELECTED = ["Apple", "Meta"]
+SEARCH = "apple|pixel"
+SEARCH_DAYS = 30
+
 QUERIES: dict[str, Query] = {
     "company_rankings": lambda s, sf: A.company_rankings(_filtered(s, sf), AS_OF),
+    "biggest_company": lambda s, sf: A.biggest_company(_filtered(s, sf), AS_OF),
+    "filtered_window": lambda s, sf: A.filtered_window(_filtered(s, sf), AS_OF, DAYS),
+    "rankings_window": lambda s, sf: A.rankings_window(_filtered(s, sf), AS_OF, DAYS),
+    "rankings_selected": lambda s, sf: A.rankings_selected(_filtered(s, sf), AS_OF, DAYS, SELECTED),
+    "daily_trends": lambda s, sf: A.daily_trends(_filtered(s, sf), AS_OF, DAYS),
+    "winner_window": lambda s, sf: A.winner_window(_filtered(s, sf), AS_OF, DAYS),
+    "top15_pages": lambda s, sf: A.top_pages(_filtered(s, sf), AS_OF, DAYS, 15, A.TOP_COMPANIES),
+    "top_pages_k": lambda s, sf: A.top_pages(_filtered(s, sf), AS_OF, 30, 10, None),
+    "overview": lambda s, sf: A.overview(_filtered(s, sf), AS_OF, DAYS),
+    "title_search": lambda s, sf: A.title_search(_filtered(s, sf), AS_OF, SEARCH, SEARCH_DAYS),
+    "v_daily_company_summary": lambda s, sf: A.v_daily_company_summary(_filtered(s, sf)),
+    "v_data_quality_metrics": lambda s, sf: A.v_data_quality_metrics(
+        tb.raw_pageviews(s, sf, with_event_id=False), _filtered(s, sf)),
+    "dq_latest30": lambda s, sf: A.dq_latest(tb.raw_pageviews(s, sf, with_event_id=False), _filtered(s, sf), 30),
+    "v_top_pages_by_company": lambda s, sf: A.v_top_pages_by_company(_filtered(s, sf), AS_OF, DAYS),
+    "v_sentiment_distribution": lambda s, sf: A.v_sentiment_distribution(tb.sentiment_results(s, sf)),
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
     "company_rankings": O.company_rankings,
+    "biggest_company": O.biggest_company,
+    "filtered_window": lambda: O.filtered_window(DAYS),
+    "rankings_window": lambda: O.rankings_window(DAYS),
+    "rankings_selected": lambda: O.rankings_window(DAYS, SELECTED),
+    "daily_trends": lambda: O.daily_trends(DAYS),
+    "winner_window": lambda: O.winner_window(DAYS),
+    "top15_pages": lambda: O.top_pages(DAYS, 15, A.TOP_COMPANIES),
+    "top_pages_k": lambda: O.top_pages(30, 10, None),
+    "overview": lambda: O.overview(DAYS),
+    "title_search": lambda: O.title_search(SEARCH, SEARCH_DAYS),
+    "v_daily_company_summary": O.v_daily_company_summary,
+    "v_data_quality_metrics": O.v_data_quality_metrics,
+    "dq_latest30": lambda: O.v_data_quality_metrics(30),
+    "v_top_pages_by_company": lambda: O.v_top_pages_by_company(DAYS),
+    "v_sentiment_distribution": O.v_sentiment_distribution,
 }
 
 
