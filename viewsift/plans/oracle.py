@@ -217,3 +217,144 @@ SELECT company, processing_date, sentiment_label, COUNT(*) AS count,
          AS avg_score,
        CAST(SUM(count_views) AS BIGINT) AS total_views
 FROM sentiment_results GROUP BY company, processing_date, sentiment_label""")
+
+
+# --------------------------------------------------------------------------- scorer fixtures
+
+def _batched_ctes() -> str:
+    n, size = testbed.N_BUCKETS, testbed.BATCH_SIZE
+    return f"""
+numbered AS (
+  SELECT *, event_id % {n} AS bucket,
+         row_number() OVER (PARTITION BY event_id % {n}
+                            ORDER BY count_views DESC, domain, page_title, processing_date, event_id) - 1 AS rn
+  FROM verdicts
+),
+batched AS (
+  SELECT * EXCLUDE (rn), CAST(rn // {size} AS BIGINT) AS batch_no, CAST(rn % {size} AS BIGINT) AS row_in_batch
+  FROM numbered
+),
+batch_recs AS (
+  SELECT bucket, batch_no,
+         list({{'domain': domain, 'page_title': page_title, 'count_views': count_views}} ORDER BY row_in_batch)
+           FILTER (WHERE verdict LIKE 'keep:%') AS kept,
+         arg_min(domain, row_in_batch) AS first_domain,
+         arg_min(page_title, row_in_batch) AS first_title,
+         arg_min(count_views, row_in_batch) AS first_views,
+         COUNT(*) AS n
+  FROM batched GROUP BY bucket, batch_no
+),
+replies AS (
+  SELECT bucket, batch_no,
+    CASE (bucket + batch_no) % 6
+      WHEN 0 THEN to_json({{'json_output': CASE WHEN batch_no % 4 = 0
+              THEN list_concat(coalesce(kept, []), [{{'domain': first_domain,
+                     'page_title': first_title || {_q(testbed.INVENTED_SUFFIX)}, 'count_views': 1}}])
+              ELSE coalesce(kept, []) END}})::VARCHAR
+      WHEN 1 THEN 'not json: ' || first_title
+      WHEN 2 THEN '{{"result": []}}'
+      WHEN 3 THEN to_json({{'json_output': CAST(n AS VARCHAR) || ' records'}})::VARCHAR
+      WHEN 4 THEN to_json({{'json_output': [{{'page_title': first_title, 'count_views': first_views}}]}})::VARCHAR
+      ELSE '{{"json_output": [], "csv_output": ""}}'
+    END AS reply
+  FROM batch_recs
+),
+statuses AS (
+  SELECT bucket, batch_no, reply,
+    CASE
+      WHEN reply IS NULL THEN 'null'
+      WHEN NOT json_valid(reply) THEN 'bad_json'
+      WHEN json_type(reply) <> 'OBJECT' THEN 'not_object'
+      WHEN json_type(reply, '$.json_output') IS NULL OR json_type(reply, '$.json_output') = 'NULL'
+        THEN 'missing_key'
+      WHEN json_type(reply, '$.json_output') <> 'ARRAY' THEN 'not_list'
+      WHEN json_array_length(reply, '$.json_output') = 0 THEN 'empty'
+      WHEN json_type(reply, '$.json_output[0]') <> 'OBJECT'
+        OR NOT list_has_all(json_keys(reply, '$.json_output[0]'), ['domain', 'page_title', 'count_views'])
+        THEN 'bad_record'
+      ELSE 'ok'
+    END AS status
+  FROM replies
+),
+reply_rows AS (
+  SELECT bucket, batch_no, CAST(i - 1 AS BIGINT) AS pos,
+         json_extract_string(reply, '$.json_output[' || (i - 1) || '].domain') AS domain,
+         json_extract_string(reply, '$.json_output[' || (i - 1) || '].page_title') AS page_title,
+         TRY_CAST(json_extract_string(reply, '$.json_output[' || (i - 1) || '].count_views') AS BIGINT)
+           AS count_views
+  FROM statuses, range(1, CAST(json_array_length(reply, '$.json_output') AS BIGINT) + 1) AS r(i)
+  WHERE status = 'ok'
+)"""
+
+
+def batches() -> str:
+    return with_adapter(_batched_ctes(), """
+SELECT bucket, batch_no, row_in_batch, domain, page_title, count_views, processing_date, event_id, company
+FROM batched""")
+
+
+def rule_verdict() -> str:
+    return with_adapter("", """
+SELECT domain, page_title, count_views, processing_date, company, verdict FROM verdicts""")
+
+
+def scored_rows() -> str:
+    return with_adapter(_batched_ctes(), """
+SELECT bucket, batch_no,
+       CAST(row_number() OVER (PARTITION BY bucket, batch_no ORDER BY row_in_batch) - 1 AS BIGINT) AS pos,
+       domain, page_title, CAST(count_views AS BIGINT) AS count_views
+FROM batched WHERE verdict LIKE 'keep:%'""")
+
+
+def reply_status() -> str:
+    return with_adapter(_batched_ctes(), "SELECT bucket, batch_no, status FROM statuses")
+
+
+def reply_rows() -> str:
+    return with_adapter(_batched_ctes(), "SELECT * FROM reply_rows")
+
+
+def batch_stats() -> str:
+    return with_adapter(_batched_ctes(), """
+SELECT COUNT(*) AS total_batches, count_if(status = 'ok') AS successful_batches,
+       count_if(status <> 'ok') AS failed_batches, count_if(status = 'empty') AS empty_batches,
+       count_if(status NOT IN ('ok', 'empty')) AS invalid_batches
+FROM statuses""")
+
+
+def llm_stats() -> str:
+    i = "(SELECT COUNT(*) FROM batched)"
+    o = "(SELECT COUNT(*) FROM reply_rows)"
+    return with_adapter(_batched_ctes(), f"""
+SELECT {i} AS input_records, {o} AS output_records, {i} - {o} AS removed_records,
+       CASE WHEN {o} = 0 THEN 100.0 ELSE coalesce({sql_round_pct(f'{i} - {o}', i)}, 0.0) END AS filter_rate_pct,
+       CASE WHEN {o} = 0 THEN 0.0 ELSE coalesce({sql_round_pct(o, i)}, 0.0) END AS kept_rate_pct,
+       COUNT(*) AS total_batches, count_if(status = 'ok') AS successful_batches,
+       count_if(status <> 'ok') AS failed_batches,
+       CAST(ceil({i} / {testbed.BATCH_SIZE}) AS BIGINT) * 30 AS estimated_seconds,
+       {i} > 10000 AS large_input
+FROM statuses""")
+
+
+def accepted_rows() -> str:
+    return with_adapter(_batched_ctes(), """
+SELECT b.bucket, b.batch_no, b.domain, b.page_title, b.count_views, b.company, b.processing_date
+FROM batched b
+WHERE EXISTS (SELECT 1 FROM reply_rows r WHERE r.bucket = b.bucket AND r.batch_no = b.batch_no
+                AND r.domain = b.domain AND r.page_title = b.page_title)""")
+
+
+def invented_rows() -> str:
+    return with_adapter(_batched_ctes(), """
+SELECT r.* FROM reply_rows r
+WHERE NOT EXISTS (SELECT 1 FROM batched b WHERE r.bucket = b.bucket AND r.batch_no = b.batch_no
+                    AND r.domain = b.domain AND r.page_title = b.page_title)""")
+
+
+def csv_fallback() -> str:
+    return with_adapter(_batched_ctes(), """
+SELECT bucket, batch_no,
+       'domain,page_title,count_views' || chr(10) ||
+       string_agg(domain || ',' || page_title || ',' || CAST(count_views AS VARCHAR), chr(10) ORDER BY pos)
+       || chr(10) AS csv_text
+FROM reply_rows GROUP BY bucket, batch_no""")

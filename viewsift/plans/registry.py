@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from viewsift.operators import scoring as SC
 from viewsift.plans import analytics as A
 from viewsift.plans import oracle as O
 from viewsift.sources import testbed as tb
@@ -45,6 +48,37 @@ QUERIES: dict[str, Query] = {
     "v_sentiment_distribution": lambda s, sf: A.v_sentiment_distribution(tb.sentiment_results(s, sf)),
 }
 
+
+def _batched(s: SparkSession, sf: str) -> DataFrame:
+    return tb.batched_candidates(s, sf)
+
+
+def _scored_replies(s: SparkSession, sf: str) -> DataFrame:
+    return SC.score_batches(SC.build_prompts(_batched(s, sf)), SC.RuleScorer())
+
+
+SCORE_COLUMNS = ["bucket", "batch_no", "domain", "page_title", "count_views", "company", "processing_date"]
+
+QUERIES.update({
+    "batches": lambda s, sf: _batched(s, sf).select(
+        "bucket", "batch_no", "row_in_batch", "domain", "page_title", "count_views", "processing_date",
+        "event_id", "company"),
+    "rule_verdict": lambda s, sf: tb.verdicts(s, sf).select(
+        "domain", "page_title", "count_views", "processing_date", "company", "verdict"),
+    "prompts": lambda s, sf: SC.build_prompts(_batched(s, sf)),
+    "score_batches": lambda s, sf: _scored_replies(s, sf),
+    "scored_rows": lambda s, sf: SC.reply_rows(_scored_replies(s, sf)),
+    "reply_status": lambda s, sf: SC.reply_status(tb.replies(s, sf)).select("bucket", "batch_no", "status"),
+    "reply_rows": lambda s, sf: SC.reply_rows(tb.replies(s, sf)),
+    "batch_stats": lambda s, sf: SC.batch_stats(SC.reply_status(tb.replies(s, sf))),
+    "llm_stats": lambda s, sf: SC.llm_stats(_batched(s, sf), SC.reply_status(tb.replies(s, sf)),
+                                           SC.reply_rows(tb.replies(s, sf))),
+    "accepted_rows": lambda s, sf: SC.accepted_rows(_batched(s, sf), SC.reply_rows(tb.replies(s, sf)))
+    .select(*SCORE_COLUMNS),
+    "invented_rows": lambda s, sf: SC.invented_rows(_batched(s, sf), SC.reply_rows(tb.replies(s, sf))),
+    "csv_fallback": lambda s, sf: SC.csv_fallback(SC.reply_rows(tb.replies(s, sf))),
+})
+
 ORACLES: dict[str, Callable[[], str]] = {
     "company_rankings": O.company_rankings,
     "biggest_company": O.biggest_company,
@@ -62,6 +96,16 @@ ORACLES: dict[str, Callable[[], str]] = {
     "dq_latest30": lambda: O.v_data_quality_metrics(30),
     "v_top_pages_by_company": lambda: O.v_top_pages_by_company(DAYS),
     "v_sentiment_distribution": O.v_sentiment_distribution,
+    "batches": O.batches,
+    "rule_verdict": O.rule_verdict,
+    "scored_rows": O.scored_rows,
+    "reply_status": O.reply_status,
+    "reply_rows": O.reply_rows,
+    "batch_stats": O.batch_stats,
+    "llm_stats": O.llm_stats,
+    "accepted_rows": O.accepted_rows,
+    "invented_rows": O.invented_rows,
+    "csv_fallback": O.csv_fallback,
 }
 
 

@@ -111,3 +111,53 @@ def sentiment_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.select(
         "page_title", "company", label.alias("sentiment_label"), score.alias("sentiment_score"),
         "count_views", "processing_date", F.col("filtered_at").alias("analyzed_at"), "event_id")
+
+
+# --------------------------------------------------------------------------- scorer fixtures
+
+N_BUCKETS = 4
+BATCH_SIZE = 50
+REPLY_VARIANTS = ["valid", "not_json", "no_key", "string_output", "first_lacks_domain", "empty_list"]
+INVENTED_SUFFIX = "_(invented)"
+
+
+def batched_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates with verdicts, cut into batches of 50 inside ``event_id % 4`` buckets."""
+    from viewsift.operators import scoring
+
+    order = [F.col("count_views").desc(), F.col("domain"), F.col("page_title"), F.col("processing_date"),
+             F.col("event_id")]
+    return scoring.assign_batches(verdicts(spark, sf_dir), BATCH_SIZE, bucket=F.col("event_id") % N_BUCKETS,
+                                  order=order)
+
+
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic scorer replies, one per batch, covering every reply failure mode.
+
+    Variant ``(bucket + batch_no) % 6``: valid (kept records, plus one invented
+    record when ``batch_no % 4 = 0``) · not JSON · object without ``json_output`` ·
+    ``json_output`` a string · first record lacks ``domain`` · empty list.
+    """
+    b = batched_candidates(spark, sf_dir)
+    rec = F.struct("row_in_batch", "domain", "page_title", "count_views",
+                   F.col("verdict").startswith("keep:").alias("kept"))
+    g = b.groupBy("bucket", "batch_no").agg(F.sort_array(F.collect_list(rec)).alias("recs"))
+    kept = F.transform(F.filter("recs", lambda r: r["kept"]),
+                       lambda r: F.struct(r["domain"].alias("domain"), r["page_title"].alias("page_title"),
+                                          r["count_views"].alias("count_views")))
+    first = F.col("recs")[0]
+    invented = F.array(F.struct(first["domain"].alias("domain"),
+                                F.concat(first["page_title"], F.lit(INVENTED_SUFFIX)).alias("page_title"),
+                                F.lit(1).alias("count_views")))
+    valid_list = F.when(F.col("batch_no") % 4 == 0, F.concat(kept, invented)).otherwise(kept)
+    variant = (F.col("bucket") + F.col("batch_no")) % 6
+    reply = (F.when(variant == 0, F.to_json(F.struct(valid_list.alias("json_output"))))
+             .when(variant == 1, F.concat(F.lit("not json: "), first["page_title"]))
+             .when(variant == 2, F.lit('{"result": []}'))
+             .when(variant == 3, F.to_json(F.struct(F.concat(F.size("recs").cast("string"), F.lit(" records"))
+                                                     .alias("json_output"))))
+             .when(variant == 4, F.to_json(F.struct(F.array(F.struct(
+                 first["page_title"].alias("page_title"), first["count_views"].alias("count_views")))
+                 .alias("json_output"))))
+             .otherwise(F.lit('{"json_output": [], "csv_output": ""}')))
+    return g.select("bucket", "batch_no", reply.alias("reply"))
