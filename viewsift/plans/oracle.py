@@ -358,3 +358,192 @@ SELECT bucket, batch_no,
        string_agg(domain || ',' || page_title || ',' || CAST(count_views AS VARCHAR), chr(10) ORDER BY pos)
        || chr(10) AS csv_text
 FROM reply_rows GROUP BY bucket, batch_no""")
+
+
+# --------------------------------------------------------------------------- prefilter, loads, sources
+
+def stage_a() -> str:
+    return with_adapter("", f"""
+SELECT domain, page_title, count_views FROM raw_pageviews
+WHERE processing_date = {AS_OF_SQL} AND count_views >= {rules.DEFAULT_MIN_VIEWS}""")
+
+
+def stage_b() -> str:
+    return with_adapter("", f"""
+SELECT domain, page_title, count_views FROM raw_pageviews
+WHERE processing_date = {AS_OF_SQL} AND count_views >= {rules.DEFAULT_MIN_VIEWS} AND {rules.sql_stage_b()}""")
+
+
+def stage_c() -> str:
+    return with_adapter("", f"""
+SELECT domain, page_title, count_views FROM raw_pageviews
+WHERE processing_date = {AS_OF_SQL} AND count_views >= {rules.DEFAULT_MIN_VIEWS}
+  AND {rules.sql_stage_b()} AND {rules.sql_stage_c()}""")
+
+
+def prefilter() -> str:
+    return with_adapter("", f"""
+SELECT domain, page_title, count_views, {rules.sql_company()} AS company FROM raw_pageviews
+WHERE processing_date = {AS_OF_SQL} AND count_views >= {rules.DEFAULT_MIN_VIEWS}
+  AND {rules.sql_stage_b()} AND {rules.sql_stage_c()}""")
+
+
+def company_distribution() -> str:
+    return with_adapter("", f"""
+SELECT company, COUNT(*) AS page_count FROM (
+  SELECT {rules.sql_company()} AS company FROM raw_pageviews
+  WHERE processing_date = {AS_OF_SQL} AND count_views >= {rules.DEFAULT_MIN_VIEWS}
+    AND {rules.sql_stage_b()} AND {rules.sql_stage_c()})
+GROUP BY company""")
+
+
+def classify_company() -> str:
+    return with_adapter("", f"SELECT page_title, {rules.sql_company()} AS company FROM raw_pageviews")
+
+
+def raw_rows() -> str:
+    return with_adapter("", "SELECT * FROM raw_pageviews")
+
+
+def filtered_rows() -> str:
+    return with_adapter("", "SELECT * FROM filtered_pageviews")
+
+
+def retention(days: int) -> str:
+    return with_adapter("", f"SELECT * FROM raw_pageviews WHERE {_window(days)}")
+
+
+def dump_rows() -> str:
+    return with_adapter("", "SELECT domain, page_title, count_views, source_file FROM raw_pageviews")
+
+
+def stream_rows() -> str:
+    return with_adapter("", """
+SELECT domain, page_title, count_views, source_file, date_trunc('hour', loaded_at) AS event_hour,
+       processing_date
+FROM raw_pageviews""")
+
+
+def stream_daily_summary() -> str:
+    return with_adapter("", """
+SELECT processing_date, company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views
+FROM candidates GROUP BY processing_date, company""")
+
+
+def candidate_rows() -> str:
+    return with_adapter("", """
+SELECT domain, page_title, count_views, company, processing_date FROM candidates""")
+
+
+def csv_text_parse() -> str:
+    return with_adapter(_batched_ctes(), """
+SELECT bucket, batch_no,
+       CAST(row_number() OVER (PARTITION BY bucket, batch_no ORDER BY row_in_batch) AS BIGINT) AS line_no,
+       domain, page_title, count_views
+FROM batched WHERE verdict LIKE 'keep:%'""")
+
+
+def null_fill() -> str:
+    from viewsift.sources.dumps import PANDAS_NULL_TOKENS, UNKNOWN
+    toks = ", ".join(_q(t) for t in PANDAS_NULL_TOKENS)
+    return with_adapter("", f"""
+SELECT CASE WHEN domain IS NULL OR domain IN ({toks}) THEN {_q(UNKNOWN)} ELSE domain END AS domain,
+       CASE WHEN page_title IS NULL OR page_title IN ({toks}) THEN {_q(UNKNOWN)} ELSE page_title END AS page_title,
+       count_views, source_file, loaded_at, processing_date
+FROM raw_pageviews""")
+
+
+def _resolve_sql(base: str, href: str) -> str:
+    from viewsift.sources.pages import ORIGIN_PATTERN
+    return (f"CASE WHEN regexp_matches({href}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {href} "
+            f"WHEN starts_with({href}, '/') THEN regexp_extract({base}, {_q(ORIGIN_PATTERN)}, 1) || {href} "
+            f"ELSE regexp_extract({base}, '^([^?#]*/)', 1) || {href} END")
+
+
+def _links_cte() -> str:
+    from viewsift.sources.pages import HREF_PATTERN
+    return f"""
+link_lists AS (SELECT page_id, url, regexp_extract_all(html, {_q(HREF_PATTERN)}, 1) AS links FROM pages),
+links AS (
+  SELECT page_id, CAST(i - 1 AS BIGINT) AS link_pos, links[i] AS href, {_resolve_sql('url', 'links[i]')} AS full_url
+  FROM link_lists, range(1, len(links) + 1) AS r(i)
+)"""
+
+
+def page_links() -> str:
+    return with_adapter(_links_cte(), "SELECT * FROM links")
+
+
+def seeded_pick(seed: str) -> str:
+    return with_adapter(_links_cte(), f"""
+SELECT page_id, arg_min(full_url, md5({_q(seed)} || full_url)) AS full_url FROM links GROUP BY page_id""")
+
+
+# --------------------------------------------------------------------------- checks
+
+def extract_checks() -> str:
+    return with_adapter("", """
+SELECT COUNT(*) AS row_count, TRUE AS has_required_columns, TRUE AS count_views_integer,
+       count_if(domain IS NULL) AS null_domain, count_if(page_title IS NULL) AS null_page_title,
+       count_if(count_views IS NULL) AS null_count_views, COUNT(*) > 0 AS passed
+FROM raw_pageviews""")
+
+
+def verify_load() -> str:
+    return with_adapter("", """
+SELECT source_file, COUNT(*) AS record_count, MIN(loaded_at) AS load_time,
+       COUNT(DISTINCT domain) AS domain_count, CAST(SUM(count_views) AS BIGINT) AS total_views
+FROM raw_pageviews GROUP BY source_file""")
+
+
+def _violations(table: str, rules_sql: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {_q(table)} AS table_name, {_q(name)} AS rule, count_if(coalesce({cond}, FALSE)) AS violations "
+        f"FROM {table}" for name, cond in rules_sql)
+
+
+def constraint_violations() -> str:
+    from viewsift import schemas as S
+
+    def nulls(st):
+        return [(f"null_{f.name}", f"{f.name} IS NULL") for f in st.fields if not f.nullable]
+
+    def lengths(t):
+        return [(f"{c}_too_long", f"length({c}) > {n}") for c, n in S.MAX_LENGTHS[t].items()]
+
+    labels = ", ".join(_q(x) for x in S.SENTIMENT_LABELS)
+    parts = [
+        _violations("raw_pageviews", nulls(S.RAW_PAGEVIEWS) + [("negative_count_views", "count_views < 0")]
+                    + lengths("raw_pageviews")),
+        _violations("filtered_pageviews", nulls(S.FILTERED_PAGEVIEWS)
+                    + [("negative_count_views", "count_views < 0")] + lengths("filtered_pageviews")),
+        _violations("sentiment_results", nulls(S.SENTIMENT_RESULTS)
+                    + [("invalid_sentiment_label", f"sentiment_label NOT IN ({labels})"),
+                       ("score_out_of_range", "abs(sentiment_score) > 1")] + lengths("sentiment_results")),
+    ]
+    return with_adapter("", "\nUNION ALL\n".join(parts))
+
+
+def key_violations() -> str:
+    return with_adapter("", f"""
+SELECT domain, page_title, processing_date, {_q(testbed.FILTER_METHOD)} AS filter_method, COUNT(*) AS n_rows
+FROM candidates GROUP BY domain, page_title, processing_date HAVING COUNT(*) > 1""")
+
+
+def fuzzy_titles(query: str, threshold: float) -> str:
+    from viewsift.operators.fuzzy import WORD_SPLIT, trigrams
+    q = "[" + ", ".join(_q(t) for t in trigrams(query)) + "]"
+    tri = (f"list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower(page_title), "
+           f"{_q(WORD_SPLIT)}), lambda w: w <> ''), lambda w: list_transform(range(1, length('  ' || w || ' ') - 1), "
+           f"lambda i: substring('  ' || w || ' ', i, 3)))))")
+    return with_adapter(f"""
+titles AS (SELECT DISTINCT page_title FROM raw_pageviews),
+scored AS (
+  SELECT page_title, {tri} AS t FROM titles
+)""", f"""
+SELECT page_title,
+       CASE WHEN len(list_distinct(list_concat(t, {q}))) = 0 THEN 0.0
+            ELSE len(list_intersect(t, {q})) / len(list_distinct(list_concat(t, {q}))) END AS similarity
+FROM scored
+WHERE (CASE WHEN len(list_distinct(list_concat(t, {q}))) = 0 THEN 0.0
+            ELSE len(list_intersect(t, {q})) / len(list_distinct(list_concat(t, {q}))) END) >= {float(threshold)}""")

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from viewsift.operators import fuzzy as FZ
+from viewsift.operators import prefilter as PF
+from viewsift.operators import quality as QC
 from viewsift.operators import scoring as SC
+from viewsift.plans import load_jobs as LJ
+from viewsift.sources import dumps as DU
+from viewsift.sources import pages as PG
+from viewsift.operators import curate as C
 from viewsift.plans import analytics as A
 from viewsift.plans import oracle as O
 from viewsift.sources import testbed as tb
@@ -79,6 +86,53 @@ QUERIES.update({
     "csv_fallback": lambda s, sf: SC.csv_fallback(SC.reply_rows(tb.replies(s, sf))),
 })
 
+
+def _raw(s: SparkSession, sf: str) -> DataFrame:
+    return tb.raw_pageviews(s, sf, with_event_id=False)
+
+
+def _links(s: SparkSession, sf: str) -> DataFrame:
+    return PG.page_links(tb.table(s, sf, "pages"), suffix=None)
+
+
+RETENTION_DAYS = 14
+SEED = "viewsift"
+FUZZY_QUERY = "google pixel phone"
+FUZZY_THRESHOLD = 0.3
+
+QUERIES.update({
+    "stage_a": lambda s, sf: PF.stage_a(_raw(s, sf), AS_OF),
+    "stage_b": lambda s, sf: PF.stage_b(PF.stage_a(_raw(s, sf), AS_OF)),
+    "stage_c": lambda s, sf: PF.stage_c(PF.stage_b(PF.stage_a(_raw(s, sf), AS_OF))),
+    "prefilter": lambda s, sf: PF.prefilter(_raw(s, sf), AS_OF, require_rows=False),
+    "company_distribution": lambda s, sf: PF.company_distribution(PF.prefilter(_raw(s, sf), AS_OF)),
+    "classify_company": lambda s, sf: PF.with_company(_raw(s, sf).select("page_title")),
+    "null_fill": lambda s, sf: DU.fill_unknown(_raw(s, sf), pandas_null_tokens=True),
+    "retention": lambda s, sf: C.retention_window(_raw(s, sf), AS_OF, RETENTION_DAYS),
+    "raw_load": LJ.raw_load,
+    "curated_load": LJ.curated_load,
+    "union_files": LJ.union_files,
+    "csv_roundtrip": LJ.csv_roundtrip,
+    "json_roundtrip": LJ.json_roundtrip,
+    "csv_text_parse": LJ.csv_text_parse,
+    "dump_parse": LJ.dump_parse,
+    "gz_audit": LJ.gz_audit,
+    "stream_ingest": LJ.stream_ingest,
+    "late_files": LJ.late_files,
+    "stream_daily_summary": LJ.stream_daily_summary,
+    "page_links": _links,
+    "seeded_pick": lambda s, sf: PG.seeded_pick(_links(s, sf), SEED, ["page_id"]),
+    "extract_checks": lambda s, sf: QC.extract_checks(_raw(s, sf)),
+    "verify_load": lambda s, sf: QC.verify_load(_raw(s, sf)),
+    "constraint_violations": lambda s, sf: QC.constraint_violations(_raw(s, sf), "raw_pageviews")
+    .unionByName(QC.constraint_violations(_filtered(s, sf), "filtered_pageviews"))
+    .unionByName(QC.constraint_violations(tb.sentiment_results(s, sf), "sentiment_results")),
+    "key_violations": lambda s, sf: QC.key_violations(
+        tb.candidates(s, sf).withColumn("filter_method", F.lit(tb.FILTER_METHOD)),
+        ["domain", "page_title", "processing_date", "filter_method"]),
+    "fuzzy_titles": lambda s, sf: FZ.fuzzy_search(_raw(s, sf), FUZZY_QUERY, threshold=FUZZY_THRESHOLD),
+})
+
 ORACLES: dict[str, Callable[[], str]] = {
     "company_rankings": O.company_rankings,
     "biggest_company": O.biggest_company,
@@ -106,6 +160,31 @@ ORACLES: dict[str, Callable[[], str]] = {
     "accepted_rows": O.accepted_rows,
     "invented_rows": O.invented_rows,
     "csv_fallback": O.csv_fallback,
+    "stage_a": O.stage_a,
+    "stage_b": O.stage_b,
+    "stage_c": O.stage_c,
+    "prefilter": O.prefilter,
+    "company_distribution": O.company_distribution,
+    "classify_company": O.classify_company,
+    "null_fill": O.null_fill,
+    "retention": lambda: O.retention(RETENTION_DAYS),
+    "raw_load": O.raw_rows,
+    "curated_load": O.filtered_rows,
+    "union_files": O.raw_rows,
+    "csv_roundtrip": O.candidate_rows,
+    "json_roundtrip": O.filtered_rows,
+    "csv_text_parse": O.csv_text_parse,
+    "dump_parse": O.dump_rows,
+    "stream_ingest": O.stream_rows,
+    "late_files": O.stream_rows,
+    "stream_daily_summary": O.stream_daily_summary,
+    "page_links": O.page_links,
+    "seeded_pick": lambda: O.seeded_pick(SEED),
+    "extract_checks": O.extract_checks,
+    "verify_load": O.verify_load,
+    "constraint_violations": O.constraint_violations,
+    "key_violations": O.key_violations,
+    "fuzzy_titles": lambda: O.fuzzy_titles(FUZZY_QUERY, FUZZY_THRESHOLD),
 }
 
 

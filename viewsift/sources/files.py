@@ -20,13 +20,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+# Microsecond timestamps: the writer's default keeps milliseconds only.
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
-    """K4: JSON Lines, UTF-8."""
-    df.write.mode(mode).option("encoding", "UTF-8").json(path)
+    """K4: JSON Lines, UTF-8, timestamps with microseconds."""
+    df.write.mode(mode).option("encoding", "UTF-8").option("timestampNTZFormat", TS_NTZ_FORMAT).json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return (spark.read.schema(schema).option("mode", "FAILFAST")
+            .option("timestampNTZFormat", TS_NTZ_FORMAT).json(path))
 
 
 def _schema(schema: T.StructType | str) -> T.StructType:
