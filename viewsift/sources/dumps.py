@@ -48,10 +48,11 @@ def read_dump_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 def _classified(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), " ")
     n = F.size(parts)
-    count = F.expr("try_cast(element_at(_parts, 3) AS INT)")
+    # ``get`` is null-safe past the end (ANSI mode raises on element_at / [i]).
+    count = F.get(F.col("_parts"), 2).try_cast("int")
     reason = (F.when(F.trim(F.col(value_col)) == "", F.lit("blank"))
               .when(~F.col("_n").isin(3, 4), F.lit("field_count"))
-              .when((F.col("_parts")[0] == "") | (F.col("_parts")[1] == ""), F.lit("empty_field"))
+              .when((F.get(F.col("_parts"), 0) == "") | (F.get(F.col("_parts"), 1) == ""), F.lit("empty_field"))
               .when(F.col("_count").isNull(), F.lit("count_not_integer"))
               .when(F.col("_count") < 0, F.lit("negative_count")))
     return (lines.withColumn("_parts", parts).withColumn("_n", n)
@@ -63,8 +64,8 @@ def parse_dump_lines(lines: DataFrame, value_col: str = "value") -> tuple[DataFr
     extra = [c for c in lines.columns if c != value_col]
     c = _classified(lines, value_col)
     good = c.where(F.col("_reason").isNull()).select(
-        F.col("_parts")[0].alias("domain"),
-        F.col("_parts")[1].alias("page_title"),
+        F.get(F.col("_parts"), 0).alias("domain"),
+        F.get(F.col("_parts"), 1).alias("page_title"),
         F.col("_count").alias("count_views"),
         *extra)
     bad = c.where(F.col("_reason").isNotNull() & (F.col("_reason") != "blank")).select(
