@@ -316,9 +316,9 @@ def reply_rows() -> str:
 
 def batch_stats() -> str:
     return with_adapter(_batched_ctes(), """
-SELECT COUNT(*) AS total_batches, count_if(status = 'ok') AS successful_batches,
-       count_if(status <> 'ok') AS failed_batches, count_if(status = 'empty') AS empty_batches,
-       count_if(status NOT IN ('ok', 'empty')) AS invalid_batches
+SELECT COUNT(*) AS total_batches, CAST(count_if(status = 'ok') AS BIGINT) AS successful_batches,
+       CAST(count_if(status <> 'ok') AS BIGINT) AS failed_batches, CAST(count_if(status = 'empty') AS BIGINT) AS empty_batches,
+       CAST(count_if(status NOT IN ('ok', 'empty')) AS BIGINT) AS invalid_batches
 FROM statuses""")
 
 
@@ -329,8 +329,8 @@ def llm_stats() -> str:
 SELECT {i} AS input_records, {o} AS output_records, {i} - {o} AS removed_records,
        CASE WHEN {o} = 0 THEN 100.0 ELSE coalesce({sql_round_pct(f'{i} - {o}', i)}, 0.0) END AS filter_rate_pct,
        CASE WHEN {o} = 0 THEN 0.0 ELSE coalesce({sql_round_pct(o, i)}, 0.0) END AS kept_rate_pct,
-       COUNT(*) AS total_batches, count_if(status = 'ok') AS successful_batches,
-       count_if(status <> 'ok') AS failed_batches,
+       COUNT(*) AS total_batches, CAST(count_if(status = 'ok') AS BIGINT) AS successful_batches,
+       CAST(count_if(status <> 'ok') AS BIGINT) AS failed_batches,
        CAST(ceil({i} / {testbed.BATCH_SIZE}) AS BIGINT) * 30 AS estimated_seconds,
        {i} > 10000 AS large_input
 FROM statuses""")
@@ -484,8 +484,8 @@ SELECT page_id, arg_min(full_url, md5({_q(seed)} || full_url)) AS full_url FROM
 def extract_checks() -> str:
     return with_adapter("", """
 SELECT COUNT(*) AS row_count, TRUE AS has_required_columns, TRUE AS count_views_integer,
-       count_if(domain IS NULL) AS null_domain, count_if(page_title IS NULL) AS null_page_title,
-       count_if(count_views IS NULL) AS null_count_views, COUNT(*) > 0 AS passed
+       CAST(count_if(domain IS NULL) AS BIGINT) AS null_domain, CAST(count_if(page_title IS NULL) AS BIGINT) AS null_page_title,
+       CAST(count_if(count_views IS NULL) AS BIGINT) AS null_count_views, COUNT(*) > 0 AS passed
 FROM raw_pageviews""")
 
 
@@ -498,7 +498,7 @@ FROM raw_pageviews GROUP BY source_file""")
 
 def _violations(table: str, rules_sql: list[tuple[str, str]]) -> str:
     return " UNION ALL ".join(
-        f"SELECT {_q(table)} AS table_name, {_q(name)} AS rule, count_if(coalesce({cond}, FALSE)) AS violations "
+        f"SELECT {_q(table)} AS table_name, {_q(name)} AS rule, CAST(count_if(coalesce({cond}, FALSE)) AS BIGINT) AS violations "
         f"FROM {table}" for name, cond in rules_sql)
 
 
