@@ -66,3 +66,16 @@ def test_top_k_is_total_order(spark):
     f = frame(spark, [("Apple", 5, DAY)] * 20)
     out = A.top_pages(f, DAY, 7, 15).collect()
     assert len(out) == 15 and sorted(r.rank for r in out) == list(range(1, 16))
+
+
+def test_split_row_number_equals_window(spark):
+    from pyspark.sql import Window, functions as F
+
+    from viewsift.operators.ranking import split_row_number
+    df = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 7 AS STRING) END AS g",
+                                      "CAST(id % 11 AS INT) AS v", "id AS t")
+    ties = [F.col("t").desc()]
+    got = {tuple(r) for r in split_row_number(df, ["g"], "v", ties).collect()}
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), *ties)
+    want = {tuple(r) for r in df.withColumn("rank", F.row_number().over(w).cast("long")).collect()}
+    assert got == want

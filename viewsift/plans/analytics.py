@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewsift.functions.numeric import exact_round_avg, exact_round_pct
+from viewsift.operators.ranking import split_row_number
 
 TOP_COMPANIES = ["Amazon", "Apple", "Google", "Microsoft", "Meta"]
 
@@ -224,12 +225,19 @@ def dq_latest(raw: DataFrame, filtered: DataFrame, n: int = 30) -> DataFrame:
     return v_data_quality_metrics(raw, filtered).orderBy(F.col("processing_date").desc()).limit(int(n))
 
 
-def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """V3: every page of the last ``days`` with its row number inside its company."""
-    df = last_n_days(filtered, as_of, days)
+def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7, split_hot_groups: bool = True) -> DataFrame:
+    """V3: every page of the last ``days`` with its row number inside its company.
+
+    All ranks are kept (no limit), so a plain window would sort a whole company in
+    one task; ``split_hot_groups`` numbers rows per (company, views) instead.
+    """
+    df = last_n_days(filtered, as_of, days).select("company", "page_title", "count_views", "processing_date",
+                                                   "domain")
+    if split_hot_groups:
+        ties = [F.col("processing_date").desc(), F.col("domain"), F.col("page_title")]
+        return split_row_number(df, ["company"], "count_views", ties)
     w = Window.partitionBy("company").orderBy(*_page_order())
-    return df.select("company", "page_title", "count_views", "processing_date", "domain",
-                     F.row_number().over(w).cast("long").alias("rank"))
+    return df.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 def v_sentiment_distribution(sentiment: DataFrame) -> DataFrame:
