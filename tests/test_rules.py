@@ -76,3 +76,19 @@ def test_classifier_is_literal_not_like(spark):
     got = {r.page_title: r.company for r in df.select("page_title", rules.company_expr().alias("company")).collect()}
     assert got == {"Google_antitrust_lawsuit": "Amazon", "echoX": "Other", "Echo_Dot": "Amazon",
                    "Metallica": "Meta"}
+
+
+def test_like_rewrite_equals_like(spark):
+    """The fast stage B forms agree with LIKE on random titles built from the patterns' pieces."""
+    import random
+
+    rng = random.Random(7)
+    pieces = ["List", "_", "of", "X", "born", "(person)", "(actor)", "History", "Wikipedia:", "a", "é", " ",
+              "(film)", "Outline", "Comparison", "Timeline", "(musician)", "(entrepreneur)", "", "%"]
+    titles = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 6))) for _ in range(3000)]
+    titles += ["born", "Xborn", "bornX", "_(person)", "(person)", "List_of", "List_o", "ListXof", "Listof"]
+    df = spark.createDataFrame([(t,) for t in titles], "page_title string")
+    t = F.col("page_title")
+    for p in rules.STAGE_B_PATTERNS:
+        diff = df.where(rules.like_expr(t, p) != t.like(p)).limit(3).collect()
+        assert not diff, (p, diff)

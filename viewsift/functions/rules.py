@@ -106,16 +106,61 @@ def stage_a_condition(as_of, min_views: int = DEFAULT_MIN_VIEWS,
     return cond
 
 
+def _runs(pattern: str) -> list[tuple[int, str]]:
+    """Literal runs of a ``_``-only pattern with their 0-based offsets."""
+    out, start = [], None
+    for i, ch in enumerate(pattern + "_"):
+        if ch != "_" and start is None:
+            start = i
+        elif ch == "_" and start is not None:
+            out.append((start, pattern[start:i]))
+            start = None
+    return out
+
+
+def like_expr(t: Column, pattern: str) -> Column:
+    """``t LIKE pattern`` as cheap position checks where the pattern has ``_`` wildcards.
+
+    Spark already turns ``x%`` / ``%x`` / ``%x%`` without ``_`` into StartsWith /
+    EndsWith / Contains (and pushes them into the scan), so those stay ``like``.
+    Patterns with ``_`` would become backtracking regexes; the three shapes used
+    here are rewritten exactly (``P%``, ``%S``, ``%X%`` with ``_`` only at the end
+    of ``X``); anything else falls back to ``like``.
+    """
+    if "_" not in pattern or "\\" in pattern:
+        return t.like(pattern)
+    n = F.length(t)
+    body = pattern.strip("%")
+    if "%" in body:
+        return t.like(pattern)
+    if pattern.endswith("%") and not pattern.startswith("%"):          # P%
+        conds = [F.substring(t, off + 1, len(r)) == r for off, r in _runs(body)]
+        return _all(conds + [n >= len(body)])
+    if pattern.startswith("%") and not pattern.endswith("%"):          # %S
+        conds = [F.substring(t, -(len(body) - off), len(r)) == r for off, r in _runs(body)]
+        return _all(conds + [n >= len(body)])
+    lit = body.rstrip("_")
+    if pattern.startswith("%") and pattern.endswith("%") and lit and "_" not in lit:  # %X_..%
+        # the first occurrence leaves the most room after it
+        pos = F.locate(lit, t)
+        return (pos > 0) & (pos + F.lit(len(body) - 1) <= n)
+    return t.like(pattern)
+
+
 def stage_b_condition(title_col: str = "page_title") -> Column:
-    """no noise pattern matches (case-sensitive LIKE)."""
+    """no noise pattern matches (case-sensitive LIKE semantics, ``_`` = one character)."""
     t = F.col(title_col)
-    return _all([~t.like(p) for p in STAGE_B_PATTERNS])
+    return _all([~like_expr(t, p) for p in STAGE_B_PATTERNS])
 
 
 def stage_c_condition(title_col: str = "page_title") -> Column:
-    """some tech keyword occurs, case-insensitively (ILIKE '%k%')."""
-    t = F.col(title_col)
-    return _any([t.ilike(f"%{k}%") for k in STAGE_C_KEYWORDS])
+    """some tech keyword occurs, case-insensitively (ILIKE '%k%').
+
+    ``ILIKE`` lower-cases both sides per call; lower-casing the title once and
+    testing ``contains`` with the lower-cased keyword is the same predicate.
+    """
+    low = F.lower(F.col(title_col))
+    return _any([low.contains(k.lower()) for k in STAGE_C_KEYWORDS])
 
 
 def company_expr(title_col: str = "page_title") -> Column:
