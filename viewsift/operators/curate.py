@@ -59,6 +59,26 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def distinct_values(df: DataFrame, col: str) -> list:
+    """Distinct values of a low-cardinality column (files or dates of one load)."""
+    return [r[0] for r in df.select(col).distinct().collect()]
+
+
+def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
+    """Rows whose ``source_file`` the table does not hold yet.
+
+    The table scan is restricted to this load's file names (``IN`` pushed into
+    Parquet): hourly files keep their rows together, so row-group statistics skip
+    nearly the whole table instead of reading every ``source_file`` value.
+    """
+    existing = _existing(spark, table_path)
+    if existing is None:
+        return rows
+    files = distinct_values(rows, "source_file")  # one value per dump file in this load
+    loaded = existing.where(F.col("source_file").isin(files)).select("source_file").distinct()
+    return rows.join(loaded, "source_file", "left_anti").select(*rows.columns)
+
+
 def raw_load(spark: SparkSession, rows: DataFrame, table_path: str) -> int:
     """K1: append raw rows to the date-partitioned table, once per ``source_file``.
 
@@ -66,11 +86,7 @@ def raw_load(spark: SparkSession, rows: DataFrame, table_path: str) -> int:
     so a re-run of the same dump adds nothing.
     """
     rows = rows.select(*[f.name for f in schemas.RAW_PAGEVIEWS.fields])
-    existing = _existing(spark, table_path)
-    if existing is not None:
-        loaded = existing.select("source_file").distinct()
-        rows = rows.join(loaded, "source_file", "left_anti").select(*rows.columns)
-    rows = rows.persist()
+    rows = drop_loaded_files(spark, rows, table_path).persist()
     n = rows.count()
     if n:
         # REBALANCE lets AQE split a hot date/file into several tasks and merge small ones.
@@ -103,10 +119,15 @@ def prepare_curated(rows: DataFrame, on_duplicate: str = "error",
 
 
 def curated_rows_to_append(new_rows: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """K2 (step 2): drop keys the curated table already holds (left anti join)."""
+    """K2 (step 2): drop keys the curated table already holds (left anti join).
+
+    The key contains ``processing_date``, so only the partitions of the new rows'
+    dates are read (partition pruning).
+    """
     if existing is None:
         return new_rows
-    keys = existing.select(*schemas.FILTERED_KEY).distinct()
+    dates = distinct_values(new_rows, "processing_date")
+    keys = existing.where(F.col("processing_date").isin(dates)).select(*schemas.FILTERED_KEY).distinct()
     return new_rows.join(keys, schemas.FILTERED_KEY, "left_anti").select(*new_rows.columns)
 
 

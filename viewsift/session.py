@@ -69,10 +69,15 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/viewsift/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in local tests."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+def filesystem(path: str):
+    """(pyarrow filesystem, path inside it) for a Spark path: local, HDFS, S3, GCS, ABFS.
+
+    Used inside tasks that must touch files directly (gzip audit, dump writer), so
+    they work on the cluster's shared storage and not only on a local disk.
+    """
+    import pyarrow.fs as pafs
+
+    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if path.startswith(hadoop):
+            path = arrow + path[len(hadoop):]
+    return pafs.FileSystem.from_uri(path)

@@ -16,7 +16,7 @@ quarantine is non-empty.
 from __future__ import annotations
 
 import gzip
-import os
+import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.session import local_path
+from viewsift.session import filesystem
 
 # Tokens pandas reads as missing by default (P5 ``pandas_null_tokens``).
 PANDAS_NULL_TOKENS = [
@@ -109,15 +109,15 @@ def _audit_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
         for path, length in zip(pdf["path"], pdf["length"]):
-            p = local_path(path)
             status, error, first_line = "ok", None, None
             try:
-                with open(p, "rb") as fh:
-                    magic = fh.read(2)
+                fs, p = filesystem(path)
+                with fs.open_input_stream(p, compression=None) as raw:
+                    magic = raw.read(2)
                 if magic != b"\x1f\x8b":
                     status, error = "corrupt", "not a gzip file (magic bytes)"
                 else:
-                    with gzip.open(p, "rb") as gz:
+                    with fs.open_input_stream(p, compression=None) as raw, gzip.GzipFile(fileobj=raw) as gz:
                         first_line = gz.readline(4096).decode("utf-8", "replace").rstrip("\n")
                         while gz.read(1 << 20):  # stream to the end: CRC and length checked
                             pass
@@ -144,26 +144,29 @@ def gz_audit(spark: SparkSession, directory: str, glob: str = "*.gz") -> DataFra
 # --------------------------------------------------------------------------- writing (fixtures)
 
 def _write_dump_files(target: str):
-    root = local_path(target)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(root, exist_ok=True)
-        current, fh, tmp, written = None, None, None, []
+        fs, root = filesystem(target)
+        fs.create_dir(root, recursive=True)
+        state = {"name": None, "raw": None, "gz": None, "tmp": None}
+        written: list[str] = []
 
         def close():
-            if fh is not None:
-                fh.close()
-                os.replace(tmp, os.path.join(root, current))  # atomic: a retried task rewrites
-                written.append(current)
+            if state["gz"] is not None:
+                state["gz"].close()
+                state["raw"].close()
+                # a hidden temporary name, then a move: readers never see half a file and a
+                # retried task simply writes the file again
+                fs.move(state["tmp"], f"{root}/{state['name']}")
+                written.append(state["name"])
 
         for pdf in batches:
             for name, line in zip(pdf["source_file"], pdf["line"]):
-                if name != current:
+                if name != state["name"]:
                     close()
-                    current = name
-                    tmp = os.path.join(root, f".{name}.{os.getpid()}.tmp")
-                    fh = gzip.open(tmp, "wt", encoding="utf-8", newline="\n")
-                fh.write(line + "\n")
+                    tmp = f"{root}/.{name}.{uuid.uuid4().hex}.tmp"
+                    raw = fs.open_output_stream(tmp, compression=None)
+                    state.update(name=name, raw=raw, tmp=tmp, gz=gzip.GzipFile(fileobj=raw, mode="wb"))
+                state["gz"].write((line + "\n").encode("utf-8"))
         close()
         yield pd.DataFrame({"source_file": written})
 

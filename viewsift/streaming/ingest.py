@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.operators import prefilter
+from viewsift.operators.curate import distinct_values
 from viewsift.sources.dumps import parse_dump_lines
 
 HOUR_PATTERN = r"pageviews-(\d{8}-\d{6})"
@@ -47,14 +48,22 @@ RAW_STREAM_COLUMNS = ["domain", "page_title", "count_views", "source_file", "eve
 def _append_new_files(table_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*RAW_STREAM_COLUMNS)
+        cached = batch.select(*RAW_STREAM_COLUMNS).persist()
+        rows = cached
         try:
-            loaded = spark.read.parquet(table_path).select("source_file").distinct()
-            rows = rows.join(loaded, "source_file", "left_anti").select(*RAW_STREAM_COLUMNS)
+            existing = spark.read.parquet(table_path)
         except AnalysisException:  # first batch: no table yet
-            pass
+            existing = None
+        if existing is not None:
+            # A file's date comes from its name, so only this batch's files and dates are read.
+            files = distinct_values(rows, "source_file")
+            dates = distinct_values(rows, "processing_date")
+            loaded = existing.where(F.col("processing_date").isin(dates) & F.col("source_file").isin(files)) \
+                .select("source_file").distinct()
+            rows = rows.join(loaded, "source_file", "left_anti").select(*RAW_STREAM_COLUMNS)
         rows.hint("rebalance", "processing_date").write.mode("append") \
             .partitionBy("processing_date").parquet(table_path)
+        cached.unpersist()
     return run
 
 
