@@ -44,7 +44,7 @@ def test_reply_rows_and_stats(spark):
 def test_batches_of_fifty(spark):
     df = spark.range(130).select(F.col("id").cast("int").alias("count_views"), F.lit("en").alias("domain"),
                                  F.col("id").cast("string").alias("page_title"))
-    b = S.assign_batches(df, 50)
+    b = S.assign_batches(df, 50, n_buckets=1)
     sizes = sorted(r["count"] for r in b.groupBy("batch_no").count().collect())
     assert sizes == [30, 50, 50]
     first = b.where("batch_no = 0").agg(F.min("count_views")).first()[0]
@@ -56,7 +56,7 @@ def test_batches_of_fifty(spark):
 def test_scorer_failure_is_caught_per_batch(spark):
     df = spark.range(120).select(F.lit(1000).alias("count_views"), F.lit("en").alias("domain"),
                                  F.concat(F.lit("Apple_"), F.col("id").cast("string")).alias("page_title"))
-    prompts = S.build_prompts(S.assign_batches(df, 50))
+    prompts = S.build_prompts(S.assign_batches(df, 50, n_buckets=1))
     assert sorted(r.n_records for r in prompts.collect()) == [20, 50, 50]
 
     def flaky(prompt: str) -> str:
@@ -95,3 +95,15 @@ def test_csv_text_parse_and_empty(spark):
                                "id long, txt string")
     out = files.parse_csv_text(df, "txt", "domain string, page_title string, count_views long")
     assert sorted((r.id, r.page_title, r.count_views) for r in out.collect()) == [(1, "A,b", 3), (1, "C", 4)]
+
+
+def test_register_views(spark):
+    import datetime as dt
+
+    from viewsift.plans import analytics as A
+    from viewsift.sources import testbed as tb
+    sf = "/root/testdata/sf0.001"
+    names = A.register_views(tb.raw_pageviews(spark, sf, with_event_id=False), tb.filtered_pageviews(spark, sf),
+                             tb.sentiment_results(spark, sf), tb.AS_OF)
+    assert names == A.VIEW_NAMES
+    assert spark.sql("SELECT count(*) FROM v_data_quality_metrics").first()[0] == 30

@@ -54,17 +54,20 @@ def buckets_for(n_rows: int, rows_per_bucket: int = 1_000_000) -> int:
     return max(1, -(-int(n_rows) // int(rows_per_bucket)))
 
 
-def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_buckets: int = 1,
+def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_buckets: int | None = None,
                    bucket: Column | None = None, order: Sequence[Column | str] | None = None) -> DataFrame:
     """L1: ``bucket``, ``batch_no`` and ``row_in_batch`` for every row.
 
-    Rows are numbered inside each bucket (``n_buckets`` hash buckets, or a given
-    ``bucket`` expression), in ``order`` (default: views descending, as the
-    prefilter orders them), and cut into batches of ``batch_size``. With one
-    bucket this is exactly the sequential batching of the original; with many,
-    no task ever numbers more than one bucket.
+    Rows are numbered inside each bucket (``n_buckets`` hash buckets of the whole
+    row, or a given ``bucket`` expression), in ``order`` (default: views
+    descending, as the prefilter orders them), and cut into batches of
+    ``batch_size``. ``n_buckets=1`` is exactly the sequential batching of the
+    original; the default (``spark.sql.shuffle.partitions`` buckets) keeps every
+    task to one bucket's share of the rows.
     """
     if bucket is None:
+        if n_buckets is None:
+            n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         bucket = rows_bucket(df.columns, n_buckets) if n_buckets > 1 else F.lit(0)
     order = list(order) if order else [F.col("count_views").desc(), *[F.col(c) for c in df.columns
                                                                      if c != "count_views"]]

@@ -256,3 +256,22 @@ def v_sentiment_distribution(sentiment: DataFrame) -> DataFrame:
 def present(df: DataFrame, *order: Column | str) -> DataFrame:
     """O1: presentation sort, applied only when a caller displays or exports."""
     return df.orderBy(*order)
+
+
+VIEW_NAMES = ["v_daily_company_summary", "v_data_quality_metrics", "v_top_pages_by_company",
+              "v_sentiment_distribution"]
+
+
+def register_views(raw: DataFrame, filtered: DataFrame, sentiment: DataFrame | None, as_of,
+                   days: int = 7) -> list[str]:
+    """K6: the four views as session temp views (lazy plans, recomputed on each read)."""
+    views = {
+        "v_daily_company_summary": v_daily_company_summary(filtered),
+        "v_data_quality_metrics": v_data_quality_metrics(raw, filtered),
+        "v_top_pages_by_company": v_top_pages_by_company(filtered, as_of, days),
+    }
+    if sentiment is not None:
+        views["v_sentiment_distribution"] = v_sentiment_distribution(sentiment)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

@@ -15,6 +15,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def export_csv(df: DataFrame, root: str, prefix: str, at=None) -> str:
+    """CSV export into ``{root}/{prefix}_{YYYYMMDD_HHmmss}``; returns the folder."""
+    import datetime as dt
+
+    stamp = (at or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
+    path = f"{root.rstrip('/')}/{prefix}_{stamp}"
+    write_csv(df, path)
+    return path
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """S3: CSV with header and an explicit schema; malformed rows fail the read."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
