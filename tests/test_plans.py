@@ -72,3 +72,25 @@ def test_scoring_python_hop_only_in_scorer(spark):
     b = tb.batched_candidates(spark, "/root/testdata/sf0.001")
     assert "Python" not in plan(S.build_prompts(b))
     assert "MapInPandas" in plan(S.score_batches(S.build_prompts(b)))
+
+
+def test_warehouse_reader_prunes_and_pushes(spark, tables):
+    import os
+    from viewsift.sources import warehouse
+    from viewsift.plans import analytics as A
+    raw, _ = tables
+    root = os.path.dirname(raw.inputFiles()[0].replace("file:", "").rsplit("/processing_date=", 1)[0])
+    cur = warehouse.curated_table(spark, root + "/filtered")
+    p = plan(A.company_rankings(cur, D))
+    assert "PartitionFilters: [isnotnull(processing_date" in p
+    assert "ReadSchema: struct<count_views:int,company:string>" in p
+
+
+def test_seeded_sample_is_group_limited(spark):
+    from viewsift.sources import pages
+    df = spark.range(1000).selectExpr("CAST(id % 3 AS INT) AS g", "CAST(id AS STRING) AS full_url")
+    s = pages.seeded_sample(df, "seed", 5, ["g"])
+    assert "WindowGroupLimit" in plan(s)
+    rows = sorted(map(tuple, s.collect()))
+    again = sorted(map(tuple, pages.seeded_sample(df.repartition(7), "seed", 5, ["g"]).collect()))
+    assert len(rows) == 15 and rows == again  # repeatable whatever the partitioning

@@ -53,3 +53,15 @@ def seeded_pick(links: DataFrame, seed: str, group_cols: list[str] | None = None
     if group_cols:
         return links.groupBy(*group_cols).agg(pick)
     return links.agg(pick)
+
+
+def seeded_sample(df: DataFrame, seed: str, n: int, group_cols: list[str], value_col: str = "full_url") -> DataFrame:
+    """The ``n`` rows per group with the smallest ``md5(seed || value)`` (repeatable sampling).
+
+    ``row_number() <= n`` plans as WindowGroupLimit: each map task keeps at most
+    ``n`` rows per group before the shuffle, so a hot group never moves whole.
+    """
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*group_cols).orderBy(seeded_order(seed, value_col), F.col(value_col))
+    return df.withColumn("pick_no", F.row_number().over(w)).where(F.col("pick_no") <= int(n))
