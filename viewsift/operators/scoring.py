@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.functions.numeric import exact_round_pct
+from viewsift.session import ship_package
 from viewsift.sources.files import csv_text_column
 
 DEFAULT_BATCH_SIZE = 50
@@ -163,6 +164,7 @@ def score_batches(prompts: DataFrame, scorer: Scorer | None = None, parallelism:
     batches carry many prompts per Python round trip.
     """
     scorer = scorer or RuleScorer()
+    ship_package(prompts.sparkSession)
     df = prompts.select(*BATCH_KEY, "prompt")
     if parallelism:
         df = df.repartition(int(parallelism), *BATCH_KEY)

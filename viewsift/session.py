@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +82,27 @@ def filesystem(path: str):
         if path.startswith(hadoop):
             path = arrow + path[len(hadoop):]
     return pafs.FileSystem.from_uri(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``viewsift`` importable in Python workers (``addPyFile`` of a zip, once per app).
+
+    The few Python tasks (scorer, gzip audit, dump writer) run functions of this
+    package; workers import them by module name, as with ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="viewsift-pyfiles-"), "viewsift.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(pkg):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.session import filesystem
+from viewsift.session import filesystem, ship_package
 
 # Tokens pandas reads as missing by default (P5 ``pandas_null_tokens``).
 PANDAS_NULL_TOKENS = [
@@ -136,6 +136,7 @@ def gz_audit(spark: SparkSession, directory: str, glob: str = "*.gz") -> DataFra
     The ``binaryFile`` scan selects only path and length, so file contents never
     enter the plan; each task streams its files with bounded memory.
     """
+    ship_package(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(directory).select("path", "length"))
     return files.mapInPandas(_audit_files, AUDIT_SCHEMA)
@@ -179,6 +180,7 @@ def write_dump_files(rows: DataFrame, target: str, n_tasks: int | None = None) -
     Rows are hash-partitioned by ``source_file`` and sorted inside each task, so a
     task streams each of its files out once. Returns the number of files written.
     """
+    ship_package(rows.sparkSession)
     line = F.concat_ws(" ", "domain", "page_title", F.col("count_views").cast("string"), F.lit("0"))
     df = rows.select("source_file", line.alias("line"))
     df = (df.repartition(n_tasks, "source_file") if n_tasks else df.repartition("source_file"))
