@@ -92,3 +92,21 @@ def test_like_rewrite_equals_like(spark):
     for p in rules.STAGE_B_PATTERNS:
         diff = df.where(rules.like_expr(t, p) != t.like(p)).limit(3).collect()
         assert not diff, (p, diff)
+
+
+def test_verdict_gates_are_necessary():
+    """Every regex match contains a gate substring (so gating never changes a verdict)."""
+    import random
+    import re
+
+    rng = random.Random(11)
+    words = [w for g in rules.VERDICT_GATES.values() for w in g] + \
+        ["apple", "iphone 15", "(2023)", "(software)", "(tv series)", "a", "of", ".", " ", "x", "(", ")", "v", "s"]
+    samples = [t.lower().replace("_", " ") for t in CATALOGUE_TITLES]
+    samples += ["".join(rng.choice(words + [" "]) for _ in range(rng.randint(1, 6))) for _ in range(20000)]
+    for label, pattern in rules.VERDICT_RULES:
+        rx = re.compile(pattern)
+        gate = rules.VERDICT_GATES[label]
+        for s in samples:
+            if rx.search(s):
+                assert any(g in s for g in gate), (label, s)

@@ -84,6 +84,34 @@ VERDICT_RULES = [
 ]
 DEFAULT_VERDICT = "keep:default"
 
+# Necessary substrings per verdict rule: a title can match the rule's regex only if
+# it contains one of them. Checked first with cheap ``contains`` so the regex runs
+# on few rows; ``tests/test_rules.py`` asserts regex ⇒ gate.
+VERDICT_GATES = {
+    "keep:suffix": [")"],
+    "keep:allow": ["microsoft office", "windows", "azure", "xbox", "instagram", "whatsapp", "messenger",
+                   "threads", "iphone", "pixel", "surface", "linkedin", "twitch", "airpods"],
+    "remove:people": ["executive", "founder", "ceo", "director", "president", "chairman", "employee",
+                      "activist", "spokesperson"],
+    "remove:legal": ["v.", "vs.", "corp.", "inc.", "llc", "ltd", "lawsuit", "litigation", "antitrust",
+                     "settlement", "court case", "legal action"],
+    "remove:historical": [" of", "criticism", "controversy", "scandal", "breach", "walkout", "strike"],
+    "remove:building": ["building", "campus", "headquarters", "office", "tower", "arena", "mall", "warehouse",
+                        "data center", "facility"],
+    "remove:event": ["conference", "summit", "expo", "awards", "challenge", "competition", "festival",
+                     "ceremony", "cup", "prize"],
+    "remove:media": ["series", "season ", "(film)", "movie", "documentary", "(book)", "(novel)",
+                     "advertisement", "franchise"],
+    "remove:techdoc": ["version history", "release history", "technical problems", "file format",
+                       "specification", "encoding", "protocol"],
+    "remove:url": [".", "http"],
+    "remove:typography": ["typeface", "font"],
+    "remove:year": ["(202"],
+    "remove:other": ["disambiguation", "category", "template", "portal", "wikipedia page", "stock", "ipo",
+                     "revenue", "earnings", "acquisition", "merger", "effect", "phenomenon", "movement",
+                     "initiative"],
+}
+
 # ---------------------------------------------------------------------------
 # Spark expressions
 # ---------------------------------------------------------------------------
@@ -178,11 +206,16 @@ def normalised_title(title_col: str = "page_title") -> Column:
 
 
 def verdict_expr(title_col: str = "page_title") -> Column:
-    """L4: rule verdict label, e.g. ``keep:allow`` or ``remove:legal``."""
+    """L4: rule verdict label, e.g. ``keep:allow`` or ``remove:legal``.
+
+    Each rule is ``gate AND rlike``: the gate (any necessary substring) is a few
+    byte searches, so most rows never reach the regex.
+    """
     n = normalised_title(title_col)
     expr = None
     for label, pattern in VERDICT_RULES:
-        cond = n.rlike(pattern)
+        gate = VERDICT_GATES.get(label)
+        cond = n.rlike(pattern) if not gate else (_any([n.contains(g) for g in gate]) & n.rlike(pattern))
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(DEFAULT_VERDICT))
 
