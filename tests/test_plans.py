@@ -94,3 +94,34 @@ def test_seeded_sample_is_group_limited(spark):
     rows = sorted(map(tuple, s.collect()))
     again = sorted(map(tuple, pages.seeded_sample(df.repartition(7), "seed", 5, ["g"]).collect()))
     assert len(rows) == 15 and rows == again  # repeatable whatever the partitioning
+
+
+def test_raw_layout_lets_stage_a_skip_row_groups(spark):
+    """Sorted raw files: a high threshold reads few row groups (Parquet statistics)."""
+    import datetime as dt
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from viewsift.operators import curate
+    path = tempfile.mkdtemp(prefix="viewsift-layout-") + "/raw"
+    rows = spark.range(200000).select(
+        F.lit("en").alias("domain"), F.concat(F.lit("T"), (F.col("id") % 5000).cast("string")).alias("page_title"),
+        (F.col("id") * 7919 % 100000).cast("int").alias("count_views"), F.lit("pageviews-20240130-000000.gz")
+        .alias("source_file"), F.lit(dt.datetime(2024, 1, 30)).cast("timestamp_ntz").alias("loaded_at"),
+        F.lit(dt.date(2024, 1, 30)).alias("processing_date"))
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    hconf.setInt("parquet.block.size", 256 * 1024)  # small row groups for the test
+    try:
+        curate.write_raw(rows.repartition(1), path)
+    finally:
+        hconf.unset("parquet.block.size")
+    import pyarrow.parquet as pq
+    import glob
+    f = glob.glob(path + "/processing_date=*/*.parquet")[0]
+    md = pq.ParquetFile(f).metadata
+    col = [i for i in range(md.num_columns) if md.schema.column(i).name == "count_views"][0]
+    maxes = [md.row_group(g).column(col).statistics.max for g in range(md.num_row_groups)]
+    assert len(maxes) > 1 and maxes == sorted(maxes, reverse=True)  # stats prune the low-views tail
+    n_skippable = sum(1 for m in maxes if m < 90000)
+    assert n_skippable >= len(maxes) // 2

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.operators import prefilter
-from viewsift.operators.curate import distinct_values
+from viewsift.operators.curate import distinct_values, write_raw
 from viewsift.sources.dumps import parse_dump_lines
 
 HOUR_PATTERN = r"pageviews-(\d{8}-\d{6})"
@@ -61,8 +61,7 @@ def _append_new_files(table_path: str):
             loaded = existing.where(F.col("processing_date").isin(dates) & F.col("source_file").isin(files)) \
                 .select("source_file").distinct()
             rows = rows.join(loaded, "source_file", "left_anti").select(*RAW_STREAM_COLUMNS)
-        rows.hint("rebalance", "processing_date").write.mode("append") \
-            .partitionBy("processing_date").parquet(table_path)
+        write_raw(rows, table_path)
         cached.unpersist()
     return run
 
