@@ -36,7 +36,7 @@ def _canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v  # exact: both engines must produce the same double
     if isinstance(v, decimal.Decimal):
         return round(float(v), 9)
     if isinstance(v, (dt.datetime, dt.date)):
