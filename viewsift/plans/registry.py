@@ -64,6 +64,18 @@ def _scored_replies(s: SparkSession, sf: str) -> DataFrame:
     return SC.score_batches(SC.build_prompts(_batched(s, sf)), SC.RuleScorer())
 
 
+def _with_replies(s: SparkSession, sf: str, op) -> DataFrame:
+    """``op(batched, reply_rows)`` with the replies built from the same batched frame."""
+    b = _batched(s, sf)
+    return op(b, SC.reply_rows(tb.replies(s, sf, b)))
+
+
+def _llm_stats(s: SparkSession, sf: str) -> DataFrame:
+    b = _batched(s, sf)
+    r = tb.replies(s, sf, b)
+    return SC.llm_stats(b, SC.reply_status(r), SC.reply_rows(r))
+
+
 SCORE_COLUMNS = ["bucket", "batch_no", "domain", "page_title", "count_views", "company", "processing_date"]
 
 QUERIES.update({
@@ -78,11 +90,9 @@ QUERIES.update({
     "reply_status": lambda s, sf: SC.reply_status(tb.replies(s, sf)).select("bucket", "batch_no", "status"),
     "reply_rows": lambda s, sf: SC.reply_rows(tb.replies(s, sf)),
     "batch_stats": lambda s, sf: SC.batch_stats(SC.reply_status(tb.replies(s, sf))),
-    "llm_stats": lambda s, sf: SC.llm_stats(_batched(s, sf), SC.reply_status(tb.replies(s, sf)),
-                                           SC.reply_rows(tb.replies(s, sf))),
-    "accepted_rows": lambda s, sf: SC.accepted_rows(_batched(s, sf), SC.reply_rows(tb.replies(s, sf)))
-    .select(*SCORE_COLUMNS),
-    "invented_rows": lambda s, sf: SC.invented_rows(_batched(s, sf), SC.reply_rows(tb.replies(s, sf))),
+    "llm_stats": lambda s, sf: _llm_stats(s, sf),
+    "accepted_rows": lambda s, sf: _with_replies(s, sf, SC.accepted_rows).select(*SCORE_COLUMNS),
+    "invented_rows": lambda s, sf: _with_replies(s, sf, SC.invented_rows),
     "csv_fallback": lambda s, sf: SC.csv_fallback(SC.reply_rows(tb.replies(s, sf))),
 })
 

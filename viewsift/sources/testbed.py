@@ -134,14 +134,14 @@ def batched_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   order=order)
 
 
-def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def replies(spark: SparkSession, sf_dir: str, batched: DataFrame | None = None) -> DataFrame:
     """Synthetic scorer replies, one per batch, covering every reply failure mode.
 
     Variant ``(bucket + batch_no) % 6``: valid (kept records, plus one invented
     record when ``batch_no % 4 = 0``) · not JSON · object without ``json_output`` ·
     ``json_output`` a string · first record lacks ``domain`` · empty list.
     """
-    b = batched_candidates(spark, sf_dir)
+    b = batched if batched is not None else batched_candidates(spark, sf_dir)
     rec = F.struct("row_in_batch", "domain", "page_title", "count_views",
                    F.col("verdict").startswith("keep:").alias("kept"))
     g = b.groupBy("bucket", "batch_no").agg(F.sort_array(F.collect_list(rec)).alias("recs"))
