@@ -107,3 +107,21 @@ def test_register_views(spark):
                              tb.sentiment_results(spark, sf), tb.AS_OF)
     assert names == A.VIEW_NAMES
     assert spark.sql("SELECT count(*) FROM v_data_quality_metrics").first()[0] == 30
+
+
+def test_stored_replies_call_each_prompt_once(spark, tmp_path):
+    df = spark.range(120).select(F.lit(1000).alias("count_views"), F.lit("en").alias("domain"),
+                                 F.concat(F.lit("Apple_"), F.col("id").cast("string")).alias("page_title"))
+    prompts = S.build_prompts(S.assign_batches(df, 50, n_buckets=1))
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(prompt: str) -> str:
+        calls.add(1)
+        return S.RuleScorer()(prompt)
+
+    store = str(tmp_path / "replies")
+    first = S.score_batches_stored(prompts, store, counting).collect()
+    assert calls.value == 3 and sorted(r.call_status for r in first) == ["ok"] * 3
+    again = S.score_batches_stored(prompts, store, counting).collect()
+    assert calls.value == 3  # nothing re-scored
+    assert sorted((r.batch_no, r.reply) for r in again) == sorted((r.batch_no, r.reply) for r in first)

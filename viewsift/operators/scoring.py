@@ -20,6 +20,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -172,6 +173,31 @@ def score_batches(prompts: DataFrame, scorer: Scorer | None = None, parallelism:
                           "bucket long, batch_no long, reply string, call_status string, call_error string")
 
 
+def score_batches_stored(prompts: DataFrame, store_path: str, scorer: Scorer | None = None,
+                         parallelism: int | None = None) -> DataFrame:
+    """L3, idempotent across runs: replies are kept in a table keyed by ``md5(prompt)``.
+
+    Only prompts without a stored reply reach the scorer; their replies are
+    appended to the store before anything reads them, so a re-run (or a job
+    retried after losing executors) never calls the model twice for one prompt.
+    Failed calls are not stored, so they are retried next time.
+    """
+    spark = prompts.sparkSession
+    keyed = prompts.withColumn("prompt_md5", F.md5("prompt"))
+    try:
+        stored = spark.read.parquet(store_path).select("prompt_md5", "reply", "call_status", "call_error")
+    except AnalysisException:  # no store yet
+        stored = None
+    todo = keyed if stored is None else keyed.join(stored.select("prompt_md5"), "prompt_md5", "left_anti")
+    fresh = score_batches(todo, scorer, parallelism)
+    fresh = fresh.join(todo.select(*BATCH_KEY, "prompt_md5"), BATCH_KEY)
+    fresh.where(F.col("call_status") == "ok").select("prompt_md5", "reply", "call_status", "call_error") \
+        .write.mode("append").parquet(store_path)
+    stored = spark.read.parquet(store_path).dropDuplicates(["prompt_md5"])
+    return keyed.join(stored, "prompt_md5", "left").select(
+        *BATCH_KEY, "reply", F.coalesce("call_status", F.lit("error")).alias("call_status"), "call_error")
+
+
 def persist_replies(replies: DataFrame) -> DataFrame:
     """Cut lineage after scoring (reliable checkpoint): a later action never re-calls the model."""
     return replies.checkpoint(eager=True)

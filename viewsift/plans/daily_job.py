@@ -37,7 +37,7 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     it (and ``loaded_at``) explicitly, or set ``event_time_from_name`` to date each
     row by the hour in its dump's name (backfills). Tables live in
     ``{root}/raw_pageviews``, ``{root}/filtered_pageviews``; bad dump lines go to
-    ``{root}/quarantine``.
+    ``{root}/quarantine``; scorer replies to ``{root}/scorer_replies``.
     """
     raw_path, cur_path = f"{root}/raw_pageviews", f"{root}/filtered_pageviews"
     good, bad = dumps.parse_dumps(spark, landing)
@@ -57,7 +57,8 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     raw = warehouse.raw_table(spark, raw_path)
     cand = prefilter.prefilter(raw, as_of, min_views, columns=None)
     batched = scoring.assign_batches(cand, batch_size)
-    replies = scoring.persist_replies(scoring.score_batches(scoring.build_prompts(batched), scorer))
+    # Replies are stored by prompt hash: a re-run only scores prompts it has not answered yet.
+    replies = scoring.score_batches_stored(scoring.build_prompts(batched), f"{root}/scorer_replies", scorer)
     statuses = scoring.reply_status(replies)
     rows = scoring.reply_rows(replies)
     accepted = scoring.accepted_rows(batched, rows)
