@@ -79,3 +79,11 @@ def test_split_row_number_equals_window(spark):
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), *ties)
     want = {tuple(r) for r in df.withColumn("rank", F.row_number().over(w).cast("long")).collect()}
     assert got == want
+
+
+def test_approx_options_close_to_exact(spark):
+    rows = [("Apple", v, DAY) for v in range(1, 1002)] + [("Meta", 7, DAY)]
+    f = frame(spark, rows)
+    exact = {r.company: r.median_views for r in A.company_rankings(f, DAY).collect()}
+    approx = {r.company: r.median_views for r in A.company_rankings(f, DAY, approx_median=True).collect()}
+    assert exact == {"Apple": 501.0, "Meta": 7.0} and abs(approx["Apple"] - 501) <= 1 and approx["Meta"] == 7

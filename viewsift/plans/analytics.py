@@ -43,15 +43,18 @@ def only_companies(df: DataFrame, companies: Sequence[str] | None) -> DataFrame:
     return df.where(F.col("company").isin(list(companies))) if companies else df
 
 
-def _company_metrics(df: DataFrame) -> DataFrame:
+def _company_metrics(df: DataFrame, approx_median: bool = False) -> DataFrame:
     v = F.col("count_views")
+    # Exact median (percentile_cont 0.5): its buffer holds distinct values, not rows.
+    # ``approx_median`` bounds the buffer (GK sketch, 1/10000 rank error) for raw-size inputs.
+    median = (F.percentile_approx(v, 0.5, 10000).cast("double") if approx_median
+              else F.median(v).cast("double"))
     return df.groupBy("company").agg(
         F.count(F.lit(1)).alias("page_count"),
         F.sum(v).cast("long").alias("total_views"),
         F.max(v).alias("max_views"),
         F.min(v).alias("min_views"),
-        # Exact median (percentile_cont 0.5); its buffer holds distinct values, not rows.
-        F.median(v).cast("double").alias("median_views"),
+        median.alias("median_views"),
     ).withColumn("avg_views", exact_round_avg(F.col("total_views"), F.col("page_count")))
 
 
@@ -69,16 +72,16 @@ RANKING_COLUMNS = ["rank", "company", "page_count", "total_views", "avg_views",
                    "max_views", "min_views", "market_share_pct"]
 
 
-def company_rankings(filtered: DataFrame, as_of) -> DataFrame:
+def company_rankings(filtered: DataFrame, as_of, approx_median: bool = False) -> DataFrame:
     """Q1: rank, company, page_count, total/avg/median/max/min views, share, report_date."""
-    out = _ranked(_company_metrics(on_day(filtered, as_of)))
+    out = _ranked(_company_metrics(on_day(filtered, as_of), approx_median))
     return out.select(*RANKING_COLUMNS, _as_date(as_of).alias("report_date"))
 
 
 def rankings_window(filtered: DataFrame, as_of, days: int = 7,
-                    companies: Sequence[str] | None = None) -> DataFrame:
+                    companies: Sequence[str] | None = None, approx_median: bool = False) -> DataFrame:
     """Q4 / F8: rankings over the last ``days``; shares over all companies, then the IN filter."""
-    out = _ranked(_company_metrics(last_n_days(filtered, as_of, days))).select(*RANKING_COLUMNS)
+    out = _ranked(_company_metrics(last_n_days(filtered, as_of, days), approx_median)).select(*RANKING_COLUMNS)
     return only_companies(out, companies)
 
 
@@ -201,7 +204,7 @@ def v_daily_company_summary(filtered: DataFrame) -> DataFrame:
         "company", "processing_date", "page_count", "total_views", "avg_views", "max_views", "min_views")
 
 
-def v_data_quality_metrics(raw: DataFrame, filtered: DataFrame) -> DataFrame:
+def v_data_quality_metrics(raw: DataFrame, filtered: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """V2: per raw date: raw and curated counts, kept %, load times, source files.
 
     The correlated subquery of the original is rewritten (J2): both sides are
@@ -211,7 +214,8 @@ def v_data_quality_metrics(raw: DataFrame, filtered: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("raw_records"),
         F.min("loaded_at").alias("first_loaded"),
         F.max("loaded_at").alias("last_loaded"),
-        F.count_distinct("source_file").alias("source_files"))
+        (F.approx_count_distinct("source_file") if approx_distinct else F.count_distinct("source_file"))
+        .alias("source_files"))
     f = filtered.groupBy("processing_date").agg(F.count(F.lit(1)).alias("filtered_count"))
     j = r.join(f, "processing_date", "left")
     kept = F.coalesce(F.col("filtered_count"), F.lit(0)).cast("long")
