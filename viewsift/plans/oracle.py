@@ -547,3 +547,39 @@ SELECT page_title,
 FROM scored
 WHERE (CASE WHEN len(list_distinct(list_concat(t, {q}))) = 0 THEN 0.0
             ELSE len(list_intersect(t, {q})) / len(list_distinct(list_concat(t, {q}))) END) >= {float(threshold)}""")
+
+
+def prompts() -> str:
+    from viewsift.operators.scoring import PROMPT_TEMPLATE
+
+    head, tail = PROMPT_TEMPLATE.split("{records}")
+    h1, h2 = head.split("{n}")
+    unb = lambda x: x.replace("{{", "{").replace("}}", "}")
+    return with_adapter(_batched_ctes(), f"""
+SELECT bucket, batch_no, CAST(COUNT(*) AS BIGINT) AS n_records,
+       {_q(unb(h1))} || CAST(COUNT(*) AS VARCHAR) || {_q(unb(h2))} ||
+       CAST(to_json(list({{'domain': domain, 'page_title': page_title, 'count_views': count_views}}
+                         ORDER BY row_in_batch)) AS VARCHAR) || {_q(unb(tail))} AS prompt
+FROM batched GROUP BY bucket, batch_no""")
+
+
+def score_batches() -> str:
+    """Replies of the shipped rule scorer, in its JSON layout (``", "`` and ``": "`` separators)."""
+    keep = "verdict LIKE 'keep:%'"
+    rec = ("'{\"domain\": ' || CAST(to_json(domain) AS VARCHAR) || ', \"page_title\": ' || "
+           "CAST(to_json(page_title) AS VARCHAR) || ', \"count_views\": ' || CAST(count_views AS VARCHAR) || '}'")
+    line = "domain || ',' || page_title || ',' || CAST(count_views AS VARCHAR) || chr(10)"
+    return with_adapter(_batched_ctes(), f"""
+SELECT bucket, batch_no,
+       '{{"json_output": [' || coalesce(string_agg({rec}, ', ' ORDER BY row_in_batch) FILTER (WHERE {keep}), '')
+       || '], "csv_output": ' || CAST(to_json(CASE WHEN count_if({keep}) = 0 THEN ''
+            ELSE 'domain,page_title,count_views' || chr(10)
+                 || string_agg({line}, '' ORDER BY row_in_batch) FILTER (WHERE {keep}) END) AS VARCHAR)
+       || '}}' AS reply,
+       'ok' AS call_status, CAST(NULL AS VARCHAR) AS call_error
+FROM batched GROUP BY bucket, batch_no""")
+
+
+def gz_audit() -> str:
+    return with_adapter("", """
+SELECT source_file AS file_name, 'ok' AS status, COUNT(*) AS lines FROM raw_pageviews GROUP BY source_file""")

@@ -162,6 +162,9 @@ ORACLES: dict[str, Callable[[], str]] = {
     "v_sentiment_distribution": O.v_sentiment_distribution,
     "batches": O.batches,
     "rule_verdict": O.rule_verdict,
+    "prompts": O.prompts,
+    "score_batches": O.score_batches,
+    "gz_audit": O.gz_audit,
     "scored_rows": O.scored_rows,
     "reply_status": O.reply_status,
     "reply_rows": O.reply_rows,

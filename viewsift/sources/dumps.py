@@ -109,7 +109,7 @@ def _audit_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
         for path, length in zip(pdf["path"], pdf["length"]):
-            status, error, first_line = "ok", None, None
+            status, error, first_line, lines = "ok", None, None, None
             try:
                 fs, p = filesystem(path)
                 with fs.open_input_stream(p, compression=None) as raw:
@@ -118,20 +118,25 @@ def _audit_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     status, error = "corrupt", "not a gzip file (magic bytes)"
                 else:
                     with fs.open_input_stream(p, compression=None) as raw, gzip.GzipFile(fileobj=raw) as gz:
-                        first_line = gz.readline(4096).decode("utf-8", "replace").rstrip("\n")
-                        while gz.read(1 << 20):  # stream to the end: CRC and length checked
-                            pass
+                        head = gz.readline(4096)
+                        first_line = head.decode("utf-8", "replace").rstrip("\n")
+                        lines, last = head.count(b"\n"), head[-1:]
+                        while chunk := gz.read(1 << 20):  # stream to the end: CRC and length checked
+                            lines += chunk.count(b"\n")
+                            last = chunk[-1:]
+                        lines += 1 if last not in (b"", b"\n") else 0  # a last line without newline
             except (OSError, EOFError, zlib.error) as e:
                 status, error = "corrupt", f"{type(e).__name__}: {e}"[:300]
-            out.append((path, int(length), status, error, first_line))
-        yield pd.DataFrame(out, columns=["path", "length", "status", "error", "first_line"])
+            out.append((path, path.rstrip("/").rsplit("/", 1)[-1], int(length), status, error, first_line, lines))
+        yield pd.DataFrame(out, columns=["path", "file_name", "length", "status", "error", "first_line", "lines"])
 
 
-AUDIT_SCHEMA = "path string, length long, status string, error string, first_line string"
+AUDIT_SCHEMA = ("path string, file_name string, length long, status string, error string, first_line string, "
+                "lines long")
 
 
 def gz_audit(spark: SparkSession, directory: str, glob: str = "*.gz") -> DataFrame:
-    """One row per file: gzip magic, full-stream integrity, first line.
+    """One row per file: gzip magic, full-stream integrity, first line, line count.
 
     The ``binaryFile`` scan selects only path and length, so file contents never
     enter the plan; each task streams its files with bounded memory.
