@@ -25,3 +25,19 @@ def test_run_daily_equals_testbed_curation(spark):
     assert again.raw_rows_loaded == 0 and again.curated_rows_loaded == 0
     views = daily_job.dashboard(warehouse.raw_table(spark, root + "/wh/raw_pageviews"), cur, tb.AS_OF)
     assert views["quality"].count() == 30 and views["overview"].count() == 1
+
+
+def test_run_daily_audit_skips_corrupt_files(spark):
+    import os
+
+    root = tempfile.mkdtemp(prefix="viewsift-daily-audit-")
+    landing = root + "/landing"
+    rows = spark.createDataFrame([("en", "iPhone_15", 5000, "pageviews-20240130-100000.gz")],
+                                 "domain string, page_title string, count_views int, source_file string")
+    dumps.write_dump_files(rows, landing)
+    with open(os.path.join(landing, "pageviews-20240130-110000.gz"), "wb") as fh:
+        fh.write(b"\x1f\x8b broken")
+    res = daily_job.run_daily(spark, landing, root + "/wh", event_time_from_name=True, audit=True)
+    assert res.raw_rows_loaded == 1 and res.curated_rows_loaded == 1
+    bad = spark.read.parquet(root + "/wh/corrupt_files").collect()
+    assert [r.file_name for r in bad] == ["pageviews-20240130-110000.gz"]

@@ -110,3 +110,11 @@ def test_verdict_gates_are_necessary():
         for s in samples:
             if rx.search(s):
                 assert any(g in s for g in gate), (label, s)
+
+
+def test_trigram_similarity_published_value(spark):
+    from viewsift.operators import fuzzy
+    df = spark.createDataFrame([("word", "two words")], "a string, b string")
+    v = df.select(fuzzy.similarity_expr(fuzzy.trigrams_expr(F.col("a")), fuzzy.trigrams_expr(F.col("b")))).first()[0]
+    assert round(v, 4) == 0.3636
+    assert fuzzy.trigrams("word") == sorted(["  w", " wo", "wor", "ord", "rd "])

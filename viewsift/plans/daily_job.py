@@ -30,17 +30,29 @@ class DailyResult:
 def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_views: int = rules.DEFAULT_MIN_VIEWS,
               scorer: scoring.Scorer | None = None, filter_method: str = "rules_v1",
               loaded_at=None, processing_date=None, on_duplicate: str = "max",
-              batch_size: int = scoring.DEFAULT_BATCH_SIZE, event_time_from_name: bool = False) -> DailyResult:
+              batch_size: int = scoring.DEFAULT_BATCH_SIZE, event_time_from_name: bool = False,
+              audit: bool = False) -> DailyResult:
     """Load new dumps from ``landing`` and curate the rows of ``as_of`` (``None``: every date).
 
     ``processing_date`` defaults to the load date as in the original (D4); pass
     it (and ``loaded_at``) explicitly, or set ``event_time_from_name`` to date each
     row by the hour in its dump's name (backfills). Tables live in
     ``{root}/raw_pageviews``, ``{root}/filtered_pageviews``; bad dump lines go to
-    ``{root}/quarantine``; scorer replies to ``{root}/scorer_replies``.
+    ``{root}/quarantine``; scorer replies to ``{root}/scorer_replies``. ``audit``
+    checks every gzip first (one extra decompression pass) and lists corrupt files
+    in ``{root}/corrupt_files`` instead of failing on them.
     """
     raw_path, cur_path = f"{root}/raw_pageviews", f"{root}/filtered_pageviews"
-    good, bad = dumps.parse_dumps(spark, landing)
+    paths: str | list[str] = landing
+    if audit:
+        # Corrupt files are recorded and skipped instead of failing the whole read.
+        checked = dumps.gz_audit(spark, landing).persist()
+        checked.where(F.col("status") != "ok").write.mode("append").parquet(f"{root}/corrupt_files")
+        paths = [r.path for r in checked.where(F.col("status") == "ok").select("path").collect()]  # file list
+        checked.unpersist()
+        if not paths:
+            return DailyResult(0, 0, 0, {})
+    good, bad = dumps.parse_dumps(spark, paths)
     bad = bad.persist()
     n_bad = bad.count()
     if n_bad:
