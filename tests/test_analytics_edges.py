@@ -81,6 +81,29 @@ def test_split_row_number_equals_window(spark):
     assert got == want
 
 
+def test_sorted_row_number_equals_window_on_hot_group(spark):
+    from pyspark.sql import Window, functions as F
+
+    from viewsift.operators.ranking import sorted_row_number
+    # a third of the rows in one group, heavy ties on v, a NULL group; more range partitions than groups
+    df = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 97 = 1 THEN NULL ELSE CAST(id % 5 AS STRING) END AS g",
+        "CAST(id % 4 AS INT) AS v", "id AS t").repartition(7)
+    order = [F.col("v").desc(), F.col("t")]
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {tuple(r) for r in sorted_row_number(df, ["g"], order, "rn").collect()}
+        whole = {tuple(r) for r in sorted_row_number(df, [], order, "rn").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    want = {tuple(r) for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order))
+                                            .cast("long")).collect()}
+    want_all = {tuple(r) for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))
+                                                .cast("long")).collect()}
+    assert got == want and whole == want_all
+
+
 def test_approx_options_close_to_exact(spark):
     rows = [("Apple", v, DAY) for v in range(1, 1002)] + [("Meta", 7, DAY)]
     f = frame(spark, rows)

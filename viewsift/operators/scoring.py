@@ -1,7 +1,7 @@
 """Batch scoring through a pluggable filter (L1–L8, J5), re-aimed from a local LLM loop.
 
-Plan: candidate rows → ``assign_batches`` (hash buckets, row numbers inside each
-bucket; no global sort) → ``build_prompts`` (one bounded ``collect_list`` per
+Plan: candidate rows → ``assign_batches`` (row numbers from a range-partitioned
+sort, checkpointed; no group or bucket in one task) → ``build_prompts`` (one bounded ``collect_list`` per
 batch) → ``score_batches`` (``mapInPandas``: the only Python hop; one scorer call
 per batch, errors caught per batch) → ``reply_status`` / ``reply_rows``
 (built-in JSON functions) → ``accepted_rows`` (left-semi join back to the source
@@ -21,11 +21,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.functions.numeric import exact_round_pct
+from viewsift.operators.ranking import sorted_row_number
 from viewsift.session import ship_package
 from viewsift.sources.files import csv_text_column
 
@@ -47,38 +48,31 @@ PROMPT_TEMPLATE = (
 # --------------------------------------------------------------------------- L1 batches
 
 def rows_bucket(cols: Sequence[str], n_buckets: int) -> Column:
-    """Bucket of a row from a hash of its columns (spreads even a hot title)."""
+    """Bucket of a row from a hash of its columns."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(int(n_buckets)))
 
 
-def buckets_for(n_rows: int, rows_per_bucket: int = 1_000_000) -> int:
-    """Bucket count that keeps one bucket's row numbering inside one modest task."""
-    return max(1, -(-int(n_rows) // int(rows_per_bucket)))
-
-
-def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_buckets: int | None = None,
+def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_buckets: int = 1,
                    bucket: Column | None = None, order: Sequence[Column | str] | None = None) -> DataFrame:
-    """L1: ``bucket``, ``batch_no`` and ``row_in_batch`` for every row.
-
-    Rows are numbered inside each bucket (``n_buckets`` hash buckets of the whole
-    row, or a given ``bucket`` expression), in ``order`` (default: views
-    descending, as the prefilter orders them), and cut into batches of
-    ``batch_size``. ``n_buckets=1`` is exactly the sequential batching of the
-    original; the default (``spark.sql.shuffle.partitions`` buckets) keeps every
-    task to one bucket's share of the rows.
+    """L1: ``bucket``, ``batch_no`` and ``row_in_batch`` for every row (materialised once).
+
+    Rows are numbered inside each bucket in ``order`` (default: views descending,
+    as the prefilter orders them, then every other column) and cut into batches
+    of ``batch_size``. The default single bucket is exactly the sequential
+    batching of the original. The numbering is ``sorted_row_number``: a
+    range-partitioned sort, so neither one bucket nor a group of identical rows
+    ever lands whole in one task; ``n_buckets`` hash buckets or a given ``bucket``
+    expression only change which rows share a batch. The result is checkpointed,
+    so prompts, the join back and the statistics all read the same batches.
     """
     if bucket is None:
-        if n_buckets is None:
-            n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         bucket = rows_bucket(df.columns, n_buckets) if n_buckets > 1 else F.lit(0)
     order = list(order) if order else [F.col("count_views").desc(), *[F.col(c) for c in df.columns
                                                                      if c != "count_views"]]
-    w = Window.partitionBy("bucket").orderBy(*order)
-    rn = F.row_number().over(w) - 1
-    return (df.withColumn("bucket", bucket.cast("long"))
-            .withColumn("_rn", rn)
-            .withColumn("batch_no", F.floor(F.col("_rn") / int(batch_size)).cast("long"))
-            .withColumn("row_in_batch", (F.col("_rn") % int(batch_size)).cast("long"))
+    numbered = sorted_row_number(df.withColumn("bucket", bucket.cast("long")), ["bucket"], order, "_rn")
+    rn = F.col("_rn") - 1
+    return (numbered.withColumn("batch_no", F.floor(rn / int(batch_size)).cast("long"))
+            .withColumn("row_in_batch", (rn % int(batch_size)).cast("long"))
             .drop("_rn"))
 
 
