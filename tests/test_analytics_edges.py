@@ -110,3 +110,13 @@ def test_approx_options_close_to_exact(spark):
     exact = {r.company: r.median_views for r in A.company_rankings(f, DAY).collect()}
     approx = {r.company: r.median_views for r in A.company_rankings(f, DAY, approx_median=True).collect()}
     assert exact == {"Apple": 501.0, "Meta": 7.0} and abs(approx["Apple"] - 501) <= 1 and approx["Meta"] == 7
+
+
+def test_v3_methods_agree_on_hot_company_and_ties(spark):
+    # one company holds most rows and one (company, views) pair is hot; dates break some ties
+    rows = [("Apple", 7, DAY - dt.timedelta(days=i % 3)) for i in range(300)] + \
+           [("Apple", v, DAY) for v in range(50)] + [("Meta", 3, DAY)] * 20
+    f = frame(spark, rows)
+    got = {m: sorted(tuple(r) for r in A.v_top_pages_by_company(f, DAY, 7, method=m).collect())
+           for m in ("sorted", "split", "window")}
+    assert got["sorted"] == got["split"] == got["window"] and len(got["window"]) == 370

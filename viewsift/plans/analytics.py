@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewsift.functions.numeric import exact_round_avg, exact_round_pct
-from viewsift.operators.ranking import split_row_number
+from viewsift.operators.ranking import sorted_row_number, split_row_number
 
 TOP_COMPANIES = ["Amazon", "Apple", "Google", "Microsoft", "Meta"]
 
@@ -229,19 +229,28 @@ def dq_latest(raw: DataFrame, filtered: DataFrame, n: int = 30) -> DataFrame:
     return v_data_quality_metrics(raw, filtered).orderBy(F.col("processing_date").desc()).limit(int(n))
 
 
-def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7, split_hot_groups: bool = True) -> DataFrame:
+def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7, method: str = "sorted") -> DataFrame:
     """V3: every page of the last ``days`` with its row number inside its company.
 
-    All ranks are kept (no limit), so a plain window would sort a whole company in
-    one task; ``split_hot_groups`` numbers rows per (company, views) instead.
+    All ranks are kept (no limit), so a plain window (``method="window"``) would
+    sort a whole company in one task. ``"sorted"`` (default) numbers rows from a
+    range-partitioned sort, so no company or (company, views) pair lands whole in
+    one task; it is materialised once (checkpoint). ``"split"`` stays lazy (for the
+    live temp view) and spreads a hot company over its distinct view counts.
     """
     df = last_n_days(filtered, as_of, days).select("company", "page_title", "count_views", "processing_date",
                                                    "domain")
-    if split_hot_groups:
-        ties = [F.col("processing_date").desc(), F.col("domain"), F.col("page_title")]
-        return split_row_number(df, ["company"], "count_views", ties)
-    w = Window.partitionBy("company").orderBy(*_page_order())
-    return df.withColumn("rank", F.row_number().over(w).cast("long"))
+    ties = [F.col("processing_date").desc(), F.col("domain"), F.col("page_title")]
+    if method == "sorted":
+        out = sorted_row_number(df, ["company"], [F.col("count_views").desc(), *ties], "rank")
+    elif method == "split":
+        out = split_row_number(df, ["company"], "count_views", ties)
+    elif method == "window":
+        out = df.withColumn("rank", F.row_number().over(Window.partitionBy("company").orderBy(*_page_order()))
+                            .cast("long"))
+    else:
+        raise ValueError(f"method must be sorted, split or window, not {method!r}")
+    return out.select(*df.columns, "rank")
 
 
 def v_sentiment_distribution(sentiment: DataFrame) -> DataFrame:
@@ -272,7 +281,7 @@ def register_views(raw: DataFrame, filtered: DataFrame, sentiment: DataFrame | N
     views = {
         "v_daily_company_summary": v_daily_company_summary(filtered),
         "v_data_quality_metrics": v_data_quality_metrics(raw, filtered),
-        "v_top_pages_by_company": v_top_pages_by_company(filtered, as_of, days),
+        "v_top_pages_by_company": v_top_pages_by_company(filtered, as_of, days, method="split"),
     }
     if sentiment is not None:
         views["v_sentiment_distribution"] = v_sentiment_distribution(sentiment)
