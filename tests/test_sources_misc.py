@@ -46,3 +46,16 @@ def test_links_resolve_and_suffix(spark):
     assert got == [("/a.gz", "https://host.org/a.gz"), ("b.gz", "https://host.org/dir/b.gz")]
     allk = pages.page_links(df, suffix=None).where(F.col("href").endswith(".txt")).first()
     assert allk.full_url == "https://h/c.txt"
+
+
+def test_persist_replies_calls_the_scorer_once_per_batch(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def scorer(prompt):
+        calls.add(1)
+        return '{"json_output": []}'
+
+    df = spark.createDataFrame([(0, b, f"p{b}") for b in range(5)], "bucket long, batch_no long, prompt string")
+    out = scoring.persist_replies(scoring.score_batches(df, scorer))
+    assert out.count() == 5 and len(out.collect()) == 5
+    assert calls.value == 5

@@ -17,8 +17,9 @@ through one task. Two exact replacements:
 values: a range-partitioned sort on ``(g, order)`` cuts even one huge group into
 many tasks, every row takes its position inside its sorted partition, and a
 small table of per-(partition, group) counts turns positions into row numbers.
-The tagged rows are checkpointed first, so both passes see the same partitions
-and later readers (prompts, joins back) see the same numbers.
+The tagged rows are written to a table under ``spark.checkpoint.dir`` first, so
+both passes see the same positions and later readers (prompts, joins back) see
+the same numbers.
 
 Both equal the plain window.
 """
@@ -30,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewsift.session import scratch_root
+from viewsift.session import materialize
 
 
 def split_row_number(df: DataFrame, group: Sequence[str], value: str, ties: Sequence[Column],
@@ -51,11 +52,13 @@ def split_row_number(df: DataFrame, group: Sequence[str], value: str, ties: Sequ
 
 
 def sorted_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                      out: str = "row_number") -> DataFrame:
+                      out: str = "row_number", checkpoint_result: bool = False) -> DataFrame:
     """``df`` plus ``out`` = ``row_number() OVER (PARTITION BY group ORDER BY order)``, skew-proof.
 
     ``order`` should make rows unique inside a group for repeatable numbers. The
-    result is checkpointed (``spark.checkpoint.dir``), i.e. computed once here.
+    sorted, position-tagged rows are written once to a table under
+    ``spark.checkpoint.dir``; ``checkpoint_result`` also writes the numbered rows,
+    for results that several later plans read.
     """
     group = list(group)
     keys = [F.col(g).asc_nulls_first() for g in group] + [F.col(o) if isinstance(o, str) else o for o in order]
@@ -64,8 +67,7 @@ def sorted_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Colum
     tagged = (df.orderBy(*keys)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))  # position inside the sorted partition
-    scratch_root(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged, "sorted-rows")  # positions are frozen as column values
     # One row per (partition, group) touched: at most #partitions + #groups rows.
     spans = tagged.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,4 +75,5 @@ def sorted_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Colum
                          "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     cond = [F.col("_part") == F.col("_s_part")] + [F.col(g).eqNullSafe(F.col(f"_s_{i}")) for i, g in enumerate(group)]
     rn = (F.col("_before") + (F.col("_pos") - F.col("_first")) + 1).cast("long")
-    return tagged.join(spans, cond).select(*df.columns, rn.alias(out))
+    numbered = tagged.join(spans, cond).select(*df.columns, rn.alias(out))
+    return materialize(numbered, "numbered-rows") if checkpoint_result else numbered

@@ -9,7 +9,7 @@ rows, so company and counts come from the source, D9) → ``batch_stats`` /
 ``llm_stats`` (one-row aggregates).
 
 Replies of an external model must be persisted before reuse (``persist_replies``
-checkpoints them into ``spark.checkpoint.dir``) so a model is never called twice;
+writes them to a table under ``spark.checkpoint.dir``) so a model is never called twice;
 speculation stays off for the scoring stage.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from viewsift.functions import rules
 from viewsift.functions.numeric import exact_round_pct
 from viewsift.operators.ranking import sorted_row_number
-from viewsift.session import ship_package
+from viewsift.session import materialize, ship_package
 from viewsift.sources.files import csv_text_column
 
 DEFAULT_BATCH_SIZE = 50
@@ -69,7 +69,8 @@ def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_bucket
         bucket = rows_bucket(df.columns, n_buckets) if n_buckets > 1 else F.lit(0)
     order = list(order) if order else [F.col("count_views").desc(), *[F.col(c) for c in df.columns
                                                                      if c != "count_views"]]
-    numbered = sorted_row_number(df.withColumn("bucket", bucket.cast("long")), ["bucket"], order, "_rn")
+    numbered = sorted_row_number(df.withColumn("bucket", bucket.cast("long")), ["bucket"], order, "_rn",
+                                 checkpoint_result=True)
     rn = F.col("_rn") - 1
     return (numbered.withColumn("batch_no", F.floor(rn / int(batch_size)).cast("long"))
             .withColumn("row_in_batch", (rn % int(batch_size)).cast("long"))
@@ -193,8 +194,12 @@ def score_batches_stored(prompts: DataFrame, store_path: str, scorer: Scorer | N
 
 
 def persist_replies(replies: DataFrame) -> DataFrame:
-    """Cut lineage after scoring (reliable checkpoint): a later action never re-calls the model."""
-    return replies.checkpoint(eager=True)
+    """Cut lineage after scoring: the replies become a table under ``spark.checkpoint.dir``.
+
+    One job writes them (an eager ``checkpoint()`` would run the scorer twice), and
+    later actions read the table, so they never call the model again.
+    """
+    return materialize(replies, "scorer-replies")
 
 
 # --------------------------------------------------------------------------- L5 reply validation

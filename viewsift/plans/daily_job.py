@@ -71,6 +71,7 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     batched = scoring.assign_batches(cand, batch_size)
     # Replies are stored by prompt hash: a re-run only scores prompts it has not answered yet.
     replies = scoring.score_batches_stored(scoring.build_prompts(batched), f"{root}/scorer_replies", scorer)
+    replies = scoring.persist_replies(replies)  # one row per batch, read by statuses, rows and stats
     statuses = scoring.reply_status(replies)
     rows = scoring.reply_rows(replies)
     accepted = scoring.accepted_rows(batched, rows)

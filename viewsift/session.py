@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package (see README "Scale").
 SESSION_DEFAULTS = {
@@ -70,6 +70,18 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/viewsift/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in a fresh folder of the scratch root and read it back.
+
+    Cuts lineage like a reliable checkpoint, but runs the plan once (an eager
+    ``checkpoint()`` computes it, then recomputes it to write), and the table
+    survives lost executors. Column values (not partition layout) carry state.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def filesystem(path: str):
     """(pyarrow filesystem, path inside it) for a Spark path: local, HDFS, S3, GCS, ABFS.
 
