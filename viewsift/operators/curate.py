@@ -2,8 +2,8 @@
 
 Writes go to partitioned Parquet under a caller-given root (on a cluster: a
 shared folder). Loads are idempotent: rows of an already-loaded ``source_file``
-(raw) or an existing unique key (curated) are anti-joined away, so a retried or
-repeated run appends nothing twice.
+(raw: a ``NOT IN`` filter) or of an existing unique key (curated: an anti join)
+are dropped, so a retried or repeated run appends nothing twice.
 """
 
 from __future__ import annotations
@@ -64,19 +64,30 @@ def distinct_values(df: DataFrame, col: str) -> list:
     return [r[0] for r in df.select(col).distinct().collect()]
 
 
+def loaded_files(existing: DataFrame, files: list) -> list:
+    """The names among ``files`` that the raw table already holds.
+
+    The scan is restricted to these names (``IN`` pushed into Parquet): hourly
+    files keep their rows together, so row-group statistics skip nearly the
+    whole table. The answer is a subset of ``files``, so its size is bounded by
+    the number of files in one load.
+    """
+    return distinct_values(existing.where(F.col("source_file").isin(files)), "source_file")
+
+
 def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
     """Rows whose ``source_file`` the table does not hold yet.
 
-    The table scan is restricted to this load's file names (``IN`` pushed into
-    Parquet): hourly files keep their rows together, so row-group statistics skip
-    nearly the whole table instead of reading every ``source_file`` value.
+    A ``NOT IN`` filter with the (bounded) list of already-loaded names, not a
+    join: no shuffle of the load's rows, so even a file holding a third of them
+    stays spread over the scan's tasks.
     """
     existing = _existing(spark, table_path)
     if existing is None:
         return rows
     files = distinct_values(rows, "source_file")  # one value per dump file in this load
-    loaded = existing.where(F.col("source_file").isin(files)).select("source_file").distinct()
-    return rows.join(loaded, "source_file", "left_anti").select(*rows.columns)
+    done = loaded_files(existing, files)
+    return rows.where(~F.col("source_file").isin(done)) if done else rows
 
 
 def write_raw(rows: DataFrame, table_path: str) -> None:

@@ -1,9 +1,9 @@
 """Incremental ingest of dump files with Structured Streaming.
 
 * ``ingest_dumps`` (R1/R2): ``readStream.text`` over a landing folder → dump parse
-  → ``foreachBatch`` that anti-joins ``source_file``s already in the raw table and
+  → ``foreachBatch`` that filters out ``source_file``s already in the raw table and
   appends the rest (partitioned by date). The file source checkpoint makes each
-  file count once; the anti-join makes a replayed batch harmless. No watermark
+  file count once; the filter makes a replayed batch harmless. No watermark
   here: a dump that arrives late still lands in the raw table.
 * ``daily_company_totals`` (R3): the same stream, prefiltered, aggregated per
   day and company with a watermark in update mode. Updates go to an append-only
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.operators import prefilter
-from viewsift.operators.curate import distinct_values, write_raw
+from viewsift.operators.curate import distinct_values, loaded_files, write_raw
 from viewsift.sources.dumps import parse_dump_lines
 
 HOUR_PATTERN = r"pageviews-(\d{8}-\d{6})"
@@ -58,9 +58,9 @@ def _append_new_files(table_path: str):
             # A file's date comes from its name, so only this batch's files and dates are read.
             files = distinct_values(rows, "source_file")
             dates = distinct_values(rows, "processing_date")
-            loaded = existing.where(F.col("processing_date").isin(dates) & F.col("source_file").isin(files)) \
-                .select("source_file").distinct()
-            rows = rows.join(loaded, "source_file", "left_anti").select(*RAW_STREAM_COLUMNS)
+            done = loaded_files(existing.where(F.col("processing_date").isin(dates)), files)
+            if done:  # a bounded subset of this batch's files: a NOT IN filter, no join
+                rows = rows.where(~F.col("source_file").isin(done))
         write_raw(rows, table_path)
         cached.unpersist()
     return run
