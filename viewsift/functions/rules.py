@@ -159,19 +159,27 @@ def like_expr(t: Column, pattern: str) -> Column:
         return t.like(pattern)
     n = F.length(t)
     body = pattern.strip("%")
-    if "%" in body:
+    if "%" in body or not body.isascii():
         return t.like(pattern)
+    # A literal run at the very start (P%) or end (%S) is a byte-level startswith /
+    # endswith (the same test, as the run is ASCII); it goes first, so most titles
+    # fail before any substring is cut or any length counted.
     if pattern.endswith("%") and not pattern.startswith("%"):          # P%
-        conds = [F.substring(t, off + 1, len(r)) == r for off, r in _runs(body)]
-        return _all(conds + [n >= len(body)])
+        runs = _runs(body)
+        gate = [t.startswith(r) for off, r in runs if off == 0]
+        conds = [F.substring(t, off + 1, len(r)) == r for off, r in runs if off != 0]
+        return _all(gate + conds + [n >= len(body)])
     if pattern.startswith("%") and not pattern.endswith("%"):          # %S
-        conds = [F.substring(t, -(len(body) - off), len(r)) == r for off, r in _runs(body)]
-        return _all(conds + [n >= len(body)])
+        runs = _runs(body)
+        gate = [t.endswith(r) for off, r in runs if off + len(r) == len(body)]
+        conds = [F.substring(t, -(len(body) - off), len(r)) == r for off, r in runs
+                 if off + len(r) != len(body)]
+        return _all(gate + conds + [n >= len(body)])
     lit = body.rstrip("_")
     if pattern.startswith("%") and pattern.endswith("%") and lit and "_" not in lit:  # %X_..%
         # the first occurrence leaves the most room after it
         pos = F.locate(lit, t)
-        return (pos > 0) & (pos + F.lit(len(body) - 1) <= n)
+        return t.contains(lit) & (pos + F.lit(len(body) - 1) <= n)  # byte search gates the char position
     return t.like(pattern)
 
 
