@@ -125,3 +125,18 @@ def test_raw_layout_lets_stage_a_skip_row_groups(spark):
     assert len(maxes) > 1 and maxes == sorted(maxes, reverse=True)  # stats prune the low-views tail
     n_skippable = sum(1 for m in maxes if m < 90000)
     assert n_skippable >= len(maxes) // 2
+
+
+def test_sorted_row_number_windows_only_the_spans_table(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from viewsift.operators.ranking import sorted_row_number
+    df = spark.range(2000).selectExpr("CAST(id % 3 AS STRING) AS g", "id AS v")
+    p = plan(sorted_row_number(df, ["g"], [F.col("v").desc()], "rn"))
+    # The rows come from the materialized sorted table; the one window runs over per-(partition, group)
+    # counts, ordered by partition, never over the rows of a group.
+    windows = re.findall(r"windowspecdefinition\(([^)]*)\)", p)
+    assert windows and all("_part" in w for w in windows)
+    assert "Scan parquet" in p and "RowFrame" in p
