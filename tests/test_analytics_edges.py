@@ -120,3 +120,17 @@ def test_v3_methods_agree_on_hot_company_and_ties(spark):
     got = {m: sorted(tuple(r) for r in A.v_top_pages_by_company(f, DAY, 7, method=m).collect())
            for m in ("sorted", "split", "window")}
     assert got["sorted"] == got["split"] == got["window"] and len(got["window"]) == 370
+
+
+def test_checked_row_number_both_strategies_equal_window(spark):
+    from pyspark.sql import Window, functions as F
+
+    from viewsift.operators.ranking import checked_row_number
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 4 AS STRING) END AS g",
+                                      "CAST(id % 5 AS INT) AS v", "id AS t")
+    order = [F.col("v").desc(), F.col("t")]
+    want = {tuple(r) for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order))
+                                            .cast("long")).collect()}
+    window = {tuple(r) for r in checked_row_number(df, ["g"], order, "rn").collect()}          # 1,000 ≤ limit
+    sorted_ = {tuple(r) for r in checked_row_number(df, ["g"], order, "rn", max_window_rows=999).collect()}
+    assert window == want and sorted_ == want

@@ -21,7 +21,11 @@ The tagged rows are written to a table under ``spark.checkpoint.dir`` first, so
 both passes see the same positions and later readers (prompts, joins back) see
 the same numbers.
 
-Both equal the plain window.
+``checked_row_number`` picks by measured size, as one picks a broadcast: it
+writes its input once, counts the largest group (a one-column aggregate), and
+runs the plain window when every group fits one task, else the sorted form.
+
+All equal the plain window.
 """
 
 from __future__ import annotations
@@ -77,3 +81,29 @@ def sorted_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Colum
     rn = (F.col("_before") + (F.col("_pos") - F.col("_first")) + 1).cast("long")
     numbered = tagged.join(spans, cond).select(*df.columns, rn.alias(out))
     return materialize(numbered, "numbered-rows") if checkpoint_result else numbered
+
+
+# Largest group one task numbers with a plain window (a sort that spills if it must).
+MAX_WINDOW_GROUP_ROWS = 2_000_000
+
+
+def checked_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+                       out: str = "row_number", max_window_rows: int = MAX_WINDOW_GROUP_ROWS,
+                       checkpoint_result: bool = False) -> DataFrame:
+    """``row_number() OVER (PARTITION BY group ORDER BY order)``, strategy chosen by group size.
+
+    The input is written once (no path recomputes it), then its largest group is
+    counted: up to ``max_window_rows`` rows the plain window runs; beyond, the
+    range-sorted form spreads the group over many tasks. Same numbers either way.
+    """
+    group = list(group)
+    src = materialize(df, "numbering-input")
+    sizes = src.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")) if group else src.select(
+        F.count(F.lit(1)).alias("_n"))
+    biggest = sizes.agg(F.max("_n")).first()[0] or 0
+    if biggest > int(max_window_rows):
+        return sorted_row_number(src, group, order, out, checkpoint_result)
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    w = Window.partitionBy(*group).orderBy(*keys) if group else Window.orderBy(*keys)
+    numbered = src.withColumn(out, F.row_number().over(w).cast("long"))
+    return materialize(numbered, "numbered-rows") if checkpoint_result else numbered

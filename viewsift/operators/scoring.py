@@ -1,7 +1,7 @@
 """Batch scoring through a pluggable filter (L1–L8, J5), re-aimed from a local LLM loop.
 
-Plan: candidate rows → ``assign_batches`` (row numbers from a range-partitioned
-sort, checkpointed; no group or bucket in one task) → ``build_prompts`` (one bounded ``collect_list`` per
+Plan: candidate rows → ``assign_batches`` (row numbers by a size-checked window
+or a range-partitioned sort, written once; no oversized bucket in one task) → ``build_prompts`` (one bounded ``collect_list`` per
 batch) → ``score_batches`` (``mapInPandas``: the only Python hop; one scorer call
 per batch, errors caught per batch) → ``reply_status`` / ``reply_rows``
 (built-in JSON functions) → ``accepted_rows`` (left-semi join back to the source
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.functions.numeric import exact_round_pct
-from viewsift.operators.ranking import sorted_row_number
+from viewsift.operators.ranking import checked_row_number
 from viewsift.session import materialize, ship_package
 from viewsift.sources.files import csv_text_column
 
@@ -59,18 +59,19 @@ def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_bucket
     Rows are numbered inside each bucket in ``order`` (default: views descending,
     as the prefilter orders them, then every other column) and cut into batches
     of ``batch_size``. The default single bucket is exactly the sequential
-    batching of the original. The numbering is ``sorted_row_number``: a
-    range-partitioned sort, so neither one bucket nor a group of identical rows
-    ever lands whole in one task; ``n_buckets`` hash buckets or a given ``bucket``
-    expression only change which rows share a batch. The result is checkpointed,
-    so prompts, the join back and the statistics all read the same batches.
+    batching of the original. The numbering is ``checked_row_number``: a plain
+    window while every bucket fits one task, else a range-partitioned sort, so
+    neither one bucket nor a group of identical rows ever lands whole in one
+    task; ``n_buckets`` hash buckets or a given ``bucket`` expression only change
+    which rows share a batch. The result is written as a table, so prompts, the
+    join back and the statistics all read the same batches.
     """
     if bucket is None:
         bucket = rows_bucket(df.columns, n_buckets) if n_buckets > 1 else F.lit(0)
     order = list(order) if order else [F.col("count_views").desc(), *[F.col(c) for c in df.columns
                                                                      if c != "count_views"]]
-    numbered = sorted_row_number(df.withColumn("bucket", bucket.cast("long")), ["bucket"], order, "_rn",
-                                 checkpoint_result=True)
+    numbered = checked_row_number(df.withColumn("bucket", bucket.cast("long")), ["bucket"], order, "_rn",
+                                  checkpoint_result=True)
     rn = F.col("_rn") - 1
     return (numbered.withColumn("batch_no", F.floor(rn / int(batch_size)).cast("long"))
             .withColumn("row_in_batch", (rn % int(batch_size)).cast("long"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewsift.functions.numeric import exact_round_avg, exact_round_pct
-from viewsift.operators.ranking import sorted_row_number, split_row_number
+from viewsift.operators.ranking import checked_row_number, split_row_number
 
 TOP_COMPANIES = ["Amazon", "Apple", "Google", "Microsoft", "Meta"]
 
@@ -233,16 +233,17 @@ def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7, method: st
     """V3: every page of the last ``days`` with its row number inside its company.
 
     All ranks are kept (no limit), so a plain window (``method="window"``) would
-    sort a whole company in one task. ``"sorted"`` (default) numbers rows from a
-    range-partitioned sort, so no company or (company, views) pair lands whole in
-    one task; it is materialised once (checkpoint). ``"split"`` stays lazy (for the
-    live temp view) and spreads a hot company over its distinct view counts.
+    sort a whole company in one task. ``"sorted"`` (default) writes the window's
+    rows once and measures the largest company: the plain window while it fits
+    one task, else a range-partitioned sort, so no company or (company, views)
+    pair lands whole in one task. ``"split"`` stays lazy (for the live temp view)
+    and spreads a hot company over its distinct view counts.
     """
     df = last_n_days(filtered, as_of, days).select("company", "page_title", "count_views", "processing_date",
                                                    "domain")
     ties = [F.col("processing_date").desc(), F.col("domain"), F.col("page_title")]
     if method == "sorted":
-        out = sorted_row_number(df, ["company"], [F.col("count_views").desc(), *ties], "rank")
+        out = checked_row_number(df, ["company"], [F.col("count_views").desc(), *ties], "rank")
     elif method == "split":
         out = split_row_number(df, ["company"], "count_views", ties)
     elif method == "window":
