@@ -75,17 +75,20 @@ def loaded_files(existing: DataFrame, files: list) -> list:
     return distinct_values(existing.where(F.col("source_file").isin(files)), "source_file")
 
 
-def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
+def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str,
+                      files: list[str] | None = None) -> DataFrame:
     """Rows whose ``source_file`` the table does not hold yet.
 
     A ``NOT IN`` filter with the (bounded) list of already-loaded names, not a
     join: no shuffle of the load's rows, so even a file holding a third of them
-    stays spread over the scan's tasks.
+    stays spread over the scan's tasks. ``files`` (the load's file names, when
+    the caller knows them from the file listing) saves a pass over the rows.
     """
     existing = _existing(spark, table_path)
     if existing is None:
         return rows
-    files = distinct_values(rows, "source_file")  # one value per dump file in this load
+    if files is None:
+        files = distinct_values(rows, "source_file")  # one value per dump file in this load
     done = loaded_files(existing, files)
     return rows.where(~F.col("source_file").isin(done)) if done else rows
 
@@ -103,14 +106,14 @@ def write_raw(rows: DataFrame, table_path: str) -> None:
      .write.mode("append").partitionBy("processing_date").parquet(table_path))
 
 
-def raw_load(spark: SparkSession, rows: DataFrame, table_path: str) -> int:
+def raw_load(spark: SparkSession, rows: DataFrame, table_path: str, files: list[str] | None = None) -> int:
     """K1: append raw rows to the date-partitioned table, once per ``source_file``.
 
     Returns the number of appended rows. Files already present are skipped whole,
-    so a re-run of the same dump adds nothing.
+    so a re-run of the same dump adds nothing. ``files``: see ``drop_loaded_files``.
     """
     rows = rows.select(*[f.name for f in schemas.RAW_PAGEVIEWS.fields])
-    rows = drop_loaded_files(spark, rows, table_path).persist()
+    rows = drop_loaded_files(spark, rows, table_path, files).persist()
     n = rows.count()
     if n:
         write_raw(rows, table_path)

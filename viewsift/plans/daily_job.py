@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,19 +53,23 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
         checked.unpersist()
         if not paths:
             return DailyResult(0, 0, 0, {})
-    good, bad = dumps.parse_dumps(spark, paths)
-    bad = bad.persist()
+    lines = dumps.read_dump_lines(spark, paths)
+    # The load's file names come from the file listing (no job); the decompressed lines are
+    # cached, so gzip is read once for the quarantine count, the row count and the write.
+    names = sorted({f.rstrip("/").rsplit("/", 1)[-1] for f in lines.inputFiles()})
+    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+    good, bad = dumps.parse_dump_lines(lines)
     n_bad = bad.count()
     if n_bad:
         bad.write.mode("append").parquet(f"{root}/quarantine")
-    bad.unpersist()
     parsed = dumps.fill_unknown(good)
     if event_time_from_name:
         hour = event_hour_expr("source_file")
         lineage = parsed.withColumn("loaded_at", hour).withColumn("processing_date", F.to_date(hour))
     else:
         lineage = curate.with_raw_lineage(parsed, loaded_at, processing_date)
-    n_raw = curate.raw_load(spark, lineage, raw_path)
+    n_raw = curate.raw_load(spark, lineage, raw_path, files=names)
+    lines.unpersist()
 
     raw = warehouse.raw_table(spark, raw_path)
     cand = prefilter.prefilter(raw, as_of, min_views, columns=None)
