@@ -158,8 +158,14 @@ def curated_rows_to_append(new_rows: DataFrame, existing: DataFrame | None) -> D
 
 def curated_load(spark: SparkSession, rows: DataFrame, table_path: str, on_duplicate: str = "error",
                  tie_break: Sequence[str] = ()) -> int:
-    """K2: append curated rows under the unique key; returns appended row count."""
+    """K2: append curated rows under the unique key; returns appended row count.
+
+    The incoming rows are cached (a curated day is small): the key check, the
+    list of dates and the anti join then read them once instead of re-running
+    the scoring plan behind them.
+    """
     cols = [f.name for f in schemas.FILTERED_PAGEVIEWS.fields]
+    rows = rows.persist()
     new = prepare_curated(rows, on_duplicate, tie_break).select(*cols)
     new = curated_rows_to_append(new, _existing(spark, table_path)).persist()
     n = new.count()
@@ -167,6 +173,7 @@ def curated_load(spark: SparkSession, rows: DataFrame, table_path: str, on_dupli
         new.hint("rebalance", "processing_date").sortWithinPartitions("company") \
             .write.mode("append").partitionBy("processing_date").parquet(table_path)
     new.unpersist()
+    rows.unpersist()
     return n
 
 
