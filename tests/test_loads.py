@@ -24,6 +24,11 @@ def test_raw_load_is_idempotent_per_file(spark):
     b = raw(spark, [("en", "A", 1, "f1", TS, D), ("en", "C", 3, "f2", TS, D)])
     assert curate.raw_load(spark, b, path) == 1
     assert spark.read.parquet(path).count() == 3
+    # file names handed over from the file listing (a superset is fine) give the same answer
+    c = raw(spark, [("en", "A", 1, "f2", TS, D), ("en", "D", 4, "f3", TS, D)])
+    assert curate.raw_load(spark, c, path, files=["f2", "f3", "f9"]) == 1
+    assert curate.raw_load(spark, c, path, files=["f2", "f3"]) == 0
+    assert sorted(r.page_title for r in spark.read.parquet(path).collect()) == ["A", "B", "C", "D"]
 
 
 def curated(spark, rows):
