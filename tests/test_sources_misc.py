@@ -59,3 +59,13 @@ def test_persist_replies_calls_the_scorer_once_per_batch(spark):
     out = scoring.persist_replies(scoring.score_batches(df, scorer))
     assert out.count() == 5 and len(out.collect()) == 5
     assert calls.value == 5
+
+
+def test_materialize_reads_back_a_table_under_the_scratch_root(spark):
+    from viewsift.session import materialize, scratch_root
+
+    df = spark.range(100).selectExpr("id", "id * 2 AS v").where("id % 7 = 1")
+    out = materialize(df, "t")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
+    assert all(scratch_root(spark).split(":")[-1] in f for f in out.inputFiles())
+    assert "Range" not in out._jdf.queryExecution().optimizedPlan().toString()  # lineage cut
