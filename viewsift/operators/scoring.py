@@ -1,16 +1,16 @@
 """Batch scoring through a pluggable filter (L1–L8, J5), re-aimed from a local LLM loop.
 
 Plan: candidate rows → ``assign_batches`` (row numbers by a size-checked window
-or a range-partitioned sort, written once; no oversized bucket in one task) → ``build_prompts`` (one bounded ``collect_list`` per
-batch) → ``score_batches`` (``mapInPandas``: the only Python hop; one scorer call
-per batch, errors caught per batch) → ``reply_status`` / ``reply_rows``
-(built-in JSON functions) → ``accepted_rows`` (left-semi join back to the source
-rows, so company and counts come from the source, D9) → ``batch_stats`` /
-``llm_stats`` (one-row aggregates).
+or a range-partitioned sort, written once; no oversized bucket in one task) →
+``build_prompts`` (one bounded ``collect_list`` per batch) → ``score_batches``
+(``mapInPandas``: the only Python hop; one scorer call per batch, errors caught
+per batch) → ``reply_status`` / ``reply_rows`` (built-in JSON functions) →
+``accepted_rows`` (left-semi join back to the source rows, so company and counts
+come from the source, D9) → ``batch_stats`` / ``llm_stats`` (one-row aggregates).
 
 Replies of an external model must be persisted before reuse (``persist_replies``
-writes them to a table under ``spark.checkpoint.dir``) so a model is never called twice;
-speculation stays off for the scoring stage.
+writes them to a table under ``spark.checkpoint.dir``) so a model is never called
+twice; speculation stays off for the scoring stage.
 """
 
 from __future__ import annotations
