@@ -57,7 +57,9 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     # The load's file names come from the file listing (no job); the decompressed lines are
     # cached, so gzip is read once for the quarantine count, the row count and the write.
     names = sorted({f.rstrip("/").rsplit("/", 1)[-1] for f in lines.inputFiles()})
-    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+    # A gzip file is one task; REBALANCE spreads its lines (a dump holding a third of the day
+    # included) over AQE-sized partitions before parsing and caching.
+    lines = lines.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     good, bad = dumps.parse_dump_lines(lines)
     n_bad = bad.count()
     if n_bad:
