@@ -48,7 +48,8 @@ RAW_STREAM_COLUMNS = ["domain", "page_title", "count_views", "source_file", "eve
 def _append_new_files(table_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cached = batch.select(*RAW_STREAM_COLUMNS).persist()
+        # one partition per dump file: rebalance before caching, so an oversized dump is spread
+        cached = batch.select(*RAW_STREAM_COLUMNS).hint("rebalance").persist()
         rows = cached
         try:
             existing = spark.read.parquet(table_path)
