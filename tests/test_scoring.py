@@ -125,3 +125,11 @@ def test_stored_replies_call_each_prompt_once(spark, tmp_path):
     again = S.score_batches_stored(prompts, store, counting).collect()
     assert calls.value == 3  # nothing re-scored
     assert sorted((r.batch_no, r.reply) for r in again) == sorted((r.batch_no, r.reply) for r in first)
+
+
+def test_batches_of_empty_input_are_empty_on_both_paths(spark):
+    from viewsift.operators.ranking import checked_row_number
+
+    df = spark.createDataFrame([], "count_views int, domain string, page_title string")
+    assert S.assign_batches(df, 50).count() == 0
+    assert checked_row_number(df, ["domain"], ["page_title"], "rn", max_window_rows=-1).count() == 0
