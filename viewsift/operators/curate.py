@@ -136,9 +136,9 @@ def prepare_curated(rows: DataFrame, on_duplicate: str = "error",
         return rows.groupBy(*key).agg(F.sum("count_views").cast("int").alias("count_views"),
                                       *[F.min(c).alias(c) for c in others]).select(*rows.columns)
     if on_duplicate == "error":
-        dup = rows.groupBy(*key).count().where(F.col("count") > 1).limit(1)
-        if not dup.isEmpty():
-            raise DuplicateKeyError(f"duplicate curated keys, e.g. {dup.first()}")
+        dup = rows.groupBy(*key).count().where(F.col("count") > 1).first()  # one job, stops at the first
+        if dup is not None:
+            raise DuplicateKeyError(f"duplicate curated keys, e.g. {dup}")
         return rows
     raise ValueError(f"on_duplicate must be error, max or sum, not {on_duplicate!r}")
 
