@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.llm import line_dedup, quality
+from viewsift.llm import bpe, line_dedup, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,18 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = bpe.bpe_decode(encoded)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.rule_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return ledger.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -32,6 +44,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_bpe": op4_bpe,
     "op9_quality_rules": op9_quality_rules,
 }
 
