@@ -37,7 +37,8 @@ from viewsift.llm.common import without
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Entries a worker keeps before it forgets them all and starts anew.
 MAX_STATES = 400_000
-MAX_PIECES = 400_000
+MAX_WORDS = 400_000
+MAX_PIECES = 100_000
 #: Longest piece (in characters) whose ids are kept.
 KEPT_PIECE = 40
 _NEVER = 1 << 40
@@ -58,7 +59,7 @@ class BpeTransducer:
         self._fits: dict[tuple[int, int], bool] = {}
         self._ids: dict[tuple, int] = {}
         self._keys: list[tuple] = []
-        self._next: list[dict[int, tuple[int, tuple[int, ...]]]] = []
+        self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
         self._state((b"", ((0, -1, ()),)))
 
     def _state(self, key: tuple) -> int:
@@ -66,7 +67,6 @@ class BpeTransducer:
         if found is None:
             found = self._ids[key] = len(self._keys)
             self._keys.append(key)
-            self._next.append({})
         return found
 
     def merge(self, piece: bytes) -> list[bytes]:
@@ -123,6 +123,7 @@ class BpeTransducer:
                 j += 1
 
     def _build(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """The step from a state on a byte: the next state and the ids emitted."""
         tail, live = self._keys[state]
         tail += bytes((byte,))
         new = None
@@ -139,7 +140,7 @@ class BpeTransducer:
             done += 1
         cut = live[0][0]
         key = (tail[cut:], tuple((at - cut, last, held[done:]) for at, last, held in live))
-        step = self._next[state][byte] = (self._state(key), live[0][2][:done])
+        step = self._steps[256 * state + byte] = (self._state(key), live[0][2][:done])
         return step
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -150,15 +151,22 @@ class BpeTransducer:
         if len(self._keys) > MAX_STATES:
             self._forget()
         out: list[int] = []
-        state, steps = 0, self._next
+        state, step = 0, self._steps.get
         for byte in piece:
-            state, emitted = steps[state].get(byte) or self._build(state, byte)
+            state, emitted = step(256 * state + byte) or self._build(state, byte)
             if emitted:
                 out += emitted
         out += self._keys[state][1][-1][2]  # the last live position is the end
         return out
 
 
+def _plain(word: str) -> bool:
+    """Whether no white space stands at a word's ends but one line feed before it."""
+    if word[:1] == "\n":
+        word = word[1:]
+    return bool(word) and not word[0].isspace() and not word[-1].isspace()
+
+
 class BpeCodec:
     """Whole texts to ids and back."""
 
@@ -173,30 +181,40 @@ class BpeCodec:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
-        A space between two characters that are no white space always opens a
-        match of the pattern, so the words behind such spaces are encoded (and
-        kept) each; a text with other white space at a word's ends is split whole.
+        A space or line feed between two characters that are no white space always
+        opens a match of the pattern, so what lies between such places is encoded
+        (and kept) word by word; a text with other white space is split whole.
         """
-        words = text.split(" ")
+        words = text.replace("\n", " \n").split(" ")
         first, words, known = words[0], words[1:], self.words
-        new = set(words) - known.keys()
-        if (first and first[-1].isspace()) or any(not w or w[0].isspace() or w[-1].isspace() for w in new):
+        new = set(words).difference(known)
+        if (first and first[-1].isspace()) or not all(map(_plain, new)):
             return self._encode_split(text)
-        if len(known) >= MAX_PIECES:
+        if len(known) >= MAX_WORDS:
             known.clear()
             new = set(words)
-        known.update((w, self._encode_split(" " + w)) for w in new)
+        for w in new:
+            known[w] = self._encode_word(w)
         out = self._encode_split(first) + b"".join(map(known.__getitem__, words))
         for w in new:
-            if len(w) > KEPT_PIECE or "\n" in w:
+            if len(w) > KEPT_PIECE:
                 del known[w]
         return out
 
+    def _encode_word(self, word: str) -> bytes:
+        """Ids of a word with the space before it, or with the line feed it starts with."""
+        if word.isalpha():  # the space and the letters are one match
+            return array("I", self.machine.encode_piece(b" " + word.encode())).tobytes()
+        if word[-1] in ".," and word[:-1].isalpha():
+            run = self.machine.encode_piece
+            return array("I", run(b" " + word[:-1].encode()) + run(word[-1:].encode())).tobytes()
+        return self._encode_split(word if word[0] == "\n" else " " + word)
+
     def _encode_split(self, text: str) -> bytes:
         pieces, known = self.split(text), self.pieces
         if len(known) >= MAX_PIECES:
             known.clear()
-        new = set(pieces) - known.keys()
+        new = set(pieces).difference(known)
         known.update((p, array("I", self.machine.encode_piece(p.encode())).tobytes()) for p in new)
         out = b"".join(map(known.__getitem__, pieces))
         for p in new:
