@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.llm import bpe, line_dedup, quality, simhash
+from viewsift.llm import bpe, line_dedup, mixing, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.rule_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return ledger.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -46,6 +50,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_bpe": op4_bpe,
+    "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
 
@@ -67,6 +72,31 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN gone THEN
 FROM judged GROUP BY doc_id
 """
 
+_OP8 = r"""
+WITH RECURSIVE counts AS (SELECT source, count(*) AS n_docs, sqrt(count(*)) AS share FROM documents GROUP BY source),
+rates AS (
+  SELECT source, share / (SELECT sum(share) FROM counts) * (SELECT CAST(sum(n_docs) AS DOUBLE) FROM counts) / n_docs AS rate
+  FROM counts),
+steps AS (SELECT source, rate, greatest(CAST(ceil(rate / 16.0) AS INT), 1) AS steps FROM rates),
+cdf AS (
+  SELECT source, rate, steps, 0 AS k, exp(-(rate / steps)) AS p, exp(-(rate / steps)) AS c FROM steps
+  UNION ALL
+  SELECT source, rate, steps, k + 1, p * (rate / steps) / (k + 1), c + p * (rate / steps) / (k + 1) FROM cdf WHERE k < 80),
+below AS (SELECT source, steps, list(c ORDER BY k) AS cs FROM cdf GROUP BY source, steps),
+keyed AS (
+  SELECT d.*, '11:' || CAST(doc_id AS VARCHAR) AS key, s.rate, s.steps, b.cs
+  FROM documents d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source
+  JOIN below b ON d.source IS NOT DISTINCT FROM b.source),
+drawn AS (
+  SELECT *, list_sum(list_transform(range(1, steps + 1), lambda i: least(80, len(list_filter(cs, lambda c: c <
+           (CAST(('0x' || substr(md5(key || ':draw:' || CAST(i AS VARCHAR)), 1, 13)) AS BIGINT) + 0.5)
+           / 4503599627370496.0))))) AS n FROM keyed),
+copied AS (SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS copy FROM drawn WHERE n > 0)
+SELECT doc_id, text, lang, source, n_chars, CAST(copy AS BIGINT) AS copy, CAST(n AS BIGINT) AS n_copies, rate,
+       md5(key || ':order:' || CAST(copy AS VARCHAR)) AS mix_key
+FROM copied
+"""
+
 _OP9 = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -97,4 +127,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (bits & 3) <> 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failed_rules FROM b
 """
 
-ORACLE_SQL = {"op1_line_dedup": _OP1, "op9_quality_rules": _OP9}
+ORACLE_SQL = {"op1_line_dedup": _OP1, "op8_source_mixing": _OP8, "op9_quality_rules": _OP9}
