@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.llm import bpe, line_dedup, mixing, quality, simhash
+from viewsift.llm import bpe, langid, line_dedup, mixing, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,12 +46,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("failed").alias("failed_rules"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_bpe": op4_bpe,
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 _OP1 = r"""
