@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.llm import bpe, langid, line_dedup, lm, mixing, quality, simhash
+from viewsift.llm import ann, bpe, chat, langid, line_dedup, lm, mixing, quality, simhash, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     out = bpe.bpe_decode(encoded)
@@ -39,6 +43,15 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urls.url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -58,8 +71,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_bpe": op4_bpe,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_chat_rotation": op6_chat_rotation,
+    "op7_url_filter": op7_url_filter,
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
@@ -83,6 +99,27 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN gone THEN
 FROM judged GROUP BY doc_id
 """
 
+_OP6 = r"""
+WITH turns AS (
+  SELECT conv_id, role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, coalesce(text, '')) AS seq FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
+seen AS (
+  SELECT t.conv_id, speaker, (seq - 1) // 256 AS block, seq, text, coalesce(role = speaker, false) AS own,
+         CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = speaker THEN '<|assistant|>' || chr(10)
+              ELSE '<|user name=' || coalesce(role, 'unknown') || '|>' || chr(10) END AS head
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+lines AS (SELECT *, head || text || '<|end|>' || chr(10) AS line FROM seen),
+placed AS (
+  SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, speaker, block ORDER BY seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins FROM lines)
+SELECT conv_id, speaker, CAST(block AS BIGINT) AS block, count(*) AS n_turns,
+       CAST(sum(CASE WHEN own THEN 1 ELSE 0 END) AS BIGINT) AS n_trained, string_agg(line, '' ORDER BY seq) AS text,
+       coalesce(string_agg(CASE WHEN own THEN CAST(CAST(begins AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(begins AS BIGINT) + length(text) AS VARCHAR) END, ','
+         ORDER BY seq), '') AS mask
+FROM placed GROUP BY conv_id, speaker, block
+"""
+
 _OP8 = r"""
 WITH RECURSIVE counts AS (SELECT source, count(*) AS n_docs, sqrt(count(*)) AS share FROM documents GROUP BY source),
 rates AS (
@@ -138,4 +175,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (bits & 3) <> 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failed_rules FROM b
 """
 
-ORACLE_SQL = {"op1_line_dedup": _OP1, "op8_source_mixing": _OP8, "op9_quality_rules": _OP9}
+ORACLE_SQL = {"op1_line_dedup": _OP1, "op6_chat_rotation": _OP6, "op8_source_mixing": _OP8, "op9_quality_rules": _OP9}
