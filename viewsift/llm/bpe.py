@@ -7,7 +7,8 @@ only the *live* positions: those from which some longer token could still start.
 A state is the bytes after the first live position and, for each live position,
 its last token and the tokens not emitted yet. What all live positions share is
 emitted at once, so the lookahead is bounded by the longest token. States and
-transitions are built when first met and kept in a table of bounded size.
+transitions are built when first met and kept in a table of bounded size; beyond
+it they are computed each time.
 
 Decoding runs a UTF-8 state machine over token ids; its state is the unfinished
 sequence (at most three bytes), and its steps per token are kept as well. Bytes
@@ -35,13 +36,17 @@ from pyspark.sql import types as T
 from viewsift.llm.common import without
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
-#: Entries a worker keeps before it forgets them all and starts anew.
-MAX_STATES = 400_000
-MAX_WORDS = 400_000
-MAX_PIECES = 100_000
+#: States a worker keeps (the first met, so the common ones); further ones are computed when met.
+MAX_STATES = 150_000
+#: Words and pieces a worker keeps before it forgets them all and starts anew.
+MAX_WORDS = 200_000
+MAX_PIECES = 50_000
+#: Slots that remember which words came before: a word's ids are kept from its second text on.
+SEEN_SLOTS = 1 << 22
 #: Longest piece (in characters) whose ids are kept.
 KEPT_PIECE = 40
 _NEVER = 1 << 40
+_BYTES = [bytes((b,)) for b in range(256)]
 _UNKNOWN = object()
 
 
@@ -52,22 +57,12 @@ class BpeTransducer:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.prefixes = {t[:n] for t in ranks for n in range(len(t))}
-        self._forget()
-
-    def _forget(self) -> None:
         self._edges: dict[bytes, tuple | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
-        self._ids: dict[tuple, int] = {}
-        self._keys: list[tuple] = []
+        start = (b"", ((0, -1, ()),))
+        self._ids: dict[tuple, int] = {start: 0}
+        self._keys: list[tuple] = [start]
         self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
-        self._state((b"", ((0, -1, ()),)))
-
-    def _state(self, key: tuple) -> int:
-        found = self._ids.get(key)
-        if found is None:
-            found = self._ids[key] = len(self._keys)
-            self._keys.append(key)
-        return found
 
     def merge(self, piece: bytes) -> list[bytes]:
         """The parts of a short string after the merges in order of rank; two parts before the last merge."""
@@ -102,6 +97,8 @@ class BpeTransducer:
         """Whether two whole tokens stay apart: no merge across their border comes in its turn."""
         known = self._fits.get((left, right))
         if known is None:
+            if len(self._fits) >= MAX_STATES:
+                self._fits.clear()
             known = self._fits[left, right] = self._apart(self._edges[self.tokens[left]][1],
                                                           self._edges[self.tokens[right]][0])
         return known
@@ -122,41 +119,63 @@ class BpeTransducer:
             else:
                 j += 1
 
-    def _build(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The step from a state on a byte: the next state and the ids emitted."""
-        tail, live = self._keys[state]
-        tail += bytes((byte,))
-        new = None
-        for at, last, held in live:
-            token = tail[at:]
-            if self._is_whole(token) and (last < 0 or self._fit(last, self.ranks[token])):
-                rank = self.ranks[token]
-                new = (len(tail), rank, (*held, rank))
-                break
-        live = [e for e in live if tail[e[0]:] in self.prefixes] + [new]
-        done = 0
-        shortest = min(len(e[2]) for e in live)
-        while done < shortest and len({e[2][done] for e in live}) == 1:
+    def _advance(self, key: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """A state's key and a byte → the next state's key and the ids emitted."""
+        tail, live = key
+        tail += _BYTES[byte]
+        new, kept = None, []
+        for entry in live:
+            token = tail[entry[0]:]
+            if new is None:
+                rank = self.ranks.get(token)
+                if rank is not None and self._is_whole(token) and (entry[1] < 0 or self._fit(entry[1], rank)):
+                    new = (len(tail), rank, (*entry[2], rank))
+            if token in self.prefixes:
+                kept.append(entry)
+        if not kept:  # only the end is live
+            return (b"", ((0, new[1], ()),)), new[2]
+        kept.append(new)
+        first, done = kept[0][2], 0
+        while done < len(first) and all(len(e[2]) > done and e[2][done] == first[done] for e in kept):
             done += 1
-        cut = live[0][0]
-        key = (tail[cut:], tuple((at - cut, last, held[done:]) for at, last, held in live))
-        step = self._steps[256 * state + byte] = (self._state(key), live[0][2][:done])
-        return step
+        cut = kept[0][0]
+        if cut or done:
+            kept = [(at - cut, last, held[done:]) for at, last, held in kept]
+        return (tail[cut:], tuple(kept)), first[:done]
+
+    def _keep(self, state: int, byte: int, key: tuple, emitted: tuple[int, ...]) -> int:
+        """The number of the next state, with the step to it noted; -1 where the table is full."""
+        found = self._ids.get(key)
+        if found is None:
+            if len(self._keys) >= MAX_STATES:
+                return -1
+            found = self._ids[key] = len(self._keys)
+            self._keys.append(key)
+        if len(self._steps) < 3 * MAX_STATES:
+            self._steps[256 * state + byte] = found, emitted
+        return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is a token itself is that token."""
         rank = self.ranks.get(piece)
         if rank is not None:
             return [rank]
-        if len(self._keys) > MAX_STATES:
-            self._forget()
         out: list[int] = []
-        state, step = 0, self._steps.get
+        state, step, key = 0, self._steps.get, None
         for byte in piece:
-            state, emitted = step(256 * state + byte) or self._build(state, byte)
+            found = step(256 * state + byte) if state >= 0 else None
+            if found is not None:
+                state, emitted = found
+            elif state >= 0:
+                key, emitted = self._advance(self._keys[state], byte)
+                state = self._keep(state, byte, key, emitted)
+            else:  # outside the full table, until a known state comes
+                key, emitted = self._advance(key, byte)
+                state = self._ids.get(key, -1)
             if emitted:
                 out += emitted
-        out += self._keys[state][1][-1][2]  # the last live position is the end
+        key = key if state < 0 else self._keys[state]
+        out += key[1][-1][2]  # the last live position is the end
         return out
 
 
@@ -176,6 +195,7 @@ class BpeCodec:
         self.split = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN_SLOTS)
         self.steps: dict[bytes, dict[int, tuple[str, bytes]]] = {}
 
     def encode(self, text: str) -> bytes:
@@ -193,12 +213,16 @@ class BpeCodec:
         if len(known) >= MAX_WORDS:
             known.clear()
             new = set(words)
+        once = []
         for w in new:
             known[w] = self._encode_word(w)
+            slot = hash(w) & (SEEN_SLOTS - 1)
+            if not self.seen[slot] or len(w) > KEPT_PIECE:
+                self.seen[slot] = 1
+                once.append(w)
         out = self._encode_split(first) + b"".join(map(known.__getitem__, words))
-        for w in new:
-            if len(w) > KEPT_PIECE:
-                del known[w]
+        for w in once:
+            del known[w]
         return out
 
     def _encode_word(self, word: str) -> bytes:
@@ -321,6 +345,8 @@ def bpe_encode(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
 
 
 def bpe_decode(encoded: DataFrame, rank_path: str | None = None) -> DataFrame:
-    """``encoded`` (ids, more columns) plus ``decoded`` (text)."""
+    """``encoded`` (ids, more columns) plus ``decoded`` (text; null ids decode to the empty text)."""
     encoded = without(encoded, "decoded")
-    return encoded.withColumn("decoded", decode(F.col("ids"), rank_broadcast(encoded.sparkSession, rank_path)))
+    # The native coalesce keeps Spark from nesting the UDFs, which would encode twice.
+    ids = F.coalesce("ids", F.lit(b""))
+    return encoded.withColumn("decoded", decode(ids, rank_broadcast(encoded.sparkSession, rank_path)))
