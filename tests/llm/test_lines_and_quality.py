@@ -1,0 +1,121 @@
+"""Line dedup and quality rules against brute force and SQL."""
+
+import hashlib
+import os
+import re
+import sys
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import cases  # noqa: E402
+
+from viewsift.llm import line_dedup, quality, registry  # noqa: E402
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_lines(data):
+    def key(line):
+        return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+    held = {}
+    for d, t in data:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= 20 and d is not None:
+                held.setdefault(key(line), set()).add(d)
+    last = {k: max(ds) for k, ds in held.items() if len(ds) >= 3}
+    out = []
+    for d, t in data:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if key(x) not in last or last[key(x)] == d]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def got_lines(df):
+    return [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in df.collect()]
+
+
+@pytest.mark.parametrize("bits", [line_dedup.MAX_FILTER_BITS, 1])
+def test_lines_equal_brute_force(spark, bits):
+    data = cases.rows()
+    docs = cases.frame(spark, data).withColumn("n_lines", F.lit("clash")).withColumn("key", F.lit(1)).withColumn("_kept", F.lit(2))
+    out = line_dedup.line_dedup(docs, max_filter_bits=max(bits, 1 << 20))
+    assert {"key", "_kept", "lang"} <= set(out.columns)
+    assert sorted(got_lines(out), key=str) == sorted(brute_lines([(r[0], r[1]) for r in data]), key=str)
+
+
+def test_hot_line_and_short_ones(spark):
+    hot = "The same long line in each of the documents"
+    data = [(i, f"{hot}\nshort\nown line number {i} of this document\n{hot.upper()}  ", "en", "s", 1) for i in range(400)]
+    out = sorted(got_lines(line_dedup.line_dedup(cases.frame(spark, data, 9))))
+    assert [r[2] for r in out] == [2] * 399 + [0]
+    assert out == sorted(brute_lines([(r[0], r[1]) for r in data]))
+
+
+def test_a_full_filter_only_costs_shuffle(spark, monkeypatch):
+    """Every bit set: all lines are suspects, the result stays."""
+    monkeypatch.setattr(line_dedup, "twice_filter", lambda docs, bits, n: b"\xff" * (bits // 8))
+    data = cases.rows()
+    out = line_dedup.line_dedup(cases.frame(spark, data))
+    assert sorted(got_lines(out), key=str) == sorted(brute_lines([(r[0], r[1]) for r in data]), key=str)
+
+
+def test_empty_tables(spark):
+    assert line_dedup.line_dedup(cases.frame(spark, [])).count() == 0
+    assert quality.rule_ledger(cases.frame(spark, [])).count() == 0
+    rows = quality.ablations(quality.rule_ledger(cases.frame(spark, []))).collect()
+    assert all(r.n_rejected in (0, None) for r in rows)
+
+
+def brute_measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    n = Counter(windows)
+    covered = {p for i, w in enumerate(windows) if n[w] > 1 for p in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def test_measurements_equal_brute_force(spark):
+    data = cases.rows() + [(200, "a b c d e a b c d e f", "en", "s", 1), (201, "x x x x x x x", "en", "s", 1),
+                           (202, "# * $\n# * $\n %%&|<>", "en", "s", 1), (203, "one two\none two\none two ", "en", "s", 1)]
+    docs = cases.frame(spark, data).withColumn("failed", F.lit("clash"))
+    ledger = quality.rule_ledger(docs)
+    got = ledger.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(r[0], *brute_measures(r[1])) for r in data], key=str)
+
+
+def test_policies_and_ablations_come_from_the_bits(spark):
+    names = list(quality.RULES)
+    ledger = spark.createDataFrame([(1,), (3,), (2,), (0,), (4,), (4,), (1 << (len(names) - 1),)], "failed long")
+    kept = {p: quality.apply_policy(ledger, p).count() for p in quality.POLICIES}
+    assert kept["base"] == 4 and kept["v2"] == 1
+    rows = {(r.policy, r.rule): r for r in quality.ablations(ledger).collect()}
+    r = rows["base", "few_words"]
+    assert (r.n_rejected, r.n_hit, r.n_only_this_rule) == (3, 2, 1)
+    assert rows["v2", "symbols"].n_only_this_rule == 2
+
+
+def test_clean_labelled_documents_stay(spark):
+    """Of documents labelled good, only those that the base rules reject go."""
+    sf = "/root/testdata/sf0.1"
+    out = registry.QUERIES["op9_quality_rules"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    good = out.where("quality = 1 AND NOT base_failed")
+    assert good.where("NOT kept").count() <= 0.002 * good.count()
+    bad = out.where("quality = 0")
+    assert bad.where("NOT kept").count() >= 0.95 * bad.count()
+
+
+def test_sql_of_line_dedup_counts_documents():
+    """The oracle text itself, on a table of three copies."""
+    con = duckdb.connect()
+    line = "a line of more than twenty characters"
+    con.execute("CREATE TABLE documents AS SELECT * FROM (VALUES (1, ?), (2, ?), (3, ?)) t(doc_id, text)", [line, line.upper(), line + "\n" + line])
+    rows = sorted(con.sql(registry.ORACLE_SQL["op1_line_dedup"]).fetchall())
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [r[1:3] for r in rows] == [(1, 1), (1, 1), (2, 0)] and rows[0][3] == empty
