@@ -27,19 +27,20 @@ from array import array
 
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewsift.llm.common import without
+from viewsift.llm.common import spans, without
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: States a worker keeps (the first met, so the common ones); further ones are computed when met.
-MAX_STATES = 150_000
+MAX_STATES = 120_000
 #: Words and pieces a worker keeps before it forgets them all and starts anew.
-MAX_WORDS = 200_000
+MAX_WORDS = 150_000
 MAX_PIECES = 50_000
 #: Slots that remember which words came before: a word's ids are kept from its second text on.
 SEEN_SLOTS = 1 << 22
@@ -347,6 +348,30 @@ def bpe_encode(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
 def bpe_decode(encoded: DataFrame, rank_path: str | None = None) -> DataFrame:
     """``encoded`` (ids, more columns) plus ``decoded`` (text; null ids decode to the empty text)."""
     encoded = without(encoded, "decoded")
-    # The native coalesce keeps Spark from nesting the UDFs, which would encode twice.
-    ids = F.coalesce("ids", F.lit(b""))
-    return encoded.withColumn("decoded", decode(ids, rank_broadcast(encoded.sparkSession, rank_path)))
+    return encoded.withColumn("decoded", decode(F.col("ids"), rank_broadcast(encoded.sparkSession, rank_path)))
+
+
+def bpe_round_trip(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
+    """``docs`` (text, more columns) plus ``ids``, ``n_tokens`` and the text ``decoded`` from the ids.
+
+    One worker encodes and decodes a slice of texts after the other, so what it
+    holds beside its tables is bounded by the slice (or the longest text).
+    """
+    docs = without(docs, "ids", "n_tokens", "decoded")
+    held = rank_broadcast(docs.sparkSession, rank_path)
+    more = [("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded", T.StringType())]
+    names = [*docs.columns, *(name for name, _ in more)]
+    at = names.index("text")
+
+    def run(batches):
+        codec = _codec(held.value)
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+            for a, b in spans(sizes):
+                part = batch.slice(a, b - a)
+                ids = [codec.encode(t.as_py() or "") for t in part.column(at)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                     pa.array([codec.decode(memoryview(i).cast("I")) for i in ids], pa.string())],
+                    names=names)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in more)]))

@@ -26,16 +26,21 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def spans(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Index ranges whose sizes add up to about ``limit`` each."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        total += n
+        if total >= limit:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of ``texts`` that hold about ``limit`` bytes each; whole texts only."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    return spans(list(map(len, texts)), limit)
 
 
 def ascii_lower(col: Column) -> Column:

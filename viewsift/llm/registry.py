@@ -33,8 +33,7 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    out = bpe.bpe_decode(encoded)
+    out = bpe.bpe_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
