@@ -47,7 +47,7 @@ def path_of(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules=None) -> Column:
     """Struct (action, rule) of the longest rule that fits, or null."""
-    found = F.lit(None)
+    found = F.lit(None).cast("struct<action: string, rule: string>")
     ordered = sorted(RULES if rules is None else rules, key=lambda r: (len(r[1]), r[1].index("/")))
     for action, rule in ordered:  # later conditions wrap earlier ones, so the longest is asked first
         own, start = rule[:rule.index("/")], rule[rule.index("/"):]
