@@ -122,15 +122,37 @@ def test_v3_methods_agree_on_hot_company_and_ties(spark):
     assert got["sorted"] == got["split"] == got["window"] and len(got["window"]) == 370
 
 
-def test_checked_row_number_both_strategies_equal_window(spark):
+def test_sorted_row_number_equals_window(spark):
     from pyspark.sql import Window, functions as F
 
-    from viewsift.operators.ranking import checked_row_number
+    from viewsift.operators.ranking import sorted_row_number
     df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 4 AS STRING) END AS g",
                                       "CAST(id % 5 AS INT) AS v", "id AS t")
     order = [F.col("v").desc(), F.col("t")]
     want = {tuple(r) for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order))
                                             .cast("long")).collect()}
-    window = {tuple(r) for r in checked_row_number(df, ["g"], order, "rn").collect()}          # 1,000 ≤ limit
-    sorted_ = {tuple(r) for r in checked_row_number(df, ["g"], order, "rn", max_window_rows=999).collect()}
-    assert window == want and sorted_ == want
+    assert {tuple(r) for r in sorted_row_number(df, ["g"], order, "rn").collect()} == want
+
+
+def test_equal_rows_are_split_over_partitions(spark, monkeypatch):
+    """200,000 equal rows: the range-partitioned sort deals them to several tasks, each number once."""
+    from pyspark.sql import functions as F
+
+    from viewsift.operators import ranking
+    written = {}
+    plain = ranking.materialize
+
+    def keep(df, name):
+        written[name] = plain(df, name)
+        return written[name]
+    monkeypatch.setattr(ranking, "materialize", keep)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(200_000).select(F.lit("hot").alias("g"), F.lit(7).alias("v"))
+        out = ranking.sorted_row_number(df, ["g"], ["v"], "rn")
+        n, low, high, distinct = out.agg(F.count("*"), F.min("rn"), F.max("rn"), F.count_distinct("rn")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (n, low, high, distinct) == (200_000, 1, 200_000, 200_000)
+    sizes = [r["count"] for r in written["sorted-rows"].groupBy("_part").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 100_000

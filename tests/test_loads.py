@@ -6,6 +6,7 @@ import tempfile
 import pytest
 
 from viewsift.operators import curate, prefilter, quality
+from viewsift.sources import warehouse
 
 TS = dt.datetime(2024, 1, 30, 1)
 D = dt.date(2024, 1, 30)
@@ -23,12 +24,26 @@ def test_raw_load_is_idempotent_per_file(spark):
     assert curate.raw_load(spark, a, path) == 0
     b = raw(spark, [("en", "A", 1, "f1", TS, D), ("en", "C", 3, "f2", TS, D)])
     assert curate.raw_load(spark, b, path) == 1
-    assert spark.read.parquet(path).count() == 3
-    # file names handed over from the file listing (a superset is fine) give the same answer
-    c = raw(spark, [("en", "A", 1, "f2", TS, D), ("en", "D", 4, "f3", TS, D)])
-    assert curate.raw_load(spark, c, path, files=["f2", "f3", "f9"]) == 1
-    assert curate.raw_load(spark, c, path, files=["f2", "f3"]) == 0
-    assert sorted(r.page_title for r in spark.read.parquet(path).collect()) == ["A", "B", "C", "D"]
+    assert warehouse.raw_table(spark, path).count() == 3
+    assert sorted((r.source_file, r.n_rows) for r in curate.commits(spark, path).collect()) == [("f1", 2), ("f2", 1)]
+
+
+def test_broken_load_is_invisible_and_loaded_again(spark):
+    path = tempfile.mkdtemp(prefix="viewsift-raw-") + "/t"
+    rows = raw(spark, [("en", t, i, "f1", TS, D) for i, t in enumerate("ABCDE")])
+    curate.write_raw(rows.where("count_views < 2"), f"{path}/load_id=broken")
+    assert warehouse.raw_table(spark, path).count() == 0
+    assert curate.raw_load(spark, rows, path, "retry") == 5
+    assert warehouse.raw_table(spark, path).count() == 5
+    assert curate.raw_load(spark, rows, path, "retry") == 0  # the same load again
+
+
+def test_raw_load_reads_no_history(spark):
+    path = tempfile.mkdtemp(prefix="viewsift-raw-") + "/t"
+    a = raw(spark, [("en", "A", 1, "f1", TS, D)])
+    curate.raw_load(spark, a, path)
+    plan = curate.drop_loaded_files(spark, a, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and "n_rows" not in plan
 
 
 def curated(spark, rows):
@@ -46,8 +61,28 @@ def test_curated_duplicate_modes(spark):
     assert sorted((r.page_title, r.count_views) for r in curate.prepare_curated(rows, "sum").collect()) == \
         [("A", 6), ("B", 2)]
     path = tempfile.mkdtemp(prefix="viewsift-cur-") + "/t"
-    assert curate.curated_load(spark, rows, path, on_duplicate="max") == 2
-    assert curate.curated_load(spark, rows, path, on_duplicate="max") == 0
+    for _ in range(2):  # the second load replaces the same date
+        assert curate.curated_load(spark, rows, path, on_duplicate="max") == 2
+    assert sorted((r.page_title, r.count_views) for r in spark.read.parquet(path).collect()) == [("A", 5), ("B", 2)]
+
+
+def test_curated_error_mode_sees_a_second_value_over_two_loads(spark):
+    path = tempfile.mkdtemp(prefix="viewsift-cur-") + "/t"
+    first = curated(spark, [("en", "A", 1, "X", TS, D, "m")])
+    assert curate.curated_load(spark, first, path, on_duplicate="error") == 1
+    both = first.unionByName(curated(spark, [("en", "A", 9, "X", TS, D, "m")]))
+    with pytest.raises(curate.DuplicateKeyError):
+        curate.curated_load(spark, both, path, on_duplicate="error")
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_curated_date_left_without_rows_goes(spark):
+    path = tempfile.mkdtemp(prefix="viewsift-cur-") + "/t"
+    other = dt.date(2024, 1, 29)
+    rows = curated(spark, [("en", "A", 1, "X", TS, D, "m"), ("en", "A", 1, "X", TS, other, "m")])
+    curate.curated_load(spark, rows, path)
+    assert curate.curated_load(spark, rows.where("false"), path, dates=[D]) == 0
+    assert [r.processing_date for r in spark.read.parquet(path).collect()] == [other]
 
 
 def test_dedupe_keeps_best_under_skew(spark):

@@ -127,9 +127,77 @@ def test_stored_replies_call_each_prompt_once(spark, tmp_path):
     assert sorted((r.batch_no, r.reply) for r in again) == sorted((r.batch_no, r.reply) for r in first)
 
 
-def test_batches_of_empty_input_are_empty_on_both_paths(spark):
-    from viewsift.operators.ranking import checked_row_number
+def test_batches_of_empty_input_are_empty(spark):
+    from viewsift.operators.ranking import sorted_row_number
 
     df = spark.createDataFrame([], "count_views int, domain string, page_title string")
     assert S.assign_batches(df, 50).count() == 0
-    assert checked_row_number(df, ["domain"], ["page_title"], "rn", max_window_rows=-1).count() == 0
+    assert sorted_row_number(df, ["domain"], ["page_title"], "rn").count() == 0
+
+
+ODD_TITLES = ["Amazon,_Inc", '"Apple"_Pay', "Google\\Maps", "Caf\u00e9_Android", "Apple_cup\u00e9", "Pixel_(device)", "Google_CEO"]
+
+
+def test_native_replies_equal_the_rule_scorer(spark):
+    import json
+
+    rows = [(1000 - i, "en", t) for i, t in enumerate(ODD_TITLES)] + [(5, "en", "Apple_Campus")] * 2
+    df = spark.createDataFrame(rows, "count_views int, domain string, page_title string")
+    prompts = S.build_prompts(S.assign_batches(df, 4)).cache()
+    native = {r.batch_no: r for r in S.score_batches(prompts).collect()}
+    called = {r.batch_no: r for r in S.score_batches(prompts, S.RuleScorer()).collect()}
+    assert set(native) == set(called) == {0, 1, 2}
+    for k in native:
+        assert json.loads(native[k].reply) == json.loads(called[k].reply) and native[k].call_status == "ok"
+    plan = S.score_batches(prompts)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_csv_of_odd_titles_reads_back(spark, tmp_path):
+    import glob
+
+    import pandas as pd
+
+    from viewsift.sources import files
+
+    schema = "domain string, page_title string, count_views int"
+    df = spark.createDataFrame([("en", t, i) for i, t in enumerate(ODD_TITLES)], schema).coalesce(1)
+    files.write_csv(df, str(tmp_path / "csv"))
+    assert sorted(files.read_csv(spark, str(tmp_path / "csv"), schema).collect()) == sorted(df.collect())
+    back = pd.read_csv(glob.glob(str(tmp_path / "csv" / "part-*.csv"))[0])
+    assert sorted(back.page_title) == sorted(ODD_TITLES)
+    text = files.csv_text_column(df.withColumn("g", F.lit(1)), ["g"], ["domain", "page_title", "count_views"])
+    parsed = files.parse_csv_text(text, "csv_text", schema).select("domain", "page_title", "count_views")
+    assert sorted(parsed.collect()) == sorted(df.collect())
+
+
+def test_malformed_csv_text_fails(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from viewsift.sources import files
+
+    df = spark.createDataFrame([("a,b\nx,notanumber\n",)], "t string")
+    with pytest.raises(PySparkException):
+        files.parse_csv_text(df, "t", "a string, b int").collect()
+
+
+def test_one_new_row_sends_one_prompt(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(prompt: str) -> str:
+        calls.add(1)
+        return S.RuleScorer()(prompt)
+
+    def frame(n):
+        return spark.range(n).select((F.col("id") + 1000).cast("int").alias("count_views"), F.lit("en").alias("domain"),
+                                     F.concat(F.lit("Apple_"), F.col("id").cast("string")).alias("page_title"),
+                                     F.lit("2024-01-30").cast("date").alias("processing_date"))
+
+    def send(df):
+        before = calls.value
+        prompts = S.build_prompts(S.assign_batches(df, 50, bucket=S.stable_bucket(df, 50)))
+        S.score_batches_stored(prompts, str(tmp_path / "store"), counting).count()
+        return calls.value - before
+    assert send(frame(500)) >= 10
+    assert send(frame(501)) == 1

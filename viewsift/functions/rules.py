@@ -8,6 +8,7 @@ the ANSI SQL used by the DuckDB oracle.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -50,6 +51,7 @@ COMPANY_KEYWORDS = [
 OTHER_COMPANY = "Other"
 COMPANIES = [c for c, _ in COMPANY_KEYWORDS] + [OTHER_COMPANY]
 
+# The keep and remove words of the filtering instructions.
 # Rule verdict (L4): the keep/remove rules of the filtering instructions, applied in
 # order to the normalised title n = replace(lower(title), '_', ' '). First match wins;
 # no match keeps the row ("when uncertain, lean toward KEEP").
@@ -209,6 +211,16 @@ def company_expr(title_col: str = "page_title") -> Column:
     return expr.otherwise(F.lit(OTHER_COMPANY))
 
 
+def portable(pattern: str) -> str:
+    """``pattern`` with word borders spelled out over ``[a-z0-9]``.
+
+    Regex engines differ on what ``\\b`` takes for a word character beside ASCII
+    (an accented letter is one in Java, none in RE2); this form means the same in all.
+    """
+    opening = re.sub(r"\\b(?=[(a-z])", "(?:^|[^a-z0-9])", pattern)
+    return opening.replace(r"\b", "(?:[^a-z0-9]|$)")
+
+
 def normalised_title(title_col: str = "page_title") -> Column:
     return F.replace(F.lower(F.col(title_col)), F.lit("_"), F.lit(" "))
 
@@ -223,7 +235,8 @@ def verdict_expr(title_col: str = "page_title") -> Column:
     expr = None
     for label, pattern in VERDICT_RULES:
         gate = VERDICT_GATES.get(label)
-        cond = n.rlike(pattern) if not gate else (_any([n.contains(g) for g in gate]) & n.rlike(pattern))
+        found = n.rlike(portable(pattern))
+        cond = found if not gate else (_any([n.contains(g) for g in gate]) & found)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(DEFAULT_VERDICT))
 
@@ -232,6 +245,11 @@ def is_kept(verdict_col: str = "verdict") -> Column:
     return F.col(verdict_col).startswith("keep:")
 
 
+def is_kept_title(title_col: str = "page_title") -> Column:
+    """L4: whether the verdict of a title is a ``keep``."""
+    return verdict_expr(title_col).startswith("keep:")
+
+
 # ---------------------------------------------------------------------------
 # The same rules as ANSI SQL text (DuckDB oracle)
 # ---------------------------------------------------------------------------

@@ -1,14 +1,15 @@
 """Loads and the curated table (K1, K2, K7) and keyed de-duplication.
 
 Writes go to partitioned Parquet under a caller-given root (on a cluster: a
-shared folder). Loads are idempotent: rows of an already-loaded ``source_file``
-(raw: a ``NOT IN`` filter) or of an existing unique key (curated: an anti join)
-are dropped, so a retried or repeated run appends nothing twice.
+shared folder). Raw loads are all or nothing and once per ``source_file`` (a
+manifest written last makes a load visible); curated loads replace the dates they
+touch. A retried or repeated run changes nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewsift import schemas
+from viewsift.session import delete_path, materialize
 
 
 class DuplicateKeyError(RuntimeError):
@@ -59,67 +61,81 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def distinct_values(df: DataFrame, col: str) -> list:
-    """Distinct values of a low-cardinality column (files or dates of one load)."""
-    return [r[0] for r in df.select(col).distinct().collect()]
+# --------------------------------------------------------------------------- K1 raw loads
 
+COMMIT_SCHEMA = "load_id string, source_file string, n_rows long"
 
-def loaded_files(existing: DataFrame, files: list) -> list:
-    """The names among ``files`` that the raw table already holds.
 
-    The scan is restricted to these names (``IN`` pushed into Parquet): hourly
-    files keep their rows together, so row-group statistics skip nearly the
-    whole table. The answer is a subset of ``files``, so its size is bounded by
-    the number of files in one load.
-    """
-    return distinct_values(existing.where(F.col("source_file").isin(files)), "source_file")
+def commits_path(table_path: str) -> str:
+    return table_path.rstrip("/") + "_commits"
+
 
+def commits(spark: SparkSession, table_path: str) -> DataFrame:
+    """The load manifest: one row per committed (load, file) with its row count."""
+    found = _existing(spark, commits_path(table_path))
+    return spark.createDataFrame([], COMMIT_SCHEMA) if found is None else found
 
-def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str,
-                      files: list[str] | None = None) -> DataFrame:
-    """Rows whose ``source_file`` the table does not hold yet.
 
-    A ``NOT IN`` filter with the (bounded) list of already-loaded names, not a
-    join: no shuffle of the load's rows, so even a file holding a third of them
-    stays spread over the scan's tasks. ``files`` (the load's file names, when
-    the caller knows them from the file listing) saves a pass over the rows.
+def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
+    """Rows whose ``source_file`` no committed load holds yet.
+
+    An anti join with the manifest, which has one row per file: the raw history is
+    never scanned, and nothing is collected.
     """
-    existing = _existing(spark, table_path)
-    if existing is None:
-        return rows
-    if files is None:
-        files = distinct_values(rows, "source_file")  # one value per dump file in this load
-    done = loaded_files(existing, files)
-    return rows.where(~F.col("source_file").isin(done)) if done else rows
+    done = commits(spark, table_path).select("source_file").distinct()
+    return rows.join(done, "source_file", "left_anti").select(*rows.columns)
 
 
-def write_raw(rows: DataFrame, table_path: str) -> None:
-    """Append rows to the raw table, laid out for the scans that follow.
+def write_raw(rows: DataFrame, folder: str) -> None:
+    """Write one load's rows, partitioned by date and laid out for the scans that follow.
 
     REBALANCE lets AQE split a hot date into several tasks and merge small ones.
-    Each file is sorted by ``source_file`` then ``count_views`` descending, so
-    Parquet row-group statistics let stage A (``count_views >= n``) and the
-    per-file idempotency check skip most row groups.
+    Each file is sorted by date, ``source_file``, then ``count_views`` descending
+    (the writer itself asks for the partition column first, so the order holds in
+    the files), so Parquet row-group statistics let stage A (``count_views >= n``)
+    and per-file checks skip most row groups.
     """
     (rows.hint("rebalance", "processing_date")
-     .sortWithinPartitions("source_file", F.col("count_views").desc())
-     .write.mode("append").partitionBy("processing_date").parquet(table_path))
+     .sortWithinPartitions("processing_date", "source_file", F.col("count_views").desc())
+     .write.mode("overwrite").partitionBy("processing_date").parquet(folder))
 
 
-def raw_load(spark: SparkSession, rows: DataFrame, table_path: str, files: list[str] | None = None) -> int:
-    """K1: append raw rows to the date-partitioned table, once per ``source_file``.
+def raw_load(spark: SparkSession, rows: DataFrame, table_path: str, load_id: str | None = None) -> int:
+    """K1: load raw rows, all or nothing, each ``source_file`` once; returns the number of new rows.
 
-    Returns the number of appended rows. Files already present are skipped whole,
-    so a re-run of the same dump adds nothing. ``files``: see ``drop_loaded_files``.
+    A load writes its own ``load_id=...`` folder and then one manifest file; rows
+    count as loaded only when the manifest names their load, so what a broken load
+    left behind is invisible, and its files are loaded again by the next run. A
+    load repeated under the same ``load_id`` (a replayed micro-batch) overwrites
+    its folder.
     """
+    load_id = load_id or uuid.uuid4().hex
+    known = commits(spark, table_path).where(F.col("load_id") == load_id).agg(F.sum("n_rows")).first()[0]
+    if known is not None:  # this very load is committed already
+        return 0
     rows = rows.select(*[f.name for f in schemas.RAW_PAGEVIEWS.fields])
-    rows = drop_loaded_files(spark, rows, table_path, files).persist()
-    n = rows.count()
-    if n:
-        write_raw(rows, table_path)
-    rows.unpersist()
-    return n
+    folder = f"{table_path.rstrip('/')}/load_id={load_id}"
+    write_raw(drop_loaded_files(spark, rows, table_path), folder)
+    files = load_rows(spark, table_path, load_id).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    # One file, so the commit is one rename.
+    files.select(F.lit(load_id).alias("load_id"), "source_file", "n_rows").coalesce(1) \
+        .write.mode("append").parquet(commits_path(table_path))
+    own = commits(spark, table_path).where(F.col("load_id") == load_id)
+    return own.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+
+
+def load_rows(spark: SparkSession, table_path: str, load_id: str) -> DataFrame:
+    """The rows one load wrote."""
+    return spark.read.schema(schemas.RAW_PAGEVIEWS).parquet(f"{table_path.rstrip('/')}/load_id={load_id}")
+
 
+def loaded_dates(spark: SparkSession, table_path: str, load_id: str) -> list:
+    """The dates one load touched: its partitions (a day, or the days of a backfill)."""
+    rows = load_rows(spark, table_path, load_id).select("processing_date").distinct()
+    return sorted(r[0] for r in rows.collect())
+
+
+# --------------------------------------------------------------------------- K2 curated loads
 
 def prepare_curated(rows: DataFrame, on_duplicate: str = "error",
                     tie_break: Sequence[str] = ()) -> DataFrame:
@@ -143,38 +159,26 @@ def prepare_curated(rows: DataFrame, on_duplicate: str = "error",
     raise ValueError(f"on_duplicate must be error, max or sum, not {on_duplicate!r}")
 
 
-def curated_rows_to_append(new_rows: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """K2 (step 2): drop keys the curated table already holds (left anti join).
-
-    The key contains ``processing_date``, so only the partitions of the new rows'
-    dates are read (partition pruning).
-    """
-    if existing is None:
-        return new_rows
-    dates = distinct_values(new_rows, "processing_date")
-    keys = existing.where(F.col("processing_date").isin(dates)).select(*schemas.FILTERED_KEY).distinct()
-    return new_rows.join(keys, schemas.FILTERED_KEY, "left_anti").select(*new_rows.columns)
-
-
 def curated_load(spark: SparkSession, rows: DataFrame, table_path: str, on_duplicate: str = "error",
-                 tie_break: Sequence[str] = ()) -> int:
-    """K2: append curated rows under the unique key; returns appended row count.
-
-    The incoming rows are cached (a curated day is small): the key check, the
-    list of dates and the anti join then read them once instead of re-running
-    the scoring plan behind them.
+                 tie_break: Sequence[str] = (), dates: Sequence | None = None) -> int:
+    """K2: replace whole dates of the curated table under the unique key; returns the rows written.
+
+    ``rows`` must hold *all* kept rows of the dates they touch (not only those of
+    the last load): the dates' partitions are replaced, so the table does not
+    depend on how the loads were split, and a key that gets a second value later
+    is judged by ``on_duplicate`` like one that had it at once. ``dates`` names
+    dates that must be replaced even if no row of theirs is left.
     """
     cols = [f.name for f in schemas.FILTERED_PAGEVIEWS.fields]
-    rows = rows.persist()
-    new = prepare_curated(rows, on_duplicate, tie_break).select(*cols)
-    new = curated_rows_to_append(new, _existing(spark, table_path)).persist()
-    n = new.count()
-    if n:
-        new.hint("rebalance", "processing_date").sortWithinPartitions("company") \
-            .write.mode("append").partitionBy("processing_date").parquet(table_path)
-    new.unpersist()
-    rows.unpersist()
-    return n
+    new = materialize(prepare_curated(rows, on_duplicate, tie_break).select(*cols), "curated-rows")
+    (new.hint("rebalance", "processing_date").sortWithinPartitions("processing_date", "company")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("processing_date").parquet(table_path))
+    if dates:
+        left = {r[0] for r in new.select("processing_date").distinct().collect()}  # of these dates at most
+        for day in set(dates) - left:
+            delete_path(spark, f"{table_path.rstrip('/')}/processing_date={day}")
+    return new.count()
 
 
 def retention_window(df: DataFrame, as_of, days: int = 90, date_col: str = "processing_date") -> DataFrame:

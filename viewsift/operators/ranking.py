@@ -14,18 +14,12 @@ through one task. Two exact replacements:
   many tasks as it has distinct values.
 
 ``sorted_row_number`` (materialised, for batches) makes no assumption about the
-values: a range-partitioned sort on ``(g, order)`` cuts even one huge group into
-many tasks, every row takes its position inside its sorted partition, and a
-small table of per-(partition, group) counts turns positions into row numbers.
-The tagged rows are written to a table under ``spark.checkpoint.dir`` first, so
-both passes see the same positions and later readers (prompts, joins back) see
-the same numbers.
-
-``checked_row_number`` picks by measured size, as one picks a broadcast: it
-writes its input once, counts the largest group (a one-column aggregate), and
-runs the plain window when every group fits one task, else the sorted form.
-
-All equal the plain window.
+values: a range-partitioned sort on ``(g, order)`` cuts even one huge group, or a
+run of equal rows, into many tasks; every row takes its position inside its
+sorted partition, and a small table of per-(partition, group) counts turns
+positions into row numbers. The same plan runs at every size.
+
+Both equal the plain window.
 """
 
 from __future__ import annotations
@@ -56,19 +50,20 @@ def split_row_number(df: DataFrame, group: Sequence[str], value: str, ties: Sequ
 
 
 def sorted_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                      out: str = "row_number", checkpoint_result: bool = False) -> DataFrame:
+                      out: str = "row_number") -> DataFrame:
     """``df`` plus ``out`` = ``row_number() OVER (PARTITION BY group ORDER BY order)``, skew-proof.
 
-    ``order`` should make rows unique inside a group for repeatable numbers. The
-    sorted, position-tagged rows are written once to a table under
-    ``spark.checkpoint.dir``; ``checkpoint_result`` also writes the numbered rows,
-    for results that several later plans read.
+    The input is written once, so a row's place in its file is fixed; that place
+    breaks the last ties, which lets the range partitioning cut even equal rows
+    apart. The sorted, position-tagged rows are written too: whoever reads the
+    result reads the same numbers.
     """
     group = list(group)
     keys = [F.col(g).asc_nulls_first() for g in group] + [F.col(o) if isinstance(o, str) else o for o in order]
+    source = materialize(df, "numbering-input").withColumn("_tie", F.monotonically_increasing_id())
     # orderBy = range partitioning: split points come from a sample of the keys, so a group
     # holding a third of all rows is spread over about a third of the tasks.
-    tagged = (df.orderBy(*keys)
+    tagged = (source.orderBy(*keys, "_tie")
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))  # position inside the sorted partition
     tagged = materialize(tagged, "sorted-rows")  # positions are frozen as column values
@@ -79,31 +74,4 @@ def sorted_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Colum
                          "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     cond = [F.col("_part") == F.col("_s_part")] + [F.col(g).eqNullSafe(F.col(f"_s_{i}")) for i, g in enumerate(group)]
     rn = (F.col("_before") + (F.col("_pos") - F.col("_first")) + 1).cast("long")
-    numbered = tagged.join(spans, cond).select(*df.columns, rn.alias(out))
-    return materialize(numbered, "numbered-rows") if checkpoint_result else numbered
-
-
-# Largest group one task numbers with a plain window (a sort that spills if it must).
-MAX_WINDOW_GROUP_ROWS = 2_000_000
-
-
-def checked_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                       out: str = "row_number", max_window_rows: int = MAX_WINDOW_GROUP_ROWS,
-                       checkpoint_result: bool = False) -> DataFrame:
-    """``row_number() OVER (PARTITION BY group ORDER BY order)``, strategy chosen by group size.
-
-    The input is written once (no path recomputes it), then its largest group is
-    counted: up to ``max_window_rows`` rows the plain window runs; beyond, the
-    range-sorted form spreads the group over many tasks. Same numbers either way.
-    """
-    group = list(group)
-    src = materialize(df, "numbering-input")
-    sizes = src.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")) if group else src.select(
-        F.count(F.lit(1)).alias("_n"))
-    biggest = sizes.agg(F.max("_n")).first()[0] or 0
-    if biggest > int(max_window_rows):
-        return sorted_row_number(src, group, order, out, checkpoint_result)
-    keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    w = Window.partitionBy(*group).orderBy(*keys) if group else Window.orderBy(*keys)
-    numbered = src.withColumn(out, F.row_number().over(w).cast("long"))
-    return materialize(numbered, "numbered-rows") if checkpoint_result else numbered
+    return tagged.join(spans, cond).select(*df.columns, rn.alias(out))

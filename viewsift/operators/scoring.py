@@ -1,7 +1,7 @@
 """Batch scoring through a pluggable filter (L1–L8, J5), re-aimed from a local LLM loop.
 
-Plan: candidate rows → ``assign_batches`` (row numbers by a size-checked window
-or a range-partitioned sort, written once; no oversized bucket in one task) →
+Plan: candidate rows → ``assign_batches`` (row numbers by a
+range-partitioned sort, written once; no oversized bucket in one task) →
 ``build_prompts`` (one bounded ``collect_list`` per batch) → ``score_batches``
 (``mapInPandas``: the only Python hop; one scorer call per batch, errors caught
 per batch) → ``reply_status`` / ``reply_rows`` (built-in JSON functions) →
@@ -15,6 +15,8 @@ twice; speculation stays off for the scoring stage.
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -26,22 +28,24 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.functions.numeric import exact_round_pct
-from viewsift.operators.ranking import checked_row_number
+from viewsift.operators.ranking import sorted_row_number
 from viewsift.session import materialize, ship_package
-from viewsift.sources.files import csv_text_column
+from viewsift.sources.files import QUOTING, csv_text_column
 
 DEFAULT_BATCH_SIZE = 50
 SECONDS_PER_BATCH = 30        # cost estimate per batch (L8)
 LARGE_INPUT_ROWS = 10_000     # warn above this many input rows (L8)
 RECORD_FIELDS = ["domain", "page_title", "count_views"]
 
+# Written from the verdict categories of ``rules.VERDICT_RULES``.
 PROMPT_TEMPLATE = (
-    "Review {n} Wikipedia pageview records about Amazon, Apple, Google, Microsoft and Meta.\n"
-    "Keep pages about products and services; drop people, events, buildings, legal cases,\n"
-    "retrospectives and controversies. Judge only the records given; add none.\n"
+    "You are given {n} pageview records as a JSON array. A record stays when its title names a product,\n"
+    "service, device, application, game or platform of one of the tracked companies. A record goes when its\n"
+    "title is about a person or role, a legal form or case, a list or history, a building, an event, a film,\n"
+    "book or show, a technical format, a web address, a typeface, a year, or money matters. If unsure, it stays.\n"
+    "Copy records unchanged and add no record of your own.\n"
     "RECORDS:\n{records}\n"
-    'Answer with JSON only: {{"json_output": [{{"domain": ..., "page_title": ..., "count_views": ...}}],'
-    ' "csv_output": "domain,page_title,count_views\\n..."}}\n'
+    'Reply with one JSON object: {{"json_output": [kept records], "csv_output": "the same as CSV with a header"}}\n'
 )
 
 
@@ -52,6 +56,16 @@ def rows_bucket(cols: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(int(n_buckets)))
 
 
+def stable_bucket(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> Column:
+    """A bucket per date and title hash, half a batch each on average.
+
+    The number of buckets is a power of two of the row count, so a few more rows
+    leave nearly all buckets, and with them the prompts, as they were.
+    """
+    n = 1 << max(0, (2 * df.count() // batch_size).bit_length())
+    return F.xxhash64("processing_date", F.pmod(F.xxhash64("domain", "page_title"), F.lit(n)))
+
+
 def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_buckets: int = 1,
                    bucket: Column | None = None, order: Sequence[Column | str] | None = None) -> DataFrame:
     """L1: ``bucket``, ``batch_no`` and ``row_in_batch`` for every row (materialised once).
@@ -59,19 +73,17 @@ def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_bucket
     Rows are numbered inside each bucket in ``order`` (default: views descending,
     as the prefilter orders them, then every other column) and cut into batches
     of ``batch_size``. The default single bucket is exactly the sequential
-    batching of the original. The numbering is ``checked_row_number``: a plain
-    window while every bucket fits one task, else a range-partitioned sort, so
-    neither one bucket nor a group of identical rows ever lands whole in one
-    task; ``n_buckets`` hash buckets or a given ``bucket`` expression only change
-    which rows share a batch. The result is written as a table, so prompts, the
-    join back and the statistics all read the same batches.
+    batching of the original. The numbering is ``sorted_row_number``, a
+    range-partitioned sort, so neither one bucket nor a group of identical rows
+    lands whole in one task; ``n_buckets`` hash buckets or a given ``bucket`` expression only change
+    which rows share a batch. The sorted rows are written as a table, so prompts,
+    the join back and the statistics all read the same batches.
     """
     if bucket is None:
         bucket = rows_bucket(df.columns, n_buckets) if n_buckets > 1 else F.lit(0)
     order = list(order) if order else [F.col("count_views").desc(), *[F.col(c) for c in df.columns
                                                                      if c != "count_views"]]
-    numbered = checked_row_number(df.withColumn("bucket", bucket.cast("long")), ["bucket"], order, "_rn",
-                                  checkpoint_result=True)
+    numbered = sorted_row_number(df.withColumn("bucket", bucket.cast("long")), ["bucket"], order, "_rn")
     rn = F.col("_rn") - 1
     return (numbered.withColumn("batch_no", F.floor(rn / int(batch_size)).cast("long"))
             .withColumn("row_in_batch", (rn % int(batch_size)).cast("long"))
@@ -113,15 +125,15 @@ Scorer = Callable[[str], str]
 
 
 class RuleScorer:
-    """Default scorer: the rule verdict (L4) applied to the records of a prompt.
+    """The rule verdict (L4) as a callable over a prompt: the shape of any external scorer.
 
     Same rule table as the native ``verdict_expr``; returns the reply JSON the
-    reply validation expects. Swap in any ``Callable[[str], str]`` (a model
-    client) through ``score_batches``.
+    reply validation expects. ``score_batches`` needs it only to try the callable
+    path; its default answers natively.
     """
 
     def __init__(self) -> None:
-        self._rules = [(label, re.compile(p)) for label, p in rules.VERDICT_RULES]
+        self._rules = [(label, re.compile(rules.portable(p))) for label, p in rules.VERDICT_RULES]
 
     def verdict(self, title: str) -> str:
         n = title.lower().replace("_", " ")
@@ -132,9 +144,10 @@ class RuleScorer:
 
     def __call__(self, prompt: str) -> str:
         kept = [r for r in prompt_records(prompt) if self.verdict(str(r.get("page_title", ""))).startswith("keep:")]
-        csv = "" if not kept else "domain,page_title,count_views\n" + "".join(
-            f"{r['domain']},{r['page_title']},{r['count_views']}\n" for r in kept)
-        return json.dumps({"json_output": kept, "csv_output": csv})
+        text = io.StringIO()
+        if kept:
+            csv.writer(text, lineterminator="\n").writerows([RECORD_FIELDS, *([r[f] for f in RECORD_FIELDS] for r in kept)])
+        return json.dumps({"json_output": kept, "csv_output": text.getvalue()})
 
 
 def _scoring_fn(scorer: Scorer):
@@ -149,18 +162,44 @@ def _scoring_fn(scorer: Scorer):
                 except Exception as e:  # any failure → empty result for this batch, not a job error
                     replies.append(None)
                     status.append("error")
-                    errors.append(f"{type(e).__name__}: {e}"[:500])
+                    errors.append(f"{type(e).__name__}: {e}")
             yield pdf[BATCH_KEY].assign(reply=replies, call_status=status, call_error=errors)
     return run
 
 
+def native_replies(prompts: DataFrame) -> DataFrame:
+    """L3 with the rule verdict (L4) as built-in expressions: what ``RuleScorer`` answers, without Python.
+
+    The prompt's records are parsed back from its JSON block, the kept ones are
+    written as the reply's ``json_output`` and, as quoted CSV lines, ``csv_output``.
+    """
+    head, tail = PROMPT_TEMPLATE.replace("{{", "{").replace("}}", "}").split("{records}")
+    start = F.locate("RECORDS:\n", F.col("prompt")) + len("RECORDS:\n")
+    block = F.expr(f"substring(prompt, _start, length(prompt) - _start + 1 - {len(tail)})")
+    record = "array<struct<domain: string, page_title: string, count_views: bigint>>"
+    rows = prompts.withColumn("_start", start).withColumn("_records", F.from_json(block, record))
+    flat = rows.select(*BATCH_KEY, F.posexplode_outer("_records").alias("_i", "_r"))
+    flat = flat.withColumn("page_title", F.coalesce(F.col("_r.page_title"), F.lit("")))
+    kept = rules.verdict_expr("page_title").startswith("keep:") & F.col("_r").isNotNull()
+    line = F.to_csv(F.struct(*[F.col(f"_r.{f}").alias(f) for f in RECORD_FIELDS]), QUOTING)
+    own = flat.groupBy(*BATCH_KEY).agg(F.sort_array(F.collect_list(
+        F.when(kept, F.struct("_i", F.col("_r").alias("r"), line.alias("line"))))).alias("_kept"))  # a batch at most
+    lines = F.when(F.size("_kept") == 0, "").otherwise(F.concat(
+        F.lit(",".join(RECORD_FIELDS) + "\n"), F.array_join(F.transform("_kept", lambda k: k["line"]), "\n"), F.lit("\n")))
+    reply = F.to_json(F.struct(F.transform("_kept", lambda k: k["r"]).alias("json_output"), lines.alias("csv_output")))
+    return own.select(*BATCH_KEY, reply.alias("reply"), F.lit("ok").alias("call_status"),
+                      F.lit(None).cast("string").alias("call_error"))
+
+
 def score_batches(prompts: DataFrame, scorer: Scorer | None = None, parallelism: int | None = None) -> DataFrame:
-    """L3: call ``scorer(prompt) -> reply`` once per batch inside ``mapInPandas``.
+    """L3: one reply per batch.
 
-    ``parallelism`` sets how many tasks (concurrent scorer calls) run; Arrow
-    batches carry many prompts per Python round trip.
+    Without a ``scorer`` the rules answer natively (``native_replies``). A given
+    ``scorer(prompt) -> reply`` is called once per batch inside ``mapInPandas``;
+    ``parallelism`` sets how many tasks (concurrent calls) run.
     """
-    scorer = scorer or RuleScorer()
+    if scorer is None:
+        return native_replies(prompts)
     ship_package(prompts.sparkSession)
     df = prompts.select(*BATCH_KEY, "prompt")
     if parallelism:

@@ -1,8 +1,8 @@
 """Analytical queries and views over the curated table (Q1–Q9, V1–V4).
 
 Every function takes the curated (and, for V2, raw) table as a DataFrame plus
-explicit parameters (``as_of`` replaces CURRENT_DATE, D4) and returns a lazy
-DataFrame. Presentation sorts are left to the caller (``present``): the views
+explicit parameters (``as_of`` replaces CURRENT_DATE, D4) and returns a
+DataFrame, lazily but for V3's sorted numbering. Presentation sorts are left to the caller (``present``): the views
 themselves do not sort.
 
 Plan shape: each query is scan → date filter (partition pruning) → partial hash
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewsift.functions.numeric import exact_round_avg, exact_round_pct
-from viewsift.operators.ranking import checked_row_number, split_row_number
+from viewsift.operators.ranking import sorted_row_number, split_row_number
 
 TOP_COMPANIES = ["Amazon", "Apple", "Google", "Microsoft", "Meta"]
 
@@ -182,7 +182,7 @@ def title_search(filtered: DataFrame, as_of, query: str, days: int = 7,
     """Case-insensitive regex search in titles (``literal`` = plain substring)."""
     df = only_companies(last_n_days(filtered, as_of, days), companies)
     t = F.col("page_title")
-    cond = F.lower(t).contains(query.lower()) if literal else t.rlike("(?i)" + query)
+    cond = F.lower(t).contains(query.lower()) if literal else t.rlike("(?iu)" + query)
     return df.where(F.coalesce(cond, F.lit(False))).select(
         "processing_date", "page_title", "company", "count_views", "filter_method")
 
@@ -225,7 +225,14 @@ def v_data_quality_metrics(raw: DataFrame, filtered: DataFrame, approx_distinct:
 
 
 def dq_latest(raw: DataFrame, filtered: DataFrame, n: int = 30) -> DataFrame:
-    """The newest ``n`` dates of V2 (TakeOrderedAndProject)."""
+    """The newest ``n`` dates of V2.
+
+    The oldest of these dates is a scalar subquery over the raw table's partition
+    column, so the aggregation scans only their partitions, not the history.
+    """
+    day = F.col("processing_date")
+    oldest = raw.select("processing_date").distinct().orderBy(day.desc()).limit(int(n)).agg(F.min(day)).scalar()
+    raw, filtered = raw.where(day >= oldest), filtered.where(day >= oldest)
     return v_data_quality_metrics(raw, filtered).orderBy(F.col("processing_date").desc()).limit(int(n))
 
 
@@ -233,17 +240,16 @@ def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7, method: st
     """V3: every page of the last ``days`` with its row number inside its company.
 
     All ranks are kept (no limit), so a plain window (``method="window"``) would
-    sort a whole company in one task. ``"sorted"`` (default) writes the window's
-    rows once and measures the largest company: the plain window while it fits
-    one task, else a range-partitioned sort, so no company or (company, views)
-    pair lands whole in one task. ``"split"`` stays lazy (for the live temp view)
-    and spreads a hot company over its distinct view counts.
+    sort a whole company in one task. ``"sorted"`` (default) runs a
+    range-partitioned sort and writes its rows when called, so no company or
+    (company, views) pair lands whole in one task. ``"split"`` stays lazy (for the
+    live temp view) and spreads a hot company over its distinct view counts.
     """
     df = last_n_days(filtered, as_of, days).select("company", "page_title", "count_views", "processing_date",
                                                    "domain")
     ties = [F.col("processing_date").desc(), F.col("domain"), F.col("page_title")]
     if method == "sorted":
-        out = checked_row_number(df, ["company"], [F.col("count_views").desc(), *ties], "rank")
+        out = sorted_row_number(df, ["company"], [F.col("count_views").desc(), *ties], "rank")
     elif method == "split":
         out = split_row_number(df, ["company"], "count_views", ties)
     elif method == "window":

@@ -2,22 +2,28 @@
 
 Entry points 1 and 2 of the original (extract + load raw; transform + curate)
 as one function over a landing folder and a warehouse root. Every step is a
-Spark job; the only Python hop is the scorer inside ``mapInPandas``, whose
-replies are checkpointed before they are read twice.
+Spark job; Python runs only for an external scorer, whose replies are written
+before they are read twice.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewsift.functions import rules
-from viewsift.operators import curate, prefilter, scoring
+from viewsift.operators import curate, prefilter, quality, scoring
+from viewsift.session import drop_scratch, scratch_mark
 from viewsift.sources import dumps, warehouse
-from viewsift.streaming.ingest import event_hour_expr
+from viewsift.streaming.ingest import parsed_lines
+
+
+class LoadCheckError(RuntimeError):
+    """A dump load that must not pass: no usable row, or a missing column."""
 
 
 @dataclass
@@ -26,6 +32,7 @@ class DailyResult:
     quarantined_lines: int
     curated_rows_loaded: int
     stats: dict
+    verified: list = field(default_factory=list)
 
 
 def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_views: int = rules.DEFAULT_MIN_VIEWS,
@@ -33,7 +40,7 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
               loaded_at=None, processing_date=None, on_duplicate: str = "max",
               batch_size: int = scoring.DEFAULT_BATCH_SIZE, event_time_from_name: bool = False,
               audit: bool = False) -> DailyResult:
-    """Load new dumps from ``landing`` and curate the rows of ``as_of`` (``None``: every date).
+    """Load new dumps from ``landing`` and curate the dates they touch (``as_of``: one date instead).
 
     ``processing_date`` defaults to the load date as in the original (D4); pass
     it (and ``loaded_at``) explicitly, or set ``event_time_from_name`` to date each
@@ -42,6 +49,11 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     ``{root}/quarantine``; scorer replies to ``{root}/scorer_replies``. ``audit``
     checks every gzip first (one extra decompression pass) and lists corrupt files
     in ``{root}/corrupt_files`` instead of failing on them.
+
+    The curated dates are recomputed from all raw rows of theirs, so the result does
+    not depend on how the dumps were split over runs. Checks stop the job: no good
+    line (C1) or no candidate in the touched dates (C5); the per-file report of the
+    load (C2) is returned as ``verified``.
     """
     raw_path, cur_path = f"{root}/raw_pageviews", f"{root}/filtered_pageviews"
     paths: str | list[str] = landing
@@ -53,45 +65,55 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
         checked.unpersist()
         if not paths:
             return DailyResult(0, 0, 0, {})
-    lines = dumps.read_dump_lines(spark, paths)
-    # The load's file names come from the file listing (no job); the decompressed lines are
-    # cached, so gzip is read once for the quarantine count, the row count and the write.
-    names = sorted({f.rstrip("/").rsplit("/", 1)[-1] for f in lines.inputFiles()})
     # A gzip file is one task; REBALANCE spreads its lines (a dump holding a third of the day
-    # included) over AQE-sized partitions before parsing and caching.
-    lines = lines.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
-    good, bad = dumps.parse_dump_lines(lines)
-    n_bad = bad.count()
-    if n_bad:
-        bad.write.mode("append").parquet(f"{root}/quarantine")
-    parsed = dumps.fill_unknown(good)
-    if event_time_from_name:
-        hour = event_hour_expr("source_file")
-        lineage = parsed.withColumn("loaded_at", hour).withColumn("processing_date", F.to_date(hour))
-    else:
-        lineage = curate.with_raw_lineage(parsed, loaded_at, processing_date)
-    n_raw = curate.raw_load(spark, lineage, raw_path, files=names)
-    lines.unpersist()
-
-    raw = warehouse.raw_table(spark, raw_path)
-    cand = prefilter.prefilter(raw, as_of, min_views, columns=None)
-    batched = scoring.assign_batches(cand, batch_size)
-    # Replies are stored by prompt hash: a re-run only scores prompts it has not answered yet.
-    replies = scoring.score_batches_stored(scoring.build_prompts(batched), f"{root}/scorer_replies", scorer)
+    # included) over AQE-sized partitions. This is the job's one cached copy: gzip is read once.
+    lines = dumps.read_dump_lines(spark, paths).hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    load_id, mark = uuid.uuid4().hex, scratch_mark(spark)
+    try:
+        if event_time_from_name:
+            good, bad = parsed_lines(lines)
+            rows = dumps.fill_unknown(good).withColumnRenamed("event_hour", "loaded_at")
+        else:
+            good, bad = dumps.parse_dump_lines(lines)
+            rows = curate.with_raw_lineage(dumps.fill_unknown(good), loaded_at, processing_date)
+        found = quality.extract_checks(rows).first()
+        if not found.passed:
+            raise LoadCheckError(f"the dumps failed the extract checks: {found.asDict()}")
+        bad_path = f"{root}/quarantine/load_id={load_id}"
+        bad.write.parquet(bad_path)
+        n_bad = spark.read.schema(bad.schema).parquet(bad_path).count()
+        n_raw = curate.raw_load(spark, rows, raw_path, load_id)
+    finally:
+        lines.unpersist()
+    if not n_raw:
+        return DailyResult(0, n_bad, 0, {})
+    dates = curate.loaded_dates(spark, raw_path, load_id) if as_of is None else [as_of]
+
+    raw = warehouse.raw_table(spark, raw_path).where(F.col("processing_date").isin(dates))
+    verified = quality.verify_load(curate.load_rows(spark, raw_path, load_id)).collect()  # one row per file
+    cand = prefilter.prefilter(raw, None, min_views, columns=None, require_rows=True)
+    batched = scoring.assign_batches(cand, batch_size, bucket=scoring.stable_bucket(cand, batch_size))
+    prompts = scoring.build_prompts(batched)
+    # An external scorer's replies are stored by prompt hash: a re-run only sends prompts not answered yet.
+    replies = scoring.native_replies(prompts) if scorer is None else \
+        scoring.score_batches_stored(prompts, f"{root}/scorer_replies", scorer)
     replies = scoring.persist_replies(replies)  # one row per batch, read by statuses, rows and stats
     statuses = scoring.reply_status(replies)
-    rows = scoring.reply_rows(replies)
-    accepted = scoring.accepted_rows(batched, rows)
+    records = scoring.reply_rows(replies)
+    accepted = scoring.accepted_rows(batched, records)
     curated = accepted.select("domain", "page_title", "count_views", "company",
                               F.col("loaded_at").alias("filtered_at"), "processing_date",
                               F.lit(filter_method).alias("filter_method"))
-    n_cur = curate.curated_load(spark, curated, cur_path, on_duplicate=on_duplicate, tie_break=["filtered_at"])
-    stats = scoring.llm_stats(batched, statuses, rows, batch_size).first().asDict()
-    return DailyResult(n_raw, n_bad, n_cur, stats)
+    n_cur = curate.curated_load(spark, curated, cur_path, on_duplicate=on_duplicate, tie_break=["filtered_at"],
+                                dates=dates)
+    stats = scoring.llm_stats(batched, statuses, records, batch_size).first().asDict()
+    drop_scratch(spark, mark)
+    return DailyResult(n_raw, n_bad, n_cur, stats, verified)
 
 
-def dashboard(raw: DataFrame, filtered: DataFrame, as_of, days: int = 7, companies=None) -> dict[str, DataFrame]:
-    """The dashboard's queries (Q3–Q8, V2 newest 30) over stored tables."""
+def dashboard(raw: DataFrame, filtered: DataFrame, as_of, days: int = 7, companies=None,
+              search: str | None = None) -> dict[str, DataFrame]:
+    """The dashboard's queries over stored tables: Q3–Q8, V2's newest 30 dates, V1, V3, and Q9 for a search text."""
     from viewsift.plans import analytics as A
 
     return {
@@ -102,4 +124,6 @@ def dashboard(raw: DataFrame, filtered: DataFrame, as_of, days: int = 7, compani
         "winner": A.winner_window(filtered, as_of, days),
         "top15": A.top_pages(filtered, as_of, days, 15),
         "overview": A.overview(filtered, as_of, days, companies),
-    }
+        "daily_summary": A.v_daily_company_summary(filtered),
+        "pages_by_company": A.v_top_pages_by_company(filtered, as_of, days, method="split"),
+    } | ({"search": A.title_search(filtered, as_of, search, days)} if search else {})

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewsift import schemas
-from viewsift.operators import curate, scoring
+from viewsift.functions import rules
+from viewsift.operators import curate, prefilter, scoring
 from viewsift.session import fresh_dir
-from viewsift.sources import dumps, files, testbed as tb
+from viewsift.sources import dumps, files, testbed as tb, warehouse
 from viewsift.streaming import ingest
 
 RAW = [f.name for f in schemas.RAW_PAGEVIEWS.fields]
@@ -31,23 +32,55 @@ def raw_load(spark: SparkSession, sf: str) -> DataFrame:
     curate.raw_load(spark, rows, path)
     again = curate.raw_load(spark, rows, path)
     if again:
-        raise LoadCheckError(f"second raw load appended {again} rows")
-    return spark.read.parquet(path).select(*RAW)
+        raise LoadCheckError(f"second raw load added {again} rows")
+    return warehouse.raw_table(spark, path)
+
+
+def raw_load_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: a load that broke off (part of the rows written, no manifest entry), then the retry."""
+    path = fresh_dir(spark, "raw_pageviews")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    curate.write_raw(rows.where("count_views % 3 = 0"), f"{path}/load_id=broken")
+    curate.raw_load(spark, rows, path)
+    return warehouse.raw_table(spark, path)
+
+
+def _kept_rows(candidates: DataFrame) -> DataFrame:
+    """Curated-shaped rows of the candidates that the verdict rules keep."""
+    kept = candidates.where(rules.is_kept_title("page_title"))
+    return kept.select("domain", "page_title", "count_views", "company", F.col("loaded_at").alias("filtered_at"),
+                       "processing_date", F.lit(tb.FILTER_METHOD).alias("filter_method"))
 
 
 def curated_load(spark: SparkSession, sf: str) -> DataFrame:
-    """K2: load kept verdict rows under the unique key (``max``), twice; the second adds nothing."""
+    """K2: load kept verdict rows under the unique key (``max``), twice; the second changes nothing."""
     path = fresh_dir(spark, "filtered_pageviews")
     kept = tb.verdicts(spark, sf).where(F.col("verdict").startswith("keep:")).select(
         "domain", "page_title", "count_views", "company", F.col("loaded_at").alias("filtered_at"),
         "processing_date", F.lit(tb.FILTER_METHOD).alias("filter_method"), "event_id")
-    curate.curated_load(spark, kept, path, on_duplicate="max", tie_break=["event_id"])
-    again = curate.curated_load(spark, kept, path, on_duplicate="max", tie_break=["event_id"])
-    if again:
-        raise LoadCheckError(f"second curated load appended {again} rows")
+    for _ in range(2):
+        curate.curated_load(spark, kept, path, on_duplicate="max", tie_break=["event_id"])
     return spark.read.parquet(path).select(*FILTERED)
 
 
+def curated_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: the hours before noon, then the rest, each curated by recomputing the dates touched (max and sum)."""
+    raw_path = fresh_dir(spark, "raw_pageviews")
+    paths = {mode: fresh_dir(spark, f"filtered_{mode}") for mode in ("max", "sum")}
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    morning = F.hour("loaded_at") < 12
+    for load_id, part in (("am", morning), ("pm", ~morning)):
+        curate.raw_load(spark, rows.where(part), raw_path, load_id)
+        dates = curate.loaded_dates(spark, raw_path, load_id)
+        raw = warehouse.raw_table(spark, raw_path).where(F.col("processing_date").isin(dates))
+        kept = _kept_rows(prefilter.prefilter(raw, None, columns=None))
+        for mode, path in paths.items():
+            curate.curated_load(spark, kept, path, on_duplicate=mode, tie_break=["filtered_at"], dates=dates)
+    both = [spark.read.parquet(path).select(F.lit(mode).alias("mode"), "domain", "page_title", "count_views", "company",
+                                            "processing_date", "filter_method") for mode, path in paths.items()]
+    return both[0].unionByName(both[1])
+
+
 def union_files(spark: SparkSession, sf: str) -> DataFrame:
     """Two separately written parts (morning / afternoon hours) read back as one frame."""
     raw = tb.raw_pageviews(spark, sf, with_event_id=False)
@@ -108,6 +141,37 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_raw_stream_table(spark, table)
 
 
+BAD_LINES = ["en Bad Title x 9 0", "en Foo abc 0", "en OnlyTwo", "en Neg -5 0"]
+ODD_NAME = "projectviews.gz"
+
+
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Dumps with bad lines and one file without an hour in its name; lines per fate (raw or a reason)."""
+    landing = fresh_dir(spark, "landing")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    good = rows.select("source_file", F.concat_ws(" ", "domain", "page_title", F.col("count_views").cast("string"), F.lit("0")).alias("line"))
+    names = rows.select("source_file").distinct()
+    bad = names.select("source_file", F.explode(F.array(*[F.lit(x) for x in BAD_LINES])).alias("line"))
+    odd = good.where("source_file LIKE '%-120000.gz'").select(F.lit(ODD_NAME).alias("source_file"), "line")
+    dumps.write_dump_lines(good.unionByName(bad).unionByName(odd), landing)
+    table, ckpt = fresh_dir(spark, "raw_stream"), fresh_dir(spark, "ckpt")
+    ingest.ingest_dumps(spark, landing, table, ckpt, max_files_per_trigger=300)
+    kept = ingest.read_raw_stream_table(spark, table).select(F.lit("raw").alias("fate"))
+    lost = ingest.read_quarantine(spark, table).select(F.col("reason").alias("fate"))
+    return kept.unionByName(lost).groupBy("fate").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def late_row_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Days 11 and later first, then the older ones behind the watermark; the rows the live totals leave out."""
+    landing, log, ckpt = fresh_dir(spark, "landing"), fresh_dir(spark, "daily_log"), fresh_dir(spark, "ckpt")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    late = F.dayofmonth("loaded_at") <= 10
+    for part in (~late, late):
+        dumps.write_dump_files(rows.where(part), landing)
+        ingest.daily_company_totals(spark, landing, log, ckpt, watermark="2 days")
+    return ingest.late_rows(spark, landing, log)
+
+
 def late_files(spark: SparkSession, sf: str) -> DataFrame:
     """R2: newer hours first, older (late) hours later; the late files still land."""
     landing = fresh_dir(spark, "landing")

@@ -78,63 +78,57 @@ def _window(days: int) -> str:
 
 # --------------------------------------------------------------------------- analytics
 
+def _per_company(rows: str) -> str:
+    """Each company's figures over ``rows``; its rank counts the companies with a larger total."""
+    return f"""
+own AS (SELECT company, CAST(count_views AS HUGEINT) AS v FROM {rows}),
+figures AS (
+  SELECT company, count(*) AS page_count, CAST(sum(v) AS BIGINT) AS total_views, max(v) AS max_views, min(v) AS min_views,
+         CAST(quantile_cont(CAST(v AS DOUBLE), 0.5) AS DOUBLE) AS median_views
+  FROM own GROUP BY company),
+ranked AS (
+  SELECT 1 + (SELECT count(*) FROM figures o WHERE o.total_views > f.total_views) AS rank, company, page_count, total_views,
+         {sql_round_div('total_views', 'page_count')} AS avg_views, median_views, max_views, min_views,
+         {sql_round_pct('total_views', '(SELECT sum(v) FROM own)')} AS market_share_pct
+  FROM figures f)"""
+
+
+RANKED = ("rank, company, page_count, total_views, avg_views, median_views, CAST(max_views AS INTEGER) AS max_views, "
+          "CAST(min_views AS INTEGER) AS min_views, market_share_pct")
+
+
 def company_rankings() -> str:
-    return with_adapter(f"""
-daily_metrics AS (
-  SELECT company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views,
-         MAX(count_views) AS max_views, MIN(count_views) AS min_views,
-         CAST(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY count_views) AS DOUBLE) AS median_views
-  FROM filtered_pageviews WHERE processing_date = {AS_OF_SQL} GROUP BY company
-)""", f"""
-SELECT CAST(RANK() OVER (ORDER BY total_views DESC) AS BIGINT) AS rank, company, page_count, total_views,
-       {sql_round_div('total_views', 'page_count')} AS avg_views, median_views, max_views, min_views,
-       {sql_round_pct('total_views', 'SUM(total_views) OVER ()')} AS market_share_pct,
-       {AS_OF_SQL} AS report_date
-FROM daily_metrics""")
+    day = f"(SELECT * FROM filtered_pageviews WHERE processing_date = {AS_OF_SQL})"
+    return with_adapter(_per_company(day), f"SELECT {RANKED}, {AS_OF_SQL} AS report_date FROM ranked")
 
 
-def _metrics_cte(where: str) -> str:
-    return f"""
-daily_metrics AS (
-  SELECT company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views,
-         MAX(count_views) AS max_views, MIN(count_views) AS min_views,
-         CAST(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY count_views) AS DOUBLE) AS median_views
-  FROM filtered_pageviews WHERE {where} GROUP BY company
-),
-rankings AS (
-  SELECT CAST(RANK() OVER (ORDER BY total_views DESC) AS BIGINT) AS rank, company, page_count, total_views,
-         {sql_round_div('total_views', 'page_count')} AS avg_views, median_views, max_views, min_views,
-         {sql_round_pct('total_views', 'SUM(total_views) OVER ()')} AS market_share_pct
-  FROM daily_metrics
-)"""
+def share_large_totals(factor: int) -> str:
+    rows = (f"(SELECT company, CAST(count_views AS HUGEINT) * {factor} AS count_views FROM filtered_pageviews "
+            f"WHERE {_window(30)})")
+    wide = RANKED.replace("INTEGER", "BIGINT")
+    return with_adapter(_per_company(rows), f"SELECT {wide} FROM ranked")
 
 
 def rankings_window(days: int = 7, companies: list[str] | None = None) -> str:
     where = f"WHERE company IN ({', '.join(_q(c) for c in companies)})" if companies else ""
-    return with_adapter(_metrics_cte(_window(days)), f"SELECT * FROM rankings {where}")
+    return with_adapter(_per_company(f"(SELECT * FROM filtered_pageviews WHERE {_window(days)})"),
+                        f"SELECT {RANKED} FROM ranked {where}")
 
 
 def _winner_sql(where: str, report_date: bool) -> str:
-    rd = f", {AS_OF_SQL} AS report_date" if report_date else ""
+    """The company nobody exceeds beside each one that exactly one company exceeds."""
+    day = f", {AS_OF_SQL} AS report_date" if report_date else ""
     return with_adapter(f"""
-company_totals AS (
-  SELECT company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views
-  FROM filtered_pageviews WHERE {where} GROUP BY company
-),
-winner AS (
-  SELECT company, page_count, total_views, RANK() OVER (ORDER BY total_views DESC) AS rank FROM company_totals
-),
-runner_up AS (
-  SELECT company AS runner_up_company, total_views AS runner_up_views FROM winner WHERE rank = 2
-)""", f"""
-SELECT w.company AS winner_company, w.page_count AS winner_page_count, w.total_views AS winner_total_views,
-       r.runner_up_company, r.runner_up_views, w.total_views - r.runner_up_views AS lead_by_views,
-       {sql_round_pct('w.total_views - r.runner_up_views', 'r.runner_up_views')} AS lead_percentage,
-       (SELECT CAST(SUM(total_views) AS BIGINT) FROM company_totals) AS grand_total_views,
-       {sql_round_pct('w.total_views', '(SELECT SUM(total_views) FROM company_totals)')} AS winner_market_share
-       {rd}
-FROM winner w CROSS JOIN runner_up r
-WHERE w.rank = 1""")
+sums AS (
+  SELECT company, count(*) AS pages, CAST(sum(count_views) AS BIGINT) AS views
+  FROM filtered_pageviews WHERE {where} GROUP BY company),
+placed AS (SELECT *, (SELECT count(*) FROM sums o WHERE o.views > s.views) AS above FROM sums s)""", f"""
+SELECT best.company AS winner_company, best.pages AS winner_page_count, best.views AS winner_total_views,
+       next.company AS runner_up_company, next.views AS runner_up_views, best.views - next.views AS lead_by_views,
+       {sql_round_pct('best.views - next.views', 'next.views')} AS lead_percentage,
+       (SELECT CAST(sum(views) AS BIGINT) FROM sums) AS grand_total_views,
+       {sql_round_pct('best.views', '(SELECT sum(views) FROM sums)')} AS winner_market_share {day}
+FROM placed best JOIN placed next ON best.above = 0 AND next.above = 1""")
 
 
 def biggest_company() -> str:
@@ -142,7 +136,7 @@ def biggest_company() -> str:
 
 
 def winner_window(days: int = 7) -> str:
-    return _winner_sql(_window(days), False) + "\nORDER BY r.runner_up_company LIMIT 1"
+    return _winner_sql(_window(days), False) + "\nORDER BY next.company LIMIT 1"
 
 
 def filtered_window(days: int = 7, companies: list[str] | None = None) -> str:
@@ -460,10 +454,9 @@ def _resolve_sql(base: str, href: str) -> str:
             f"ELSE regexp_extract({base}, '^([^?#]*/)', 1) || {href} END")
 
 
-def _links_cte() -> str:
-    from viewsift.sources.pages import HREF_PATTERN
+def _links_cte(html: str = "html") -> str:
     return f"""
-link_lists AS (SELECT page_id, url, regexp_extract_all(html, {_q(HREF_PATTERN)}, 1) AS links FROM pages),
+link_lists AS (SELECT page_id, url, regexp_extract_all({html}, '<a href="([^"]*)"', 1) AS links FROM pages),
 links AS (
   SELECT page_id, CAST(i - 1 AS BIGINT) AS link_pos, links[i] AS href, {_resolve_sql('url', 'links[i]')} AS full_url
   FROM link_lists, range(1, len(links) + 1) AS r(i)
@@ -474,6 +467,10 @@ def page_links() -> str:
     return with_adapter(_links_cte(), "SELECT * FROM links")
 
 
+def gz_links() -> str:
+    return with_adapter(_links_cte("replace(html, 'e\">', 'e.gz\">')"), "SELECT * FROM links WHERE href LIKE '%.gz'")
+
+
 def seeded_pick(seed: str) -> str:
     return with_adapter(_links_cte(), f"""
 SELECT page_id, arg_min(full_url, md5({_q(seed)} || full_url)) AS full_url FROM links GROUP BY page_id""")
@@ -489,11 +486,12 @@ SELECT COUNT(*) AS row_count, TRUE AS has_required_columns, TRUE AS count_views_
 FROM raw_pageviews""")
 
 
-def verify_load() -> str:
-    return with_adapter("", """
+def verify_load(source_file: str | None = None) -> str:
+    where = f"WHERE source_file = {_q(source_file)}" if source_file else ""
+    return with_adapter("", f"""
 SELECT source_file, COUNT(*) AS record_count, MIN(loaded_at) AS load_time,
        COUNT(DISTINCT domain) AS domain_count, CAST(SUM(count_views) AS BIGINT) AS total_views
-FROM raw_pageviews GROUP BY source_file""")
+FROM raw_pageviews {where} GROUP BY source_file""")
 
 
 def _violations(table: str, rules_sql: list[tuple[str, str]]) -> str:
@@ -530,6 +528,34 @@ SELECT domain, page_title, processing_date, {_q(testbed.FILTER_METHOD)} AS filte
 FROM candidates GROUP BY domain, page_title, processing_date HAVING COUNT(*) > 1""")
 
 
+def sentiment_key_violations() -> str:
+    return with_adapter("", """
+SELECT page_title, processing_date, CAST(2 AS BIGINT) AS n_rows FROM sentiment_results WHERE sentiment_label = 'neutral'""")
+
+
+def curated_two_loads() -> str:
+    return with_adapter("", f"""
+SELECT 'max' AS mode, domain, page_title, count_views, company, processing_date, filter_method FROM filtered_pageviews
+UNION ALL
+SELECT 'sum', domain, page_title, CAST(sum(count_views) AS INTEGER), company, processing_date, {_q(testbed.FILTER_METHOD)}
+FROM verdicts WHERE verdict LIKE 'keep:%' GROUP BY domain, page_title, company, processing_date""")
+
+
+def stream_quarantine(n_bad: int) -> str:
+    return with_adapter("files AS (SELECT count(DISTINCT source_file) AS n FROM raw_pageviews)", f"""
+SELECT 'raw' AS fate, count(*) AS n_lines FROM raw_pageviews
+UNION ALL SELECT 'field_count', 2 * n FROM files
+UNION ALL SELECT 'count_not_integer', n FROM files
+UNION ALL SELECT 'negative_count', ({n_bad} - 3) * n FROM files
+UNION ALL SELECT 'file_name', count(*) FROM raw_pageviews WHERE source_file LIKE '%-120000.gz' HAVING count(*) > 0""")
+
+
+def late_row_count() -> str:
+    return with_adapter("", """
+SELECT processing_date, company, count(*) AS late_rows FROM candidates WHERE day(processing_date) <= 10
+GROUP BY processing_date, company""")
+
+
 def fuzzy_titles(query: str, threshold: float) -> str:
     from viewsift.operators.fuzzy import WORD_SPLIT, trigrams
     q = "[" + ", ".join(_q(t) for t in trigrams(query)) + "]"
@@ -564,15 +590,16 @@ FROM batched GROUP BY bucket, batch_no""")
 
 
 def score_batches() -> str:
-    """Replies of the shipped rule scorer, in its JSON layout (``", "`` and ``": "`` separators)."""
+    """Replies by the verdict rules, as compact JSON with quoted CSV."""
     keep = "verdict LIKE 'keep:%'"
-    rec = ("'{\"domain\": ' || CAST(to_json(domain) AS VARCHAR) || ', \"page_title\": ' || "
-           "CAST(to_json(page_title) AS VARCHAR) || ', \"count_views\": ' || CAST(count_views AS VARCHAR) || '}'")
-    line = "domain || ',' || page_title || ',' || CAST(count_views AS VARCHAR) || chr(10)"
+    rec = ("'{\"domain\":' || CAST(to_json(domain) AS VARCHAR) || ',\"page_title\":' || "
+           "CAST(to_json(page_title) AS VARCHAR) || ',\"count_views\":' || CAST(count_views AS VARCHAR) || '}'")
+    title = "CASE WHEN regexp_matches(page_title, '[,\"]') THEN '\"' || replace(page_title, '\"', '\"\"') || '\"' ELSE page_title END"
+    line = f"domain || ',' || {title} || ',' || CAST(count_views AS VARCHAR) || chr(10)"
     return with_adapter(_batched_ctes(), f"""
 SELECT bucket, batch_no,
-       '{{"json_output": [' || coalesce(string_agg({rec}, ', ' ORDER BY row_in_batch) FILTER (WHERE {keep}), '')
-       || '], "csv_output": ' || CAST(to_json(CASE WHEN count_if({keep}) = 0 THEN ''
+       '{{"json_output":[' || coalesce(string_agg({rec}, ',' ORDER BY row_in_batch) FILTER (WHERE {keep}), '')
+       || '],"csv_output":' || CAST(to_json(CASE WHEN count_if({keep}) = 0 THEN ''
             ELSE 'domain,page_title,count_views' || chr(10)
                  || string_agg({line}, '' ORDER BY row_in_batch) FILTER (WHERE {keep}) END) AS VARCHAR)
        || '}}' AS reply,

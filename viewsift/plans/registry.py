@@ -61,7 +61,7 @@ def _batched(s: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored_replies(s: SparkSession, sf: str) -> DataFrame:
-    return SC.score_batches(SC.build_prompts(_batched(s, sf)), SC.RuleScorer())
+    return SC.score_batches(SC.build_prompts(_batched(s, sf)))
 
 
 def _with_replies(s: SparkSession, sf: str, op) -> DataFrame:
@@ -105,11 +105,20 @@ def _links(s: SparkSession, sf: str) -> DataFrame:
     return PG.page_links(tb.table(s, sf, "pages"), suffix=None)
 
 
+def _gz_links(s: SparkSession, sf: str) -> DataFrame:
+    """S7 with its suffix: links to dumps, made from the pages' links that end in ``e``."""
+    pages = tb.table(s, sf, "pages")
+    return PG.page_links(pages.withColumn("html", F.replace("html", F.lit('e">'), F.lit('e.gz">'))))
+
+
 RETENTION_DAYS = 14
 SEED = "viewsift"
 FUZZY_QUERY = "google pixel phone"
 FUZZY_THRESHOLD = 0.3
 
+LARGE_FACTOR = 7_000_000_001  # totals of some 10^15 views
+ONE_FILE = "pageviews-20240115-120000.gz"
+
 QUERIES.update({
     "stage_a": lambda s, sf: PF.stage_a(_raw(s, sf), AS_OF),
     "stage_b": lambda s, sf: PF.stage_b(PF.stage_a(_raw(s, sf), AS_OF)),
@@ -120,6 +129,16 @@ QUERIES.update({
     "null_fill": lambda s, sf: DU.fill_unknown(_raw(s, sf), pandas_null_tokens=True),
     "retention": lambda s, sf: C.retention_window(_raw(s, sf), AS_OF, RETENTION_DAYS),
     "raw_load": LJ.raw_load,
+    "raw_load_retry": LJ.raw_load_retry,
+    "curated_two_loads": LJ.curated_two_loads,
+    "stream_quarantine": LJ.stream_quarantine,
+    "late_row_count": LJ.late_row_count,
+    "share_large_totals": lambda s, sf: A.rankings_window(
+        _filtered(s, sf).withColumn("count_views", F.col("count_views").cast("long") * LARGE_FACTOR), AS_OF, 30),
+    "verify_one_file": lambda s, sf: QC.verify_load(_raw(s, sf), ONE_FILE),
+    "sentiment_key_violations": lambda s, sf: QC.key_violations(
+        tb.sentiment_results(s, sf).unionByName(tb.sentiment_results(s, sf).where("sentiment_label = 'neutral'")),
+        ["page_title", "processing_date"]),
     "curated_load": LJ.curated_load,
     "union_files": LJ.union_files,
     "csv_roundtrip": LJ.csv_roundtrip,
@@ -131,6 +150,7 @@ QUERIES.update({
     "late_files": LJ.late_files,
     "stream_daily_summary": LJ.stream_daily_summary,
     "page_links": _links,
+    "gz_links": _gz_links,
     "seeded_pick": lambda s, sf: PG.seeded_pick(_links(s, sf), SEED, ["page_id"]),
     "extract_checks": lambda s, sf: QC.extract_checks(_raw(s, sf)),
     "verify_load": lambda s, sf: QC.verify_load(_raw(s, sf)),
@@ -182,6 +202,13 @@ ORACLES: dict[str, Callable[[], str]] = {
     "null_fill": O.null_fill,
     "retention": lambda: O.retention(RETENTION_DAYS),
     "raw_load": O.raw_rows,
+    "raw_load_retry": O.raw_rows,
+    "curated_two_loads": O.curated_two_loads,
+    "stream_quarantine": lambda: O.stream_quarantine(len(LJ.BAD_LINES)),
+    "late_row_count": O.late_row_count,
+    "share_large_totals": lambda: O.share_large_totals(LARGE_FACTOR),
+    "verify_one_file": lambda: O.verify_load(ONE_FILE),
+    "sentiment_key_violations": O.sentiment_key_violations,
     "curated_load": O.filtered_rows,
     "union_files": O.raw_rows,
     "csv_roundtrip": O.candidate_rows,
@@ -192,6 +219,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "late_files": O.stream_rows,
     "stream_daily_summary": O.stream_daily_summary,
     "page_links": O.page_links,
+    "gz_links": O.gz_links,
     "seeded_pick": lambda: O.seeded_pick(SEED),
     "extract_checks": O.extract_checks,
     "verify_load": O.verify_load,

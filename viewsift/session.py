@@ -70,6 +70,33 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/viewsift/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file system layer (any store it reads)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many intermediate tables this application has written so far (see ``drop_scratch``)."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables (``materialize``) written after mark ``since``; returns how many.
+
+    For a job's end, when nothing reads results built on them any more.
+    """
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    gone = paths[since:]
+    del paths[since:]
+    for path in gone:
+        delete_path(spark, path)
+    return len(gone)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in a fresh folder of the scratch root and read it back.
 
@@ -77,9 +104,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     ``checkpoint()`` computes it, then recomputes it to write), and the table
     survives lost executors. Column values (not partition layout) carry state.
     """
-    path = fresh_dir(df.sparkSession, name)
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def filesystem(path: str):

@@ -9,8 +9,8 @@ Parsing is a built-in ``split`` + ``try_cast`` (no CSV reader: D2 explains why
 ``DROPMALFORMED`` loses good 3-field lines and keeps bad ones once columns are
 pruned). A line is good when it has 3 or 4 fields, non-empty domain and title,
 and an integer ``count_views >= 0``; blank lines are ignored; every other line
-goes to a quarantine frame with its reason (D1). ``strict=True`` raises when the
-quarantine is non-empty.
+goes to a quarantine frame with its reason (D1). ``strict=True`` makes the rows'
+own query fail on a malformed line.
 """
 
 from __future__ import annotations
@@ -34,10 +34,6 @@ PANDAS_NULL_TOKENS = [
 UNKNOWN = "unknown"
 
 
-class DumpFormatError(ValueError):
-    """Raised by ``strict`` parsing when some lines are malformed."""
-
-
 def read_dump_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines of one or many dump files with their ``source_file`` (file name)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -79,10 +75,18 @@ def parse_dumps(spark: SparkSession, paths: str | Sequence[str], strict: bool =
     lines = read_dump_lines(spark, paths)
     if repartition:
         lines = lines.repartition(int(repartition))  # spread one huge file's parse
-    good, bad = parse_dump_lines(lines)
-    if strict and not bad.isEmpty():
-        raise DumpFormatError(f"malformed dump lines, e.g. {bad.first()}")
-    return good, bad
+    if strict:
+        return _strict_rows(lines), parse_dump_lines(lines)[1]
+    return parse_dump_lines(lines)
+
+
+def _strict_rows(lines: DataFrame) -> DataFrame:
+    """The rows of the lines; a malformed line fails the query that reads them, in the same pass."""
+    c = _classified(lines).where(F.col("_reason").isNull() | (F.col("_reason") != "blank"))
+    message = F.concat(F.lit("malformed dump line ("), F.col("_reason"), F.lit(") in "), "source_file", F.lit(": "), "value")
+    count = F.when(F.col("_reason").isNull(), F.col("_count")).otherwise(F.raise_error(message).cast("int"))
+    return c.select(F.get(F.col("_parts"), 0).alias("domain"), F.get(F.col("_parts"), 1).alias("page_title"),
+                    count.alias("count_views"), "source_file")
 
 
 def fill_unknown(df: DataFrame, columns: Sequence[str] = ("domain", "page_title"),
@@ -118,7 +122,7 @@ def _audit_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     status, error = "corrupt", "not a gzip file (magic bytes)"
                 else:
                     with fs.open_input_stream(p, compression=None) as raw, gzip.GzipFile(fileobj=raw) as gz:
-                        head = gz.readline(4096)
+                        head = gz.readline()  # one dump line, whole
                         first_line = head.decode("utf-8", "replace").rstrip("\n")
                         lines, last = head.count(b"\n"), head[-1:]
                         while chunk := gz.read(1 << 20):  # stream to the end: CRC and length checked
@@ -126,7 +130,7 @@ def _audit_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             last = chunk[-1:]
                         lines += 1 if last not in (b"", b"\n") else 0  # a last line without newline
             except (OSError, EOFError, zlib.error) as e:
-                status, error = "corrupt", f"{type(e).__name__}: {e}"[:300]
+                status, error = "corrupt", f"{type(e).__name__}: {e}"
             out.append((path, path.rstrip("/").rsplit("/", 1)[-1], int(length), status, error, first_line, lines))
         yield pd.DataFrame(out, columns=["path", "file_name", "length", "status", "error", "first_line", "lines"])
 
@@ -180,14 +184,19 @@ def _write_dump_files(target: str):
 
 
 def write_dump_files(rows: DataFrame, target: str, n_tasks: int | None = None) -> int:
-    """Write rows as gzip dump files named by their ``source_file`` (one file per name).
+    """Write rows as gzip dump files named by their ``source_file``; returns the number of files."""
+    line = F.concat_ws(" ", "domain", "page_title", F.col("count_views").cast("string"), F.lit("0"))
+    return write_dump_lines(rows.select("source_file", line.alias("line")), target, n_tasks)
+
+
+def write_dump_lines(lines: DataFrame, target: str, n_tasks: int | None = None) -> int:
+    """Write (source_file, line) rows as gzip files, one per name.
 
     Rows are hash-partitioned by ``source_file`` and sorted inside each task, so a
-    task streams each of its files out once. Returns the number of files written.
+    task streams each of its files out once.
     """
-    ship_package(rows.sparkSession)
-    line = F.concat_ws(" ", "domain", "page_title", F.col("count_views").cast("string"), F.lit("0"))
-    df = rows.select("source_file", line.alias("line"))
+    ship_package(lines.sparkSession)
+    df = lines.select("source_file", "line")
     df = (df.repartition(n_tasks, "source_file") if n_tasks else df.repartition("source_file"))
     df = df.sortWithinPartitions("source_file")
     return df.mapInPandas(_write_dump_files(target), "source_file string").count()

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# A quote inside a quoted field is doubled, as CSV readers elsewhere (pandas included) expect.
+QUOTING = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """K3: CSV with a header line (one file per task)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(header=True, **QUOTING).csv(path)
 
 
 def export_csv(df: DataFrame, root: str, prefix: str, at=None) -> str:
@@ -27,7 +31,7 @@ def export_csv(df: DataFrame, root: str, prefix: str, at=None) -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """S3: CSV with header and an explicit schema; malformed rows fail the read."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    return spark.read.schema(schema).options(header=True, mode="FAILFAST", **QUOTING).csv(path)
 
 
 # Microsecond timestamps: the writer's default keeps milliseconds only.
@@ -58,7 +62,7 @@ def csv_text_column(rows: DataFrame, group_cols: list[str], columns: list[str],
     group in ``order_cols`` order. Groups must be bounded (here: scorer batches).
     """
     order_cols = order_cols or columns
-    line = F.to_csv(F.struct(*[F.col(c) for c in columns]))
+    line = F.to_csv(F.struct(*[F.col(c) for c in columns]), QUOTING)
     keyed = F.struct(*[F.col(c) for c in order_cols], line.alias("_line"))
     agg = rows.groupBy(*group_cols).agg(F.sort_array(F.collect_list(keyed)).alias("_lines"))
     header = ",".join(columns)
@@ -71,7 +75,8 @@ def parse_csv_text(df: DataFrame, text_col: str, schema: T.StructType | str) ->
     """Rows of CSV held in a string column (first line = header), other columns carried.
 
     Lines are split and exploded, the header line is dropped, and each line is
-    parsed with ``from_csv`` against the explicit schema. Empty text gives no rows
+    parsed with ``from_csv`` against the explicit schema; a malformed line fails the
+    query (as in ``read_csv``). Fields hold no line breaks. Empty text gives no rows
     (C6: the empty-input path).
     """
     st = _schema(schema)
@@ -79,6 +84,6 @@ def parse_csv_text(df: DataFrame, text_col: str, schema: T.StructType | str) ->
     carried = [c for c in df.columns if c != text_col]
     lines = df.select(*carried, F.posexplode(F.split(F.col(text_col), "\r?\n")).alias("_pos", "_line"))
     lines = lines.where((F.col("_pos") > 0) & (F.col("_line") != ""))
-    parsed = lines.select(*carried, "_pos", F.from_csv(F.col("_line"), ddl).alias("_r"))
+    parsed = lines.select(*carried, "_pos", F.from_csv(F.col("_line"), ddl, {**QUOTING, "mode": "FAILFAST"}).alias("_r"))
     return parsed.select(*carried, F.col("_pos").alias("line_no"), *[F.col(f"_r.{f.name}").alias(f.name)
                                                                       for f in st.fields])

@@ -11,8 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The anchor pattern (an ``a`` tag with a double-quoted href).
-HREF_PATTERN = r'<a\s[^>]*?href="([^"]*)"'
+# An ``a`` tag with its attributes; attribute values may be quoted either way or bare.
+_VALUE = r"""\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+ANCHOR_PATTERN = rf"""(?i)<a((?:\s+[^\s=>"']+(?:{_VALUE})?)*+)\s*/?>"""
+# The first attribute named exactly ``href`` among those of a tag (never ``data-href``).
+HREF_PATTERN = rf"""(?i)^(?:\s+(?!href[\s=])[^\s=>"']+(?:{_VALUE})?)*\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Character references an address can hold; the ampersand comes last.
+ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 ORIGIN_PATTERN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)"
 
 
@@ -25,12 +30,21 @@ def resolve_url(base: Column, href: Column) -> Column:
             .otherwise(F.concat(folder, href)))
 
 
+def href_of(attributes: Column) -> Column:
+    """The ``href`` value of an anchor's attributes, unquoted and with character references resolved."""
+    value = F.regexp_extract(attributes, HREF_PATTERN, 1)
+    value = F.regexp_replace(value, "^[\"']|[\"']$", "")
+    for name, char in ENTITIES:
+        value = F.replace(value, F.lit(name), F.lit(char))
+    return F.trim(value)
+
+
 def page_links(pages: DataFrame, suffix: str | None = ".gz", url_col: str = "url",
                html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """Every ``a[href]`` of every page (position kept), optionally only those ending in ``suffix``."""
-    links = pages.select(
-        id_col, url_col,
-        F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(HREF_PATTERN), 1)).alias("link_pos", "href"))
+    tags = F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_PATTERN), 1)
+    tags = F.filter(tags, lambda t: t.rlike(HREF_PATTERN))
+    links = pages.select(id_col, url_col, F.posexplode(F.transform(tags, href_of)).alias("link_pos", "href"))
     if suffix:
         links = links.where(F.col("href").endswith(suffix))
     return links.select(id_col, F.col("link_pos").cast("long").alias("link_pos"), "href",

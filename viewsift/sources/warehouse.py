@@ -7,8 +7,10 @@ column prune partitions, other filters and projections reach the scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from viewsift import schemas
+from viewsift.operators import curate
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -16,7 +18,11 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def raw_table(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.RAW_PAGEVIEWS)
+    """The rows of committed loads (``operators.curate.raw_load``); other loads' folders are pruned."""
+    schema = T.StructType([*schemas.RAW_PAGEVIEWS.fields, T.StructField("load_id", T.StringType())])
+    done = curate.commits(spark, path).select("load_id").distinct()
+    rows = spark.read.schema(schema).parquet(path).join(done, "load_id", "left_semi")
+    return rows.select(*[f.name for f in schemas.RAW_PAGEVIEWS.fields])
 
 
 def curated_table(spark: SparkSession, path: str) -> DataFrame:

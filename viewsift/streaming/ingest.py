@@ -1,14 +1,16 @@
 """Incremental ingest of dump files with Structured Streaming.
 
 * ``ingest_dumps`` (R1/R2): ``readStream.text`` over a landing folder → dump parse
-  → ``foreachBatch`` that filters out ``source_file``s already in the raw table and
-  appends the rest (partitioned by date). The file source checkpoint makes each
-  file count once; the filter makes a replayed batch harmless. No watermark
-  here: a dump that arrives late still lands in the raw table.
+  → ``foreachBatch``: each micro-batch is one raw load named after its batch
+  number (``operators.curate.raw_load``), so a replayed batch changes nothing, and
+  files already loaded stay out. Bad lines, and all lines of a file whose name
+  holds no hour, go to the quarantine in the same batch. No watermark here: a dump
+  that arrives late still lands in the raw table.
 * ``daily_company_totals`` (R3): the same stream, prefiltered, aggregated per
   day and company with a watermark in update mode. Updates go to an append-only
   log; ``latest_totals`` reads the last update per key. Rows later than the
-  watermark are left out of this live view (the batch view V1 recomputes them).
+  watermark are left out of this live view (the batch view V1 recomputes them);
+  ``late_rows`` counts them.
 
 Event time is the hour in the dump's file name (``pageviews-YYYYMMDD-HH0000.gz``).
 """
@@ -21,67 +23,94 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.operators import prefilter
-from viewsift.operators.curate import distinct_values, loaded_files, write_raw
+from viewsift.operators.curate import raw_load
 from viewsift.sources.dumps import parse_dump_lines
+from viewsift.sources.warehouse import raw_table
 
 HOUR_PATTERN = r"pageviews-(\d{8}-\d{6})"
 
 
 def event_hour_expr(file_col: str = "source_file") -> F.Column:
-    return F.to_timestamp_ntz(F.regexp_extract(F.col(file_col), HOUR_PATTERN, 1), F.lit("yyyyMMdd-HHmmss"))
+    """The hour in a dump's name; null where the name holds none."""
+    return F.try_to_timestamp(F.regexp_extract(F.col(file_col), HOUR_PATTERN, 1), F.lit("yyyyMMdd-HHmmss")) \
+        .cast("timestamp_ntz")
 
 
-def dump_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parsed rows of new dump files as a stream, with ``event_hour`` and ``processing_date``."""
+def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of new dump files as a stream, with their ``source_file``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = reader.load(landing_dir).select("value", F.col("_metadata.file_name").alias("source_file"))
-    good, _ = parse_dump_lines(lines)
-    hour = event_hour_expr("source_file")
-    return good.withColumn("event_hour", hour).withColumn("processing_date", F.to_date(hour))
+    return reader.load(landing_dir).select("value", F.col("_metadata.file_name").alias("source_file"))
+
+
+def parsed_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``event_hour`` and ``processing_date``, quarantine) of dump lines."""
+    named = lines.withColumn("event_hour", event_hour_expr("source_file"))
+    good, bad = parse_dump_lines(named.where(F.col("event_hour").isNotNull()))
+    odd = named.where(F.col("event_hour").isNull() & (F.trim("value") != "")).select(
+        "source_file", F.col("value").alias("line"), F.lit("file_name").alias("reason"))
+    return (good.withColumn("processing_date", F.to_date("event_hour")),
+            bad.select("source_file", "line", "reason").unionByName(odd))
+
+
+def dump_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Parsed good rows of new dump files as a stream, with ``event_hour`` and ``processing_date``."""
+    return parsed_lines(line_stream(spark, landing_dir, max_files_per_trigger))[0]
 
 
 RAW_STREAM_COLUMNS = ["domain", "page_title", "count_views", "source_file", "event_hour", "processing_date"]
 
 
-def _append_new_files(table_path: str):
+def quarantine_path(table_path: str) -> str:
+    return table_path.rstrip("/") + "_quarantine"
+
+
+def _load_batch(table_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         # one partition per dump file: rebalance before caching, so an oversized dump is spread
-        cached = batch.select(*RAW_STREAM_COLUMNS).hint("rebalance").persist()
-        rows = cached
+        lines = batch.hint("rebalance").persist()
         try:
-            existing = spark.read.parquet(table_path)
-        except AnalysisException:  # first batch: no table yet
-            existing = None
-        if existing is not None:
-            # A file's date comes from its name, so only this batch's files and dates are read.
-            files = distinct_values(rows, "source_file")
-            dates = distinct_values(rows, "processing_date")
-            done = loaded_files(existing.where(F.col("processing_date").isin(dates)), files)
-            if done:  # a bounded subset of this batch's files: a NOT IN filter, no join
-                rows = rows.where(~F.col("source_file").isin(done))
-        write_raw(rows, table_path)
-        cached.unpersist()
+            good, bad = parsed_lines(lines)
+            # The batch number names both folders: a replayed batch overwrites its own.
+            bad.write.mode("overwrite").parquet(f"{quarantine_path(table_path)}/batch={batch_id}")
+            raw_load(batch.sparkSession, good.withColumnRenamed("event_hour", "loaded_at"), table_path, f"stream-{batch_id}")
+        finally:
+            lines.unpersist()
     return run
 
 
+def _run(query) -> int:
+    """Wait for an ``availableNow`` query; returns the number of batches it ran."""
+    while query.isActive and not query.recentProgress:  # Spark keeps the newest progress only: note the first
+        query.awaitTermination(1)
+    progress = query.recentProgress
+    begin = progress[0]["batchId"] if progress else 0
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    progress = query.recentProgress
+    return progress[-1]["batchId"] - begin + 1 if progress else 0
+
+
 def ingest_dumps(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str,
                  max_files_per_trigger: int | None = None) -> int:
     """Ingest every dump file not seen before (``availableNow``); returns batches run."""
-    q = (dump_stream(spark, landing_dir, max_files_per_trigger).writeStream
-         .foreachBatch(_append_new_files(table_path))
-         .option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return len(q.recentProgress)
+    return _run(line_stream(spark, landing_dir, max_files_per_trigger).writeStream
+                .foreachBatch(_load_batch(table_path))
+                .option("checkpointLocation", checkpoint_dir)
+                .trigger(availableNow=True).start())
 
 
 def read_raw_stream_table(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).select(*RAW_STREAM_COLUMNS)
+    """The committed rows; ``event_hour`` is the hour they were loaded for."""
+    return raw_table(spark, table_path).withColumnRenamed("loaded_at", "event_hour").select(*RAW_STREAM_COLUMNS)
+
+
+def read_quarantine(spark: SparkSession, table_path: str) -> DataFrame:
+    """Quarantined lines of the stream: source_file, line, reason."""
+    schema = "source_file string, line string, reason string"
+    return spark.read.schema(schema).parquet(quarantine_path(table_path)).select("source_file", "line", "reason")
 
 
 def _append_updates(log_path: str):
@@ -105,12 +134,8 @@ def daily_company_totals(spark: SparkSession, landing_dir: str, log_path: str, c
            .groupBy(F.window("event_ts", "1 day").alias("day"), "processing_date", "company")
            .agg(F.count(F.lit(1)).alias("page_count"), F.sum("count_views").cast("long").alias("total_views")))
     out = agg.select("processing_date", "company", "page_count", "total_views")
-    q = (out.writeStream.outputMode("update").foreachBatch(_append_updates(log_path))
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return len(q.recentProgress)
+    return _run(out.writeStream.outputMode("update").foreachBatch(_append_updates(log_path))
+                .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
 
 
 def latest_totals(spark: SparkSession, log_path: str) -> DataFrame:
@@ -120,3 +145,15 @@ def latest_totals(spark: SparkSession, log_path: str) -> DataFrame:
     return log.groupBy("processing_date", "company").agg(best.alias("_v")).select(
         "processing_date", "company", F.col("_v.page_count").alias("page_count"),
         F.col("_v.total_views").alias("total_views"))
+
+
+def late_rows(spark: SparkSession, landing_dir: str, log_path: str, min_views: int = rules.DEFAULT_MIN_VIEWS) -> DataFrame:
+    """Per day and company, prefiltered rows of the landing folder that the live totals left out as too late."""
+    lines = spark.read.text(landing_dir).select("value", F.col("_metadata.file_name").alias("source_file"))
+    rows = parsed_lines(lines)[0].where(F.col("count_views") >= int(min_views))
+    seen = prefilter.with_company(prefilter.stage_c(prefilter.stage_b(rows)))
+    every = seen.groupBy("processing_date", "company").agg(F.count(F.lit(1)).alias("n"))
+    live = latest_totals(spark, log_path).select("processing_date", "company", "page_count")
+    late = F.col("n") - F.coalesce("page_count", F.lit(0))
+    return every.join(live, ["processing_date", "company"], "left") \
+        .select("processing_date", "company", late.alias("late_rows")).where("late_rows > 0")
