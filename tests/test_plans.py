@@ -71,7 +71,40 @@ def test_scoring_python_hop_only_in_scorer(spark):
     from viewsift.operators import scoring as S
     b = tb.batched_candidates(spark, "/root/testdata/sf0.001")
     assert "Python" not in plan(S.build_prompts(b))
-    assert "MapInPandas" in plan(S.score_batches(S.build_prompts(b)))
+    assert "Python" not in plan(S.score_batches(S.build_prompts(b)))
+    assert "MapInPandas" in plan(S.score_batches(S.build_prompts(b), S.RuleScorer()))
+
+
+def test_dq_latest_reads_the_newest_dates_only(spark, tables):
+    import os
+    from viewsift.plans import analytics as A
+    from viewsift.sources import warehouse
+    raw, _ = tables
+    root = os.path.dirname(raw.inputFiles()[0].replace("file:", "").rsplit("/processing_date=", 1)[0])
+    stored = spark.read.parquet(root + "/raw") if os.path.isdir(root + "/raw") else raw
+    p = plan(A.dq_latest(stored, warehouse.curated_table(spark, root + "/filtered"), 3))
+    assert p.count("PartitionFilters: [isnotnull(processing_date") >= 2 and "scalar-subquery" in p.lower() or "Subquery" in p
+
+
+def test_files_keep_their_order_over_dates_and_hours(spark):
+    """Rows read from a table with several dates and hours: every written file is sorted by file, then views."""
+    import glob
+    import tempfile
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from viewsift.operators import curate
+    root = tempfile.mkdtemp(prefix="viewsift-order-")
+    tb.raw_pageviews(spark, "/root/testdata/sf0.01", with_event_id=False).withColumn(
+        "loaded_at", F.col("loaded_at").cast("timestamp_ntz")).write.parquet(root + "/src")
+    curate.raw_load(spark, spark.read.parquet(root + "/src"), root + "/raw", "one")
+    files = glob.glob(root + "/raw/load_id=one/processing_date=*/part-*.parquet")
+    assert len(files) >= 30
+    for f in files:
+        t = pq.ParquetFile(f).read(columns=["source_file", "count_views"])
+        rows = [(a, -b) for a, b in zip(t["source_file"].to_pylist(), t["count_views"].to_pylist())]
+        assert rows == sorted(rows)
 
 
 def test_warehouse_reader_prunes_and_pushes(spark, tables):
