@@ -26,7 +26,12 @@ def adapter_ctes() -> str:
 catalogue(k, title) AS (VALUES {values}),
 raw_full AS (
   SELECT CASE WHEN e.user_id % 3 = 0 THEN 'en.m' ELSE 'en' END AS domain,
-         c.title AS page_title,
+         CASE WHEN e.event_id % 3 = 0 THEN 'Google_Maps_' || CAST(e.event_id % 100003 AS VARCHAR)
+              WHEN e.event_id % 12 = 1 THEN c.title || ',_No._' || CAST(e.event_id % 7 AS VARCHAR)
+              WHEN e.event_id % 12 = 2 THEN '"' || c.title || '"'
+              WHEN e.event_id % 12 = 4 THEN c.title || chr(92) || '_II'
+              WHEN e.event_id % 12 = 5 THEN c.title || '_Café'
+              ELSE c.title END AS page_title,
          CAST(floor(e.value * 100) AS INTEGER) AS count_views,
          'pageviews-' || strftime(e.ts, '%Y%m%d-%H') || '0000.gz' AS source_file,
          CAST(e.ts AS TIMESTAMP) AS loaded_at,
@@ -345,11 +350,16 @@ WHERE NOT EXISTS (SELECT 1 FROM batched b WHERE r.bucket = b.bucket AND r.batch_
                     AND r.domain = b.domain AND r.page_title = b.page_title)""")
 
 
+#: A title as a CSV field: quoted where it must be, quotes doubled.
+_CSV_TITLE = ("CASE WHEN regexp_matches(page_title, '[,\"]') THEN '\"' || replace(page_title, '\"', '\"\"') || '\"' "
+              "ELSE page_title END")
+
+
 def csv_fallback() -> str:
-    return with_adapter(_batched_ctes(), """
+    return with_adapter(_batched_ctes(), f"""
 SELECT bucket, batch_no,
        'domain,page_title,count_views' || chr(10) ||
-       string_agg(domain || ',' || page_title || ',' || CAST(count_views AS VARCHAR), chr(10) ORDER BY pos)
+       string_agg(domain || ',' || {_CSV_TITLE} || ',' || CAST(count_views AS VARCHAR), chr(10) ORDER BY pos)
        || chr(10) AS csv_text
 FROM reply_rows GROUP BY bucket, batch_no""")
 
@@ -594,8 +604,7 @@ def score_batches() -> str:
     keep = "verdict LIKE 'keep:%'"
     rec = ("'{\"domain\":' || CAST(to_json(domain) AS VARCHAR) || ',\"page_title\":' || "
            "CAST(to_json(page_title) AS VARCHAR) || ',\"count_views\":' || CAST(count_views AS VARCHAR) || '}'")
-    title = "CASE WHEN regexp_matches(page_title, '[,\"]') THEN '\"' || replace(page_title, '\"', '\"\"') || '\"' ELSE page_title END"
-    line = f"domain || ',' || {title} || ',' || CAST(count_views AS VARCHAR) || chr(10)"
+    line = f"domain || ',' || {_CSV_TITLE} || ',' || CAST(count_views AS VARCHAR) || chr(10)"
     return with_adapter(_batched_ctes(), f"""
 SELECT bucket, batch_no,
        '{{"json_output":[' || coalesce(string_agg({rec}, ',' ORDER BY row_in_batch) FILTER (WHERE {keep}), '')

@@ -65,12 +65,28 @@ def source_file_expr(ts_col: str = "ts") -> F.Column:
     return F.concat(F.lit("pageviews-"), F.date_format(F.col(ts_col), "yyyyMMdd-HH"), F.lit("0000.gz"))
 
 
+def title_expr(title: F.Column, event_id: F.Column) -> F.Column:
+    """A row's title: every third row one of many Google pages, others the catalogue's, some with odd characters.
+
+    So curated rows grow with the events, one company holds over a third of all
+    rows, and titles hold commas, quotes, backslashes and accents.
+    """
+    kind = event_id % 12
+    number = (event_id % 100_003).cast("string")
+    return (F.when(event_id % 3 == 0, F.concat(F.lit("Google_Maps_"), number))
+            .when(kind == 1, F.concat(title, F.lit(",_No._"), (event_id % 7).cast("string")))
+            .when(kind == 2, F.concat(F.lit('"'), title, F.lit('"')))
+            .when(kind == 4, F.concat(title, F.lit("\\_II")))
+            .when(kind == 5, F.concat(title, F.lit("_Café")))
+            .otherwise(title))
+
+
 def raw_pageviews(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     cat = F.broadcast(catalogue(spark))  # 72 rows: proven size bound
     df = ev.join(cat, (ev.event_id % N_TITLES) == cat.k).select(
         F.when(F.col("user_id") % 3 == 0, F.lit("en.m")).otherwise(F.lit("en")).alias("domain"),
-        F.col("title").alias("page_title"),
+        title_expr(F.col("title"), F.col("event_id")).alias("page_title"),
         F.floor(F.col("value") * 100).cast("int").alias("count_views"),
         source_file_expr("ts").alias("source_file"),
         F.col("ts").cast("timestamp_ntz").alias("loaded_at"),
