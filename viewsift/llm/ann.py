@@ -34,8 +34,8 @@ QUERY_STEP = 50
 TREES = 64
 BITS = 32
 #: Share of a shard's vectors that a query compares exactly, at least.
-SHARE = 0.35
-LEAST_CANDIDATES = 256
+SHARE = 0.5
+LEAST_CANDIDATES = 1_024
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 2_048
 SEED = 17
