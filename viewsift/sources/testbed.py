@@ -86,7 +86,8 @@ def raw_pageviews(spark: SparkSession, sf_dir: str, with_event_id: bool = True)
     cat = F.broadcast(catalogue(spark))  # 72 rows: proven size bound
     df = ev.join(cat, (ev.event_id % N_TITLES) == cat.k).select(
         F.when(F.col("user_id") % 3 == 0, F.lit("en.m")).otherwise(F.lit("en")).alias("domain"),
-        title_expr(F.col("title"), F.col("event_id")).alias("page_title"),
+        # a generated column: the rules' many conditions read it instead of repeating its expression
+        F.explode(F.array(title_expr(F.col("title"), F.col("event_id")))).alias("page_title"),
         F.floor(F.col("value") * 100).cast("int").alias("count_views"),
         source_file_expr("ts").alias("source_file"),
         F.col("ts").cast("timestamp_ntz").alias("loaded_at"),
