@@ -4,7 +4,7 @@ A source's repetition rate is its target share of the rows over its own rows.
 Each document draws its number of copies by inverting the Poisson distribution
 of that rate at a uniform number hashed from the seed and the document, so a
 rerun, a lost task or another partitioning draws the same. Copies are exploded
-and shuffled globally: sorted by a hashed key, cut into ranges of equal size.
+and shuffled globally: dealt by a hashed key and sorted by it in each partition.
 
 The only grouping is a count per source (combined map-side); documents meet
 their source's row by a join whose document side may be split, so a source may
@@ -23,13 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewsift.llm.common import packed, unpacked, without
+from viewsift.session import materialize
 
 SEED = 11
 #: Target share of a source grows as its rows to this power (1: as they are, 0: all alike).
 TEMPERATURE = 0.5
 #: A Poisson draw of a larger mean is the sum of draws of means below this.
 STEP_MEAN = 16.0
-#: Terms of a distribution of mean STEP_MEAN; the rest is below 2^-53.
+#: Terms of a distribution: the rest behind mean + 12 sqrt(mean) + 16 is below 2^-53.
 STEP_TERMS = 80
 
 
@@ -47,7 +48,8 @@ def poisson_inverse(u: Column, mean: Column) -> Column:
         more = s["c"] < u
         return F.struct(F.when(more, p).otherwise(s["p"]).alias("p"), F.when(more, s["c"] + p).otherwise(s["c"]).alias("c"),
                         F.when(more, k).otherwise(s["k"]).alias("k"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(STEP_TERMS)), start, term, lambda s: s["k"])
+    terms = F.least(F.ceil(mean + F.sqrt(mean) * 12 + 16), F.lit(STEP_TERMS)).cast("int")
+    return F.aggregate(F.sequence(F.lit(1), terms), start, term, lambda s: s["k"])
 
 
 def poisson_copies(key: Column, rate: Column) -> Column:
@@ -85,17 +87,22 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, total:
         temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """``docs`` replicated to the target weights in a global random order, plus copy, n_copies and rate.
 
-    ``copy`` numbers a document's copies from 1; rows come in the order of
-    ``mix_key``, a hash of the document and the copy.
+    ``copy`` numbers a document's copies from 1; ``mix_key``, a hash of the document
+    and the copy, deals the rows to partitions and orders them there.
     """
     docs = without(docs, "copy", "n_copies", "rate", "mix_key")
-    rates = source_rates(docs, weights, total, temperature).select(F.col("source").alias("_of"), "rate")
+    # A written table has a known size: Spark broadcasts it while it is small, and joins it otherwise.
+    rates = materialize(source_rates(docs, weights, total, temperature).select(F.col("source").alias("_of"), "rate"), "rates")
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"),
                                                         F.concat(F.lit("text "), F.md5(F.col("text").cast("binary"))),
                                                         F.lit("null")))
     rows = packed(docs, _source=F.col("source"), _key=key).join(rates, F.col("_source").eqNullSafe(F.col("_of")))
-    rows = rows.withColumn("n_copies", poisson_copies(F.col("_key"), F.col("rate"))).where("n_copies > 0")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
+    # The draw stands once in the plan: its array [n, n, ...] of n elements is exploded.
+    copies = F.transform(F.array(poisson_copies(F.col("_key"), F.col("rate"))), lambda n: F.array_repeat(n, n.cast("int")))
+    rows = rows.select("_row", "_key", "rate", F.posexplode(copies[0]).alias("_pos", "n_copies"))
+    rows = rows.withColumn("copy", F.col("_pos").cast("long") + 1)
     rows = rows.withColumn("mix_key", F.md5(F.concat_ws(":", F.col("_key"), F.lit("order"), F.col("copy").cast("string"))
                                             .cast("binary")))
-    return unpacked(rows.orderBy("mix_key"), docs.columns, "copy", "n_copies", "rate", "mix_key")
+    # A hashed key needs no sampled ranges: its hash deals rows evenly, and a document's copies apart.
+    rows = rows.repartition("mix_key").sortWithinPartitions("mix_key")
+    return unpacked(rows, docs.columns, "copy", "n_copies", "rate", "mix_key")
