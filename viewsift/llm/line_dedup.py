@@ -174,6 +174,7 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     repeats = (suspects.groupBy("key")
                .agg(F.count_distinct("doc_id").alias("_docs"), F.max("doc_id").alias("_last"))
                .where(F.col("_docs") >= min_docs).select("key", "_last"))
+    repeats = materialize(repeats, "line-repeats")  # both join sides are plain scans, so a hot line can be split
     lost = (suspects.join(repeats, "key")
             .where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("_last")))
             .groupBy(F.col("doc_id").alias("_lost_id")).agg(F.collect_set("key").alias("_lost")))
