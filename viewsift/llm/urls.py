@@ -103,6 +103,8 @@ def _with_suffix(rows: DataFrame, name: str) -> DataFrame:
     stats = stats.select("_suffix", F.log2(F.col("_n") + 1.0).alias(f"f_{name}_rows"),
                          ((F.coalesce("_blocked", F.lit(0.0)) + PRIOR * share) / (F.col("_labelled") + PRIOR))
                          .alias(f"f_{name}_blocked"))
+    # A written table has a known size: broadcast while it is small, else joined with plain scans that can be split.
+    stats = materialize(stats, f"suffix-{name}")
     return rows.join(stats, F.col(name) == F.col("_suffix")).drop("_suffix")
 
 
