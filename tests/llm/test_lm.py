@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 import re
 import sys
 import zlib
@@ -103,3 +104,26 @@ def test_empty_and_unlearned(spark):
     out = lm.score_texts(cases.frame(spark, [(only, "a b", "en", "s", 3)])).first()
     assert (out.held_out, out.n_tokens, out.n_known, out.train_tokens) == (True, 3, 0, 0)
     assert out.base_score == pytest.approx(0.0)
+
+
+def test_a_filter_too_large_for_the_workers_counts_alike(spark):
+    """The filter grows with the tokens; beyond the limit of the broadcast the n-grams go to its segments."""
+    rnd = random.Random(3)
+    words = [f"w{min(int(rnd.paretovariate(0.8)), 20_000)}" for _ in range(600_000)]
+    data = [(i, " ".join(words[i * 1000:(i + 1) * 1000]) if i else None, "en", "s", 1) for i in range(600)]
+    data += [(None, "", "en", "s", 0), data[7]]
+    docs = cases.frame(spark, data)
+    sent = as_rows(lm.score_texts(docs, max_filter_bits=1 << 20))
+    assert lm.filter_segments(sent[0][4]) > 1  # more than 2^20 bits
+    compare(sent, brute([(r[0], r[1]) for r in data]))
+    whole = as_rows(lm.score_texts(docs))
+    assert sorted(map(repr, sent)) == sorted(map(repr, whole))
+
+
+def test_false_hits_do_not_grow_with_the_tokens(spark):
+    rates = []
+    for n in (100_000, 1_600_000):
+        docs = spark.range(n // 1000).selectExpr("concat_ws(' ', transform(sequence(0, 999), i -> concat('w', xxhash64(id * 1000 + i)))) AS text")
+        f = lm.CountFilter(*lm.count_filter(docs, n))
+        rates.append((f.count(lm.word_hashes([f"x{i}".encode() for i in range(50_000)])) > 0).mean())
+    assert max(rates) < 0.16  # every n-gram is new: six bits set per token, the worst case

@@ -9,9 +9,11 @@ that was never counted fails its first probe but for the filter's error rate.
 2. Unigrams and bigrams are hashed, counted per task, and shuffled as packed
    fragments (segment, slice, keys, counts); one task after the other merges a
    slice's counts exactly and sets the bits of its filter segment.
-3. The filter goes to every worker. Its bits grow with the training tokens up to
-   ``MAX_FILTER_BITS``, which bounds the broadcast; beyond it, the error rate
-   rises and nothing else changes.
+3. The filter's bits grow with the training tokens (``BITS_PER_TOKEN``, no
+   ceiling), so its error rate does not rise with the input. Up to
+   ``MAX_FILTER_BITS`` it goes to every worker; a larger one stays dealt out, and
+   the distinct n-grams of each slice of texts are sent to its segments and their
+   levels back. Both ways give the same counts.
 4. Every text is scored whole with Dirichlet-smoothed bigrams over add-one
    unigrams, all counts by repeated probes, a slice of texts at a time.
 
@@ -45,8 +47,10 @@ LEVELS = 64
 #: Bits a key sets per level.
 PROBES = 3
 BITS_PER_TOKEN = 8
-#: 64 MiB on each worker at most.
+#: The largest filter held by every worker (64 MiB); n-grams are sent to a larger one.
 MAX_FILTER_BITS = 1 << 29
+#: Filter segments that a task holds at once when n-grams are sent to them (2 MiB).
+GROUP_SEGMENTS = 16
 #: Words known to every task by hash: 16 MiB at most.
 HEAD_WORDS = 1 << 20
 #: Weight of the unigram distribution against a history's count.
@@ -97,6 +101,20 @@ def _bit(sub: np.ndarray, level: int, probe: int) -> np.ndarray:
     return bloom.positions(mix32(sub + np.uint32(level)), probe)
 
 
+def probe_levels(bits: np.ndarray, segment: np.ndarray, sub: np.ndarray) -> np.ndarray:
+    """Level of each n-gram: that of the last probe that holds (0: never counted)."""
+    level, left = np.zeros(len(sub), np.uint8), np.arange(len(sub))
+    for q in range(1, LEVELS + 1):
+        held = np.ones(len(left), bool)
+        for probe in range(PROBES):
+            held &= bloom.test(bits, segment, _bit(sub, q, probe))
+        left, segment, sub = left[held], segment[held], sub[held]
+        if not len(left):
+            break
+        level[left] = q
+    return level
+
+
 class CountFilter:
     """The built filter, read by probes."""
 
@@ -104,18 +122,18 @@ class CountFilter:
         self.bits, self.segments = bloom.as_array(data), segments
 
     def count(self, hashes: np.ndarray) -> np.ndarray:
-        """Expected count of each n-gram: the level of the last probe that holds."""
-        segment, sub = bloom.segment_of(hashes, self.segments), bloom.sub_keys(hashes)
-        level, left = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
-        for q in range(1, LEVELS + 1):
-            held = np.ones(len(left), bool)
-            for probe in range(PROBES):
-                held &= bloom.test(self.bits, segment, _bit(sub, q, probe))
-            left, segment, sub = left[held], segment[held], sub[held]
-            if not len(left):
-                break
-            level[left] = q
-        return LEVEL_COUNT[level]
+        """Expected count of each n-gram."""
+        return LEVEL_COUNT[probe_levels(self.bits, bloom.segment_of(hashes, self.segments), bloom.sub_keys(hashes))]
+
+
+class KnownCounts:
+    """Counts of a slice's own n-grams (sorted hashes) by the levels that came back."""
+
+    def __init__(self, hashes: np.ndarray, level: np.ndarray):
+        self.hashes, self.level = hashes, level
+
+    def count(self, hashes: np.ndarray) -> np.ndarray:
+        return LEVEL_COUNT[self.level[np.searchsorted(self.hashes, hashes)]]
 
 
 def _count_words(batches):
@@ -210,15 +228,26 @@ def _build_counts(batches):
         yield built()
 
 
-def count_filter(texts: DataFrame, n_tokens: int, max_filter_bits: int = MAX_FILTER_BITS) -> tuple[bytes, int]:
-    """The filter over the n-grams of ``texts`` (text) and its number of segments."""
-    segments = bloom.n_segments(power_of_two(n_tokens * BITS_PER_TOKEN, bloom.SEGMENT_BITS, max_filter_bits))
+def filter_segments(n_tokens: int) -> int:
+    """Segments of the filter: a power of two, as large as the training tokens ask for."""
+    bits = n_tokens * BITS_PER_TOKEN
+    return bloom.n_segments(power_of_two(bits, bloom.SEGMENT_BITS, max(bloom.SEGMENT_BITS, 2 * bits)))
+
+
+def built_segments(texts: DataFrame, n_tokens: int) -> DataFrame:
+    """The filter over the n-grams of ``texts`` (text): (segment, bits) of the segments that hold any."""
+    segments = filter_segments(n_tokens)
     parts = max(1, -(-n_tokens // (SLICE_TOKENS * segments)))
     found = texts.select("text").mapInArrow(_fragments(segments, parts),
                                             "segment int, slice int, keys binary, few binary, many binary")
-    built = (found.repartition("segment").sortWithinPartitions("segment", "slice")
-             .mapInArrow(_build_counts, "segment int, bits binary"))
-    return bloom.collect_filter(built, segments), segments
+    return (found.repartition("segment").sortWithinPartitions("segment", "slice")
+            .mapInArrow(_build_counts, "segment int, bits binary"))
+
+
+def count_filter(texts: DataFrame, n_tokens: int) -> tuple[bytes, int]:
+    """The whole filter over the n-grams of ``texts`` (text), on the driver, and its number of segments."""
+    segments = filter_segments(n_tokens)
+    return bloom.collect_filter(built_segments(texts, n_tokens), segments), segments
 
 
 def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -242,56 +271,170 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> tuple[np.ndarray, n
     return h[order], table["n"].to_numpy()[order]
 
 
-def _score(held, total: int, vocab: int):
-    """Task: per text its id, counts, model score, the head words' share of the base score, and its other words."""
-    floor = total + vocab + 1
+class Slice:
+    """The tokens of some whole texts: distinct words, their places, and the hashes of words and bigrams."""
+
+    def __init__(self, texts: list[bytes]):
+        self.words, self.at = vocabulary(tokens_of(texts))
+        self.hashes = word_hashes(self.words)
+        self.end = self.words.index(END)
+        self.last = np.flatnonzero(self.at == self.end)
+        self.left = np.r_[np.int64(-1), self.at[:-1]]
+        self.left[self.last[:-1] + 1] = -1
+        lh = np.where(self.left >= 0, self.hashes[self.left], np.uint64(0))
+        self.pairs = bigram_hashes(lh, self.hashes[self.at])
+
+    def grams(self) -> np.ndarray:
+        """The distinct hashes that its scores ask for, sorted."""
+        return np.unique(np.r_[self.hashes, self.pairs])
+
+
+SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, score double, "
+          "tail array<binary>, tail_n array<long>")
+
+
+def _scored(ids: list, out_flags: list, first: int, own: Slice, counts, head: np.ndarray, head_n: np.ndarray,
+            floor: int) -> pa.RecordBatch:
+    """Per text of a slice its row number, id, counts, model score, the head words' share of the base score, and its other words."""
+    words, at, h, left, last = own.words, own.at, own.hashes, own.left, own.last
+    # exact counts of head words
+    place = np.minimum(np.searchsorted(head, h), max(0, len(head) - 1))
+    known = head[place] == h if len(head) else np.zeros(len(h), bool)
+    exact = np.where(known, head_n[place], 0) if len(head) else np.zeros(len(h), np.int64)
+    base = np.where(known, np.log10(exact + 1.0), 0.0)
+    # smoothed probabilities from the filter; its errors can't make p exceed 1
+    seen = counts.count(h)
+    unigram = np.minimum((seen + 1.0) / floor, 1.0)
+    pair = counts.count(own.pairs)
+    # a text's start has been seen as often as its end
+    history = np.maximum(np.where(left >= 0, seen[left], seen[own.end]), pair)
+    p = (pair + DIRICHLET * unigram[at]) / (history + DIRICHLET)
+    begins = np.r_[0, last[:-1] + 1]
+    doc = np.repeat(np.arange(len(last)), last - begins + 1)
+    rest = np.flatnonzero(~known[at])
+    tail, n = np.unique(doc[rest] * len(words) + at[rest], return_counts=True)
+    cut = np.searchsorted(tail // len(words), np.arange(len(last) + 1))
+    listed = pa.array([words[i] for i in tail % len(words)], pa.binary())
+    return pa.RecordBatch.from_arrays([
+        pa.array(first + np.arange(len(last)), pa.int64()), pa.array(ids, pa.int64()), pa.array(out_flags, pa.bool_()),
+        pa.array(last - begins + 1, pa.int64()),
+        pa.array(np.add.reduceat(known[at].astype(np.int64), begins)),
+        pa.array(np.add.reduceat(base[at], begins)), pa.array(np.add.reduceat(np.log10(p), begins)),
+        pa.ListArray.from_arrays(pa.array(cut, pa.int32()), listed),
+        pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(n, pa.int64()))],
+        names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "score", "tail", "tail_n"])
+
+
+def _numbered_slices(batches):
+    """(number of the first text, ids, flags, texts) of each slice of a task's rows."""
+    row = TaskContext.get().partitionId() << 36
+    for batch in batches:
+        ids, texts, out_flags = batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()
+        for a, b in slices(texts):
+            yield row, ids[a:b], out_flags[a:b], texts[a:b]
+            row += b - a
 
+
+def _score(held, floor: int):
+    """Task: scores its texts with the filter held by the worker."""
     def run(batches):
         data, segments, head, head_n = held.value
         counts = CountFilter(data, segments)
-        row = TaskContext.get().partitionId() << 36
+        for first, ids, out_flags, texts in _numbered_slices(batches):
+            yield _scored(ids, out_flags, first, Slice(texts), counts, head, head_n, floor)
+    return run
+
+
+def _cut_slices(batches):
+    """Task: its texts as slices, one row each."""
+    for first, ids, out_flags, texts in _numbered_slices(batches):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([first], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+             pa.array([out_flags], pa.list_(pa.bool_())), pa.array([texts], pa.list_(pa.binary()))],
+            names=["slice", "ids", "flags", "texts"])
+
+
+def _asked(segments: int, group: int):
+    """Task: per slice and group of segments the n-grams asked for: how many per segment, then their keys."""
+    def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
-            out_flags = batch.column(2).to_pylist()
-            for a, b in slices(texts):
-                words, at = vocabulary(tokens_of(texts[a:b]))
-                h = word_hashes(words)
-                # exact counts of head words
-                place = np.minimum(np.searchsorted(head, h), max(0, len(head) - 1))
-                known = head[place] == h if len(head) else np.zeros(len(h), bool)
-                exact = np.where(known, head_n[place], 0) if len(head) else np.zeros(len(h), np.int64)
-                base = np.where(known, np.log10(exact + 1.0), 0.0)
-                # smoothed probabilities from the filter
-                seen = counts.count(h)
-                unigram = (seen + 1.0) / floor
-                end = words.index(END)
-                last = np.flatnonzero(at == end)
-                left = np.r_[np.int64(-1), at[:-1]]
-                left[last[:-1] + 1] = -1
-                lh = np.where(left >= 0, h[left], np.uint64(0))
-                pair = counts.count(bigram_hashes(lh, h[at]))
-                # a text's start has been seen as often as its end; errors of the filter can't make p exceed 1
-                history = np.maximum(np.where(left >= 0, seen[left], seen[end]), pair)
-                p = (pair + DIRICHLET * unigram[at]) / (history + DIRICHLET)
-                begins = np.r_[0, last[:-1] + 1]
-                rows = row + np.arange(len(last))
-                row += len(last)
-                doc = np.repeat(np.arange(len(last)), last - begins + 1)
-                rest = np.flatnonzero(~known[at])
-                tail, n = np.unique(doc[rest] * len(words) + at[rest], return_counts=True)
-                cut = np.searchsorted(tail // len(words), np.arange(len(last) + 1))
-                listed = pa.array([words[i] for i in tail % len(words)], pa.binary())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(rows, pa.int64()), pa.array(ids[a:b], pa.int64()), pa.array(out_flags[a:b], pa.bool_()),
-                    pa.array(last - begins + 1, pa.int64()),
-                    pa.array(np.add.reduceat(known[at].astype(np.int64), begins)),
-                    pa.array(np.add.reduceat(base[at], begins)), pa.array(np.add.reduceat(np.log10(p), begins)),
-                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), listed),
-                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(n, pa.int64()))],
-                    names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "score", "tail", "tail_n"])
+            for number, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                h = Slice([t or b"" for t in texts.as_py()]).grams()
+                segment, sub = bloom.segment_of(h, segments), bloom.sub_keys(h)
+                place, starts = np.unique(segment // group, return_index=True)  # hashes are sorted, so segments are
+                data = [np.bincount(segment[a:b] % group, minlength=group).astype(np.uint32).tobytes() + sub[a:b].tobytes()
+                        for a, b in zip(starts, np.r_[starts[1:], len(h)])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place, pa.int32()), pa.array([number] * len(place), pa.int64()),
+                     pa.array([0] * len(place), pa.int32()), pa.array(data, pa.binary())],
+                    names=["part", "slice", "segment", "data"])
     return run
 
 
+def _answered(group: int):
+    """Task: (slice, part, levels) of the n-grams asked for; a group's segments come before its slices (slice -1)."""
+    size = bloom.SEGMENT_BITS // 8
+
+    def run(batches):
+        part, bits = None, np.zeros(0, np.uint8)
+        for batch in batches:
+            out = []
+            for p, number, segment, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if p != part:
+                    part, bits = p, np.zeros(group * size, np.uint8)
+                if number < 0:
+                    at = segment % group * size
+                    bits[at:at + size] = np.frombuffer(data, np.uint8)
+                    continue
+                n, sub = np.frombuffer(data, np.uint32, group), np.frombuffer(data, np.uint32, offset=4 * group)
+                out.append((number, p, probe_levels(bits, np.repeat(np.arange(group), n), sub).tobytes()))
+            if out:
+                number, p, level = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(p, pa.int32()),
+                                                  pa.array(level, pa.binary())], names=["slice", "part", "levels"])
+    return run
+
+
+def _score_answered(held, floor: int):
+    """Task: scores slices, each followed by its n-grams' levels in the order of their hashes."""
+    def run(batches):
+        head, head_n = held.value
+        asked, level = None, []
+
+        def close():
+            number, ids, out_flags, texts = asked
+            own = Slice([t or b"" for t in texts])
+            counts = KnownCounts(own.grams(), np.frombuffer(b"".join(level), np.uint8))
+            return _scored(ids, out_flags, number, own, counts, head, head_n, floor)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number, part, ids, out_flags, texts, levels = (c[i].as_py() for c in batch.columns)
+                if part < 0:
+                    if asked is not None:
+                        yield close()
+                    asked, level = (number, ids, out_flags, texts), []
+                else:
+                    level.append(levels)
+        if asked is not None:
+            yield close()
+    return run
+
+
+def scores_by_exchange(docs: DataFrame, segments: int, built: DataFrame, held, floor: int,
+                       group: int = GROUP_SEGMENTS) -> DataFrame:
+    """Scores with a filter of any size: no task holds more of it than ``group`` segments."""
+    cut = materialize(docs.mapInArrow(
+        _cut_slices, "slice long, ids array<long>, flags array<boolean>, texts array<binary>"), "text-slices")
+    asked = cut.select("slice", "texts").mapInArrow(_asked(segments, group), "part int, slice long, segment int, data binary")
+    parts = built.select(F.floor(F.col("segment") / group).cast("int").alias("part"), F.lit(-1).cast("long").alias("slice"),
+                         "segment", F.col("bits").alias("data"))
+    answers = (parts.unionByName(asked).repartition("part").sortWithinPartitions("part", "slice")
+               .mapInArrow(_answered(group), "slice long, part int, levels binary"))
+    both = cut.withColumn("part", F.lit(-1)).withColumn("levels", F.lit(None).cast("binary")) \
+        .unionByName(answers, allowMissingColumns=True).select("slice", "part", "ids", "flags", "texts", "levels")
+    return both.repartition("slice").sortWithinPartitions("slice", "part").mapInArrow(_score_answered(held, floor), SCORED)
+
+
 def score_texts(docs: DataFrame, folds: int = FOLDS, max_filter_bits: int = MAX_FILTER_BITS,
                 head: int = HEAD_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
@@ -301,12 +444,15 @@ def score_texts(docs: DataFrame, folds: int = FOLDS, max_filter_bits: int = MAX_
     counts = materialize(learned.mapInArrow(_count_words, "word binary, n long").groupBy("word")
                          .agg(F.sum("n").alias("n")), "word-counts")
     total, vocab = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    data, segments = count_filter(learned, total, max_filter_bits)
-    held = spark.sparkContext.broadcast((data, segments, *head_words(counts, head)))  # both bounded by parameters
-
-    scored = docs.select("doc_id", "text", "held_out").mapInArrow(
-        _score(held, total, vocab), "row long, doc_id long, held_out boolean, n_tokens long, head_known long, "
-        "head_base double, score double, tail array<binary>, tail_n array<long>")
+    segments, frequent = filter_segments(total), head_words(counts, head)
+    texts = docs.select("doc_id", "text", "held_out")
+    # What is broadcast is bounded by parameters: the frequent words, and the filter only up to ``max_filter_bits``.
+    if segments * bloom.SEGMENT_BITS <= max(max_filter_bits, bloom.SEGMENT_BITS):
+        held = spark.sparkContext.broadcast((count_filter(learned, total)[0], segments, *frequent))
+        scored = texts.mapInArrow(_score(held, total + vocab + 1), SCORED)
+    else:
+        held = spark.sparkContext.broadcast(frequent)
+        scored = scores_by_exchange(texts, segments, built_segments(learned, total), held, total + vocab + 1)
     scored = materialize(scored, "scored")
     tail = scored.select("row", F.explode(F.arrays_zip("tail", "tail_n")).alias("t")) \
         .select("row", F.col("t.tail").alias("word"), F.col("t.tail_n").alias("tf"))
