@@ -118,3 +118,36 @@ def test_exact_ratios_of_large_totals(spark):
         q = Fraction(r.a * 10_000, r.b)
         if q < 2 ** 62:
             assert r.p == int(q + Fraction(1, 2)) / 100.0, r
+
+
+def test_a_run_broken_between_the_loads_is_made_good(spark, monkeypatch):
+    import datetime as dt
+
+    import pytest
+
+    root = tempfile.mkdtemp(prefix="viewsift-broken-")
+    schema = "domain string, page_title string, count_views int, source_file string"
+
+    def land(day):
+        dumps.write_dump_files(spark.createDataFrame([("en", "Google_Maps", 5000, f"pageviews-202401{day}-000000.gz")], schema),
+                               root + "/landing")
+
+    def run(**more):
+        return daily_job.run_daily(spark, root + "/landing", root + "/wh", event_time_from_name=True, **more)
+
+    def broken(*args, **more):
+        raise RuntimeError("lost executors")
+    for day in ("20", "21"):
+        land(day)
+        with monkeypatch.context() as m:
+            m.setattr(daily_job.curate, "curated_load", broken)
+            with pytest.raises(RuntimeError, match="lost executors"):
+                run()
+        if day == "21":
+            land("22")  # the next run has new dumps, of another day
+        res = run()
+        assert res.curated_rows_loaded == (1 if day == "20" else 2) and res.raw_rows_loaded == (0 if day == "20" else 1)
+    cur = warehouse.curated_table(spark, root + "/wh/filtered_pageviews")
+    assert sorted(r.processing_date.day for r in cur.collect()) == [20, 21, 22]
+    assert run().curated_rows_loaded == 0
+    assert run(as_of=dt.date(2024, 1, 20)).curated_rows_loaded == 1 == run(as_of="2024-01-21").curated_rows_loaded

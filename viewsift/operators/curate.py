@@ -135,6 +135,24 @@ def loaded_dates(spark: SparkSession, table_path: str, load_id: str) -> list:
     return sorted(r[0] for r in rows.collect())
 
 
+def uncurated_loads(spark: SparkSession, raw_path: str, curated_path: str) -> DataFrame:
+    """``load_id`` of the committed raw loads that no finished curated load has covered yet."""
+    loads = commits(spark, raw_path).select("load_id").distinct()
+    return loads.join(commits(spark, curated_path).select("load_id"), "load_id", "left_anti")
+
+
+def mark_curated(loads: DataFrame, curated_path: str) -> None:
+    """Note that the dates of these raw loads are curated: one row per load, in one file."""
+    loads.select("load_id").coalesce(1).write.mode("append").parquet(commits_path(curated_path))
+
+
+def dates_of_loads(loads: DataFrame, raw_path: str) -> list:
+    """The dates these raw loads touched."""
+    schema = "load_id string, processing_date date"
+    rows = loads.sparkSession.read.schema(schema).parquet(raw_path).join(loads, "load_id", "left_semi")
+    return sorted(r[0] for r in rows.select("processing_date").distinct().collect())
+
+
 # --------------------------------------------------------------------------- K2 curated loads
 
 def prepare_curated(rows: DataFrame, on_duplicate: str = "error",

@@ -8,6 +8,7 @@ before they are read twice.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.operators import curate, prefilter, quality, scoring
-from viewsift.session import drop_scratch, scratch_mark
+from viewsift.session import drop_scratch, materialize, scratch_mark
 from viewsift.sources import dumps, warehouse
 from viewsift.streaming.ingest import parsed_lines
 
@@ -40,7 +41,10 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
               loaded_at=None, processing_date=None, on_duplicate: str = "max",
               batch_size: int = scoring.DEFAULT_BATCH_SIZE, event_time_from_name: bool = False,
               audit: bool = False) -> DailyResult:
-    """Load new dumps from ``landing`` and curate the dates they touch (``as_of``: one date instead).
+    """Load new dumps from ``landing`` and curate the dates of all raw loads not curated yet, and ``as_of``.
+
+    A run that broke after its raw load is made good by the next one, with or without
+    new dumps: curated raw loads are noted in ``{root}/filtered_pageviews_commits``.
 
     ``processing_date`` defaults to the load date as in the original (D4); pass
     it (and ``loaded_at``) explicitly, or set ``event_time_from_name`` to date each
@@ -63,34 +67,38 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
         checked.where(F.col("status") != "ok").write.mode("append").parquet(f"{root}/corrupt_files")
         paths = [r.path for r in checked.where(F.col("status") == "ok").select("path").collect()]  # file list
         checked.unpersist()
-        if not paths:
-            return DailyResult(0, 0, 0, {})
-    # A gzip file is one task; REBALANCE spreads its lines (a dump holding a third of the day
-    # included) over AQE-sized partitions. This is the job's one cached copy: gzip is read once.
-    lines = dumps.read_dump_lines(spark, paths).hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     load_id, mark = uuid.uuid4().hex, scratch_mark(spark)
-    try:
-        if event_time_from_name:
-            good, bad = parsed_lines(lines)
-            rows = dumps.fill_unknown(good).withColumnRenamed("event_hour", "loaded_at")
-        else:
-            good, bad = dumps.parse_dump_lines(lines)
-            rows = curate.with_raw_lineage(dumps.fill_unknown(good), loaded_at, processing_date)
-        found = quality.extract_checks(rows).first()
-        if not found.passed:
-            raise LoadCheckError(f"the dumps failed the extract checks: {found.asDict()}")
-        bad_path = f"{root}/quarantine/load_id={load_id}"
-        bad.write.parquet(bad_path)
-        n_bad = spark.read.schema(bad.schema).parquet(bad_path).count()
-        n_raw = curate.raw_load(spark, rows, raw_path, load_id)
-    finally:
-        lines.unpersist()
-    if not n_raw:
-        return DailyResult(0, n_bad, 0, {})
-    dates = curate.loaded_dates(spark, raw_path, load_id) if as_of is None else [as_of]
+    n_raw = n_bad = 0
+    if paths:
+        # A gzip file is one task; REBALANCE spreads its lines (a dump holding a third of the day
+        # included) over AQE-sized partitions. This is the job's one cached copy: gzip is read once.
+        lines = dumps.read_dump_lines(spark, paths).hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if event_time_from_name:
+                good, bad = parsed_lines(lines)
+                rows = dumps.fill_unknown(good).withColumnRenamed("event_hour", "loaded_at")
+            else:
+                good, bad = dumps.parse_dump_lines(lines)
+                rows = curate.with_raw_lineage(dumps.fill_unknown(good), loaded_at, processing_date)
+            found = quality.extract_checks(rows).first()
+            if not found.passed:
+                raise LoadCheckError(f"the dumps failed the extract checks: {found.asDict()}")
+            bad_path = f"{root}/quarantine/load_id={load_id}"
+            bad.write.parquet(bad_path)
+            n_bad = spark.read.schema(bad.schema).parquet(bad_path).count()
+            n_raw = curate.raw_load(spark, rows, raw_path, load_id)
+        finally:
+            lines.unpersist()
+    loads = materialize(curate.uncurated_loads(spark, raw_path, cur_path), "uncurated-loads")
+    dates = [] if loads.isEmpty() else curate.dates_of_loads(loads, raw_path)
+    if as_of is not None:
+        dates = sorted({*dates, dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of})
+    if not dates:
+        drop_scratch(spark, mark)
+        return DailyResult(n_raw, n_bad, 0, {})
 
     raw = warehouse.raw_table(spark, raw_path).where(F.col("processing_date").isin(dates))
-    verified = quality.verify_load(curate.load_rows(spark, raw_path, load_id)).collect()  # one row per file
+    verified = quality.verify_load(curate.load_rows(spark, raw_path, load_id)).collect() if n_raw else []  # one row per file
     cand = prefilter.prefilter(raw, None, min_views, columns=None, require_rows=True)
     batched = scoring.assign_batches(cand, batch_size, bucket=scoring.stable_bucket(cand, batch_size))
     prompts = scoring.build_prompts(batched)
@@ -106,6 +114,7 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
                               F.lit(filter_method).alias("filter_method"))
     n_cur = curate.curated_load(spark, curated, cur_path, on_duplicate=on_duplicate, tie_break=["filtered_at"],
                                 dates=dates)
+    curate.mark_curated(loads, cur_path)
     stats = scoring.llm_stats(batched, statuses, records, batch_size).first().asDict()
     drop_scratch(spark, mark)
     return DailyResult(n_raw, n_bad, n_cur, stats, verified)
