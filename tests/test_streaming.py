@@ -38,3 +38,17 @@ def test_live_totals_and_watermark(spark):
     got = {(str(r.processing_date), r.company): (r.page_count, r.total_views)
            for r in ingest.latest_totals(spark, log).collect()}
     assert got == {("2024-01-30", "Apple"): (1, 2000), ("2024-01-30", "Microsoft"): (1, 1500)}
+
+
+def test_a_second_checkpoint_loses_no_file(spark):
+    root = tempfile.mkdtemp(prefix="viewsift-stream2-")
+    table = root + "/raw"
+    for hour in ("10", "11"):  # another landing folder and checkpoint each, one table; batch numbers start at 0 again
+        name = f"pageviews-20240130-{hour}0000.gz"
+        lines = [(name, f"en iPhone_{hour} 2000 0"), (name, f"en broken_{hour}")]
+        dumps.write_dump_lines(spark.createDataFrame(lines, "source_file string, line string"), f"{root}/landing{hour}")
+        ingest.ingest_dumps(spark, f"{root}/landing{hour}", table, f"{root}/ckpt{hour}")
+    ingest.ingest_dumps(spark, f"{root}/landing10", table, f"{root}/ckpt-new")  # known files stay out
+    got = sorted(r.page_title for r in ingest.read_raw_stream_table(spark, table).collect())
+    assert got == ["iPhone_10", "iPhone_11"]
+    assert sorted(r.line for r in ingest.read_quarantine(spark, table).collect()) == ["en broken_10", "en broken_11"]

@@ -107,12 +107,12 @@ def raw_load(spark: SparkSession, rows: DataFrame, table_path: str, load_id: str
     count as loaded only when the manifest names their load, so what a broken load
     left behind is invisible, and its files are loaded again by the next run. A
     load repeated under the same ``load_id`` (a replayed micro-batch) overwrites
-    its folder.
+    its folder until it is committed; after that, files not loaded yet go to a
+    folder of their own, so only ``source_file`` decides what is skipped.
     """
     load_id = load_id or uuid.uuid4().hex
-    known = commits(spark, table_path).where(F.col("load_id") == load_id).agg(F.sum("n_rows")).first()[0]
-    if known is not None:  # this very load is committed already
-        return 0
+    if not commits(spark, table_path).where(F.col("load_id") == load_id).isEmpty():  # its folder must stay
+        load_id = f"{load_id}-{uuid.uuid4().hex}"
     rows = rows.select(*[f.name for f in schemas.RAW_PAGEVIEWS.fields])
     folder = f"{table_path.rstrip('/')}/load_id={load_id}"
     write_raw(drop_loaded_files(spark, rows, table_path), folder)

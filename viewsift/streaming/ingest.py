@@ -1,9 +1,10 @@
 """Incremental ingest of dump files with Structured Streaming.
 
 * ``ingest_dumps`` (R1/R2): ``readStream.text`` over a landing folder → dump parse
-  → ``foreachBatch``: each micro-batch is one raw load named after its batch
-  number (``operators.curate.raw_load``), so a replayed batch changes nothing, and
-  files already loaded stay out. Bad lines, and all lines of a file whose name
+  → ``foreachBatch``: each micro-batch is one raw load named after its checkpoint's
+  query id and its batch number (``operators.curate.raw_load``), so a replayed batch
+  changes nothing, another checkpoint's batches are loads of their own, and files
+  already loaded stay out. Bad lines, and all lines of a file whose name
   holds no hour, go to the quarantine in the same batch. No watermark here: a dump
   that arrives late still lands in the raw table.
 * ``daily_company_totals`` (R3): the same stream, prefiltered, aggregated per
@@ -66,15 +67,32 @@ def quarantine_path(table_path: str) -> str:
     return table_path.rstrip("/") + "_quarantine"
 
 
-def _load_batch(table_path: str):
+def stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The query id that Spark wrote into the checkpoint: the same over restarts, another one per checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint_dir.rstrip('/')}/metadata").first()["id"]
+
+
+def drop_quarantined_files(bad: DataFrame, path: str, batch: str) -> DataFrame:
+    """Bad lines of files that no other batch has put into the quarantine."""
+    try:
+        known = bad.sparkSession.read.schema("source_file string, batch string").parquet(path)
+    except AnalysisException:  # none yet
+        return bad
+    return bad.join(known.where(F.col("batch") != batch).select("source_file").distinct(), "source_file", "left_anti") \
+        .select(*bad.columns)
+
+
+def _load_batch(table_path: str, checkpoint_dir: str):
     def run(batch: DataFrame, batch_id: int) -> None:
+        name = f"{stream_id(batch.sparkSession, checkpoint_dir)}-{batch_id}"
         # one partition per dump file: rebalance before caching, so an oversized dump is spread
         lines = batch.hint("rebalance").persist()
         try:
             good, bad = parsed_lines(lines)
-            # The batch number names both folders: a replayed batch overwrites its own.
-            bad.write.mode("overwrite").parquet(f"{quarantine_path(table_path)}/batch={batch_id}")
-            raw_load(batch.sparkSession, good.withColumnRenamed("event_hour", "loaded_at"), table_path, f"stream-{batch_id}")
+            # Stream and batch number name both folders: a replayed batch overwrites its own.
+            path = quarantine_path(table_path)
+            drop_quarantined_files(bad, path, name).write.mode("overwrite").parquet(f"{path}/batch={name}")
+            raw_load(batch.sparkSession, good.withColumnRenamed("event_hour", "loaded_at"), table_path, f"stream-{name}")
         finally:
             lines.unpersist()
     return run
@@ -97,7 +115,7 @@ def ingest_dumps(spark: SparkSession, landing_dir: str, table_path: str, checkpo
                  max_files_per_trigger: int | None = None) -> int:
     """Ingest every dump file not seen before (``availableNow``); returns batches run."""
     return _run(line_stream(spark, landing_dir, max_files_per_trigger).writeStream
-                .foreachBatch(_load_batch(table_path))
+                .foreachBatch(_load_batch(table_path, checkpoint_dir))
                 .option("checkpointLocation", checkpoint_dir)
                 .trigger(availableNow=True).start())
 
