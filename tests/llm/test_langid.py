@@ -104,3 +104,36 @@ def test_hash_table_finds_all_keys(model):
     for length in range(1, 5):
         keys = model.keys[length]
         assert (model._find("keys", length, keys) == np.arange(len(keys))).all()
+
+
+def test_pieces_make_up_the_text_and_carry_their_context():
+    text = "naïve Füchse 狐🦊 ".encode() * 50
+    got = list(langid.pieces(text, 64))
+    assert b"".join(p for p, _ in got) == text and max(len(p) for p, _ in got) <= 64
+    assert all(p.decode() for p, _ in got)
+    at = 0
+    for piece, before in got:
+        assert before == (b"\n\n\n" + text)[at:at + 3]
+        at += len(piece)
+
+
+def test_no_language_is_lost(spark):
+    """Long texts only, short texts beside one very long one, and texts without doc_id."""
+    ids = [i for i in range(400) if not held(i)]
+    rows = [(ids.pop(), f"kurz {i} " * 2, "short") for i in range(29)] + [(ids.pop(), "lang und länger " * 60_000, "short")]
+    rows += [(ids.pop(), "tout est long " * 2000, "long")]
+    rows += [(None, f"no id {i} " * 5, "none") for i in range(300)] + [(ids.pop(), f"plain {i} " * 5, "plain") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.training_sample(docs, 32_000).collect()
+    size = {o: sum(len(r.text.encode()) for r in got if r.lang == o) for o in ("short", "long", "none", "plain")}
+    assert all(4000 < n <= 8000 for o, n in size.items() if o != "plain") and size["plain"] > 3000
+    assert {r[1] for r in rows[:29]} <= {r.text for r in got}  # all that fit
+    model = langid.train(docs, 32_000)
+    assert model.langs == ["long", "none", "plain", "short"]
+
+
+def test_many_languages_are_all_learned(spark):
+    docs = spark.createDataFrame([(None, f"text of language {i} " * 20, f"l{i:04}") for i in range(300)],
+                                 "doc_id long, text string, lang string")
+    got = langid.training_sample(docs, 30_000)
+    assert got.select("lang").distinct().count() == 300

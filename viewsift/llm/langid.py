@@ -9,9 +9,11 @@ the sum over its bytes. The language with the shortest code is predicted, and th
 score is its share of the posterior with equal priors.
 
 Training reads a bounded sample: per language documents in the order of a hash of
-doc_id while their bytes fit into ``TRAIN_BYTES`` / number of languages (a longer
-document is left out, none is cut). Contexts are counted by Spark; the counts
-are bounded by the sample. Every document is scored whole, in pieces of bounded
+doc_id while their bytes fit into the language's share, ``TRAIN_BYTES`` / number of
+languages but at least ``LEAST_SHARE``. A text of more than about an eighth of the
+share is learned from in pieces that carry their context: in the order of a hash
+they fill what the whole documents leave, so every language with a text is
+learned. Contexts are counted by Spark; the counts are bounded by the sample. Every document is scored whole, in pieces of bounded
 size that carry their context.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as
@@ -25,17 +27,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from viewsift.llm.common import SLICE_BYTES, hold_out, id_text, text_bytes, without
+from viewsift.llm.common import SLICE_BYTES, hold_out, text_bytes, without
 from viewsift.llm.mixing import unit_hash
 
 ORDER = 3
 #: Bytes of text learned from, over all languages.
 TRAIN_BYTES = 8 << 20
+#: Bytes of text that each language may learn from, however many languages there are.
+LEAST_SHARE = 2048
 FOLDS = 4
 UNDETERMINED = "und"
 _START = b"\n" * ORDER
@@ -51,11 +56,11 @@ def grams(data: np.ndarray, length: int) -> np.ndarray:
 
 
 def _count(batches):
-    """Task: (lang, length, gram, n) over the texts of its rows, after the starting context."""
+    """Task: (lang, length, gram, n) over the texts of its rows, each after its context."""
     for batch in batches:
-        langs, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
+        langs, texts, before = batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()
         for lang in sorted(set(langs)):
-            data = [np.frombuffer(_START + t, np.uint8) for o, t in zip(langs, texts) if o == lang]
+            data = [np.frombuffer(b + t, np.uint8) for o, t, b in zip(langs, texts, before) if o == lang]
             for length in range(1, ORDER + 2):
                 # every gram ends on a byte of the text: shorter ones skip the part of the start they don't need
                 own, n = np.unique(np.concatenate([grams(d[ORDER + 1 - length:], length) for d in data]), return_counts=True)
@@ -64,22 +69,71 @@ def _count(batches):
                      pa.array(own.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "length", "gram", "n"])
 
 
+def pieces(text: bytes, size: int):
+    """(piece, the ``ORDER`` bytes before it) of a text; pieces of at most ``size`` bytes end between characters."""
+    at = 0
+    while at < len(text):
+        end = min(at + size, len(text))
+        while at + 4 < end < len(text) and text[end] & 0xC0 == 0x80:
+            end -= 1
+        yield text[at:end], (_START + text[max(0, at - ORDER):at])[-ORDER:]
+        at = end
+
+
+def _draw_pieces(size: int, rates: dict[str, float]):
+    """Task: (lang, text, before, _u, _bytes) of the long texts' pieces whose hash is below their language's rate."""
+    def run(batches):
+        for batch in batches:
+            for lang, text, key in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
+                seed = xxhash.xxh64_intdigest(key.encode())
+                found = [(piece, before, u) for i, (piece, before) in enumerate(pieces(text, size))
+                         if (u := xxhash.xxh64_intdigest(i.to_bytes(8, "little"), seed) / 2.0 ** 64) <= rates[lang]]
+                part, before, u = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(found), pa.string()), pa.array(part, pa.binary()).view(pa.string()),
+                     pa.array(before, pa.binary()), pa.array(u, pa.float64()), pa.array(map(len, part), pa.int64())],
+                    names=["lang", "text", "before", "_u", "_bytes"])
+    return run
+
+
 def training_sample(docs: DataFrame, train_bytes: int = TRAIN_BYTES, folds: int = FOLDS) -> DataFrame:
-    """(lang, text) of the documents learned from: bounded in bytes per language."""
-    u = unit_hash(F.concat(F.lit("langid:"), id_text(F.col("doc_id"))))
+    """(lang, text, before) of what is learned from: bounded in bytes per language; ``before`` is a text's context."""
     own = docs.where(~hold_out(F.col("doc_id"), folds) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    own = own.select(F.col("lang"), F.col("text"), u.alias("_u"), F.octet_length("text").cast("long").alias("_bytes"))
-    totals = own.groupBy("lang").agg(F.sum("_bytes").alias("n")).collect()  # one row per language
-    if not totals:
-        return own.select("lang", "text").limit(0)
-    share = train_bytes // len(totals)
-    # Twice the share passes the hash, in expectation; the running sum then holds the bound exactly.
-    limit = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], 2.0 * share / max(r["n"], 1))])
-    drawn = own.where(F.col("_u") <= limit[F.col("lang")])
-    order = Window.partitionBy("lang").orderBy("_u", F.md5(F.col("text").cast("binary"))) \
+    # texts without doc_id do not share a draw
+    key = F.concat(F.lit("langid:"), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))))
+    own = own.select("lang", "text", key.alias("_key"), unit_hash(key).alias("_u"),
+                     F.octet_length("text").cast("long").alias("_bytes"))
+    # One row per language and bit length: the size from which a text is cut depends on the number of languages.
+    width = F.length(F.bin("_bytes"))
+    totals = own.groupBy("lang", width.alias("width")).agg(F.sum("_bytes").alias("n"), F.min("_u").alias("least")).collect()
+    langs = {r["lang"] for r in totals}
+    if not langs:
+        return own.select("lang", "text", F.lit(_START).alias("before")).limit(0)
+    share = max(train_bytes // len(langs), LEAST_SHARE)
+    longest = (share // 8).bit_length() - 1  # a document of up to so many bits is taken whole
+    whole, cut, least = dict.fromkeys(langs, 0), dict.fromkeys(langs, 0), dict.fromkeys(langs, 0.0)
+    for r in totals:
+        if r["width"] > longest:
+            cut[r["lang"]] += r["n"]
+        else:
+            least[r["lang"]] = min(least[r["lang"]], r["least"]) if whole[r["lang"]] else r["least"]
+            whole[r["lang"]] += r["n"]
+
+    def rate(size: int, total: int) -> float:
+        # Twice the size passes the hash, in expectation; the running sum then holds the bound exactly.
+        return 2.0 * size / max(total, 1)
+    # the first document passes in any case
+    limit = F.create_map(*[F.lit(x) for o in sorted(langs) for x in (o, max(least[o], rate(share, whole[o])))])
+    drawn = own.where((width <= longest) & (F.col("_u") <= limit[F.col("lang")])) \
+        .select("lang", "text", F.lit(_START).alias("before"), "_u", "_bytes", F.lit(0).alias("_rank"))
+    if any(cut.values()):
+        rates = {o: rate(max(0, share - whole[o]), cut[o]) for o in langs}
+        parts = own.where(width > longest).select("lang", "text", "_key").mapInArrow(
+            _draw_pieces(1 << longest, rates), "lang string, text string, before binary, _u double, _bytes long")
+        drawn = drawn.unionByName(parts.withColumn("_rank", F.lit(1)))
+    order = Window.partitionBy("lang").orderBy("_rank", "_u", F.md5(F.col("text").cast("binary"))) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    drawn = drawn.where(F.col("_bytes") <= share).withColumn("_sum", F.sum("_bytes").over(order))
-    return drawn.where(F.col("_sum") <= share).select("lang", "text")
+    return drawn.withColumn("_sum", F.sum("_bytes").over(order)).where(F.col("_sum") <= share).select("lang", "text", "before")
 
 
 class PpmModel:
