@@ -159,3 +159,17 @@ def test_labels_of_one_kind_or_none(spark):
 def test_entropy(spark):
     got = spark.createDataFrame([("aabb",), ("",), ("abcd",), ("aaaa",)], "t string").select(urls.entropy(F.col("t"))).collect()
     assert [round(r[0], 9) for r in got] == [1.0, 0.0, 2.0, 0.0]
+
+
+def test_training_urls_are_bounded_and_of_both_classes(spark):
+    """A URL with most of the rows counts once, and a rare class is drawn whole."""
+    hot = [(0, "http://hot.org/")] * 5000
+    allow = [(i, f"http://h{i % 50}.org/{i}") for i in range(4000)]
+    block = [(i, f"http://b.com/de/{i}") for i in range(5)]
+    known = urls.featured(spark.createDataFrame(hot + allow + block, "page_id long, url string")).persist()
+    got = urls.training_urls(known, {0.0: 4001, 1.0: 5}, 400).collect()
+    assert [r.weight for r in got if r.label == 1.0] == [1.0] * 5
+    rest = [r.weight for r in got if r.label == 0.0]
+    assert 300 < len(rest) < 500 and len(got) == len(rest) + 5
+    out = urls.url_filter(spark.createDataFrame(hot + block, "page_id long, url string"), train_rows=4)
+    assert out.where("verdict = 'block'").count() == 5

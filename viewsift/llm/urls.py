@@ -4,8 +4,9 @@ The URLs that a rule decides are the labelled ones. Features are native
 expressions: lengths, depth, digit ratio, character entropy, parameter counts,
 and statistics of the host's suffixes (how common a suffix is, and the smoothed
 share of blocked URLs under it) from one aggregation joined back. Spark ML's
-boosted trees are trained on at most about ``TRAIN_ROWS`` labelled rows, drawn by
-a hash of the URL, and judge every URL without a rule. No Python runs in tasks.
+boosted trees are trained on at most about ``TRAIN_ROWS`` distinct labelled URLs,
+drawn per class by a hash and weighted by their rows, and judge every URL without
+a rule. No Python runs in tasks.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits
 no rule and is judged by its features; without labelled rows the verdict is
@@ -117,21 +118,39 @@ def featured(pages: DataFrame, rules=None) -> DataFrame:
     return _with_suffix(_with_suffix(lexical(rows), "tld"), "domain")
 
 
+def training_urls(known: DataFrame, kinds: dict[float, int], train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """label, weight and ``FEATURES`` of distinct labelled URLs; ``kinds`` has the number of distinct URLs per label.
+
+    Half of the rows are the rarer label's, or all its URLs if they are fewer. The
+    weight is a URL's number of rows over its chance to be drawn.
+    """
+    rates, left = {}, float(train_rows)
+    for i, (label, n) in enumerate(sorted(kinds.items(), key=lambda x: x[1])):
+        own = min(float(n), left / (len(kinds) - i))
+        rates[label], left = own / n, left - own
+    rate = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])[F.col("label")]
+    steps = 1 << 40
+    drawn = known.where("label IS NOT NULL").withColumn("_rate", rate) \
+        .where(F.pmod(F.xxhash64("url"), F.lit(steps)) < steps * F.col("_rate"))
+    # a URL's rows are alike but for the page: combined per task before they meet
+    same = [F.min(c).alias(c) for c in ("label", *FEATURES)]
+    return drawn.groupBy("url").agg(*same, (F.count(F.lit(1)) / F.min("_rate")).alias("weight")).drop("url")
+
+
 def url_filter(pages: DataFrame, rules=None, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``pages`` (url, more columns) plus host, path, rule and verdict."""
     pages = without(pages, "host", "path", "rule", "verdict")
     rows = packed(pages, url=F.col("url"))
     known = materialize(featured(rows, rules), "url-features")
     kinds = {r["label"]: r["n"] for r in known.where("label IS NOT NULL").groupBy("label")
-             .agg(F.count(F.lit(1)).alias("n")).collect()}
+             .agg(F.approx_count_distinct("url").alias("n")).collect()}
     if len(kinds) < 2:
         guess = F.lit(BLOCK if kinds.get(1.0) else ALLOW)
         judged = known.withColumn("_guess", guess)
     else:
         join = VectorAssembler(inputCols=FEATURES, outputCol="features")
-        drawn = F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < (1 << 20) * min(1.0, train_rows / sum(kinds.values()))
-        sample = materialize(known.where("label IS NOT NULL").where(drawn).select("label", *FEATURES), "url-labels")
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(join.transform(sample))
+        sample = materialize(training_urls(known, kinds, train_rows), "url-labels")
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight").fit(join.transform(sample))
         judged = model.transform(join.transform(known))
         judged = judged.withColumn("_guess", F.when(F.col("prediction") == 1.0, BLOCK).otherwise(ALLOW))
     verdict = F.when(F.col("label") == 1.0, BLOCK).when(F.col("label") == 0.0, ALLOW).otherwise(F.col("_guess"))
