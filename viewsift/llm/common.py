@@ -19,6 +19,7 @@ SLICE_BYTES = 2 << 20
 
 WS_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+WORD_BREAK = WS_CLASS + "+"
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

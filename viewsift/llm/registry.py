@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.llm import ann, bpe, chat, langid, line_dedup, lm, mixing, quality, simhash, urls
+from viewsift.llm import ann, bpe, chat, langid, line_dedup, lm, mixing, quality, runs, simhash, urls
+from viewsift.llm.common import WORD_BREAK, id_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def with_loops(docs: DataFrame) -> DataFrame:
+    """The input of op11: a tenth of the texts, chosen by crc32 of doc_id (missing: of the empty text), end in a loop of words."""
+    h = F.crc32(id_text(F.col("doc_id")).cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("_h"), F.floor(h / 10).cast("long").alias("_g"),
+                       F.array_remove(F.split(F.coalesce("text", F.lit("")), WORD_BREAK), "").alias("_w"))
+    rows = rows.withColumn("_n", F.size("_w")).withColumn("_a", F.expr("if(_n > 0, _g % _n, 0)"))
+    rows = rows.withColumn("_p", F.expr("1 + (_n - _a) div (3 + _g % 8)"))
+    loop = F.expr("array_join(concat(slice(_w, 1, int(_a)), slice(flatten(array_repeat(slice(_w, int(_a) + 1, int(_p)),"
+                  " int((_n - _a) div _p) + 1)), 1, int(_n - _a))), ' ')")
+    return rows.select("doc_id", F.when((F.col("_h") % 10 == 0) & (F.col("_n") > 0), loop).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.periodic_runs(with_loops(table(spark, sf_dir, "documents")))
+    exponent = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", exponent,
+                      F.sha2(runs.run_lines(F.col("runs")), 256).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -78,6 +99,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 _OP1 = r"""
