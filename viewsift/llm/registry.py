@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.llm import ann, bpe, chat, langid, line_dedup, lm, mixing, quality, runs, simhash, urls
+from viewsift.llm import align, ann, bpe, chat, langid, line_dedup, lm, mixing, quality, runs, simhash, urls
 from viewsift.llm.common import WORD_BREAK, id_text
+from viewsift.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +89,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    out = materialize(out.select("doc_id", *align.COUNTS, digest, *align.LINKS), "aligned")
+    return align.judge(out, align.link_counts(out)).select("doc_id", *align.COUNTS, "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -100,6 +108,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 
 _OP1 = r"""
