@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewsift.llm import align, ann, bpe, chat, langid, line_dedup, lm, mixing, quality, runs, simhash, urls
+from viewsift.llm import align, ann, bpe, chat, langid, line_dedup, lm, mixing, quality, quality_model, runs, simhash, urls
 from viewsift.llm.common import WORD_BREAK, id_text
 from viewsift.session import materialize
 
@@ -96,6 +96,11 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.judge(out, align.link_counts(out)).select("doc_id", *align.COUNTS, "n_best", "count_sum", "groups_sha256")
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_model.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -109,6 +114,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 _OP1 = r"""
