@@ -10,8 +10,8 @@ together, the text is cut into groups; two tokens are linked if their bytes over
 
 Neither tokenizer joins characters across a space that follows a non-space, so
 the text from one such space to the next is encoded, aligned and linked on its
-own, and each distinct one only once per slice of texts. A model whose pieces do
-cross such spaces is run over whole texts.
+own, and each distinct one only once while a task keeps it (``KNOWN_BYTES``). A
+model whose pieces do cross such spaces is run over whole texts.
 
 ``link_counts`` counts in how many documents each pair of ids is linked (combined
 per task, then by Spark). ``judge`` compares a document's links with these counts:
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -49,6 +50,8 @@ A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 #: Bytes of text given to the tokenizers in one call; a longer stretch without spaces is one call.
 CALL_BYTES = 1 << 17
+#: Bytes of distinct words whose alignment a task keeps from one slice of texts to the next.
+KNOWN_BYTES = 1 << 22
 #: Pairs known to every task: 24 MiB at most.
 HEAD_PAIRS = 1 << 20
 #: Distinct pairs a task counts before it hands them on.
@@ -56,6 +59,8 @@ FLUSH_PAIRS = 1 << 21
 SPACE = "▁"
 #: A space that follows a character which is no white space.
 BREAK = re.compile(r"(?<=\S)(?= )")
+#: Texts without these are cut at every space.
+ODD_SPACE = re.compile(r"\s |^ | $")
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 LINKS = ["link_a", "link_b", "link_n"]
 
@@ -113,18 +118,18 @@ class TokenizerPair:
     def _cuts(self, text: str, data: bytes) -> tuple[np.ndarray, ...] | None:
         """(ids, ends in bytes) of A and of B over ``data``, the bytes of ``text``; None if their bytes differ from it."""
         found = self.a_model.encode(text, add_special_tokens=False)
-        a, span = np.array(found.ids, np.int64), np.array(found.offsets, np.int64).reshape(-1, 2)
-        pieces = self.b_model.encode(text[1:], return_type="proto").pieces
-        own = np.array([(p.id, p.begin, p.end) for p in pieces], np.int64).reshape(-1, 3)
-        b = own[:, 0]
+        a = np.array(found.ids, np.int64)
+        span = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
+        pieces = list(self.b_model.encode(text[1:], return_type="proto").pieces)
+        b = np.array([p.id for p in pieces], np.int64)
         if self.a.joined(a) != data or self.b.joined(b) != data:
             return None
         if len(text) < len(data):
             point = np.frombuffer(text.encode("utf-32-le"), np.uint32)
             span = np.r_[0, np.cumsum(1 + (point > 0x7F).astype(np.int64) + (point > 0x7FF) + (point > 0xFFFF))][span]
-        begin = own[:, 1] + 1  # B was given the text without the space that it adds
-        begin[:1] = 0
-        return a, refine(span[:, 0], span[:, 1], self.a.size[a]), b, refine(begin, own[:, 2] + 1, self.b.size[b])
+        begin, end = (np.array([getattr(p, edge) for p in pieces], np.int64) + 1 for edge in ("begin", "end"))
+        begin[:1] = 0  # B was given the text without the space that it adds
+        return a, refine(span[:, 0], span[:, 1], self.a.size[a]), b, refine(begin, end, self.b.size[b])
 
     def align(self, words: list[str]) -> list[tuple]:
         """Parts of the words' alignment, each for some words in a row: see ``_part``. Words with other bytes are alone."""
@@ -167,22 +172,23 @@ class TokenizerPair:
         """The text cut before every space that follows a non-space; each word is meant with one space before it."""
         if not self.by_words:
             return [text] if text else []
-        words = text.split(" ") if text else []
-        if not all(words) or any(w[-1].isspace() for w in words):
-            words = [w[1:] for w in BREAK.split(" " + text)] if text else []
-        return words
+        if not text:
+            return []
+        return [w[1:] for w in BREAK.split(" " + text)] if ODD_SPACE.search(text) else text.split(" ")
 
 
 class _Words:
-    """The alignment of the distinct words of a slice of texts."""
+    """The alignment of the distinct words met so far."""
 
     def __init__(self, pair: TokenizerPair):
-        self.pair, self.rows, self.parts = pair, {}, []
+        self.pair, self.rows, self.parts, self.size = pair, {}, [], 0
 
     def add(self, words) -> None:
         new = [w for w in dict.fromkeys(words) if w not in self.rows]
         self.rows |= zip(new, range(len(self.rows), len(self.rows) + len(new)))
-        for a, b in spans([len(w.encode()) for w in new], CALL_BYTES):
+        sizes = [len(w.encode()) for w in new]
+        self.size += sum(sizes)
+        for a, b in spans(sizes, CALL_BYTES):
             self.parts += self.pair.align(new[a:b])
 
     def column(self, i: int) -> np.ndarray:
@@ -209,10 +215,10 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()))
 
 
-def align_texts(pair: TokenizerPair, data: list[bytes]) -> list[pa.Array]:
-    """The columns of ``COUNTS``, ``groups`` and ``LINKS`` of some texts."""
+def align_texts(pair: TokenizerPair, data: list[bytes], known: _Words | None = None) -> list[pa.Array]:
+    """The columns of ``COUNTS``, ``groups`` and ``LINKS`` of some texts; ``known`` holds words met before."""
     texts = list(map(_decoded, data))
-    words, known = list(map(pair.words_of, texts)), _Words(pair)
+    words, known = list(map(pair.words_of, texts)), known or _Words(pair)
     known.add(w for t in words for w in t)
 
     def place() -> tuple[np.ndarray, np.ndarray]:
@@ -272,11 +278,15 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
 
     def run(batches):
         pair = _pair(held.value)
+        known = _Words(pair)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
             for a, b in spans(sizes):
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, *align_texts(pair, text_bytes(part.column(at)))], names=names)
+                found = align_texts(pair, text_bytes(part.column(at)), known)
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], names=names)
+                if known.size > KNOWN_BYTES:
+                    known = _Words(pair)
     return docs.mapInArrow(run, schema)
 
 
