@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewsift import schemas
+from viewsift.operators import manifest
+from viewsift.operators.manifest import load_rows, write_raw  # noqa: F401 (part of the load interface)
 from viewsift.session import delete_path, materialize
 
 
@@ -63,17 +65,13 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 # --------------------------------------------------------------------------- K1 raw loads
 
-COMMIT_SCHEMA = "load_id string, source_file string, n_rows long"
-
-
-def commits_path(table_path: str) -> str:
-    return table_path.rstrip("/") + "_commits"
+commits_path = manifest.log_path
 
 
 def commits(spark: SparkSession, table_path: str) -> DataFrame:
-    """The load manifest: one row per committed (load, file) with its row count."""
-    found = _existing(spark, commits_path(table_path))
-    return spark.createDataFrame([], COMMIT_SCHEMA) if found is None else found
+    """The loaded files: load_id, source_file and row count of each."""
+    rows = manifest.log(spark, table_path).where("action = 'file' AND state = 'loaded'")
+    return rows.select("load_id", "source_file", "n_rows")
 
 
 def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
@@ -86,59 +84,61 @@ def drop_loaded_files(spark: SparkSession, rows: DataFrame, table_path: str) ->
     return rows.join(done, "source_file", "left_anti").select(*rows.columns)
 
 
-def write_raw(rows: DataFrame, folder: str) -> None:
-    """Write one load's rows, partitioned by date and laid out for the scans that follow.
-
-    REBALANCE lets AQE split a hot date into several tasks and merge small ones.
-    Each file is sorted by date, ``source_file``, then ``count_views`` descending
-    (the writer itself asks for the partition column first, so the order holds in
-    the files), so Parquet row-group statistics let stage A (``count_views >= n``)
-    and per-file checks skip most row groups.
-    """
-    (rows.hint("rebalance", "processing_date")
-     .sortWithinPartitions("processing_date", "source_file", F.col("count_views").desc())
-     .write.mode("overwrite").partitionBy("processing_date").parquet(folder))
-
-
-def raw_load(spark: SparkSession, rows: DataFrame, table_path: str, load_id: str | None = None) -> int:
+def raw_load(spark: SparkSession, rows: DataFrame, table_path: str, load_id: str | None = None,
+             files: DataFrame | None = None) -> int:
     """K1: load raw rows, all or nothing, each ``source_file`` once; returns the number of new rows.
 
-    A load writes its own ``load_id=...`` folder and then one manifest file; rows
+    A load writes its own ``load_id=...`` folder and then one manifest commit; rows
     count as loaded only when the manifest names their load, so what a broken load
     left behind is invisible, and its files are loaded again by the next run. A
     load repeated under the same ``load_id`` (a replayed micro-batch) overwrites
     its folder until it is committed; after that, files not loaded yet go to a
     folder of their own, so only ``source_file`` decides what is skipped.
+
+    ``files`` (source_file, and of length, n_bad, error what is known) lists the files
+    the rows were read from: each gets its state in the same commit, those without
+    rows too (``corrupt`` with an error, else ``quarantined`` with bad lines, else ``empty``).
     """
     load_id = load_id or uuid.uuid4().hex
-    if not commits(spark, table_path).where(F.col("load_id") == load_id).isEmpty():  # its folder must stay
+    log = manifest.log(spark, table_path)
+    if not log.where((F.col("action") == "load") & (F.col("load_id") == load_id)).isEmpty():  # its folder must stay
         load_id = f"{load_id}-{uuid.uuid4().hex}"
     rows = rows.select(*[f.name for f in schemas.RAW_PAGEVIEWS.fields])
-    folder = f"{table_path.rstrip('/')}/load_id={load_id}"
-    write_raw(drop_loaded_files(spark, rows, table_path), folder)
-    files = load_rows(spark, table_path, load_id).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
-    # One file, so the commit is one rename.
-    files.select(F.lit(load_id).alias("load_id"), "source_file", "n_rows").coalesce(1) \
-        .write.mode("append").parquet(commits_path(table_path))
+    write_raw(drop_loaded_files(spark, rows, table_path), manifest.folder(table_path, load_id))
+    written = load_rows(spark, table_path, load_id)
+    own = written.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    manifest.commit(spark, table_path, manifest.one(spark, action="load", load_id=load_id),
+                    _file_actions(own, files, table_path, load_id), manifest.date_actions(written, load_id))
     own = commits(spark, table_path).where(F.col("load_id") == load_id)
     return own.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
 
 
-def load_rows(spark: SparkSession, table_path: str, load_id: str) -> DataFrame:
-    """The rows one load wrote."""
-    return spark.read.schema(schemas.RAW_PAGEVIEWS).parquet(f"{table_path.rstrip('/')}/load_id={load_id}")
+def _file_actions(own: DataFrame, files: DataFrame | None, table_path: str, load_id: str) -> DataFrame:
+    """The ``file`` actions of a load from its rows per file and what is known of the files read."""
+    if files is not None:
+        more = [c for c in ("length", "n_bad", "error") if c in files.columns]
+        # a file that an earlier load holds keeps its state
+        known = files.join(commits(files.sparkSession, table_path).select("source_file"), "source_file", "left_anti")
+        own = own.join(known.select("source_file", *more), "source_file", "full")
+    for c, kind in (("length", "long"), ("n_bad", "long"), ("error", "string")):
+        if c not in own.columns:
+            own = own.withColumn(c, F.lit(None).cast(kind))
+    state = (F.when(F.col("n_rows") > 0, "loaded").when(F.col("error").isNotNull(), "corrupt")
+             .when(F.col("n_bad") > 0, "quarantined").otherwise("empty"))
+    return own.withColumn("state", state).withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long")) \
+        .withColumn("action", F.lit("file")).withColumn("load_id", F.lit(load_id))
 
 
 def loaded_dates(spark: SparkSession, table_path: str, load_id: str) -> list:
-    """The dates one load touched: its partitions (a day, or the days of a backfill)."""
-    rows = load_rows(spark, table_path, load_id).select("processing_date").distinct()
-    return sorted(r[0] for r in rows.collect())
+    """The dates one load touched (a day, or the days of a backfill)."""
+    return dates_of_loads(spark.createDataFrame([(load_id,)], "load_id string"), table_path)
 
 
 def uncurated_loads(spark: SparkSession, raw_path: str, curated_path: str) -> DataFrame:
     """``load_id`` of the committed raw loads that no finished curated load has covered yet."""
-    loads = commits(spark, raw_path).select("load_id").distinct()
-    return loads.join(commits(spark, curated_path).select("load_id"), "load_id", "left_anti")
+    loads = manifest.log(spark, raw_path).where("action = 'load'").select("load_id")
+    done = _existing(spark, commits_path(curated_path))
+    return loads if done is None else loads.join(done.select("load_id"), "load_id", "left_anti")
 
 
 def mark_curated(loads: DataFrame, curated_path: str) -> None:
@@ -147,9 +147,8 @@ def mark_curated(loads: DataFrame, curated_path: str) -> None:
 
 
 def dates_of_loads(loads: DataFrame, raw_path: str) -> list:
-    """The dates these raw loads touched."""
-    schema = "load_id string, processing_date date"
-    rows = loads.sparkSession.read.schema(schema).parquet(raw_path).join(loads, "load_id", "left_semi")
+    """The dates these raw loads touched, as the manifest has them (their folders may be compacted away)."""
+    rows = manifest.log(loads.sparkSession, raw_path).where("action = 'date'").join(loads.select("load_id"), "load_id", "left_semi")
     return sorted(r[0] for r in rows.select("processing_date").distinct().collect())
 
 

@@ -16,8 +16,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewsift import schemas
 from viewsift.functions import rules
-from viewsift.operators import curate, prefilter, quality, scoring
+from viewsift.operators import curate, manifest, prefilter, quality, scoring
 from viewsift.session import drop_scratch, materialize, scratch_mark
 from viewsift.sources import dumps, warehouse
 from viewsift.streaming.ingest import parsed_lines
@@ -34,6 +35,7 @@ class DailyResult:
     curated_rows_loaded: int
     stats: dict
     verified: list = field(default_factory=list)
+    files_read: int = 0
 
 
 def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_views: int = rules.DEFAULT_MIN_VIEWS,
@@ -51,23 +53,27 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     row by the hour in its dump's name (backfills). Tables live in
     ``{root}/raw_pageviews``, ``{root}/filtered_pageviews``; bad dump lines go to
     ``{root}/quarantine``; scorer replies to ``{root}/scorer_replies``. ``audit``
-    checks every gzip first (one extra decompression pass) and lists corrupt files
+    checks every new gzip first (one extra decompression pass) and lists corrupt files
     in ``{root}/corrupt_files`` instead of failing on them.
 
+    Every file read gets its state (loaded, quarantined, corrupt, empty) in the
+    commit of the load. Files with a state are not opened again; a corrupt one is,
+    once its length has changed.
+
     The curated dates are recomputed from all raw rows of theirs, so the result does
     not depend on how the dumps were split over runs. Checks stop the job: no good
     line (C1) or no candidate in the touched dates (C5); the per-file report of the
     load (C2) is returned as ``verified``.
     """
     raw_path, cur_path = f"{root}/raw_pageviews", f"{root}/filtered_pageviews"
-    paths: str | list[str] = landing
+    load_id, mark = uuid.uuid4().hex, scratch_mark(spark)
+    # The ledger prunes files before any is opened; what is left is the run's own file list.
+    files = materialize(manifest.new_files(dumps.list_files(spark, landing), raw_path), "new-files")
     if audit:
         # Corrupt files are recorded and skipped instead of failing the whole read.
-        checked = dumps.gz_audit(spark, landing).persist()
-        checked.where(F.col("status") != "ok").write.mode("append").parquet(f"{root}/corrupt_files")
-        paths = [r.path for r in checked.where(F.col("status") == "ok").select("path").collect()]  # file list
-        checked.unpersist()
-    load_id, mark = uuid.uuid4().hex, scratch_mark(spark)
+        files = _audited(spark, files, f"{root}/corrupt_files/load_id={load_id}")
+    sound = files.where(F.col("error").isNull()) if audit else files
+    paths = [r.path for r in sound.select("path").collect()]
     n_raw = n_bad = 0
     if paths:
         # A gzip file is one task; REBALANCE spreads its lines (a dump holding a third of the day
@@ -83,19 +89,23 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
             found = quality.extract_checks(rows).first()
             if not found.passed:
                 raise LoadCheckError(f"the dumps failed the extract checks: {found.asDict()}")
-            bad_path = f"{root}/quarantine/load_id={load_id}"
+            bad_path = f"{quarantine_path(root)}/load_id={load_id}"
             bad.write.parquet(bad_path)
-            n_bad = spark.read.schema(bad.schema).parquet(bad_path).count()
-            n_raw = curate.raw_load(spark, rows, raw_path, load_id)
+            bad = spark.read.schema(bad.schema).parquet(bad_path)
+            n_bad = bad.count()
+            files = files.join(bad.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_bad")), "source_file", "left")
+            n_raw = curate.raw_load(spark, rows, raw_path, load_id, files)
         finally:
             lines.unpersist()
+    elif not files.isEmpty():  # corrupt files only
+        curate.raw_load(spark, spark.createDataFrame([], schemas.RAW_PAGEVIEWS), raw_path, load_id, files)
     loads = materialize(curate.uncurated_loads(spark, raw_path, cur_path), "uncurated-loads")
     dates = [] if loads.isEmpty() else curate.dates_of_loads(loads, raw_path)
     if as_of is not None:
         dates = sorted({*dates, dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of})
     if not dates:
         drop_scratch(spark, mark)
-        return DailyResult(n_raw, n_bad, 0, {})
+        return DailyResult(n_raw, n_bad, 0, {}, files_read=len(paths))
 
     raw = warehouse.raw_table(spark, raw_path).where(F.col("processing_date").isin(dates))
     verified = quality.verify_load(curate.load_rows(spark, raw_path, load_id)).collect() if n_raw else []  # one row per file
@@ -117,7 +127,34 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     curate.mark_curated(loads, cur_path)
     stats = scoring.llm_stats(batched, statuses, records, batch_size).first().asDict()
     drop_scratch(spark, mark)
-    return DailyResult(n_raw, n_bad, n_cur, stats, verified)
+    return DailyResult(n_raw, n_bad, n_cur, stats, verified, len(paths))
+
+
+def _audited(spark: SparkSession, files: DataFrame, report_path: str) -> DataFrame:
+    """``files`` (path, ...) plus the ``error`` of corrupt ones, which are written to ``report_path``."""
+    paths = [r.path for r in files.select("path").collect()]  # the run's own file list
+    if not paths:
+        return files.withColumn("error", F.lit(None).cast("string"))
+    checked = dumps.gz_audit(spark, paths).where(F.col("status") != "ok").persist()
+    try:
+        checked.write.parquet(report_path)
+    finally:
+        checked.unpersist()
+    found = spark.read.schema(dumps.AUDIT_SCHEMA).parquet(report_path)
+    return materialize(files.join(found.select("path", F.coalesce("error", F.lit("corrupt")).alias("error")), "path", "left"),
+                       "audited-files")
+
+
+def quarantine_path(root: str) -> str:
+    return f"{root.rstrip('/')}/quarantine"
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Bad lines (source_file, line, reason) of committed loads: each once, whatever runs broke off or were repeated."""
+    schema = "source_file string, line string, reason string, load_id string"
+    rows = spark.read.schema(schema).parquet(quarantine_path(root))
+    loads = manifest.log(spark, f"{root}/raw_pageviews").where("action = 'load'").select("load_id")
+    return rows.join(loads, "load_id", "left_semi").select("source_file", "line", "reason")
 
 
 def dashboard(raw: DataFrame, filtered: DataFrame, as_of, days: int = 7, companies=None,

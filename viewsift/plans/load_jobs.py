@@ -12,17 +12,21 @@ from pyspark.sql import functions as F
 
 from viewsift import schemas
 from viewsift.functions import rules
-from viewsift.operators import curate, prefilter, scoring
-from viewsift.session import fresh_dir
+from viewsift.operators import curate, manifest, prefilter, scoring
+from viewsift.plans import analytics, daily_job
+from viewsift.session import delete_path, filesystem, fresh_dir
 from viewsift.sources import dumps, files, testbed as tb, warehouse
 from viewsift.streaming import ingest
 
 RAW = [f.name for f in schemas.RAW_PAGEVIEWS.fields]
 FILTERED = [f.name for f in schemas.FILTERED_PAGEVIEWS.fields]
+BAD_LINES = ["en Bad Title x 9 0", "en Foo abc 0", "en OnlyTwo", "en Neg -5 0"]
+ODD_NAME = "projectviews.gz"
+CORRUPT_NAME = "pageviews-corrupt.gz"
 
 
 class LoadCheckError(RuntimeError):
-    """A repeated load appended rows it should have skipped."""
+    """A repeated load or repair changed what it should have left alone."""
 
 
 def raw_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,6 +49,84 @@ def raw_load_retry(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.raw_table(spark, path)
 
 
+def _raw_in_loads(spark: SparkSession, sf: str, n: int) -> str:
+    """The raw rows as ``n`` loads (by hour of the day); returns the table's path."""
+    path = fresh_dir(spark, "raw_pageviews")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    for i in range(n):
+        curate.raw_load(spark, rows.where(F.hour("loaded_at") % n == i), path, f"load-{i}")
+    return path
+
+
+def raw_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Several loads, a compaction that broke off half-way, then a whole one and the deletion of what it replaced."""
+    path = _raw_in_loads(spark, sf, 4)
+    manifest.write_raw(warehouse.raw_table(spark, path).where("count_views % 2 = 0"), manifest.folder(path, "compact-broken"))
+    manifest.compact(spark, path)
+    manifest.vacuum(spark, path)
+    if len(manifest.snapshot(spark, path).loads) != 1:
+        raise LoadCheckError("the loads were not replaced by one")
+    return warehouse.raw_table(spark, path)
+
+
+def retention_drop(spark: SparkSession, sf: str, days: int) -> DataFrame:
+    """K7: expired dates dropped from every load; the deletion of their files breaks off after one load and is repeated."""
+    path = _raw_in_loads(spark, sf, 2)
+    for day in manifest.drop_expired(spark, path, tb.AS_OF, days):
+        delete_path(spark, f"{manifest.folder(path, 'load-0')}/processing_date={day}")
+    left = warehouse.raw_table(spark, path).agg(F.min("processing_date")).first()[0]
+    manifest.vacuum(spark, path)
+    if warehouse.raw_table(spark, path).agg(F.min("processing_date")).first()[0] != left:
+        raise LoadCheckError("readers saw a dropped date before its files were deleted")
+    return warehouse.raw_table(spark, path)
+
+
+def dq_from_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """V2 from the commits of several loads, two of them compacted before the others came."""
+    path = fresh_dir(spark, "raw_pageviews")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    for i in range(3):
+        curate.raw_load(spark, rows.where(F.hour("loaded_at") % 3 == i), path, f"load-{i}")
+        if i == 1:
+            manifest.compact(spark, path)
+            manifest.vacuum(spark, path)
+    return analytics.v_data_quality_from_manifest(spark, path, tb.filtered_pageviews(spark, sf)).drop("approx_domains")
+
+
+def rankings_sketched(spark: SparkSession, sf: str, days: int) -> DataFrame:
+    """Q4 from stored partials; ``median_ok`` tells whether the sketched median's rank among all rows is within its error."""
+    path = fresh_dir(spark, "company_partials")
+    rows = tb.filtered_pageviews(spark, sf)
+    analytics.company_partials(rows).write.partitionBy("processing_date").parquet(path)
+    found = analytics.rankings_from_partials(spark.read.parquet(path), tb.AS_OF, days)
+    own = analytics.last_n_days(rows, tb.AS_OF, days).join(found.select("company", "median_views", "page_count"), "company")
+    below, up_to = (F.avg(c.cast("double")) for c in (F.col("count_views") < F.col("median_views"),
+                                                      F.col("count_views") <= F.col("median_views")))
+    error = analytics.MEDIAN_RANK_ERROR + 1.0 / F.min("page_count")
+    ok = own.groupBy("company").agg(((below <= 0.5 + error) & (up_to >= 0.5 - error)).alias("median_ok"))
+    return found.drop("median_views").join(ok, "company")
+
+
+def daily_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job over dumps with bad lines and a corrupt file, twice; the second run opens no file."""
+    landing, root = fresh_dir(spark, "landing"), fresh_dir(spark, "daily")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    good = rows.select("source_file", F.concat_ws(" ", "domain", "page_title", F.col("count_views").cast("string"), F.lit("0")).alias("line"))
+    bad = rows.select("source_file").distinct().select("source_file", F.explode(F.array(*[F.lit(x) for x in BAD_LINES])).alias("line"))
+    dumps.write_dump_lines(good.unionByName(bad), landing)
+    store, folder = filesystem(landing)
+    with store.open_output_stream(f"{folder}/{CORRUPT_NAME}", compression=None) as f:
+        f.write(b"not a gzip file")
+    for again in (False, True):
+        done = daily_job.run_daily(spark, landing, root, event_time_from_name=True, audit=True)
+        if again and (done.files_read or done.quarantined_lines or done.raw_rows_loaded):
+            raise LoadCheckError(f"the second run read {done.files_read} files")
+    lines = daily_job.read_quarantine(spark, root).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_quarantined"))
+    ledger = manifest.file_states(spark, f"{root}/raw_pageviews").join(lines, "source_file", "left")
+    return ledger.select("source_file", "state", "n_rows", F.coalesce("n_bad", F.lit(0)).alias("n_bad"),
+                         F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"))
+
+
 def _kept_rows(candidates: DataFrame) -> DataFrame:
     """Curated-shaped rows of the candidates that the verdict rules keep."""
     kept = candidates.where(rules.is_kept_title("page_title"))
@@ -141,10 +223,6 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_raw_stream_table(spark, table)
 
 
-BAD_LINES = ["en Bad Title x 9 0", "en Foo abc 0", "en OnlyTwo", "en Neg -5 0"]
-ODD_NAME = "projectviews.gz"
-
-
 def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Dumps with bad lines and one file without an hour in its name; lines per fate (raw or a reason)."""
     landing = fresh_dir(spark, "landing")
@@ -191,3 +269,23 @@ def stream_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     log, ckpt = fresh_dir(spark, "daily_log"), fresh_dir(spark, "ckpt")
     ingest.daily_company_totals(spark, landing, log, ckpt, watermark="2 days")
     return ingest.latest_totals(spark, log)
+
+
+def stream_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Late days behind the watermark, then a second checkpoint that sees the mornings only; the repaired totals."""
+    landing, mornings = fresh_dir(spark, "landing"), fresh_dir(spark, "landing")
+    log, raw, ckpt = fresh_dir(spark, "daily_log"), fresh_dir(spark, "raw_stream"), fresh_dir(spark, "ckpt")
+    raw_ckpt = fresh_dir(spark, "ckpt")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    late = F.dayofmonth("loaded_at") <= 10
+    for part in (~late, late):
+        dumps.write_dump_files(rows.where(part), landing)
+        ingest.ingest_dumps(spark, landing, raw, raw_ckpt)
+        ingest.daily_company_totals(spark, landing, log, ckpt, watermark="2 days")
+    ingest.repair_totals(spark, raw, log)
+    dumps.write_dump_files(rows.where(F.hour("loaded_at") < 12), mornings)
+    ingest.daily_company_totals(spark, mornings, log, fresh_dir(spark, "ckpt"), watermark="2 days")
+    ingest.repair_totals(spark, raw, log)
+    if ingest.repair_totals(spark, raw, log):
+        raise LoadCheckError("a repair of repaired totals changed them")
+    return ingest.latest_totals(spark, log)

@@ -551,6 +551,19 @@ SELECT 'sum', domain, page_title, CAST(sum(count_views) AS INTEGER), company, pr
 FROM verdicts WHERE verdict LIKE 'keep:%' GROUP BY domain, page_title, company, processing_date""")
 
 
+def daily_rerun(n_bad: int, corrupt: str) -> str:
+    return with_adapter("", f"""
+SELECT source_file, 'loaded' AS state, count(*) AS n_rows, CAST({n_bad} AS BIGINT) AS n_bad, CAST({n_bad} AS BIGINT) AS n_quarantined
+FROM raw_pageviews GROUP BY source_file
+UNION ALL SELECT {_q(corrupt)}, 'corrupt', 0, 0, 0""")
+
+
+def rankings_sketched(days: int) -> str:
+    columns = RANKED.replace("median_views, ", "")
+    return with_adapter(_per_company(f"(SELECT * FROM filtered_pageviews WHERE {_window(days)})"),
+                        f"SELECT {columns}, true AS median_ok FROM ranked")
+
+
 def stream_quarantine(n_bad: int) -> str:
     return with_adapter("files AS (SELECT count(DISTINCT source_file) AS n FROM raw_pageviews)", f"""
 SELECT 'raw' AS fate, count(*) AS n_lines FROM raw_pageviews

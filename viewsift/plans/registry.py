@@ -130,6 +130,12 @@ QUERIES.update({
     "retention": lambda s, sf: C.retention_window(_raw(s, sf), AS_OF, RETENTION_DAYS),
     "raw_load": LJ.raw_load,
     "raw_load_retry": LJ.raw_load_retry,
+    "raw_compacted": LJ.raw_compacted,
+    "retention_drop": lambda s, sf: LJ.retention_drop(s, sf, RETENTION_DAYS),
+    "v_data_quality_incremental": LJ.dq_from_manifest,
+    "rankings_sketched": lambda s, sf: LJ.rankings_sketched(s, sf, DAYS),
+    "daily_rerun": LJ.daily_rerun,
+    "stream_repair": LJ.stream_repair,
     "curated_two_loads": LJ.curated_two_loads,
     "stream_quarantine": LJ.stream_quarantine,
     "late_row_count": LJ.late_row_count,
@@ -203,6 +209,12 @@ ORACLES: dict[str, Callable[[], str]] = {
     "retention": lambda: O.retention(RETENTION_DAYS),
     "raw_load": O.raw_rows,
     "raw_load_retry": O.raw_rows,
+    "raw_compacted": O.raw_rows,
+    "retention_drop": lambda: O.retention(RETENTION_DAYS),
+    "v_data_quality_incremental": O.v_data_quality_metrics,
+    "rankings_sketched": lambda: O.rankings_sketched(DAYS),
+    "daily_rerun": lambda: O.daily_rerun(len(LJ.BAD_LINES), LJ.CORRUPT_NAME),
+    "stream_repair": O.stream_daily_summary,
     "curated_two_loads": O.curated_two_loads,
     "stream_quarantine": lambda: O.stream_quarantine(len(LJ.BAD_LINES)),
     "late_row_count": O.late_row_count,

@@ -139,16 +139,21 @@ AUDIT_SCHEMA = ("path string, file_name string, length long, status string, erro
                 "lines long")
 
 
-def gz_audit(spark: SparkSession, directory: str, glob: str = "*.gz") -> DataFrame:
+def list_files(spark: SparkSession, directory: str | Sequence[str], glob: str = "*") -> DataFrame:
+    """path, source_file (file name) and length of the files of one or many folders; contents are not read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(directory))
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"), "length")
+
+
+def gz_audit(spark: SparkSession, directory: str | Sequence[str], glob: str = "*.gz") -> DataFrame:
     """One row per file: gzip magic, full-stream integrity, first line, line count.
 
     The ``binaryFile`` scan selects only path and length, so file contents never
     enter the plan; each task streams its files with bounded memory.
     """
     ship_package(spark)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(directory).select("path", "length"))
-    return files.mapInPandas(_audit_files, AUDIT_SCHEMA)
+    return list_files(spark, directory, glob).select("path", "length").mapInPandas(_audit_files, AUDIT_SCHEMA)
 
 
 # --------------------------------------------------------------------------- writing (fixtures)

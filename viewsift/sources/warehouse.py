@@ -7,22 +7,18 @@ column prune partitions, other filters and projections reach the scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from viewsift import schemas
-from viewsift.operators import curate
+from viewsift.operators import manifest
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
 
 
-def raw_table(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of committed loads (``operators.curate.raw_load``); other loads' folders are pruned."""
-    schema = T.StructType([*schemas.RAW_PAGEVIEWS.fields, T.StructField("load_id", T.StringType())])
-    done = curate.commits(spark, path).select("load_id").distinct()
-    rows = spark.read.schema(schema).parquet(path).join(done, "load_id", "left_semi")
-    return rows.select(*[f.name for f in schemas.RAW_PAGEVIEWS.fields])
+def raw_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The rows of the visible loads (``operators.manifest``): their folders are read by name, without a join."""
+    return manifest.read_table(spark, path, version)
 
 
 def curated_table(spark: SparkSession, path: str) -> DataFrame:
