@@ -195,8 +195,101 @@ def test_one_new_row_sends_one_prompt(spark, tmp_path):
 
     def send(df):
         before = calls.value
-        prompts = S.build_prompts(S.assign_batches(df, 50, bucket=S.stable_bucket(df, 50)))
+        rows = S.sticky_buckets(df, 50, cols=["domain", "page_title", "count_views"]).drop("depth", "prefix")
+        prompts = S.build_prompts(S.assign_batches(rows, 50, bucket=F.col("bucket")))
         S.score_batches_stored(prompts, str(tmp_path / "store"), counting).count()
         return calls.value - before
     assert send(frame(500)) >= 10
     assert send(frame(501)) == 1
+
+
+def candidates(spark, day, n, start=0):
+    return spark.range(start, start + n).select(
+        F.lit("en").alias("domain"), F.concat(F.lit(f"Apple_{day}_"), F.col("id").cast("string")).alias("page_title"),
+        (F.col("id") % 977).cast("int").alias("count_views"), F.lit("f").alias("source_file"),
+        F.lit(f"2024-01-{day:02d}").cast("date").alias("processing_date"))
+
+
+def prompt_texts(df):
+    rows = S.sticky_buckets(df).drop("depth", "prefix")
+    return {r.prompt for r in S.build_prompts(S.assign_batches(rows, bucket=F.col("bucket"))).collect()}
+
+
+def test_other_dates_leave_a_dates_prompts_as_they_were(spark):
+    one = prompt_texts(candidates(spark, 1, 200))
+    assert 4 <= len(one) <= 16
+    both = prompt_texts(candidates(spark, 1, 200).unionByName(candidates(spark, 2, 9000)))
+    assert one < both
+
+
+def test_one_more_row_changes_two_prompts_at_most(spark):
+    df = candidates(spark, 3, 1500)
+    before = prompt_texts(df)
+    for extra in range(4):
+        after = prompt_texts(df.unionByName(candidates(spark, 3, 1, 5000 + extra)))
+        assert 1 <= len(after - before) <= 2 and len(before - after) <= 1
+
+
+def test_buckets_are_the_first_small_nodes(spark):
+    rows = S.sticky_buckets(candidates(spark, 4, 3000).withColumn("_h", S.row_hash(["domain", "page_title", "count_views", "source_file"]))).collect()
+    sizes = {}
+    for d in range(15):
+        for r in rows:
+            key = (d, r._h >> (60 - d))
+            sizes[key] = sizes.get(key, 0) + 1
+    for r in rows:
+        assert r.depth == next(d for d in range(15) if sizes[d, r._h >> (60 - d)] <= 50) and r.prefix == r._h >> (60 - r.depth)
+
+
+def test_equal_rows_and_empty_input_and_many_rows(spark):
+    same = candidates(spark, 5, 1).crossJoin(spark.range(400).select(F.col("id").alias("x"))).drop("x")
+    out = S.sticky_buckets(same.unionByName(candidates(spark, 5, 100, 10)))
+    assert out.count() == 500 and out.groupBy("bucket").count().where("count > 50").count() == 1
+    assert S.build_prompts(S.assign_batches(out.drop("depth", "prefix"), bucket=F.col("bucket"))).agg(F.max("n_records")).first()[0] == 50
+    assert S.sticky_buckets(same.where("false")).count() == 0
+    big = S.sticky_buckets(candidates(spark, 6, 20_000))  # its least depth is above the root
+    assert big.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 50 and big.count() == 20_000
+
+
+def test_a_killed_job_asks_only_for_the_rest(spark, tmp_path):
+    """Each call leaves a line in a file, so calls of the killed workers count too."""
+    import os
+
+    import pytest
+
+    prompts = S.build_prompts(S.assign_batches(candidates(spark, 7, 600), 50)).select("bucket", "batch_no", "n_records", "prompt")
+    prompts = prompts.unionByName(prompts.withColumn("bucket", F.lit(9).cast("long")))  # equal prompts of one run
+    calls, store = str(tmp_path / "calls"), str(tmp_path / "store")
+
+    def scorer(die_at):
+        def ask(prompt):
+            with open(calls, "a+") as f:
+                f.seek(0)
+                if len(f.readlines()) == die_at:
+                    os._exit(1)
+                f.write("x\n")
+            return S.RuleScorer()(prompt)
+        return ask
+
+    def asked():
+        with open(calls) as f:
+            return len(f.readlines())
+    with pytest.raises(Exception):
+        S.score_batches_stored(prompts, store, scorer(5), parallelism=1).count()
+    assert asked() == 5
+    assert S.stored_replies(spark, store).count() == 5
+    out = S.score_batches_stored(prompts, store, scorer(-1), parallelism=1).collect()
+    assert asked() == 12 and len(out) == 24 and {r.call_status for r in out} == {"ok"}
+    assert not os.path.exists(S.replies_in_flight(store))
+    S.score_batches_stored(prompts, store, scorer(-1)).count()
+    assert asked() == 12
+
+
+def test_failed_calls_are_told_and_tried_again(spark, tmp_path):
+    prompts = S.build_prompts(S.assign_batches(candidates(spark, 8, 120), 50))
+
+    def flaky(prompt):
+        raise TimeoutError("model timed out")
+    out = S.score_batches_stored(prompts, str(tmp_path / "s"), flaky).collect()
+    assert {(r.call_status, r.call_error) for r in out} == {("error", "TimeoutError: model timed out")}
+    assert {r.call_status for r in S.score_batches_stored(prompts, str(tmp_path / "s"), S.RuleScorer()).collect()} == {"ok"}

@@ -19,17 +19,18 @@ import csv
 import io
 import json
 import re
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewsift.functions import rules
 from viewsift.functions.numeric import exact_round_pct
 from viewsift.operators.ranking import sorted_row_number
-from viewsift.session import materialize, ship_package
+from viewsift.session import delete_path, filesystem, materialize, ship_package
 from viewsift.sources.files import QUOTING, csv_text_column
 
 DEFAULT_BATCH_SIZE = 50
@@ -56,14 +57,52 @@ def rows_bucket(cols: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(int(n_buckets)))
 
 
-def stable_bucket(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> Column:
-    """A bucket per date and title hash, half a batch each on average.
+#: Bits of a row's hash that buckets are named by, and the levels below a date's least depth that are counted.
+HASH_BITS = 60
+LEVELS = 14
+#: A date's least depth leaves nodes of about 64 to 128 batches: far more rows than any node has by chance alone.
+LEAST_NODE_BATCHES = 64
 
-    The number of buckets is a power of two of the row count, so a few more rows
-    leave nearly all buckets, and with them the prompts, as they were.
+
+def row_hash(cols: Sequence[str]) -> Column:
+    """The first ``HASH_BITS`` bits of the MD5 of a row's columns as text."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def sticky_buckets(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, day: str = "processing_date",
+                   cols: Sequence[str] = ("domain", "page_title", "count_views", "source_file")) -> DataFrame:
+    """L1: ``df`` plus ``depth``, ``prefix`` and ``bucket``: extendible hashing per date.
+
+    A row's hash, bit by bit, is its path in the binary tree of its date; its bucket
+    is the first node on the path with at most ``batch_size`` rows. So a date's buckets
+    depend on its own rows alone, and one more row changes one bucket or splits it in
+    two: the prompts of all others stay as they were.
+
+    Rows are first counted per cell, a node ``LEVELS`` below the date's least depth (a
+    power of two of its rows), which folds equal rows before any shuffle; the tree is
+    summed over the cells. Equal rows that no depth can part share a bucket larger than
+    a batch (``assign_batches`` cuts it).
     """
-    n = 1 << max(0, (2 * df.count() // batch_size).bit_length())
-    return F.xxhash64("processing_date", F.pmod(F.xxhash64("domain", "page_title"), F.lit(n)))
+    rows = df.withColumn("_hash", row_hash(cols))
+    n_batches = F.greatest(F.col("_n") / (batch_size * LEAST_NODE_BATCHES), F.lit(1.0))
+    days = rows.groupBy(day).agg(F.count(F.lit(1)).alias("_n")).select(day, F.floor(F.log2(n_batches)).cast("int").alias("_least"))
+
+    def node(depth: str) -> Column:
+        return F.expr(f"shiftright(_hash, {HASH_BITS} - ({depth}))")
+    rows = rows.join(days, rows[day].eqNullSafe(days[day]), "left").drop(days[day])
+    rows = rows.withColumn("_cell", node(f"_least + {LEVELS}"))
+    cells = rows.groupBy(day, "_least", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    top, depth = F.expr(f"shiftright(_cell, {LEVELS})"), F.col("_least") + LEVELS
+    cells = cells.withColumn("_top", top)
+    for k in reversed(range(LEVELS)):  # the least depth that is small enough is set last
+        path = F.expr(f"shiftright(_cell, {LEVELS - k})")
+        own = F.sum("_n").over(Window.partitionBy(day, "_top", path))
+        depth = F.when(own <= batch_size, F.col("_least") + k).otherwise(depth)
+    cells = cells.select(day, "_cell", depth.alias("depth"))
+    out = rows.join(cells.withColumnRenamed(day, "_day"), F.col(day).eqNullSafe(F.col("_day")) & (rows["_cell"] == cells["_cell"]))
+    out = out.withColumn("prefix", node("depth"))
+    return out.select(*df.columns, "depth", "prefix", F.xxhash64(day, "depth", "prefix").alias("bucket"))
 
 
 def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, n_buckets: int = 1,
@@ -208,28 +247,77 @@ def score_batches(prompts: DataFrame, scorer: Scorer | None = None, parallelism:
                           "bucket long, batch_no long, reply string, call_status string, call_error string")
 
 
+STORED = "prompt_md5 string, reply string, call_status string, call_error string"
+
+
+def replies_in_flight(store_path: str) -> str:
+    return store_path.rstrip("/") + "_inflight"
+
+
+def stored_replies(spark: SparkSession, store_path: str) -> DataFrame:
+    """All replies known: the store's, and those of a run that has not ended (or broke off)."""
+    out = spark.createDataFrame([], STORED)
+    for read, path in ((spark.read.schema(STORED).parquet, store_path), (spark.read.schema(STORED).json, replies_in_flight(store_path))):
+        try:
+            out = out.unionByName(read(path))
+        except AnalysisException:  # none yet
+            pass
+    return out.dropDuplicates(["prompt_md5"])
+
+
+def _committing_fn(scorer: Scorer, target: str):
+    """Task: asks for each prompt and writes its reply, before the next one, as a file named by the prompt."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = filesystem(target)
+        fs.create_dir(root, recursive=True)
+        for pdf in batches:
+            errors = []
+            for md5, prompt in zip(pdf["prompt_md5"], pdf["prompt"]):
+                path, error = f"{root}/{md5}.json", None
+                if not fs.get_file_info(path).is_file:  # else a task that this one repeats has asked
+                    try:
+                        reply = scorer(prompt)
+                    except Exception as e:  # any failure → no reply for this batch, not a job error
+                        error = f"{type(e).__name__}: {e}"
+                    else:
+                        record = {"prompt_md5": md5, "reply": reply, "call_status": "ok"}
+                        hidden = f"{root}/.{md5}.{uuid.uuid4().hex}.tmp"
+                        with fs.open_output_stream(hidden, compression=None) as f:
+                            f.write((json.dumps(record) + "\n").encode())
+                        fs.move(hidden, path)
+                errors.append(error)
+            yield pdf[["prompt_md5"]].assign(call_error=errors)
+    return run
+
+
 def score_batches_stored(prompts: DataFrame, store_path: str, scorer: Scorer | None = None,
                          parallelism: int | None = None) -> DataFrame:
-    """L3, idempotent across runs: replies are kept in a table keyed by ``md5(prompt)``.
+    """L3, idempotent and resumable: replies are kept in a table keyed by ``md5(prompt)``.
 
-    Only prompts without a stored reply reach the scorer; their replies are
-    appended to the store before anything reads them, so a re-run (or a job
-    retried after losing executors) never calls the model twice for one prompt.
-    Failed calls are not stored, so they are retried next time.
+    Only distinct prompts without a reply reach the scorer. Every reply is written as
+    soon as it comes, beside the store, so a job that is killed (or a task that is
+    repeated after losing its executor) asks only for the rest. When all are there they
+    are moved into the store as one append. Failed calls are not stored, so they are
+    retried next time. One job at a time uses a store.
     """
     spark = prompts.sparkSession
     keyed = prompts.withColumn("prompt_md5", F.md5("prompt"))
+    todo = keyed.select("prompt_md5", "prompt").dropDuplicates(["prompt_md5"]) \
+        .join(stored_replies(spark, store_path).select("prompt_md5"), "prompt_md5", "left_anti")
+    if parallelism:
+        todo = todo.repartition(int(parallelism), "prompt_md5")
+    ship_package(spark)
+    # written: later readers must not run the scorer again
+    failed = materialize(todo.mapInPandas(_committing_fn(scorer or RuleScorer(), replies_in_flight(store_path)),
+                                          "prompt_md5 string, call_error string").where("call_error IS NOT NULL"), "failed-calls")
     try:
-        stored = spark.read.parquet(store_path).select("prompt_md5", "reply", "call_status", "call_error")
-    except AnalysisException:  # no store yet
-        stored = None
-    todo = keyed if stored is None else keyed.join(stored.select("prompt_md5"), "prompt_md5", "left_anti")
-    fresh = score_batches(todo, scorer, parallelism)
-    fresh = fresh.join(todo.select(*BATCH_KEY, "prompt_md5"), BATCH_KEY)
-    fresh.where(F.col("call_status") == "ok").select("prompt_md5", "reply", "call_status", "call_error") \
-        .write.mode("append").parquet(store_path)
-    stored = spark.read.parquet(store_path).dropDuplicates(["prompt_md5"])
-    return keyed.join(stored, "prompt_md5", "left").select(
+        spark.read.schema(STORED).json(replies_in_flight(store_path)).dropDuplicates(["prompt_md5"]) \
+            .write.mode("append").parquet(store_path)
+    except AnalysisException:  # no reply came
+        pass
+    delete_path(spark, replies_in_flight(store_path))
+    known = stored_replies(spark, store_path).select("prompt_md5", "reply", "call_status")
+    return keyed.join(known, "prompt_md5", "left").join(failed, "prompt_md5", "left").select(
         *BATCH_KEY, "reply", F.coalesce("call_status", F.lit("error")).alias("call_status"), "call_error")
 
 

@@ -110,7 +110,8 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     raw = warehouse.raw_table(spark, raw_path).where(F.col("processing_date").isin(dates))
     verified = quality.verify_load(curate.load_rows(spark, raw_path, load_id)).collect() if n_raw else []  # one row per file
     cand = prefilter.prefilter(raw, None, min_views, columns=None, require_rows=True)
-    batched = scoring.assign_batches(cand, batch_size, bucket=scoring.stable_bucket(cand, batch_size))
+    cand = scoring.sticky_buckets(materialize(cand, "candidates"), batch_size).drop("depth", "prefix")
+    batched = scoring.assign_batches(cand, batch_size, bucket=F.col("bucket"))
     prompts = scoring.build_prompts(batched)
     # An external scorer's replies are stored by prompt hash: a re-run only sends prompts not answered yet.
     replies = scoring.native_replies(prompts) if scorer is None else \

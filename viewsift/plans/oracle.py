@@ -551,6 +551,19 @@ SELECT 'sum', domain, page_title, CAST(sum(count_views) AS INTEGER), company, pr
 FROM verdicts WHERE verdict LIKE 'keep:%' GROUP BY domain, page_title, company, processing_date""")
 
 
+def sticky_batches(size: int = 50, deepest: int = 14) -> str:
+    return with_adapter(f"""
+hashed AS (
+  SELECT processing_date, count_views, row_number() OVER () AS id, CAST(('0x' || substr(md5(
+    domain || '|' || page_title || '|' || CAST(count_views AS VARCHAR) || '|' || source_file), 1, 15)) AS BIGINT) AS h FROM candidates),
+paths AS (SELECT *, h >> (60 - d) AS p FROM hashed, (SELECT unnest(range({deepest + 1})) AS d)),
+nodes AS (SELECT processing_date, d, p, count(*) AS n FROM paths GROUP BY ALL),
+own AS (
+  SELECT id, min(d) AS d FROM paths JOIN nodes USING (processing_date, d, p) WHERE n <= {size} OR d = {deepest} GROUP BY id)""", """
+SELECT processing_date, CAST(d AS INTEGER) AS depth, p AS prefix, count(*) AS n_rows, CAST(sum(count_views) AS BIGINT) AS total_views
+FROM paths JOIN own USING (id, d) GROUP BY ALL""")
+
+
 def daily_rerun(n_bad: int, corrupt: str) -> str:
     return with_adapter("", f"""
 SELECT source_file, 'loaded' AS state, count(*) AS n_rows, CAST({n_bad} AS BIGINT) AS n_bad, CAST({n_bad} AS BIGINT) AS n_quarantined

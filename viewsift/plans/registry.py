@@ -82,6 +82,8 @@ QUERIES.update({
     "batches": lambda s, sf: _batched(s, sf).select(
         "bucket", "batch_no", "row_in_batch", "domain", "page_title", "count_views", "processing_date",
         "event_id", "company"),
+    "sticky_batches": lambda s, sf: SC.sticky_buckets(tb.candidates(s, sf)).groupBy("processing_date", "depth", "prefix").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("count_views").alias("total_views")),
     "rule_verdict": lambda s, sf: tb.verdicts(s, sf).select(
         "domain", "page_title", "count_views", "processing_date", "company", "verdict"),
     "prompts": lambda s, sf: SC.build_prompts(_batched(s, sf)),
@@ -187,6 +189,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "v_top_pages_by_company": lambda: O.v_top_pages_by_company(DAYS),
     "v_sentiment_distribution": O.v_sentiment_distribution,
     "batches": O.batches,
+    "sticky_batches": O.sticky_batches,
     "rule_verdict": O.rule_verdict,
     "prompts": O.prompts,
     "score_batches": O.score_batches,
