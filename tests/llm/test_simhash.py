@@ -94,15 +94,44 @@ def test_tiles_find_every_link():
     assert root.tolist() == want
 
 
+def brute_near_dedup(data):
+    """(doc_id, text) of the row that stays of each component: least id, rows without one last, then least text hash."""
+    import hashlib
+
+    prints = [(i, brute_fingerprint(t)) for i, (_, t) in enumerate(data)]  # components over row numbers
+    groups = {}
+    for (d, t), c in zip(data, brute_components(prints)):
+        groups.setdefault(c, []).append((d is None, d or 0, "" if t is None else hashlib.md5(t.encode()).hexdigest(), d, t))
+    return sorted(((d, t) for *_, d, t in map(min, groups.values())), key=str)
+
+
+def deduped(spark, data):
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    return sorted(((r.doc_id, r.text) for r in simhash.near_dedup(docs).collect()), key=str)
+
+
 def test_near_dedup_keeps_one_row_of_each_group(spark):
     data = cases.rows()
-    out = simhash.near_dedup(cases.frame(spark, data))
-    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    prints = [(r[0], brute_fingerprint(r[1])) for r in data]
-    want = sorted({d for (d, _), c in zip(prints, brute_components(prints)) if d is not None and d == c})
-    got = [r.doc_id for r in out.collect()]
-    assert sorted(d for d in got if d is not None) == want
-    assert got.count(None) == 2
+    out = simhash.near_dedup(cases.frame(spark, data).withColumn("fp", F.lit(1)).withColumn("_N", F.lit(2)))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "fp", "_N"]
+    want = brute_near_dedup([(r[0], r[1]) for r in data])
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == want
+
+
+A, B = "one text about many things of the world that is long enough", "another story which has nothing in common with any other"
+
+
+@pytest.mark.parametrize("data, want", [
+    ([(1, A), (1, B)], [(1, A), (1, B)]),  # an id on two unlike texts
+    ([(1, A), (2, A), (2, B), (3, B)], [(1, A), (2, B)]),
+    ([(None, A)] * 5, [(None, A)]),
+    ([(None, A), (7, A), (None, B)], [(7, A), (None, B)]),
+    ([(5, A)] * 4 + [(None, None), (None, "")], [(5, A), (None, "")])])
+def test_near_dedup_of_repeated_and_missing_ids(spark, data, want):
+    got = deduped(spark, data)
+    if None in [t for _, t in data]:  # a null and an empty text have one fingerprint; which of the two stays is not fixed
+        got = [(d, t or "") for d, t in got]
+    assert got == sorted(want, key=str)
 
 
 def test_empty_table(spark):

@@ -25,7 +25,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from viewsift.llm.common import packed, text_bytes, unpacked, without
 from viewsift.llm.components import connected_components
@@ -193,29 +192,36 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, piece: int = PIE
             .mapInArrow(_compare(max_bits), "hi long, lo long"))
 
 
+def _roots(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fps`` (distinct ``fp``, more columns) plus ``root``, a fingerprint that names the component."""
+    roots = connected_components(fingerprint_links(fps.select("fp"), max_bits))
+    return fps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left") \
+        .withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp (long) and component_id of every row of ``docs`` (doc_id, text)."""
     prints = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_of(F.col("text"), shingle).alias("fp"))
     prints = materialize(prints, "fingerprints")
-    fps = prints.groupBy("fp").agg(F.min("doc_id").alias("_least"))
-    roots = connected_components(fingerprint_links(fps.select("fp"), max_bits))
-    classes = fps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left") \
-        .select("fp", "_least", F.coalesce("root", "fp").alias("root"))
+    classes = _roots(prints.groupBy("fp").agg(F.min("doc_id").alias("_least")), max_bits)
     least = classes.groupBy("root").agg(F.min("_least").alias("component_id"))
     classes = classes.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id (one of its rows, if repeated).
+    """One row of each component stays: of the smallest doc_id (rows without one come last), then of the least text hash.
 
-    Rows without doc_id name no document and stay.
+    The choice is made per component, not per doc_id: an id on several rows loses only
+    the rows that are copies, and rows without doc_id are copies like any other. The
+    rows are written with a number, and the numbers of those that go are joined back.
     """
-    found = simhash_components(docs, shingle, max_bits)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = packed(docs, _id=F.col("doc_id").cast("long"), _text=F.col("text"))
-    one = Window.partitionBy("_id").orderBy(F.sha2("_text", 256).asc_nulls_last())
-    named = rows.where(F.col("_id").isNotNull()).join(kept, F.col("_id") == F.col("_kept"), "left_semi")
-    named = named.withColumn("_n", F.row_number().over(one)).where("_n = 1")
-    out = named.select("_row").unionByName(rows.where(F.col("_id").isNull()).select("_row"))
-    return unpacked(out, docs.columns)
+    rows = packed(docs, _id=F.col("doc_id").cast("long"), _text_hash=F.md5(F.col("text").cast("binary")),
+                  fp=fingerprint_of(F.col("text"), shingle)).withColumn("_n", F.monotonically_increasing_id())
+    rows = materialize(rows, "near-dedup-rows")
+    order = F.struct(F.col("_id").isNull().alias("unnamed"), "_id", "_text_hash", "_n")
+    classes = _roots(rows.groupBy("fp").agg(F.min(order).alias("_first")), max_bits)  # combined map-side
+    first = classes.groupBy("root").agg(F.min("_first").getField("_n").alias("_stays"))
+    classes = classes.join(first, "root").select("fp", "_stays")
+    gone = rows.select("_n", "fp").join(classes, "fp").where("_n <> _stays").select("_n")
+    return unpacked(rows.select("_n", "_row").join(gone, "_n", "left_anti"), docs.columns)
