@@ -97,3 +97,13 @@ def test_query_equals_the_library_on_a_given_table(spark):
         own = REF.encode_ordinary(r.text or "")
         want.add((r.doc_id, len(own), sha(array("I", own).tobytes()), sha((r.text or "").encode())))
     assert got == want
+
+
+def test_bytes_that_are_no_utf8(spark):
+    data = [(1, bytearray(b"good \xff\xfe bad")), (2, bytearray(b"\xe2\x82")), (3, None)]
+    docs = spark.createDataFrame(data, "doc_id long, b binary").selectExpr("doc_id", "cast(b as string) as text")
+    want = {d: ("" if b is None else bytes(b).decode("utf-8", "replace")) for d, b in data}
+    for r in bpe.bpe_round_trip(docs).collect():
+        assert r.decoded == want[r.doc_id] and list(memoryview(bytes(r.ids)).cast("I")) == REF.encode_ordinary(want[r.doc_id])
+    got = {r.doc_id: r.decoded for r in bpe.bpe_decode(bpe.bpe_encode(docs)).collect()}
+    assert got == want

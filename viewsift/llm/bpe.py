@@ -14,8 +14,8 @@ Decoding runs a UTF-8 state machine over token ids; its state is the unfinished
 sequence (at most three bytes), and its steps per token are kept as well. Bytes
 that cannot be UTF-8 become U+FFFD.
 
-Defined cases: a null text encodes like the empty text, to no ids; repeated rows
-are encoded each; an empty table gives an empty result; whole texts are encoded
+Defined cases: a null text encodes like the empty text, to no ids; bytes of a text
+that are no UTF-8 are encoded as U+FFFD; repeated rows are encoded each; an empty table gives an empty result; whole texts are encoded
 however long; input columns named like an output column are dropped.
 """
 
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewsift.llm.common import spans, without
+from viewsift.llm.common import spans, text_bytes, without
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: States a worker keeps (the first met, so the common ones); further ones are computed when met.
@@ -320,12 +320,17 @@ def rank_broadcast(spark: SparkSession, path: str | None = None) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """The texts; null is empty, bytes that are no UTF-8 are U+FFFD."""
+    return [b.decode("utf-8", "replace") for b in text_bytes(texts)]
+
+
 def encode(text: Column, held: Broadcast) -> Column:
     """``text`` → its ids as little-endian unsigned 32-bit integers (binary)."""
     @F.arrow_udf(T.BinaryType())
     def run(texts: pa.Array) -> pa.Array:
         codec = _codec(held.value)
-        return pa.array((codec.encode(t.as_py() or "") for t in texts), pa.binary())
+        return pa.array((codec.encode(t) for t in _strings(texts)), pa.binary())
     return run(text)
 
 
@@ -369,7 +374,7 @@ def bpe_round_trip(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
             sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
             for a, b in spans(sizes):
                 part = batch.slice(a, b - a)
-                ids = [codec.encode(t.as_py() or "") for t in part.column(at)]
+                ids = [codec.encode(t) for t in _strings(part.column(at))]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()),
                      pa.array([codec.decode(memoryview(i).cast("I")) for i in ids], pa.string())],
