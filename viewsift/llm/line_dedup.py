@@ -5,9 +5,10 @@
    are all in *once* already goes into *twice*.
 2. The twice-seen filter goes to every worker (``filter_bits / 8`` bytes at most).
    A line whose key is not in it is no repeat and is never shuffled.
-3. Suspects shuffle as (SHA-256 of the key, doc_id): counting distinct documents
-   is exact, false suspects fall out, and a hot line is counted map-side first.
-4. Documents receive the digests of the lines they lose, by doc_id.
+3. Suspects shuffle as (SHA-256 of the key, doc_id, hash of the text): counting distinct
+   documents is exact, false suspects fall out, and a hot line is counted map-side first.
+4. Documents receive the digests of the lines they lose, by doc_id and hash of the text:
+   only those of their own lines, on however many rows an id (or none) stands.
 
 Defined cases: a null or empty text is one empty line; a repeated row counts as
 the same document (same doc_id); a row without doc_id is no document, so it does
@@ -117,46 +118,44 @@ def twice_filter(docs: DataFrame, filter_bits: int, min_chars: int = MIN_CHARS)
 
 
 def _suspects(held, min_chars: int, segments: int):
-    """Task: (digest, doc_id) of each key that the twice-seen filter knows."""
+    """Task: (digest, doc_id, text hash) of each key that the twice-seen filter knows."""
     def run(batches):
         twice = bloom.as_array(held.value)
         for batch in batches:
-            texts, ids = text_bytes(batch.column(1)), batch.column(0).to_pylist()
+            texts, ids, marks = text_bytes(batch.column(1)), batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for a, b in slices(texts):
                 keys: list[bytes] = []
                 owner: list = []
                 for i in range(a, b):
                     own = keys_of(texts[i], min_chars)
                     keys.extend(own)
-                    owner.extend([ids[i]] * len(own))
+                    owner.extend([i] * len(own))
                 h = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
                 seg, sub = bloom.segment_of(h, segments), bloom.sub_keys(h)
                 hit = bloom.test(twice, seg, bloom.positions(sub, 0)) & bloom.test(twice, seg, bloom.positions(sub, 1))
                 at = np.flatnonzero(hit)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([hashlib.sha256(keys[i]).digest() for i in at], pa.binary()),
-                     pa.array([owner[i] for i in at], pa.int64())], names=["key", "doc_id"])
+                     pa.array([ids[owner[i]] for i in at], pa.int64()), pa.array([marks[owner[i]] for i in at], pa.int64())],
+                    names=["key", "doc_id", "mark"])
     return run
 
 
 def _drop_lines(min_chars: int):
     """Arrow UDF: (number of dropped lines, the kept text) given the digests of the lines to drop."""
-    out = pa.struct([("n_dropped", pa.int64()), ("kept", pa.string())])
-
     @F.arrow_udf("struct<n_dropped: bigint, kept: string>")
     def drop(text: pa.Array, digests: pa.Array) -> pa.Array:
-        res = []
+        n_dropped, texts = [], []
         for t, gone in zip(text_bytes(text), digests.to_pylist()):
-            if not gone:
-                res.append(None)
-                continue
-            lost, kept, lines = set(gone), [], t.split(b"\n")
-            for line in lines:
+            lost, kept, lines = set(gone or ()), [], t.split(b"\n")
+            for line in lines if lost else ():
                 key = line_key(line, min_chars)
                 if key is None or hashlib.sha256(key).digest() not in lost:
                     kept.append(line)
-            res.append({"n_dropped": len(lines) - len(kept), "kept": b"\n".join(kept).decode()})
-        return pa.array(res, out)
+            n_dropped.append(len(lines) - len(kept))
+            texts.append(b"\n".join(kept))
+        return pa.StructArray.from_arrays([pa.array(n_dropped, pa.int64()), pa.array(texts, pa.binary()).view(pa.string())],
+                                          names=["n_dropped", "kept"], mask=digests.is_null())
     return drop
 
 
@@ -168,8 +167,9 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     bits = power_of_two(docs.count() * BITS_PER_DOC, bloom.SEGMENT_BITS, max_filter_bits)
     held = spark.sparkContext.broadcast(twice_filter(docs, bits, min_chars))  # bits / 8 bytes, bounded
 
-    suspects = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _suspects(held, min_chars, bloom.n_segments(bits)), "key binary, doc_id long")
+    mark = F.xxhash64("text")
+    suspects = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", mark.alias("mark")).mapInArrow(
+        _suspects(held, min_chars, bloom.n_segments(bits)), "key binary, doc_id long, mark long")
     suspects = materialize(suspects, "line-suspects")
     repeats = (suspects.groupBy("key")
                .agg(F.count_distinct("doc_id").alias("_docs"), F.max("doc_id").alias("_last"))
@@ -177,11 +177,12 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     repeats = materialize(repeats, "line-repeats")  # both join sides are plain scans, so a hot line can be split
     lost = (suspects.join(repeats, "key")
             .where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("_last")))
-            .groupBy(F.col("doc_id").alias("_lost_id")).agg(F.collect_set("key").alias("_lost")))
+            .groupBy(F.col("doc_id").alias("_lost_id"), F.col("mark").alias("_lost_mark"))
+            .agg(F.collect_set("key").alias("_lost")))  # lines of one text
 
     text = F.coalesce(F.col("_text"), F.lit(""))
-    joined = packed(docs, _id=F.col("doc_id").cast("long"), _text=F.col("text")).join(
-        lost, F.col("_id").eqNullSafe(F.col("_lost_id")), "left")
+    joined = packed(docs, _id=F.col("doc_id").cast("long"), _text=F.col("text"), _mark=mark).join(
+        lost, F.col("_id").eqNullSafe(F.col("_lost_id")) & (F.col("_mark") == F.col("_lost_mark")), "left")
     # Only documents that lose a line go through Python.
     cut = joined.withColumn("_cut", _drop_lines(min_chars)(
         F.when(F.col("_lost").isNotNull(), F.col("_text")), F.col("_lost")))
