@@ -64,6 +64,35 @@ def test_a_full_filter_only_costs_shuffle(spark, monkeypatch):
     assert sorted(got_lines(out), key=str) == sorted(brute_lines([(r[0], r[1]) for r in data]), key=str)
 
 
+def test_rows_without_id_receive_their_own_digests_only(spark, monkeypatch):
+    """Many rows share an id or have none: the digests a row is sent are those of its own lines."""
+    shared = [f"line number {i} that many documents hold" for i in range(200)]
+    data = [(d, "\n".join(shared), "en", "s", 1) for d in (1, 2, 3)]
+    for who in (None, 0):
+        data += [(who, f"{shared[i]}\nown line {i} of this row alone, at last\n{shared[i + 1]}", "en", "s", 1) for i in range(199)]
+    drop, sent = line_dedup._drop_lines(line_dedup.MIN_CHARS), []
+
+    def counted(min_chars):
+        def run(text, digests):
+            sent.append(digests)
+            return drop(text, F.when(F.size(digests) > F.size(F.split(text, "\n")), F.raise_error(F.lit("digests of other rows"))
+                                     .cast("array<binary>")).otherwise(digests))
+        return run
+    monkeypatch.setattr(line_dedup, "_drop_lines", counted)
+    out = line_dedup.line_dedup(cases.frame(spark, data))
+    assert sorted(got_lines(out), key=str) == sorted(brute_lines([(r[0], r[1]) for r in data]), key=str)
+    lost = [len(r[3].split("\n")) for r in got_lines(out) if r[0] in (None, 0)]
+    assert set(lost) == {1} and sent
+
+
+def test_bytes_that_are_no_utf8_keep_their_lines(spark):
+    line = b"a line that stands in several documents \xff\xfe"
+    rows = [(i, bytearray(line + b"\nown \xff " + str(i).encode())) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, b binary").selectExpr("doc_id", "cast(b as string) as text")
+    got = {r[0]: bytes(r[1]) for r in line_dedup.line_dedup(docs).selectExpr("doc_id", "cast(text as binary)").collect()}
+    assert got == {i: (line + b"\n" if i == 3 else b"") + b"own \xff " + str(i).encode() for i in range(4)}
+
+
 def test_empty_tables(spark):
     assert line_dedup.line_dedup(cases.frame(spark, [])).count() == 0
     assert quality.rule_ledger(cases.frame(spark, [])).count() == 0
@@ -101,6 +130,36 @@ def test_policies_and_ablations_come_from_the_bits(spark):
     assert rows["v2", "symbols"].n_only_this_rule == 2
 
 
+def test_texts_of_scripts_without_spaces_stay(spark):
+    rnd = __import__("random").Random(2)
+    han = " ".join("".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(60)) + "。" for _ in range(12))
+    thai = " ".join("".join(chr(rnd.randrange(0x0E01, 0x0E2E)) for _ in range(45)) for _ in range(15))
+    junk = " ".join("x" * 45 + str(i) for i in range(15))
+    docs = spark.createDataFrame([(1, han), (2, thai), (3, junk)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in quality.judged(quality.stored_ledger(docs)).collect()}
+    assert (rows[1].kept_v2, rows[2].kept_v2, rows[3].kept_v2) == (True, True, False)
+    assert (rows[3].only_rule, rows[3].n_only_this_rule, rows[3].kept_v1) == ("word_length", 1, True)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT * FROM (VALUES (1, ?), (2, ?), (3, ?)) t(doc_id, text)", [han, thai, junk])
+    got = con.sql(registry.ORACLE_SQL["op9_quality_rules"]).df().set_index("doc_id")
+    assert got.kept.to_dict() == {1: True, 2: True, 3: False} and got.failed_rules.to_dict() == {1: 0, 2: 0, 3: 32}
+
+
+def test_verdicts_come_from_the_stored_ledger(spark):
+    """Policies and ablations read the written table: the texts are measured in one job."""
+    ledger = quality.stored_ledger(cases.frame(spark))
+    plan = quality.judged(ledger)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    rows = quality.judged(ledger).collect()
+    alone = {}
+    for r in rows:
+        bits = [n for i, n in enumerate(quality.RULES) if r.failed >> i & 1]
+        assert r.only_rule == (bits[0] if len(bits) == 1 else None) and r.kept_v2 == (not bits)
+        assert r.kept_base == (not set(bits) & set(quality.BASE_RULES))
+        alone.setdefault(r.only_rule, []).append(r.n_only_this_rule)
+    assert all(set(n) == {len(n)} for rule, n in alone.items() if rule)
+
+
 def test_clean_labelled_documents_stay(spark):
     """Of documents labelled good, only those that the base rules reject go."""
     sf = "/root/testdata/sf0.1"

@@ -1,11 +1,15 @@
 """Quality rules: every rule is evaluated once into a ledger of failure bits; policies are masks over it.
 
-``rule_ledger`` measures each document once and stores the measurements and one
-bit per failed rule. A policy (a version and the rules it applies) is a bit mask:
+``rule_ledger`` measures each document once: the measurements and one bit per
+failed rule. ``stored_ledger`` writes them without the texts, and policies are judged
+from that table. A policy (a version and the rules it applies) is a bit mask:
 ``apply_policy`` judges by ``failed & mask``, and ``ablations`` counts, for every
 policy and rule, the documents that only this rule rejects, from the (at most
 2^rules) distinct bit patterns, combined map-side.
 
+Long words are judged without the characters of scripts that put no spaces between
+words, so a clean text in such a script has none.
+
 Defined cases: a null or empty text has no words, so it fails ``few_words``;
 repeated rows are judged each; an empty table gives an empty ledger (ablations
 give zeros); input columns named like an output column are dropped.
@@ -14,6 +18,7 @@ give zeros); input columns named like an output column are dropped.
 from __future__ import annotations
 
 import operator
+import re
 from functools import reduce
 
 import numpy as np
@@ -23,12 +28,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewsift.llm.common import text_bytes, without
+from viewsift.session import materialize
 
 #: Words in a window whose second sight counts as a repetition.
 WINDOW = 5
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_text_lines",
-            "n_stutters"]
+            "n_stutters", "n_unspaced"]
 SYMBOLS = b"#*$%&|<>"
+#: Code points of scripts written without spaces (Thai to Myanmar, Khmer, kana, Han).
+UNSPACED_RANGES = [(0x0E00, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF),
+                   (0x20000, 0x3FFFF)]
+UNSPACED = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSPACED_RANGES) + "]")
+#: No character from U+0800 on is encoded without one of these bytes.
+HIGH = re.compile(rb"[\xe0-\xf4]")
 
 # Rule name -> failure as an expression over the measurements; the order gives the bits.
 RULES: dict[str, str] = {
@@ -37,7 +49,7 @@ RULES: dict[str, str] = {
     "symbols": "100 * n_symbols > 10 * n_words",
     "dup_lines": "100 * n_dup_lines > 50 * n_text_lines",
     "stutters": "100 * n_stutters > 30 * n_words",
-    "word_length": "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words)",
+    "word_length": "n_words > 0 AND (word_chars < 2 * n_words OR word_chars - n_unspaced > 20 * n_words)",
 }
 BASE_RULES = ("few_words", "repeats")
 #: Versioned policies: the rules that reject.
@@ -85,7 +97,8 @@ def measure(text: bytes) -> tuple[int, ...]:
     lines = [line for line in text.split(b"\n") if line.strip()]
     return (len(words), len(joined.decode("utf-8", "replace")) - max(0, len(words) - 1),
             len(text) - len(text.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
-            repeated_words(words, joined), len(lines), sum(map(operator.eq, words, words[1:])))
+            repeated_words(words, joined), len(lines), sum(map(operator.eq, words, words[1:])),
+            len(UNSPACED.findall(text.decode("utf-8", "replace"))) if HIGH.search(text) else 0)
 
 
 @F.arrow_udf(T.StructType([T.StructField(m, T.LongType()) for m in MEASURES]))
@@ -109,6 +122,27 @@ def rule_ledger(docs: DataFrame) -> DataFrame:
     return rows.withColumn("failed", fail_bits())
 
 
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger of ``docs`` (doc_id, text) as a written table without the texts: rules are evaluated once, however often it is read."""
+    return materialize(rule_ledger(docs).select("doc_id", *MEASURES, "failed"), "quality-ledger")
+
+
+def only_rule(policy: str = POLICY) -> Column:
+    """The one rule for which a policy rejects a ledger row; null where none or several do."""
+    hit = F.col("failed").bitwiseAND(F.lit(mask_of(POLICIES[policy])).cast("long"))
+    out = F.lit(None).cast("string")
+    for r in POLICIES[policy]:
+        out = F.when(hit == mask_of([r]), r).otherwise(out)
+    return out
+
+
+def judged(ledger: DataFrame, policy: str = POLICY) -> DataFrame:
+    """``ledger`` (stored) plus a verdict per policy (``kept_<policy>``), ``only_rule`` and how many documents that rule alone rejects."""
+    cut = ablations(ledger).where(F.col("policy") == policy).select(F.col("rule").alias("_rule"), F.col("n_only_this_rule"))
+    rows = ledger.select("*", *[(~rejected(p)).alias(f"kept_{p}") for p in POLICIES], only_rule(policy).alias("only_rule"))
+    return rows.join(F.broadcast(cut), F.col("only_rule") == F.col("_rule"), "left").drop("_rule")  # a row per rule
+
+
 def rejected(policy: str = POLICY) -> Column:
     """Whether a ledger row fails under a policy."""
     return F.col("failed").bitwiseAND(F.lit(mask_of(POLICIES[policy])).cast("long")) != 0

@@ -58,10 +58,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = quality.rule_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return ledger.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         quality.rejected("base").alias("base_failed"), (~quality.rejected()).alias("kept"),
-                         F.col("failed").alias("failed_rules"))
+    ledger = quality.stored_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return quality.judged(ledger).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("kept_base")).alias("base_failed"),
+        F.col("kept_v2").alias("kept"), "kept_v1", F.col("failed").alias("failed_rules"), "only_rule", "n_only_this_rule")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +197,8 @@ m AS (
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
          CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
-         len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n_stutters
+         len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n_stutters,
+         length(t) - length(regexp_replace(t, '[@UNSPACED@]', '', 'g')) AS n_unspaced
   FROM d LEFT JOIN repeats r ON d.doc_id = r.doc_id),
 f AS (
   SELECT *, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, len(l) AS n_text_lines FROM m),
@@ -206,9 +207,12 @@ b AS (
           + CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END
           + CASE WHEN 100 * n_dup_lines > 50 * n_text_lines THEN 8 ELSE 0 END
           + CASE WHEN 100 * n_stutters > 30 * n_words THEN 16 ELSE 0 END
-          + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words) THEN 32 ELSE 0 END AS bits FROM f)
+          + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars - n_unspaced > 20 * n_words) THEN 32 ELSE 0 END AS bits FROM f),
+alone AS (SELECT bits, rule, (SELECT count(*) FROM b WHERE b.bits = a.bits) AS n FROM (VALUES (1, 'few_words'), (2, 'repeats'),
+  (4, 'symbols'), (8, 'dup_lines'), (16, 'stutters'), (32, 'word_length')) a(bits, rule))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (bits & 3) <> 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failed_rules FROM b
-"""
+       (b.bits & 3) <> 0 AS base_failed, b.bits = 0 AS kept, (b.bits & 31) = 0 AS kept_v1, CAST(b.bits AS BIGINT) AS failed_rules,
+       rule AS only_rule, n AS n_only_this_rule FROM b LEFT JOIN alone ON b.bits = alone.bits
+""".replace("@UNSPACED@", "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in quality.UNSPACED_RANGES))
 
 ORACLE_SQL = {"op1_line_dedup": _OP1, "op6_chat_rotation": _OP6, "op8_source_mixing": _OP8, "op9_quality_rules": _OP9}
