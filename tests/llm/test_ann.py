@@ -4,6 +4,7 @@ import os
 import sys
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -87,3 +88,45 @@ def test_forest_ascends_to_the_wanted_number():
     for rows, query in zip(forest.candidates(vectors[:20], 60), range(20)):
         assert len(rows) >= 60 and query in rows
     assert all(len(r) == 500 for r in forest.candidates(vectors[:3], 500))
+
+
+def test_an_id_on_several_vectors_is_listed_once(spark):
+    rnd = np.random.default_rng(8)
+    rows = [(i, rnd.standard_normal(6).tolist()) for i in range(1, 40)] + [(2, rnd.standard_normal(6).tolist()) for _ in range(30)]
+    rows += [(100, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (100, [0.0, 1.0, 0.0, 0.0, 0.0, 0.0])]
+    out = ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), query_step=50, shard_rows=20)
+    got = [(r["rank"], r.vec_id, r.score) for r in out.orderBy("rank").collect()]
+    best = {}
+    for q in rows[-2:]:
+        for i, v in rows:
+            if i != 100:
+                s = float(np.dot(q[1], v) / np.linalg.norm(q[1]) / np.linalg.norm(v))
+                best[i] = max(best.get(i, -2), s)
+    want = sorted((-s, i) for i, s in best.items())[:5]
+    assert [(i, pytest.approx(-s)) for s, i in want] == [(i, s) for _, i, s in got] and [r for r, *_ in got] == [1, 2, 3, 4, 5]
+
+
+def test_huge_and_tiny_components(spark):
+    rows = [(50, [1e200, 1e200]), (1, [1e-200, 0.0]), (2, [1e300, -1e300]), (3, [3.0, 3.0]), (4, [5e-324, 5e-324])]
+    out = ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r.vec_id for r in out] == [3, 4, 1, 2]
+    assert [round(r.score, 9) for r in out] == [1.0, 1.0, round(0.5 ** 0.5, 9), 0.0]
+
+
+@pytest.mark.parametrize("share", [0.35, 0.5])
+def test_recall_over_several_shards(spark, share):
+    """Below a full share, shards of 2,500 vectors, against brute force."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").limit(10_000).collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest_neighbours(df, share=share, shard_rows=2_500).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    unit, hits, total = x / np.linalg.norm(x, axis=1, keepdims=True), 0, 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        s = unit @ unit[q]
+        s[ids == ids[q]] = -2
+        top = set(ids[np.argsort(-s, kind="stable")[:5]].tolist())
+        hits, total = hits + len(top & found[ids[q]]), total + 5
+    print("recall", share, hits / total)
+    assert total and hits / total >= 0.9

@@ -85,18 +85,26 @@ def test_rotation_renders_every_participant(spark):
     assert chat.rotate(spark.createDataFrame([], CONV)).count() == 0
 
 
-def test_long_conversation_goes_in_blocks(spark):
-    rows = [(1, i // 2, "a" if i % 3 else "b", f"turn {i}") for i in range(700)]
-    out = chat.rotate(spark.createDataFrame(rows, CONV), block_turns=100).collect()
-    assert sorted((r.speaker, r.block) for r in out) == [(s, b) for s in "ab" for b in range(7)]
-    assert all(r.n_turns == 100 for r in out)
-    whole = "".join(r.text for r in sorted(out, key=lambda r: r.block) if r.speaker == "a")
-    texts = re.findall(r"\n(turn \d+)<", whole)
-    assert sorted(texts) == sorted(r[3] for r in rows)
-    for r in out:
-        for s in r["mask"].split(","):
-            a, b = map(int, s.split(":"))
-            assert r.text[a:b].startswith("turn ") and r.text[:a].endswith("<|assistant|>\n")
+@pytest.mark.parametrize("stretch", [chat.STRETCH_BLOCKS, 3])
+def test_blocks_join_to_the_whole_dialogue(spark, monkeypatch, stretch):
+    """1,000 turns in blocks equal the rendering in one block: text, places and mask."""
+    monkeypatch.setattr(chat, "STRETCH_BLOCKS", stretch)
+    rows = [(1, 0, "system", "Be kind.")] + [(1, 1 + i // 2, "a" if i % 3 else "b", f"turn {i}" * (i % 4)) for i in range(999)]
+    rows += [(None, i, "c", f"no id {i}") for i in range(250)] + [(2, 0, "a", "short")]
+    docs = spark.createDataFrame(rows, CONV)
+    whole = {(r.conv_id, r.speaker): r for r in chat.rotate(docs, block_turns=10_000).collect()}
+    found = {}
+    for r in sorted(chat.rotate(docs, block_turns=100).collect(), key=lambda r: r.block):
+        found.setdefault((r.conv_id, r.speaker), []).append(r)
+    assert set(found) == set(whole) and len(found[1, "a"]) == 10
+    for key, parts in found.items():
+        one = whole[key]
+        assert "".join(p.text for p in parts) == one.text and ",".join(p["mask"] for p in parts if p["mask"]) == one["mask"]
+        assert [p.offset for p in parts] == [sum(len(q.text) for q in parts[:i]) for i in range(len(parts))]
+        assert sum(p.n_turns for p in parts) == one.n_turns and sum(p.n_trained for p in parts) == one.n_trained
+        for span in one["mask"].split(","):
+            a, b = map(int, span.split(":"))
+            assert one.text[:a].endswith("<|assistant|>\n") and one.text[b:].startswith("<|end|>")
 
 
 def brute_url(url):
@@ -148,6 +156,32 @@ def test_model_learns_a_lexical_rule(spark):
     assert right >= 0.95 * len(out)
 
 
+def test_suffix_shares_leave_out_a_urls_own_label(spark):
+    """One labelled URL of its own suffix, on many rows: its share is the prior, not its label."""
+    rows = [(i, f"http://h{i}.org/p") for i in range(40)] + [(100 + i, "http://only.biz/p") for i in range(50)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = urls.featured(df, [("allow", "org/"), ("block", "biz/")])
+    share = got.agg(F.avg("label")).first()[0]
+    assert {round(r[0], 9) for r in got.where("url LIKE '%biz%'").select("f_tld_blocked").collect()} == {round(share, 9)}
+    asked = urls.featured(df.unionAll(spark.createDataFrame([(7, "http://new.biz/q")], df.schema)), [("allow", "org/"), ("block", "only.biz/p")])
+    r = asked.where("label IS NULL").first()
+    assert r.f_tld_blocked > 0.8  # a URL without rule sees all labels of its suffix
+
+
+def test_held_out_urls_are_judged_better_than_by_the_majority(spark):
+    """Given pages; the rule that decides a URL is hidden from half of the hosts."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    rules = [("block", "example.org/en/"), ("allow", "example.org/"), ("block", "example.com/en/"), ("allow", "example.com/")]
+    host = urls.host_of(F.col("url"))
+    hidden = F.pmod(F.xxhash64(host), F.lit(2)) == 0
+    known = pages.withColumn("url", F.when(hidden, F.regexp_replace("url", r"\.example\.(org|com)", ".example-$1.x")).otherwise(F.col("url")))
+    out = urls.url_filter(known, rules).where("rule IS NULL").join(
+        urls.featured(pages, rules).select("page_id", "label"), "page_id").where("label IS NOT NULL")
+    right, blocked = out.agg(F.avg(((F.col("verdict") == "block") == (F.col("label") == 1)).cast("int")), F.avg("label")).first()
+    print("held-out", right, "majority", max(blocked, 1 - blocked))
+    assert right >= max(blocked, 1 - blocked) - 0.02
+
+
 def test_labels_of_one_kind_or_none(spark):
     one = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://b.net/")], "page_id long, url string")
     assert {r.verdict for r in urls.url_filter(one).collect()} == {"allow"}

@@ -147,10 +147,10 @@ seen AS (
   FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
 lines AS (SELECT *, head || text || '<|end|>' || chr(10) AS line FROM seen),
 placed AS (
-  SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, speaker, block ORDER BY seq
+  SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, speaker ORDER BY seq
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins FROM lines)
 SELECT conv_id, speaker, CAST(block AS BIGINT) AS block, count(*) AS n_turns,
-       CAST(sum(CASE WHEN own THEN 1 ELSE 0 END) AS BIGINT) AS n_trained, string_agg(line, '' ORDER BY seq) AS text,
+       CAST(sum(CASE WHEN own THEN 1 ELSE 0 END) AS BIGINT) AS n_trained, CAST(min(begins - length(head)) AS BIGINT) AS offset, string_agg(line, '' ORDER BY seq) AS text,
        coalesce(string_agg(CASE WHEN own THEN CAST(CAST(begins AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(begins AS BIGINT) + length(text) AS VARCHAR) END, ','
          ORDER BY seq), '') AS mask
 FROM placed GROUP BY conv_id, speaker, block
