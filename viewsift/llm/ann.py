@@ -14,7 +14,10 @@ shards are merged per query.
 
 Defined cases: a vector that is null, empty, zero, or holds a null or non-finite
 component takes part neither as a query nor as a candidate, nor does a row without
-vec_id; vectors are compared within their length only; repeated rows count once;
+vec_id; vectors are compared within their length only; repeated rows count once; a
+vec_id on several vectors is listed once, with the nearest of them, and as a query
+asks with each; components of any finite size are compared (vectors are scaled by
+powers of two, which leaves cosines as they are);
 with fewer candidates than K all are returned; an empty table gives an empty
 result; input columns beside vec_id and embedding are not used.
 """
@@ -37,7 +40,9 @@ BITS = 32
 SHARE = 0.5
 LEAST_CANDIDATES = 1_024
 SHARD_ROWS = 16_384
-BLOCK_QUERIES = 2_048
+#: Queries of a block: a shard's forest is built once per block.
+BLOCK_QUERIES = 65_536
+QUERIES_AT_ONCE = 512
 SEED = 17
 
 
@@ -84,25 +89,43 @@ class PrefixForest:
             yield hit
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """The rows times powers of two that bring their largest component near 1: same cosines, but no square overflows."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, initial=0.0, keepdims=True))[1])
+
+
 def cosine(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Cosine of each row with the query in double precision, the same for equal rows."""
     return (vectors * query).sum(axis=1) / (np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
+def _best(unit: np.ndarray, vectors: np.ndarray, ids: list[list[int]], rows: np.ndarray, query: np.ndarray,
+          nearest: int) -> list[tuple[float, int]]:
+    """The (score, id) of the ``nearest`` distinct ids among the candidate rows, best first; an id counts with its nearest vector."""
+    rough = unit[rows] @ (query / np.sqrt((query * query).sum()))
+    most = nearest
+    while True:
+        own = rows
+        if len(rows) > most:  # the rough scores err by less than the margin
+            own = rows[rough >= np.partition(rough, len(rows) - most)[len(rows) - most] - 1e-9]
+        found: dict[int, float] = {}
+        for score, i in sorted((-s, i) for s, r in zip(cosine(vectors[own], query).tolist(), own.tolist()) for i in ids[r]):
+            found.setdefault(i, -score)
+        if len(found) >= nearest or len(own) == len(rows):
+            return [(s, i) for i, s in list(found.items())[:nearest]]
+        most *= 4  # one id on many vectors
+
+
 def search_shard(vectors: np.ndarray, ids: list[list[int]], queries: np.ndarray, nearest: int,
                  share: float = SHARE, trees: int = TREES) -> list[list[tuple[float, int]]]:
     """Per query the (score, id) of its best ``nearest`` ids among the classes of one shard, best first."""
     wanted = min(len(vectors), max(LEAST_CANDIDATES, int(np.ceil(share * len(vectors)))))
+    vectors, queries = scaled(vectors), scaled(queries)
     unit = vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-    forest = PrefixForest(unit, trees)
-    out = []
-    for query, rows in zip(queries, forest.candidates(queries, wanted)):
-        rough = unit[rows] @ (query / np.sqrt((query * query).sum()))
-        if len(rows) > nearest:  # the rough scores err by less than the margin
-            rows = rows[rough >= np.partition(rough, len(rows) - nearest)[len(rows) - nearest] - 1e-9]
-        scores = cosine(vectors[rows], query).tolist()
-        best = sorted((-s, i) for s, r in zip(scores, rows.tolist()) for i in ids[r])[:nearest]
-        out.append([(-s, i) for s, i in best])
+    forest, out = PrefixForest(unit, trees), []
+    for at in range(0, len(queries), QUERIES_AT_ONCE):
+        some = queries[at:at + QUERIES_AT_ONCE]
+        out += [_best(unit, vectors, ids, rows, query, nearest) for query, rows in zip(some, forest.candidates(some, wanted))]
     return out
 
 
@@ -163,8 +186,10 @@ def nearest_neighbours(rows: DataFrame, query_step: int = QUERY_STEP, nearest: i
     found = left.groupBy("size", "shard", "block").cogroup(right.groupBy("_size", "_shard", "_block")).applyInArrow(
         _search(k, share, trees), "query_class long, vec_id long, score double")
     order = [F.col("score").desc(), F.col("vec_id")]
+    found = found.groupBy("query_class", "vec_id").agg(F.max("score").alias("score"))  # an id may stand in several shards
     best = found.withColumn("_n", F.row_number().over(Window.partitionBy("query_class").orderBy(*order))) \
         .where(F.col("_n") <= k).select("query_class", "vec_id", "score")
-    pairs = asked.join(best, F.col("class_id") == F.col("query_class")).where("vec_id <> query_id")
+    pairs = asked.join(best, F.col("class_id") == F.col("query_class")).where("vec_id <> query_id") \
+        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
     return ranked.where(F.col("rank") <= nearest).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
