@@ -3,7 +3,7 @@
 The URLs that a rule decides are the labelled ones. Features are native
 expressions: lengths, depth, digit ratio, character entropy, parameter counts,
 and statistics of the host's suffixes (how common a suffix is, and the smoothed
-share of blocked URLs under it) from one aggregation joined back. Spark ML's
+share of blocked URLs under it, for labelled URLs out of fold) from one aggregation joined back. Spark ML's
 boosted trees are trained on at most about ``TRAIN_ROWS`` distinct labelled URLs,
 drawn per class by a hash and weighted by their rows, and judge every URL without
 a rule. No Python runs in tasks.
@@ -34,6 +34,8 @@ DEPTH = 4
 SEED = 5
 #: Weight of the overall share of blocked URLs against a suffix's own.
 PRIOR = 10.0
+#: Folds of URLs: the shares a labelled URL is trained with come from the other folds.
+FOLDS = 5
 FEATURES = ["f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_entropy", "f_params",
             "f_param_length", "f_fragment", "f_secure", "f_tld_rows", "f_tld_blocked", "f_domain_rows", "f_domain_blocked"]
 
@@ -97,16 +99,27 @@ def lexical(rows: DataFrame) -> DataFrame:
 
 
 def _with_suffix(rows: DataFrame, name: str) -> DataFrame:
-    """Adds how common the suffix is and its smoothed share of blocked URLs among the labelled ones."""
+    """Adds how common the suffix is and its smoothed share of blocked URLs among the labelled ones.
+
+    A labelled URL's share leaves out the labels of its own fold of URLs, so it does
+    not hold its own label (nor that of its repeated rows).
+    """
+    fold = F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")
+    per_fold = [F.when(fold == k, F.col("label")) for k in range(FOLDS)]
     stats = rows.groupBy(F.col(name).alias("_suffix")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("label").alias("_blocked"), F.count("label").alias("_labelled"))
+        F.count(F.lit(1)).alias("_n"), F.array(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in per_fold]).alias("_blocked"),
+        F.array(*[F.count(x).cast("double") for x in per_fold]).alias("_labelled"))
     share = rows.agg(F.coalesce(F.avg("label"), F.lit(0.5))).scalar()
-    stats = stats.select("_suffix", F.log2(F.col("_n") + 1.0).alias(f"f_{name}_rows"),
-                         ((F.coalesce("_blocked", F.lit(0.0)) + PRIOR * share) / (F.col("_labelled") + PRIOR))
-                         .alias(f"f_{name}_blocked"))
+    stats = stats.select("_suffix", F.log2(F.col("_n") + 1.0).alias(f"f_{name}_rows"), "_blocked", "_labelled")
     # A written table has a known size: broadcast while it is small, else joined with plain scans that can be split.
     stats = materialize(stats, f"suffix-{name}")
-    return rows.join(stats, F.col(name) == F.col("_suffix")).drop("_suffix")
+
+    def others(counts: str) -> Column:
+        own = F.when(F.col("label").isNotNull(), F.get(F.col(counts), fold)).otherwise(0.0)
+        return F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) - own
+    blocked = (others("_blocked") + PRIOR * share) / (others("_labelled") + PRIOR)
+    return rows.join(stats, F.col(name) == F.col("_suffix")).withColumn(f"f_{name}_blocked", blocked) \
+        .drop("_suffix", "_blocked", "_labelled")
 
 
 def featured(pages: DataFrame, rules=None) -> DataFrame:
