@@ -106,13 +106,15 @@ def test_empty_and_unlearned(spark):
     assert out.base_score == pytest.approx(0.0)
 
 
-def test_a_filter_too_large_for_the_workers_counts_alike(spark):
+@pytest.mark.parametrize("group", [16, 2, 1])
+def test_a_filter_too_large_for_the_workers_counts_alike(spark, monkeypatch, group):
     """The filter grows with the tokens; beyond the limit of the broadcast the n-grams go to its segments."""
     rnd = random.Random(3)
     words = [f"w{min(int(rnd.paretovariate(0.8)), 20_000)}" for _ in range(600_000)]
     data = [(i, " ".join(words[i * 1000:(i + 1) * 1000]) if i else None, "en", "s", 1) for i in range(600)]
     data += [(None, "", "en", "s", 0), data[7]]
-    docs = cases.frame(spark, data)
+    docs, by_exchange = cases.frame(spark, data), lm.scores_by_exchange
+    monkeypatch.setattr(lm, "scores_by_exchange", lambda rows, segments: by_exchange(rows, segments, group))
     sent = as_rows(lm.score_texts(docs, max_filter_bits=1 << 20))
     assert lm.filter_segments(sent[0][4]) > 1  # more than 2^20 bits
     compare(sent, brute([(r[0], r[1]) for r in data]))
@@ -127,3 +129,25 @@ def test_false_hits_do_not_grow_with_the_tokens(spark):
         f = lm.CountFilter(*lm.count_filter(docs, n))
         rates.append((f.count(lm.word_hashes([f"x{i}".encode() for i in range(50_000)])) > 0).mean())
     assert max(rates) < 0.16  # every n-gram is new: six bits set per token, the worst case
+
+
+def test_no_text_is_shuffled_by_the_exchange(spark):
+    """What goes through the shuffles: hashes, counts, levels and word numbers."""
+    docs = cases.frame(spark).selectExpr("doc_id", "text", "doc_id % 7 = 2 AS held_out")
+    marked = docs.withColumn("text", F.lit("needle haystack needle"))
+    for task, schema in ((lm._ask(1, 1), lm.QUESTIONS), (lm._number(1, 1), lm.SLICES)):
+        for row in marked.mapInArrow(task, schema).collect():
+            assert b"needle" not in b"".join(bytes(v) for v in row if isinstance(v, (bytes, bytearray)))
+
+
+def test_rows_that_change_between_the_reads_are_told(spark):
+    texts = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(200)), lambda i: F.concat(F.lit("w"), (F.rand() * 1000).cast("int"))))
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(texts, F.uuid()).alias("text"), F.lit(False).alias("held_out"))
+    with pytest.raises(Exception, match="changed between two reads"):
+        lm.scores_by_exchange(docs, 1).collect()
+
+
+def test_packed_counts_and_numbers():
+    n = np.array([0, 1, 254, 255, 256, 10 ** 12])
+    assert lm._unpacked(lm._packed(n), len(n)).tolist() == n.tolist() and lm._unpacked(lm._packed(n[:0]), 0).tolist() == []
+    assert lm._loosened(lm._squeezed(n[:5], 4), 5, 4).tolist() == n[:5].tolist()

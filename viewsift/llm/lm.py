@@ -11,9 +11,7 @@ that was never counted fails its first probe but for the filter's error rate.
    slice's counts exactly and sets the bits of its filter segment.
 3. The filter's bits grow with the training tokens (``BITS_PER_TOKEN``, no
    ceiling), so its error rate does not rise with the input. Up to
-   ``MAX_FILTER_BITS`` it goes to every worker; a larger one stays dealt out, and
-   the distinct n-grams of each slice of texts are sent to its segments and their
-   levels back. Both ways give the same counts.
+   ``MAX_FILTER_BITS`` it goes to every worker.
 4. Every text is scored whole with Dirichlet-smoothed bigrams over add-one
    unigrams, all counts by repeated probes, a slice of texts at a time.
 
@@ -21,6 +19,14 @@ The add-one base score uses exact counts: the most frequent words (at most
 ``HEAD_WORDS``) are looked up by hash in each task, all others are joined with
 the counted words by Spark.
 
+A larger filter stays dealt out in parts of ``PART_SEGMENTS`` segments, and the
+n-grams go to it (``scores_by_exchange``): each slice of texts sends every part its
+distinct n-grams, once, with their training counts. The part's task merges the
+counts, sets its bits, probes them, and answers with the levels (and, for words, the
+exact counts of the base score). The slices then meet their answers as word numbers;
+no text is shuffled. A part holds the same number of tokens at every size. Both
+ways give the same filter, and so the same scores.
+
 Defined cases: a null text is the empty text, of one token (its end); a row
 without doc_id hashes like the empty text and is learned from; repeated rows
 count each; without any training row every score uses empty counts; an empty
@@ -49,8 +55,10 @@ PROBES = 3
 BITS_PER_TOKEN = 8
 #: The largest filter held by every worker (64 MiB); n-grams are sent to a larger one.
 MAX_FILTER_BITS = 1 << 29
-#: Filter segments that a task holds at once when n-grams are sent to them (2 MiB).
-GROUP_SEGMENTS = 16
+#: Segments of a part of a filter that stays dealt out (2 MiB; at most 16, as a key names its segment by four bits).
+PART_SEGMENTS = 16
+#: Bits of a hash that name an n-gram inside its segment.
+SUB_BITS = 28
 #: Words known to every task by hash: 16 MiB at most.
 HEAD_WORDS = 1 << 20
 #: Weight of the unigram distribution against a history's count.
@@ -88,6 +96,11 @@ def bigram_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
+def sub_keys(hashes: np.ndarray) -> np.ndarray:
+    """The bits that name a hash inside its segment."""
+    return (hashes & np.uint64((1 << SUB_BITS) - 1)).astype(np.uint32)
+
+
 def level_of(counts: np.ndarray) -> np.ndarray:
     """Quantised counts (a count of 0 is level 0)."""
     return np.where(counts > 0, 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(BASE) + 1e-9), 0).astype(np.int64)
@@ -123,17 +136,7 @@ class CountFilter:
 
     def count(self, hashes: np.ndarray) -> np.ndarray:
         """Expected count of each n-gram."""
-        return LEVEL_COUNT[probe_levels(self.bits, bloom.segment_of(hashes, self.segments), bloom.sub_keys(hashes))]
-
-
-class KnownCounts:
-    """Counts of a slice's own n-grams (sorted hashes) by the levels that came back."""
-
-    def __init__(self, hashes: np.ndarray, level: np.ndarray):
-        self.hashes, self.level = hashes, level
-
-    def count(self, hashes: np.ndarray) -> np.ndarray:
-        return LEVEL_COUNT[self.level[np.searchsorted(self.hashes, hashes)]]
+        return LEVEL_COUNT[probe_levels(self.bits, bloom.segment_of(hashes, self.segments), sub_keys(hashes))]
 
 
 def _count_words(batches):
@@ -162,7 +165,7 @@ def _fragments(segments: int, parts: int):
         segment = bloom.segment_of(h, segments)
         part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
         order = np.lexsort((part, segment))
-        segment, part, n, sub = segment[order], part[order], n[order].astype(np.uint32), bloom.sub_keys(h)[order]
+        segment, part, n, sub = segment[order], part[order], n[order].astype(np.uint32), sub_keys(h)[order]
         starts = np.flatnonzero(np.r_[True, (segment[1:] != segment[:-1]) | (part[1:] != part[:-1])])
         ends = np.r_[starts[1:], len(segment)]
         few = [np.minimum(n[a:b], 255).astype(np.uint8).tobytes() for a, b in zip(starts, ends)]
@@ -272,43 +275,51 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> tuple[np.ndarray, n
 
 
 class Slice:
-    """The tokens of some whole texts: distinct words, their places, and the hashes of words and bigrams."""
+    """The tokens of some whole texts: distinct words in the order of their hashes, and distinct pairs."""
 
     def __init__(self, texts: list[bytes]):
-        self.words, self.at = vocabulary(tokens_of(texts))
-        self.hashes = word_hashes(self.words)
-        self.end = self.words.index(END)
-        self.last = np.flatnonzero(self.at == self.end)
-        self.left = np.r_[np.int64(-1), self.at[:-1]]
-        self.left[self.last[:-1] + 1] = -1
-        lh = np.where(self.left >= 0, self.hashes[self.left], np.uint64(0))
-        self.pairs = bigram_hashes(lh, self.hashes[self.at])
-
-    def grams(self) -> np.ndarray:
-        """The distinct hashes that its scores ask for, sorted."""
-        return np.unique(np.r_[self.hashes, self.pairs])
+        words, at = vocabulary(tokens_of(texts))
+        hashes = word_hashes(words)
+        order = np.argsort(hashes, kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        self.words, self.hashes, self.at = [words[i] for i in order], hashes[order], place[at]
+        self.codes, self.left, self.last, self.pair_at = token_pairs(self.at, len(words), int(place[words.index(END)]))
+        left = np.r_[self.hashes, np.uint64(0)][self.codes // (len(words) + 1)]  # nothing stands before a text's first word
+        self.pairs = bigram_hashes(left, self.hashes[self.codes % (len(words) + 1)])
+
+
+def token_pairs(at: np.ndarray, n_words: int, end: int) -> tuple[np.ndarray, ...]:
+    """(distinct pairs as numbers, word before each token or ``n_words``, ends of the texts, pair of each token)."""
+    last = np.flatnonzero(at == end)
+    left = np.r_[n_words, at[:-1]]
+    left[last[:-1] + 1] = n_words
+    codes, pair_at = np.unique(left * (n_words + 1) + at, return_inverse=True)
+    return codes, left, last, pair_at
+
+
+def token_scores(seen: np.ndarray, pair: np.ndarray, at: np.ndarray, left: np.ndarray, end: int, floor: int) -> np.ndarray:
+    """log10 of each token's smoothed probability from the counts of the words and of each token's pair."""
+    unigram = np.minimum((seen + 1.0) / floor, 1.0)  # the filter's errors can't make p exceed 1
+    # a text's start has been seen as often as its end
+    history = np.maximum(np.r_[seen, seen[end]][left], pair)
+    return np.log10((pair + DIRICHLET * unigram[at]) / (history + DIRICHLET))
 
 
 SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, score double, "
           "tail array<binary>, tail_n array<long>")
 
 
-def _scored(ids: list, out_flags: list, first: int, own: Slice, counts, head: np.ndarray, head_n: np.ndarray,
+def _scored(ids: list, out_flags: list, first: int, own: Slice, counts: CountFilter, head: np.ndarray, head_n: np.ndarray,
             floor: int) -> pa.RecordBatch:
     """Per text of a slice its row number, id, counts, model score, the head words' share of the base score, and its other words."""
-    words, at, h, left, last = own.words, own.at, own.hashes, own.left, own.last
+    words, at, h, last = own.words, own.at, own.hashes, own.last
     # exact counts of head words
     place = np.minimum(np.searchsorted(head, h), max(0, len(head) - 1))
     known = head[place] == h if len(head) else np.zeros(len(h), bool)
     exact = np.where(known, head_n[place], 0) if len(head) else np.zeros(len(h), np.int64)
     base = np.where(known, np.log10(exact + 1.0), 0.0)
-    # smoothed probabilities from the filter; its errors can't make p exceed 1
-    seen = counts.count(h)
-    unigram = np.minimum((seen + 1.0) / floor, 1.0)
-    pair = counts.count(own.pairs)
-    # a text's start has been seen as often as its end
-    history = np.maximum(np.where(left >= 0, seen[left], seen[own.end]), pair)
-    p = (pair + DIRICHLET * unigram[at]) / (history + DIRICHLET)
+    score = token_scores(counts.count(h), counts.count(own.pairs)[own.pair_at], at, own.left, int(at[last[0]]), floor)
     begins = np.r_[0, last[:-1] + 1]
     doc = np.repeat(np.arange(len(last)), last - begins + 1)
     rest = np.flatnonzero(~known[at])
@@ -319,7 +330,7 @@ def _scored(ids: list, out_flags: list, first: int, own: Slice, counts, head: np
         pa.array(first + np.arange(len(last)), pa.int64()), pa.array(ids, pa.int64()), pa.array(out_flags, pa.bool_()),
         pa.array(last - begins + 1, pa.int64()),
         pa.array(np.add.reduceat(known[at].astype(np.int64), begins)),
-        pa.array(np.add.reduceat(base[at], begins)), pa.array(np.add.reduceat(np.log10(p), begins)),
+        pa.array(np.add.reduceat(base[at], begins)), pa.array(np.add.reduceat(score, begins)),
         pa.ListArray.from_arrays(pa.array(cut, pa.int32()), listed),
         pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(n, pa.int64()))],
         names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "score", "tail", "tail_n"])
@@ -345,115 +356,219 @@ def _score(held, floor: int):
     return run
 
 
-def _cut_slices(batches):
-    """Task: its texts as slices, one row each."""
-    for first, ids, out_flags, texts in _numbered_slices(batches):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([first], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-             pa.array([out_flags], pa.list_(pa.bool_())), pa.array([texts], pa.list_(pa.binary()))],
-            names=["slice", "ids", "flags", "texts"])
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in one byte each; those of 255 and more follow in full."""
+    many = counts[counts >= 255].astype(np.uint64)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + many.tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, np.uint64, offset=n).astype(np.int64)
+    return counts
+
+
+def _squeezed(values: np.ndarray, width: int) -> bytes:
+    """Numbers of ``width`` bytes, byte planes one after the other, compressed."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T
+    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def _loosened(data: bytes, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 4), np.uint8)
+    out[:, :width] = np.frombuffer(pa.Codec("zstd").decompress(data, width * n, asbytes=True), np.uint8).reshape(width, n).T
+    return out.view("<u4").ravel().astype(np.int64)
+
+
+def _parts(segment: np.ndarray, group: int) -> np.ndarray:
+    return segment // group
+
+
+QUESTIONS = "part int, slice long, words binary, words_n binary, pairs binary, pairs_n binary"
+ANSWERS = "part int, slice long, words_n binary, word_levels binary, pair_levels binary, n_tokens long, n_words long"
 
 
-def _asked(segments: int, group: int):
-    """Task: per slice and group of segments the n-grams asked for: how many per segment, then their keys."""
+def _ask(segments: int, group: int):
+    """Task: per slice and part of the filter the distinct words and pairs that belong there, with their training counts."""
     def run(batches):
-        for batch in batches:
-            for number, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                h = Slice([t or b"" for t in texts.as_py()]).grams()
-                segment, sub = bloom.segment_of(h, segments), bloom.sub_keys(h)
-                place, starts = np.unique(segment // group, return_index=True)  # hashes are sorted, so segments are
-                data = [np.bincount(segment[a:b] % group, minlength=group).astype(np.uint32).tobytes() + sub[a:b].tobytes()
-                        for a, b in zip(starts, np.r_[starts[1:], len(h)])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(place, pa.int32()), pa.array([number] * len(place), pa.int64()),
-                     pa.array([0] * len(place), pa.int32()), pa.array(data, pa.binary())],
-                    names=["part", "slice", "segment", "data"])
+        for first, _, out_flags, texts in _numbered_slices(batches):
+            own = Slice(texts)
+            begins = np.r_[0, own.last[:-1] + 1]
+            learned = np.repeat(~np.array(out_flags, bool), own.last - begins + 1)
+            words_n = np.bincount(own.at[learned], minlength=len(own.words))
+            pairs_n = np.bincount(own.pair_at[learned], minlength=len(own.codes))
+            word_part = _parts(bloom.segment_of(own.hashes, segments), group)
+            segment = bloom.segment_of(own.pairs, segments)
+            key = ((segment % group).astype(np.uint32) << np.uint32(SUB_BITS)) | sub_keys(own.pairs)
+            order = np.argsort(_parts(segment, group), kind="stable")
+            pair_part, key, pairs_n = _parts(segment, group)[order], key[order], pairs_n[order]
+            parts = np.unique(np.r_[word_part, pair_part])
+            w, p = (np.searchsorted(x, np.r_[parts, parts[-1] + 1]) for x in (word_part, pair_part))
+            rows = list(zip(w[:-1].tolist(), w[1:].tolist(), p[:-1].tolist(), p[1:].tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts, pa.int32()), pa.array([first] * len(parts), pa.int64()),
+                 pa.array([own.hashes[a:b].tobytes() for a, b, _, _ in rows], pa.binary()),
+                 pa.array([_packed(words_n[a:b]) for a, b, _, _ in rows], pa.binary()),
+                 pa.array([key[a:b].tobytes() for _, _, a, b in rows], pa.binary()),
+                 pa.array([_packed(pairs_n[a:b]) for _, _, a, b in rows], pa.binary())],
+                names=["part", "slice", "words", "words_n", "pairs", "pairs_n"])
     return run
 
 
-def _answered(group: int):
-    """Task: (slice, part, levels) of the n-grams asked for; a group's segments come before its slices (slice -1)."""
-    size = bloom.SEGMENT_BITS // 8
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their counts, place of each key among them)."""
+    own, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return own, np.bincount(place, np.concatenate(counts), len(own)).astype(np.int64), place
+
 
+def _answer_part(part: int, slices_: list[int], words: list, words_n: list, pairs: list, pairs_n: list,
+                 segments: int, group: int) -> pa.RecordBatch:
+    """Builds one part of the filter from all its n-grams and probes it for them."""
+    word, word_n, word_at = _merged(words, words_n)
+    key, key_n, key_at = _merged(pairs, pairs_n)
+    segment = np.r_[bloom.segment_of(word, segments) % group, (key >> np.uint32(SUB_BITS)).astype(np.int64)].astype(np.int32)
+    sub = np.r_[sub_keys(word), key & np.uint32((1 << SUB_BITS) - 1)]
+    bits = np.zeros(group * bloom.SEGMENT_BITS, bool)
+    level, at = level_of(np.r_[word_n, key_n]), np.arange(len(sub))
+    for q in range(1, int(level.max(initial=0)) + 1):
+        at = at[level[at] >= q]
+        for probe in range(PROBES):
+            bits[segment[at].astype(np.int64) * bloom.SEGMENT_BITS + _bit(sub[at], q, probe)] = True
+    found = probe_levels(bloom.as_array(bloom.pack(bits)), segment, sub)
+    w, p = (np.r_[0, np.cumsum(list(map(len, x)))] for x in (words, pairs))
+    word_n_at, word_level, pair_level = word_n[word_at], found[:len(word)][word_at], found[len(word):][key_at]
+    some = len(slices_) - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part] * len(slices_), pa.int32()), pa.array(slices_, pa.int64()),
+         pa.array([_packed(word_n_at[a:b]) for a, b in zip(w[:-1], w[1:])], pa.binary()),
+         pa.array([word_level[a:b].tobytes() for a, b in zip(w[:-1], w[1:])], pa.binary()),
+         pa.array([pair_level[a:b].tobytes() for a, b in zip(p[:-1], p[1:])], pa.binary()),
+         pa.array([int(word_n.sum())] + [0] * some, pa.int64()), pa.array([int((word_n > 0).sum())] + [0] * some, pa.int64())],
+        names=["part", "slice", "words_n", "word_levels", "pair_levels", "n_tokens", "n_words"])
+
+
+def _answer(segments: int, group: int):
+    """Task: the answers of its parts, whose questions arrive one part after the other (a bounded number of tokens each)."""
     def run(batches):
-        part, bits = None, np.zeros(0, np.uint8)
+        part, held = None, ([], [], [], [], [])
         for batch in batches:
-            out = []
-            for p, number, segment, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for p, number, words, words_n, pairs, pairs_n in zip(*(c.to_pylist() for c in batch.columns)):
                 if p != part:
-                    part, bits = p, np.zeros(group * size, np.uint8)
-                if number < 0:
-                    at = segment % group * size
-                    bits[at:at + size] = np.frombuffer(data, np.uint8)
-                    continue
-                n, sub = np.frombuffer(data, np.uint32, group), np.frombuffer(data, np.uint32, offset=4 * group)
-                out.append((number, p, probe_levels(bits, np.repeat(np.arange(group), n), sub).tobytes()))
-            if out:
-                number, p, level = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(p, pa.int32()),
-                                                  pa.array(level, pa.binary())], names=["slice", "part", "levels"])
+                    if part is not None:
+                        yield _answer_part(part, *held, segments, group)
+                    part, held = p, ([], [], [], [], [])
+                w, k = np.frombuffer(words, np.uint64), np.frombuffer(pairs, np.uint32)
+                for x, own in zip(held, (number, w, _unpacked(words_n, len(w)), k, _unpacked(pairs_n, len(k)))):
+                    x.append(own)
+        if part is not None:
+            yield _answer_part(part, *held, segments, group)
+    return run
+
+
+SLICES = "slice long, ids array<long>, flags array<boolean>, shape array<long>, tokens binary, pair_parts binary"
+
+
+def _number(segments: int, group: int):
+    """Task: its slices as word numbers (in the order of the words' hashes) and the part of the filter that each pair belongs to."""
+    def run(batches):
+        for first, ids, out_flags, texts in _numbered_slices(batches):
+            own = Slice(texts)
+            parts = _parts(bloom.segment_of(own.pairs, segments), group)
+            shape = [len(own.at), len(own.words), len(own.codes), int(own.at[own.last[0]])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([first], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([out_flags], pa.list_(pa.bool_())),
+                 pa.array([shape], pa.list_(pa.int64())), pa.array([_squeezed(own.at, 4)], pa.binary()),
+                 pa.array([_squeezed(parts, 4)], pa.binary())],
+                names=["slice", "ids", "flags", "shape", "tokens", "pair_parts"])
     return run
 
 
-def _score_answered(held, floor: int):
-    """Task: scores slices, each followed by its n-grams' levels in the order of their hashes."""
+FINAL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _score_answered(n_tokens: int, n_words: int):
+    """Task: scores of its slices, each followed by the answers of the filter's parts in their order."""
+    floor = n_tokens + n_words + 1
+
+    def close(ids, out_flags, shape, tokens, pair_parts, answers) -> pa.RecordBatch:
+        size, words, pairs, end = shape
+        at = _loosened(tokens, size, 4)
+        codes, left, last, pair_at = token_pairs(at, words, end)
+        levels = np.frombuffer(b"".join(a[1] for a in answers), np.uint8)
+        found = np.frombuffer(b"".join(a[2] for a in answers), np.uint8)
+        if len(codes) != pairs or len(levels) != words or len(found) != pairs:
+            raise RuntimeError("the rows of a partition changed between two reads: write the table first")
+        exact = np.concatenate([_unpacked(a[0], len(a[1])) for a in answers])
+        pair = np.empty(pairs, np.uint8)
+        pair[np.argsort(_loosened(pair_parts, pairs, 4), kind="stable")] = found
+        score = token_scores(LEVEL_COUNT[levels], LEVEL_COUNT[pair][pair_at], at, left, end, floor)
+        begins = np.r_[0, last[:-1] + 1]
+        n = last - begins + 1
+        base = np.add.reduceat(np.log10(exact + 1.0)[at], begins) + 0.0 - n * float(np.log10(floor))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(out_flags, pa.bool_()), pa.array(n, pa.int64()),
+             pa.array(np.add.reduceat((exact > 0)[at].astype(np.int64), begins)), pa.array([n_tokens] * len(n), pa.int64()),
+             pa.array(base), pa.array(np.add.reduceat(score, begins))],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     def run(batches):
-        head, head_n = held.value
-        asked, level = None, []
-
-        def close():
-            number, ids, out_flags, texts = asked
-            own = Slice([t or b"" for t in texts])
-            counts = KnownCounts(own.grams(), np.frombuffer(b"".join(level), np.uint8))
-            return _scored(ids, out_flags, number, own, counts, head, head_n, floor)
+        asked, answers = None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                number, part, ids, out_flags, texts, levels = (c[i].as_py() for c in batch.columns)
+                part, ids, out_flags, shape, tokens, pair_parts, *own = (c[i].as_py() for c in batch.columns[1:])
                 if part < 0:
                     if asked is not None:
-                        yield close()
-                    asked, level = (number, ids, out_flags, texts), []
+                        yield close(*asked, answers)
+                    asked, answers = (ids, out_flags, shape, tokens, pair_parts), []
                 else:
-                    level.append(levels)
+                    answers.append(own)
         if asked is not None:
-            yield close()
+            yield close(*asked, answers)
     return run
 
 
-def scores_by_exchange(docs: DataFrame, segments: int, built: DataFrame, held, floor: int,
-                       group: int = GROUP_SEGMENTS) -> DataFrame:
-    """Scores with a filter of any size: no task holds more of it than ``group`` segments."""
-    cut = materialize(docs.mapInArrow(
-        _cut_slices, "slice long, ids array<long>, flags array<boolean>, texts array<binary>"), "text-slices")
-    asked = cut.select("slice", "texts").mapInArrow(_asked(segments, group), "part int, slice long, segment int, data binary")
-    parts = built.select(F.floor(F.col("segment") / group).cast("int").alias("part"), F.lit(-1).cast("long").alias("slice"),
-                         "segment", F.col("bits").alias("data"))
-    answers = (parts.unionByName(asked).repartition("part").sortWithinPartitions("part", "slice")
-               .mapInArrow(_answered(group), "slice long, part int, levels binary"))
-    both = cut.withColumn("part", F.lit(-1)).withColumn("levels", F.lit(None).cast("binary")) \
-        .unionByName(answers, allowMissingColumns=True).select("slice", "part", "ids", "flags", "texts", "levels")
-    return both.repartition("slice").sortWithinPartitions("slice", "part").mapInArrow(_score_answered(held, floor), SCORED)
+def scores_by_exchange(docs: DataFrame, segments: int, group: int = PART_SEGMENTS) -> DataFrame:
+    """The scores of ``docs`` (doc_id, text, held_out) with a filter of any size; ``docs`` is read twice and must read alike."""
+    group = min(group, segments)
+    asked = docs.mapInArrow(_ask(segments, group), QUESTIONS)
+    answers = materialize(asked.repartition("part").sortWithinPartitions("part", "slice")
+                          .mapInArrow(_answer(segments, group), ANSWERS), "lm-answers")
+    n_tokens, n_words = answers.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    numbered = docs.mapInArrow(_number(segments, group), SLICES).withColumn("part", F.lit(-1))
+    both = numbered.unionByName(answers.drop("n_tokens", "n_words"), allowMissingColumns=True)
+    both = both.select("slice", "part", "ids", "flags", "shape", "tokens", "pair_parts", "words_n", "word_levels", "pair_levels")
+    return both.repartition("slice").sortWithinPartitions("slice", "part").mapInArrow(_score_answered(n_tokens, n_words), FINAL)
+
+
+def _count_tokens(batches):
+    """Task: the number of tokens of its texts."""
+    n = 0
+    for batch in batches:
+        texts = text_bytes(batch.column(0))
+        for a, b in slices(texts):
+            n += len(tokens_of(texts[a:b]))
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
 
 def score_texts(docs: DataFrame, folds: int = FOLDS, max_filter_bits: int = MAX_FILTER_BITS,
                 head: int = HEAD_WORDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
+
+    ``docs`` is read several times: a plain table, or one that was written.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", hold_out(F.col("doc_id"), folds).alias("held_out"))
     learned = docs.where(~F.col("held_out")).select("text")
+    total = learned.mapInArrow(_count_tokens, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    segments = filter_segments(total)
+    # What is broadcast is bounded by parameters: the frequent words, and the filter only up to ``max_filter_bits``.
+    if segments * bloom.SEGMENT_BITS > max(max_filter_bits, bloom.SEGMENT_BITS):
+        return scores_by_exchange(docs, segments)
     counts = materialize(learned.mapInArrow(_count_words, "word binary, n long").groupBy("word")
                          .agg(F.sum("n").alias("n")), "word-counts")
-    total, vocab = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    segments, frequent = filter_segments(total), head_words(counts, head)
-    texts = docs.select("doc_id", "text", "held_out")
-    # What is broadcast is bounded by parameters: the frequent words, and the filter only up to ``max_filter_bits``.
-    if segments * bloom.SEGMENT_BITS <= max(max_filter_bits, bloom.SEGMENT_BITS):
-        held = spark.sparkContext.broadcast((count_filter(learned, total)[0], segments, *frequent))
-        scored = texts.mapInArrow(_score(held, total + vocab + 1), SCORED)
-    else:
-        held = spark.sparkContext.broadcast(frequent)
-        scored = scores_by_exchange(texts, segments, built_segments(learned, total), held, total + vocab + 1)
-    scored = materialize(scored, "scored")
+    vocab, frequent = counts.count(), head_words(counts, head)
+    held = spark.sparkContext.broadcast((count_filter(learned, total)[0], segments, *frequent))
+    scored = materialize(docs.mapInArrow(_score(held, total + vocab + 1), SCORED), "scored")
     tail = scored.select("row", F.explode(F.arrays_zip("tail", "tail_n")).alias("t")) \
         .select("row", F.col("t.tail").alias("word"), F.col("t.tail_n").alias("tf"))
     met = tail.join(counts, "word").groupBy("row").agg(
