@@ -141,8 +141,11 @@ def test_no_text_is_shuffled_by_the_exchange(spark):
 
 
 def test_rows_that_change_between_the_reads_are_told(spark):
-    texts = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(200)), lambda i: F.concat(F.lit("w"), (F.rand() * 1000).cast("int"))))
-    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(texts, F.uuid()).alias("text"), F.lit(False).alias("held_out"))
+    @F.udf("string")
+    def other_each_time(i):
+        return " ".join(f"w{b}" for b in os.urandom(40 + os.urandom(1)[0]))
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), other_each_time.asNondeterministic()("id").alias("text"),
+                                  F.lit(False).alias("held_out"))
     with pytest.raises(Exception, match="changed between two reads"):
         lm.scores_by_exchange(docs, 1).collect()
 
