@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from viewsift import schemas
 from viewsift.functions import rules
-from viewsift.operators import curate, manifest, prefilter, scoring
+from viewsift.operators import curate, fuzzy, manifest, prefilter, scoring
 from viewsift.plans import analytics, daily_job
 from viewsift.session import delete_path, filesystem, fresh_dir
 from viewsift.sources import dumps, files, testbed as tb, warehouse
@@ -107,6 +107,15 @@ def rankings_sketched(spark: SparkSession, sf: str, days: int) -> DataFrame:
     return found.drop("median_views").join(ok, "company")
 
 
+def fuzzy_stored(spark: SparkSession, sf: str, query: str, threshold: float) -> DataFrame:
+    """J6 from the stored trigrams of two loads; the second holds the first's titles too."""
+    path = fresh_dir(spark, "trigrams")
+    rows = tb.raw_pageviews(spark, sf, with_event_id=False)
+    fuzzy.add_titles(spark, rows.where(F.hour("loaded_at") < 12), path)
+    fuzzy.add_titles(spark, rows, path)
+    return fuzzy.search_stored(spark, query, path, threshold)
+
+
 def daily_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """The daily job over dumps with bad lines and a corrupt file, twice; the second run opens no file."""
     landing, root = fresh_dir(spark, "landing"), fresh_dir(spark, "daily")

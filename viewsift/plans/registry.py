@@ -168,6 +168,7 @@ QUERIES.update({
     "key_violations": lambda s, sf: QC.key_violations(
         tb.candidates(s, sf).withColumn("filter_method", F.lit(tb.FILTER_METHOD)),
         ["domain", "page_title", "processing_date", "filter_method"]),
+    "fuzzy_titles_stored": lambda s, sf: LJ.fuzzy_stored(s, sf, FUZZY_QUERY, FUZZY_THRESHOLD),
     "fuzzy_titles": lambda s, sf: FZ.fuzzy_search(_raw(s, sf), FUZZY_QUERY, threshold=FUZZY_THRESHOLD),
 })
 
@@ -240,6 +241,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "verify_load": O.verify_load,
     "constraint_violations": O.constraint_violations,
     "key_violations": O.key_violations,
+    "fuzzy_titles_stored": lambda: O.fuzzy_titles(FUZZY_QUERY, FUZZY_THRESHOLD),
     "fuzzy_titles": lambda: O.fuzzy_titles(FUZZY_QUERY, FUZZY_THRESHOLD),
 }
 
