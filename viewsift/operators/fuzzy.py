@@ -69,7 +69,7 @@ def fuzzy_search(df: DataFrame, query: str, title_col: str = "page_title",
 # --------------------------------------------------------------------------- stored trigrams
 
 #: Folders that trigrams are dealt into.
-SLOTS = 256
+SLOTS = 64
 POSTINGS = "trigram string, n_trigrams int, page_title string, slot int"
 
 
