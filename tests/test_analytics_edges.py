@@ -156,3 +156,22 @@ def test_equal_rows_are_split_over_partitions(spark, monkeypatch):
     assert (n, low, high, distinct) == (200_000, 1, 200_000, 200_000)
     sizes = [r["count"] for r in written["sorted-rows"].groupBy("_part").count().collect()]
     assert len(sizes) >= 4 and max(sizes) < 100_000
+
+
+def test_live_ranks_of_a_hot_pair_are_spread(spark):
+    """A third of all rows share company and views: the live V3 equals the sorted form, and no window task has its rows."""
+    from pyspark.sql import functions as F
+
+    from viewsift.operators import ranking
+    from viewsift.sources import testbed as tb
+
+    rows = spark.range(6000).select(
+        F.lit("en").alias("domain"), F.concat(F.lit("Google_Maps_"), F.xxhash64("id").cast("string")).alias("page_title"),
+        F.when(F.col("id") % 3 == 0, 777).otherwise((F.xxhash64("id") % 500 + 500).cast("int")).cast("int").alias("count_views"),
+        F.when(F.col("id") % 3 < 2, "Google").otherwise("Other").alias("company"),
+        F.date_add(F.lit("2024-01-28").cast("date"), (F.col("id") % 2).cast("int")).alias("processing_date"))
+    got = {m: sorted(map(tuple, A.v_top_pages_by_company(rows, tb.AS_OF, 7, method=m).collect())) for m in ("split", "window")}
+    assert got["split"] == got["window"] and len(got["split"]) == 6000
+    one = rows.groupBy("company", "count_views", "processing_date", "domain", *[F.substring("page_title", 1, n) for n in A.TITLE_CUTS]).count()
+    assert one.agg(F.max("count")).first()[0] < 5 < rows.where("count_views = 777").count()
+    assert ranking.split_row_number(rows.where("false"), ["company"], "count_views", [F.col("page_title")]).count() == 0

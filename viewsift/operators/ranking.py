@@ -3,15 +3,12 @@
 ``row_number() OVER (PARTITION BY g ORDER BY ...)`` puts every row of a group
 through one task. Two exact replacements:
 
-``split_row_number`` (lazy, for views) splits the position in two:
-
-* an offset per ``(g, v)`` — the rows of ``g`` with a larger ``v`` — from a value
-  histogram (combined map-side, then a running sum over the distinct values of
-  each group, not over its rows);
-* the row number inside ``(g, v)`` by the tie-breakers.
-
-  The row-level work is partitioned by ``(g, v)``, so a hot group spreads over as
-  many tasks as it has distinct values.
+``split_row_number`` (lazy, for views) splits the position level by level: by the
+value, then by coarse keys that follow the order of the tie-breakers (a date, a
+domain, the first characters of a title). A histogram over all levels (combined
+map-side) is summed up to each level, and a running sum over the siblings of a level
+gives the rows before it; only rows equal in all of them are numbered in one task. So
+neither a hot group nor a hot (group, value) pair meets there.
 
 ``sorted_row_number`` (materialised, for batches) makes no assumption about the
 values: a range-partitioned sort on ``(g, order)`` cuts even one huge group, or a
@@ -33,20 +30,30 @@ from viewsift.session import materialize
 
 
 def split_row_number(df: DataFrame, group: Sequence[str], value: str, ties: Sequence[Column],
-                     out: str = "rank") -> DataFrame:
+                     out: str = "rank", cuts: Sequence[tuple[Column, bool]] = ()) -> DataFrame:
     """``df`` plus ``out`` = row number in ``group`` ordered by ``value`` desc, then ``ties``.
 
-    ``group`` and ``value`` columns must be non-null (they are join keys).
+    ``cuts`` lists (key, descending) from coarse to fine; a row with a smaller key (a
+    larger one if descending) must come first by ``ties`` too. ``group``, ``value`` and
+    the keys must be non-null (they are join keys).
     """
-    group = list(group)
-    hist = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy(F.col(value).desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hist.select(*group, value, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    local = Window.partitionBy(*group, value).orderBy(*ties)
-    return (df.join(offsets, [*group, value])
+    group, names = list(group), [f"_k{i}" for i in range(len(cuts) + 1)]
+    rows = df.withColumns({"_k0": F.col(value), **{n: key for n, (key, _) in zip(names[1:], cuts)}})
+    orders = [F.col(n).desc() if down else F.col(n).asc() for n, down in zip(names, [True, *(down for _, down in cuts)])]
+    level = rows.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = None
+    for i in reversed(range(len(names))):  # the finest level first; each is the sum of the one below
+        if i < len(names) - 1:
+            level = level.groupBy(*group, *names[:i + 1]).agg(F.sum("_n").alias("_n"))
+        before = Window.partitionBy(*group, *names[:i]).orderBy(orders[i]).rowsBetween(Window.unboundedPreceding, -1)
+        own = level.select(*group, *names[:i + 1], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_before{i}"))
+        offsets = own if offsets is None else offsets.join(own, [*group, *names[:i + 1]])
+    offset = sum((F.col(f"_before{i}") for i in range(len(names))), F.lit(0))
+    offsets = offsets.select(*group, *names, offset.alias("_offset"))
+    local = Window.partitionBy(*group, *names).orderBy(*ties)
+    return (rows.join(offsets, [*group, *names])
             .withColumn(out, (F.col("_offset") + F.row_number().over(local)).cast("long"))
-            .drop("_offset"))
+            .select(*df.columns, out))
 
 
 def sorted_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],

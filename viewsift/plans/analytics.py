@@ -22,6 +22,8 @@ from viewsift.functions.numeric import exact_round_avg, exact_round_pct
 from viewsift.operators import manifest
 from viewsift.operators.ranking import sorted_row_number, split_row_number
 
+#: Characters of a title that the live V3 view tells rows apart by.
+TITLE_CUTS = (8, 16, 24)
 TOP_COMPANIES = ["Amazon", "Apple", "Google", "Microsoft", "Meta"]
 
 
@@ -285,7 +287,8 @@ def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7, method: st
     sort a whole company in one task. ``"sorted"`` (default) runs a
     range-partitioned sort and writes its rows when called, so no company or
     (company, views) pair lands whole in one task. ``"split"`` stays lazy (for the
-    live temp view) and spreads a hot company over its distinct view counts.
+    live temp view): a hot company is spread over its view counts, a hot (company,
+    views) pair over dates, domains and the first characters of titles.
     """
     df = last_n_days(filtered, as_of, days).select("company", "page_title", "count_views", "processing_date",
                                                    "domain")
@@ -293,7 +296,9 @@ def v_top_pages_by_company(filtered: DataFrame, as_of, days: int = 7, method: st
     if method == "sorted":
         out = sorted_row_number(df, ["company"], [F.col("count_views").desc(), *ties], "rank")
     elif method == "split":
-        out = split_row_number(df, ["company"], "count_views", ties)
+        title = F.col("page_title")
+        cuts = [(F.col("processing_date"), True), (F.col("domain"), False), *((F.substring(title, 1, n), False) for n in TITLE_CUTS)]
+        out = split_row_number(df, ["company"], "count_views", ties, cuts=cuts)
     elif method == "window":
         out = df.withColumn("rank", F.row_number().over(Window.partitionBy("company").orderBy(*_page_order()))
                             .cast("long"))
