@@ -82,3 +82,15 @@ def constraint_violations(df: DataFrame, table: str) -> DataFrame:
 def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """C4: keys held by more than one row, with their row count (partial aggregation first)."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
+
+
+def zero_row_status(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """Per ``key`` of the rows before a step: rows before and after it, and ``zero_rows`` where none is left.
+
+    The guard (``prefilter(require_rows=True)``) stops a run; this is the run's status row per date, file or batch.
+    """
+    n_in = before.groupBy(key).agg(F.count(F.lit(1)).alias("rows_in"))
+    n_out = after.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_out"))
+    joined = n_in.join(n_out, F.col(key).eqNullSafe(F.col("_key")), "left")
+    out = F.coalesce("_out", F.lit(0))
+    return joined.select(key, "rows_in", out.alias("rows_out"), F.when(out > 0, "ok").otherwise("zero_rows").alias("status"))

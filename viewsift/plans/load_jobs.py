@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from viewsift import schemas
 from viewsift.functions import rules
-from viewsift.operators import curate, fuzzy, manifest, prefilter, scoring
+from viewsift.operators import curate, fuzzy, manifest, prefilter, quality, scoring
 from viewsift.plans import analytics, daily_job
 from viewsift.session import delete_path, filesystem, fresh_dir
 from viewsift.sources import dumps, files, testbed as tb, warehouse
@@ -205,6 +205,15 @@ def csv_text_parse(spark: SparkSession, sf: str) -> DataFrame:
     return files.parse_csv_text(text, "csv_output", "domain string, page_title string, count_views long")
 
 
+def csv_text_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Per batch, its rows and those that the CSV text of its reply holds; ``zero_rows`` where that is empty."""
+    rows = tb.batched_candidates(spark, sf).withColumn("batch", F.concat_ws("/", "bucket", "batch_no"))
+    replies = scoring.score_batches(scoring.build_prompts(rows))
+    text = replies.select(F.concat_ws("/", "bucket", "batch_no").alias("batch"), F.get_json_object("reply", "$.csv_output").alias("csv"))
+    kept = files.parse_csv_text(text, "csv", "domain string, page_title string, count_views long")
+    return quality.zero_row_status(rows, kept, "batch")
+
+
 def _dump_dir(spark: SparkSession, sf: str, where=None) -> str:
     path = fresh_dir(spark, "landing")
     rows = tb.raw_pageviews(spark, sf, with_event_id=False)

@@ -151,10 +151,11 @@ SELECT domain, page_title, count_views, company, processing_date, filtered_at, f
 FROM filtered_pageviews WHERE {_window(days)}{comp}""")
 
 
-def daily_trends(days: int = 7) -> str:
+def daily_trends(days: int = 7, companies: list[str] | None = None) -> str:
+    comp = f" AND company IN ({', '.join(_q(c) for c in companies)})" if companies else ""
     return with_adapter("", f"""
 SELECT processing_date, company, COUNT(*) AS page_count, CAST(SUM(count_views) AS BIGINT) AS total_views
-FROM filtered_pageviews WHERE {_window(days)} GROUP BY processing_date, company""")
+FROM filtered_pageviews WHERE {_window(days)}{comp} GROUP BY processing_date, company""")
 
 
 def top_pages(days: int, k: int, companies: list[str] | None) -> str:
@@ -175,10 +176,42 @@ SELECT COUNT(*) AS total_pages, CAST(SUM(count_views) AS BIGINT) AS total_views,
 FROM filtered_pageviews WHERE {_window(days)}""")
 
 
-def title_search(query: str, days: int) -> str:
+def title_search(query: str, days: int, literal: bool = False) -> str:
+    match = f"contains(lower(page_title), {_q(query.lower())})" if literal else f"regexp_matches(page_title, {_q(query)}, 'i')"
     return with_adapter("", f"""
 SELECT processing_date, page_title, company, count_views, filter_method
-FROM filtered_pageviews WHERE {_window(days)} AND regexp_matches(page_title, {_q(query)}, 'i')""")
+FROM filtered_pageviews WHERE {_window(days)} AND {match}""")
+
+
+def views_by_sql(days: int) -> str:
+    return with_adapter(f"""
+raw_days AS (SELECT processing_date, count(*) AS raw_records, count(DISTINCT source_file) AS source_files FROM raw_pageviews GROUP BY 1),
+firsts AS (
+  SELECT company, processing_date, page_title, row_number() OVER (
+    PARTITION BY company ORDER BY count_views DESC, processing_date DESC, domain, page_title) AS rank
+  FROM filtered_pageviews WHERE {_window(days)})""", """
+SELECT processing_date, company, CAST(sum(count_views) AS BIGINT) AS total_views, any_value(raw_records) AS raw_records,
+       any_value(source_files) AS source_files,
+       (SELECT page_title FROM firsts t WHERE t.rank = 1 AND t.company = f.company AND t.processing_date = f.processing_date) AS top_page,
+       (SELECT CASE WHEN count(*) > 0 THEN count(*) END FROM sentiment_results s
+        WHERE s.company = f.company AND s.processing_date = f.processing_date) AS n_sentiments
+FROM filtered_pageviews f JOIN raw_days USING (processing_date) GROUP BY processing_date, company""")
+
+
+def _status(n_out: str) -> str:
+    return f"CAST({n_out} AS BIGINT) AS rows_out, CASE WHEN {n_out} > 0 THEN 'ok' ELSE 'zero_rows' END AS status"
+
+
+def prefilter_status() -> str:
+    n = f"(SELECT count(*) FROM candidates c WHERE c.processing_date = {AS_OF_SQL} AND c.processing_date = r.processing_date)"
+    return with_adapter("", f"SELECT processing_date, count(*) AS rows_in, {_status(n)} FROM raw_pageviews r GROUP BY processing_date")
+
+
+def csv_text_status() -> str:
+    n = "count(*) FILTER (verdict LIKE 'keep:%')"
+    return with_adapter(_batched_ctes(), f"""
+SELECT CAST(bucket AS VARCHAR) || '/' || CAST(batch_no AS VARCHAR) AS batch, count(*) AS rows_in, {_status(n)}
+FROM batched GROUP BY bucket, batch_no""")
 
 
 def v_daily_company_summary() -> str:

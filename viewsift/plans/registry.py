@@ -34,6 +34,23 @@ DAYS = 7
 SELECTED = ["Apple", "Meta"]
 SEARCH = "apple|pixel"
 SEARCH_DAYS = 30
+LITERAL = ",_NO._"
+
+#: A user's query over the four named views (K6).
+VIEWS_SQL = """
+SELECT d.processing_date, d.company, d.total_views, q.raw_records, q.source_files, t.page_title AS top_page, s.n_sentiments
+FROM v_daily_company_summary d
+JOIN v_data_quality_metrics q ON q.processing_date = d.processing_date
+LEFT JOIN v_top_pages_by_company t ON t.company = d.company AND t.processing_date = d.processing_date AND t.rank = 1
+LEFT JOIN (SELECT company, processing_date, SUM(count) AS n_sentiments FROM v_sentiment_distribution GROUP BY company, processing_date) s
+  ON s.company = d.company AND s.processing_date = d.processing_date"""
+
+
+def _views_by_sql(s: SparkSession, sf: str) -> DataFrame:
+    """K6: the views registered by name and read by SQL."""
+    A.register_views(tb.raw_pageviews(s, sf, with_event_id=False), _filtered(s, sf), tb.sentiment_results(s, sf), AS_OF, DAYS)
+    return s.sql(VIEWS_SQL)
+
 
 QUERIES: dict[str, Query] = {
     "company_rankings": lambda s, sf: A.company_rankings(_filtered(s, sf), AS_OF),
@@ -42,6 +59,10 @@ QUERIES: dict[str, Query] = {
     "rankings_window": lambda s, sf: A.rankings_window(_filtered(s, sf), AS_OF, DAYS),
     "rankings_selected": lambda s, sf: A.rankings_selected(_filtered(s, sf), AS_OF, DAYS, SELECTED),
     "daily_trends": lambda s, sf: A.daily_trends(_filtered(s, sf), AS_OF, DAYS),
+    "filtered_window_selected": lambda s, sf: A.filtered_window(_filtered(s, sf), AS_OF, DAYS, SELECTED),
+    "daily_trends_selected": lambda s, sf: A.daily_trends(_filtered(s, sf), AS_OF, DAYS, SELECTED),
+    "title_search_literal": lambda s, sf: A.title_search(_filtered(s, sf), AS_OF, LITERAL, SEARCH_DAYS, literal=True),
+    "views_by_sql": lambda s, sf: _views_by_sql(s, sf),
     "winner_window": lambda s, sf: A.winner_window(_filtered(s, sf), AS_OF, DAYS),
     "top15_pages": lambda s, sf: A.top_pages(_filtered(s, sf), AS_OF, DAYS, 15, A.TOP_COMPANIES),
     "top_pages_k": lambda s, sf: A.top_pages(_filtered(s, sf), AS_OF, 30, 10, None),
@@ -125,6 +146,9 @@ QUERIES.update({
     "stage_a": lambda s, sf: PF.stage_a(_raw(s, sf), AS_OF),
     "stage_b": lambda s, sf: PF.stage_b(PF.stage_a(_raw(s, sf), AS_OF)),
     "stage_c": lambda s, sf: PF.stage_c(PF.stage_b(PF.stage_a(_raw(s, sf), AS_OF))),
+    "prefilter_status": lambda s, sf: QC.zero_row_status(_raw(s, sf), PF.prefilter(_raw(s, sf), AS_OF, require_rows=False, columns=None),
+                                                         "processing_date"),
+    "csv_text_status": LJ.csv_text_status,
     "prefilter": lambda s, sf: PF.prefilter(_raw(s, sf), AS_OF, require_rows=False),
     "company_distribution": lambda s, sf: PF.company_distribution(PF.prefilter(_raw(s, sf), AS_OF)),
     "classify_company": lambda s, sf: PF.with_company(_raw(s, sf).select("page_title")),
@@ -179,6 +203,10 @@ ORACLES: dict[str, Callable[[], str]] = {
     "rankings_window": lambda: O.rankings_window(DAYS),
     "rankings_selected": lambda: O.rankings_window(DAYS, SELECTED),
     "daily_trends": lambda: O.daily_trends(DAYS),
+    "filtered_window_selected": lambda: O.filtered_window(DAYS, SELECTED),
+    "daily_trends_selected": lambda: O.daily_trends(DAYS, SELECTED),
+    "title_search_literal": lambda: O.title_search(LITERAL, SEARCH_DAYS, literal=True),
+    "views_by_sql": lambda: O.views_by_sql(DAYS),
     "winner_window": lambda: O.winner_window(DAYS),
     "top15_pages": lambda: O.top_pages(DAYS, 15, A.TOP_COMPANIES),
     "top_pages_k": lambda: O.top_pages(30, 10, None),
@@ -206,6 +234,8 @@ ORACLES: dict[str, Callable[[], str]] = {
     "stage_a": O.stage_a,
     "stage_b": O.stage_b,
     "stage_c": O.stage_c,
+    "prefilter_status": O.prefilter_status,
+    "csv_text_status": O.csv_text_status,
     "prefilter": O.prefilter,
     "company_distribution": O.company_distribution,
     "classify_company": O.classify_company,
