@@ -11,7 +11,7 @@ that was never counted fails its first probe but for the filter's error rate.
    slice's counts exactly and sets the bits of its filter segment.
 3. The filter's bits grow with the training tokens (``BITS_PER_TOKEN``, no
    ceiling), so its error rate does not rise with the input. Up to
-   ``MAX_FILTER_BITS`` it goes to every worker.
+   ``MAX_FILTER_BITS``, the size of one part, it goes to every worker.
 4. Every text is scored whole with Dirichlet-smoothed bigrams over add-one
    unigrams, all counts by repeated probes, a slice of texts at a time.
 
@@ -53,10 +53,10 @@ LEVELS = 64
 #: Bits a key sets per level.
 PROBES = 3
 BITS_PER_TOKEN = 8
-#: The largest filter held by every worker (64 MiB); n-grams are sent to a larger one.
-MAX_FILTER_BITS = 1 << 29
 #: Segments of a part of a filter that stays dealt out (2 MiB; at most 16, as a key names its segment by four bits).
 PART_SEGMENTS = 16
+#: The largest filter held by every worker: one part; n-grams are sent to a larger one.
+MAX_FILTER_BITS = PART_SEGMENTS * bloom.SEGMENT_BITS
 #: Bits of a hash that name an n-gram inside its segment.
 SUB_BITS = 28
 #: Words known to every task by hash: 16 MiB at most.
@@ -530,14 +530,15 @@ def _score_answered(n_tokens: int, n_words: int):
 def scores_by_exchange(docs: DataFrame, segments: int, group: int = PART_SEGMENTS) -> DataFrame:
     """The scores of ``docs`` (doc_id, text, held_out) with a filter of any size; ``docs`` is read twice and must read alike."""
     group = min(group, segments)
+    parts = segments // group  # partitions grow with the tokens, too
     asked = docs.mapInArrow(_ask(segments, group), QUESTIONS)
-    answers = materialize(asked.repartition("part").sortWithinPartitions("part", "slice")
+    answers = materialize(asked.repartition(parts, "part").sortWithinPartitions("part", "slice")
                           .mapInArrow(_answer(segments, group), ANSWERS), "lm-answers")
     n_tokens, n_words = answers.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     numbered = docs.mapInArrow(_number(segments, group), SLICES).withColumn("part", F.lit(-1))
     both = numbered.unionByName(answers.drop("n_tokens", "n_words"), allowMissingColumns=True)
     both = both.select("slice", "part", "ids", "flags", "shape", "tokens", "pair_parts", "words_n", "word_levels", "pair_levels")
-    return both.repartition("slice").sortWithinPartitions("slice", "part").mapInArrow(_score_answered(n_tokens, n_words), FINAL)
+    return both.repartition(parts, "slice").sortWithinPartitions("slice", "part").mapInArrow(_score_answered(n_tokens, n_words), FINAL)
 
 
 def _count_tokens(batches):
