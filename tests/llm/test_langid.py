@@ -137,3 +137,16 @@ def test_many_languages_are_all_learned(spark):
                                  "doc_id long, text string, lang string")
     got = langid.training_sample(docs, 30_000)
     assert got.select("lang").distinct().count() == 300
+
+
+def test_one_repeated_row_or_id_does_not_fill_the_sample(spark):
+    ids = [i for i in range(400) if not held(i)]
+    hot = [(ids[0], "always the same text " * 10, "en")] * 3000
+    same_id = [(ids[1], f"another text {i} of one id " * 5, "en") for i in range(300)]
+    rest = [(i, f"some text {i} of many " * 5, "en") for i in ids[2:102]]
+    got = [r.text for r in langid.training_sample(spark.createDataFrame(hot + same_id + rest, "doc_id long, text string, lang string"), 20_000).collect()]
+    assert len(got) == len(set(got)) and 10_000 < sum(map(len, got)) <= 20_000
+    assert sum("of one id" in t for t in got) > 40 and sum("of many" in t for t in got) > 10
+    long = [(ids[0], "lang und sehr lang " * 5000, "de")] * 50
+    got = langid.training_sample(spark.createDataFrame(long, "doc_id long, text string, lang string"), 20_000).collect()
+    assert 5_000 < sum(len(r.text) for r in got) <= 20_000 and len({r.text + str(r.before) for r in got}) <= len(got)

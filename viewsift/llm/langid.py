@@ -8,8 +8,8 @@ The statistics are frozen after training, so the code length of a text is exact:
 the sum over its bytes. The language with the shortest code is predicted, and the
 score is its share of the posterior with equal priors.
 
-Training reads a bounded sample: per language documents in the order of a hash of
-doc_id while their bytes fit into the language's share, ``TRAIN_BYTES`` / number of
+Training reads a bounded sample: per language distinct documents in the order of a
+hash of doc_id and text while their bytes fit into the language's share, ``TRAIN_BYTES`` / number of
 languages but at least ``LEAST_SHARE``. A text of more than about an eighth of the
 share is learned from in pieces that carry their context: in the order of a hash
 they fill what the whole documents leave, so every language with a text is
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from viewsift.llm.common import SLICE_BYTES, hold_out, text_bytes, without
+from viewsift.llm.common import SLICE_BYTES, hold_out, id_text, text_bytes, without
 from viewsift.llm.mixing import unit_hash
 
 ORDER = 3
@@ -99,13 +99,14 @@ def _draw_pieces(size: int, rates: dict[str, float]):
 def training_sample(docs: DataFrame, train_bytes: int = TRAIN_BYTES, folds: int = FOLDS) -> DataFrame:
     """(lang, text, before) of what is learned from: bounded in bytes per language; ``before`` is a text's context."""
     own = docs.where(~hold_out(F.col("doc_id"), folds) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    # texts without doc_id do not share a draw
-    key = F.concat(F.lit("langid:"), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))))
+    # rows that share an id (or have none) do not share a draw; equal rows do, and are learned from once
+    key = F.concat(F.lit("langid:"), id_text(F.col("doc_id")), F.lit(":"), F.md5(F.col("text").cast("binary")))
     own = own.select("lang", "text", key.alias("_key"), unit_hash(key).alias("_u"),
                      F.octet_length("text").cast("long").alias("_bytes"))
     # One row per language and bit length: the size from which a text is cut depends on the number of languages.
     width = F.length(F.bin("_bytes"))
-    totals = own.groupBy("lang", width.alias("width")).agg(F.sum("_bytes").alias("n"), F.min("_u").alias("least")).collect()
+    totals = own.select("lang", "_key", "_u", "_bytes").distinct().groupBy("lang", width.alias("width")) \
+        .agg(F.sum("_bytes").alias("n"), F.min("_u").alias("least")).collect()
     langs = {r["lang"] for r in totals}
     if not langs:
         return own.select("lang", "text", F.lit(_START).alias("before")).limit(0)
@@ -124,12 +125,13 @@ def training_sample(docs: DataFrame, train_bytes: int = TRAIN_BYTES, folds: int
         return 2.0 * size / max(total, 1)
     # the first document passes in any case
     limit = F.create_map(*[F.lit(x) for o in sorted(langs) for x in (o, max(least[o], rate(share, whole[o])))])
-    drawn = own.where((width <= longest) & (F.col("_u") <= limit[F.col("lang")])) \
+    drawn = own.where((width <= longest) & (F.col("_u") <= limit[F.col("lang")])).dropDuplicates(["lang", "_key"]) \
         .select("lang", "text", F.lit(_START).alias("before"), "_u", "_bytes", F.lit(0).alias("_rank"))
     if any(cut.values()):
         rates = {o: rate(max(0, share - whole[o]), cut[o]) for o in langs}
         parts = own.where(width > longest).select("lang", "text", "_key").mapInArrow(
-            _draw_pieces(1 << longest, rates), "lang string, text string, before binary, _u double, _bytes long")
+            _draw_pieces(1 << longest, rates), "lang string, text string, before binary, _u double, _bytes long") \
+            .dropDuplicates(["lang", "_u", "text"])
         drawn = drawn.unionByName(parts.withColumn("_rank", F.lit(1)))
     order = Window.partitionBy("lang").orderBy("_rank", "_u", F.md5(F.col("text").cast("binary"))) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
