@@ -37,7 +37,7 @@ QUERY_STEP = 50
 TREES = 64
 BITS = 32
 #: Share of a shard's vectors that a query compares exactly, at least.
-SHARE = 0.5
+SHARE = 0.35
 LEAST_CANDIDATES = 1_024
 SHARD_ROWS = 16_384
 #: Queries of a block: a shard's forest is built once per block.
