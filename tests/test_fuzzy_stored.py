@@ -26,7 +26,7 @@ def stored(spark):
 
 
 @pytest.mark.parametrize("query", ["google pixel phone", "Maps", "windows 8 pro xl", "a", "nothing like it", "İstanbul café", "", "--"])
-@pytest.mark.parametrize("threshold", [0.1, 0.3, 0.5, 0.999, 1.0])
+@pytest.mark.parametrize("threshold", [0.1, 0.5, 1.0])
 def test_equal_to_a_pass_over_all_titles(spark, stored, query, threshold):
     df, path = stored
     assert matches(fuzzy.search_stored(spark, query, path, threshold)) == matches(fuzzy.fuzzy_search(df, query, threshold=threshold))
