@@ -26,6 +26,8 @@ def test_run_daily_equals_testbed_curation(spark):
     assert again.raw_rows_loaded == 0 and again.curated_rows_loaded == 0
     views = daily_job.dashboard(warehouse.raw_table(spark, root + "/wh/raw_pageviews"), cur, tb.AS_OF)
     assert views["quality"].count() == 30 and views["overview"].count() == 1
+    stored = daily_job.dashboard(warehouse.raw_table(spark, root + "/wh/raw_pageviews"), cur, tb.AS_OF, raw_path=root + "/wh/raw_pageviews")
+    assert stored["quality"].collect() == views["quality"].collect()
 
 
 def test_run_daily_audit_skips_corrupt_files(spark):

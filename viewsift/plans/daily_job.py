@@ -159,15 +159,24 @@ def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dashboard(raw: DataFrame, filtered: DataFrame, as_of, days: int = 7, companies=None,
-              search: str | None = None) -> dict[str, DataFrame]:
-    """The dashboard's queries over stored tables: Q3–Q8, V2's newest 30 dates, V1, V3, and Q9 for a search text."""
+              search: str | None = None, raw_path: str | None = None) -> dict[str, DataFrame]:
+    """The dashboard's queries over stored tables: Q3–Q8, V2's newest 30 dates, V1, V3, and Q9 for a search text.
+
+    With ``raw_path``, the raw table's folder, V2 is read from its manifest instead of the raw rows.
+    """
     from viewsift.plans import analytics as A
 
+    if raw_path is None:
+        quality_rows = A.dq_latest(raw, filtered, 30)
+    else:
+        quality_rows = A.v_data_quality_from_manifest(raw.sparkSession, raw_path, filtered).drop("approx_domains") \
+            .orderBy(F.col("processing_date").desc()).limit(30)
+
     return {
         "filtered_window": A.filtered_window(filtered, as_of, days, companies),
         "rankings": A.rankings_window(filtered, as_of, days, companies),
         "trends": A.daily_trends(filtered, as_of, days, companies),
-        "quality": A.dq_latest(raw, filtered, 30),
+        "quality": quality_rows,
         "winner": A.winner_window(filtered, as_of, days),
         "top15": A.top_pages(filtered, as_of, days, 15),
         "overview": A.overview(filtered, as_of, days, companies),
