@@ -175,3 +175,17 @@ def test_live_ranks_of_a_hot_pair_are_spread(spark):
     one = rows.groupBy("company", "count_views", "processing_date", "domain", *[F.substring("page_title", 1, n) for n in A.TITLE_CUTS]).count()
     assert one.agg(F.max("count")).first()[0] < 5 < rows.where("count_views = 777").count()
     assert ranking.split_row_number(rows.where("false"), ["company"], "count_views", [F.col("page_title")]).count() == 0
+
+
+def test_totals_of_bigint_counts_are_exact_beyond_bigint(spark):
+    def rankings(rows):
+        f = spark.createDataFrame([(c, v, DAY) for c, v in rows], "company string, count_views long, processing_date date")
+        return A.rankings_window(f, DAY, 7)
+
+    half = 2 ** 62
+    beyond = rankings([("Google", half), ("Google", half), ("Google", half), ("Apple", half)])  # 3 * 2^62 is no BIGINT
+    assert [(r.company, int(r.total_views), r.market_share_pct) for r in beyond.orderBy("rank").collect()] == \
+        [("Google", 3 * half, 75.0), ("Apple", half, 25.0)]
+    fits = rankings([("Google", half), ("Google", half // 2), ("Apple", half), ("Apple", half // 2)])  # only their sum is none
+    assert dict(fits.dtypes)["total_views"] == "bigint"
+    assert [(r.total_views, r.market_share_pct) for r in fits.collect()] == [(half + half // 2, 50.0)] * 2

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 
 def _exact(c: Column) -> Column:
-    """An integer column as DECIMAL(20,0): products below stay exact for every BIGINT."""
-    return c.cast("decimal(20,0)")
+    """An integer column as DECIMAL(28,0): products below stay exact for every BIGINT and sums of 10^9 of them."""
+    return c.cast("decimal(28,0)")
 
 
 def exact_round_div(num: Column, den: Column, scale: int = 2) -> Column:
@@ -25,7 +25,7 @@ def exact_round_div(num: Column, den: Column, scale: int = 2) -> Column:
     integral division of decimals: floor((2 * p * |n| + |d|) / (2 * |d|)).
     """
     p = 10 ** scale
-    n = num.cast("decimal(24,0)")
+    n = num.cast("decimal(32,0)")
     d = F.when(_exact(den) != 0, _exact(den))
     sign = F.signum(n.cast("double")) * F.signum(d.cast("double"))
     q = F.call_function("div", F.abs(n) * (2 * p) + F.abs(d), F.abs(d) * 2)
