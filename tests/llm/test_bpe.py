@@ -107,3 +107,15 @@ def test_bytes_that_are_no_utf8(spark):
         assert r.decoded == want[r.doc_id] and list(memoryview(bytes(r.ids)).cast("I")) == REF.encode_ordinary(want[r.doc_id])
     got = {r.doc_id: r.decoded for r in bpe.bpe_decode(bpe.bpe_encode(docs)).collect()}
     assert got == want
+
+
+def test_known_whole_tokens_are_decoded_without_steps():
+    codec = bpe.BpeCodec(RANKS)
+    plain, split = ("some plain words, and more\n" * 3), "an ö, 数据 🙂🙂 \U0001F9FF end"
+    for _ in range(2):
+        for text in (plain, split):
+            assert codec.decode(memoryview(codec.encode(text)).cast("I")) == text
+    cut = memoryview(codec.encode("a🙂"))[:-4].cast("I")  # ends inside a sequence
+    assert codec.decode(cut) == b"".join(codec.machine.tokens[i] for i in cut).decode("utf-8", "replace")
+    codec.steps = None
+    assert codec.decode(memoryview(codec.encode(plain)).cast("I")) == plain

@@ -39,6 +39,8 @@ from viewsift.llm.common import spans, text_bytes, without
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: States a worker keeps (the first met, so the common ones); further ones are computed when met.
 MAX_STATES = 120_000
+#: Pairs of tokens of which a worker keeps whether they stay apart, before it forgets them all.
+MAX_FITS = 400_000
 #: Words and pieces a worker keeps before it forgets them all and starts anew.
 MAX_WORDS = 150_000
 MAX_PIECES = 50_000
@@ -59,11 +61,11 @@ class BpeTransducer:
         self.tokens = {i: t for t, i in ranks.items()}
         self.prefixes = {t[:n] for t in ranks for n in range(len(t))}
         self._edges: dict[bytes, tuple | None] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
-        start = (b"", ((0, -1, ()),))
-        self._ids: dict[tuple, int] = {start: 0}
-        self._keys: list[tuple] = [start]
-        self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
+        self._fits: dict[int, bool] = {}  # by left << 32 | right
+        # A state is a table: its key under -1, and by byte the next state and the ids emitted.
+        self._start: dict = {-1: (b"", ((0, -1, ()),))}
+        self._keys: dict[tuple, dict] = {self._start[-1]: self._start}
+        self._n_steps = 0
 
     def merge(self, piece: bytes) -> list[bytes]:
         """The parts of a short string after the merges in order of rank; two parts before the last merge."""
@@ -96,12 +98,13 @@ class BpeTransducer:
 
     def _fit(self, left: int, right: int) -> bool:
         """Whether two whole tokens stay apart: no merge across their border comes in its turn."""
-        known = self._fits.get((left, right))
+        pair = left << 32 | right
+        known = self._fits.get(pair)
         if known is None:
-            if len(self._fits) >= MAX_STATES:
+            if len(self._fits) >= MAX_FITS:
                 self._fits.clear()
-            known = self._fits[left, right] = self._apart(self._edges[self.tokens[left]][1],
-                                                          self._edges[self.tokens[right]][0])
+            known = self._fits[pair] = self._apart(self._edges[self.tokens[left]][1],
+                                                   self._edges[self.tokens[right]][0])
         return known
 
     def _apart(self, left: tuple, right: tuple) -> bool:
@@ -124,14 +127,14 @@ class BpeTransducer:
         """A state's key and a byte → the next state's key and the ids emitted."""
         tail, live = key
         tail += _BYTES[byte]
-        new, kept = None, []
+        new, kept, prefixes = None, [], self.prefixes
         for entry in live:
             token = tail[entry[0]:]
             if new is None:
                 rank = self.ranks.get(token)
                 if rank is not None and self._is_whole(token) and (entry[1] < 0 or self._fit(entry[1], rank)):
                     new = (len(tail), rank, (*entry[2], rank))
-            if token in self.prefixes:
+            if token in prefixes:
                 kept.append(entry)
         if not kept:  # only the end is live
             return (b"", ((0, new[1], ()),)), new[2]
@@ -144,17 +147,19 @@ class BpeTransducer:
             kept = [(at - cut, last, held[done:]) for at, last, held in kept]
         return (tail[cut:], tuple(kept)), first[:done]
 
-    def _keep(self, state: int, byte: int, key: tuple, emitted: tuple[int, ...]) -> int:
-        """The number of the next state, with the step to it noted; -1 where the table is full."""
-        found = self._ids.get(key)
+    def _miss(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+        """A step that no table holds; it is noted unless a table is full, and then the state may be one for this time only."""
+        key, emitted = self._advance(state[-1], byte)
+        found = self._keys.get(key)
         if found is None:
+            found = {-1: key}
             if len(self._keys) >= MAX_STATES:
-                return -1
-            found = self._ids[key] = len(self._keys)
-            self._keys.append(key)
-        if len(self._steps) < 3 * MAX_STATES:
-            self._steps[256 * state + byte] = found, emitted
-        return found
+                return found, emitted
+            self._keys[key] = found
+        if self._n_steps < 3 * MAX_STATES and self._keys.get(state[-1]) is state:
+            self._n_steps += 1
+            state[byte] = found, emitted
+        return found, emitted
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is a token itself is that token."""
@@ -162,29 +167,19 @@ class BpeTransducer:
         if rank is not None:
             return [rank]
         out: list[int] = []
-        state, step, key = 0, self._steps.get, None
+        state = self._start
         for byte in piece:
-            found = step(256 * state + byte) if state >= 0 else None
-            if found is not None:
-                state, emitted = found
-            elif state >= 0:
-                key, emitted = self._advance(self._keys[state], byte)
-                state = self._keep(state, byte, key, emitted)
-            else:  # outside the full table, until a known state comes
-                key, emitted = self._advance(key, byte)
-                state = self._ids.get(key, -1)
+            state, emitted = state.get(byte) or self._miss(state, byte)
             if emitted:
                 out += emitted
-        key = key if state < 0 else self._keys[state]
-        out += key[1][-1][2]  # the last live position is the end
+        out += state[-1][1][-1][2]  # the last live position is the end
         return out
 
 
 def _plain(word: str) -> bool:
     """Whether no white space stands at a word's ends but one line feed before it."""
-    if word[:1] == "\n":
-        word = word[1:]
-    return bool(word) and not word[0].isspace() and not word[-1].isspace()
+    bare = word.strip()
+    return bool(bare) and (bare == word or (word[0] == "\n" and bare == word[1:]))
 
 
 class BpeCodec:
@@ -198,6 +193,7 @@ class BpeCodec:
         self.words: dict[str, bytes] = {}
         self.seen = bytearray(SEEN_SLOTS)
         self.steps: dict[bytes, dict[int, tuple[str, bytes]]] = {}
+        self.whole: dict[int, str] = {}  # tokens that are UTF-8 by themselves, as met
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
@@ -250,12 +246,19 @@ class BpeCodec:
     def _step(self, held: bytes, token: int) -> tuple[str, bytes]:
         step = utf8_step(held, self.machine.tokens[token])
         self.steps.setdefault(held, {})[token] = step
+        if not held and not step[1]:
+            self.whole[token] = step[0]
         return step
 
     def decode(self, ids) -> str:
-        out, held, steps = [], b"", self.steps
+        out = list(map(self.whole.get, ids))
+        if None not in out:  # no sequence is left unfinished: the steps are one table's
+            return "".join(out)
+        first = out.index(None)
+        del out[first:]
+        held, steps = b"", self.steps
         table = steps.setdefault(b"", {})
-        for token in ids:
+        for token in ids[first:]:
             step = table.get(token) or self._step(held, token)
             out.append(step[0])
             if step[1] != held:
