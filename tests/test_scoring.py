@@ -293,3 +293,21 @@ def test_failed_calls_are_told_and_tried_again(spark, tmp_path):
     out = S.score_batches_stored(prompts, str(tmp_path / "s"), flaky).collect()
     assert {(r.call_status, r.call_error) for r in out} == {("error", "TimeoutError: model timed out")}
     assert {r.call_status for r in S.score_batches_stored(prompts, str(tmp_path / "s"), S.RuleScorer()).collect()} == {"ok"}
+
+
+def test_buckets_and_replies_do_their_work_once(spark):
+    rows = spark.range(300).select(
+        F.lit("en").alias("domain"), F.concat(F.lit("Google_Maps_"), "id").alias("page_title"), F.col("id").cast("int").alias("count_views"),
+        F.lit("f").alias("source_file"), F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("id") % 2).cast("int")).alias("processing_date"))
+    buckets = S.sticky_buckets(rows, 10)
+    plan = buckets._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") >= S.LEVELS > plan.count("Exchange")  # all levels of the tree share one shuffle
+    batched = buckets.select("bucket", F.lit(0).cast("long").alias("batch_no"), F.col("count_views").cast("long").alias("row_in_batch"),
+                             "domain", "page_title", "count_views")
+    prompts = S.build_prompts(batched)
+    plan = S.native_replies(prompts)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("RLIKE" in line for line in plan.splitlines() if "Aggregate" in line)  # the rules run before the aggregate
+    statuses = S.persist_replies(S.reply_status(S.native_replies(prompts)))
+    known = S.reply_rows(statuses, status_col="status")
+    assert "try_parse_json" not in known.select("pos")._jdf.queryExecution().logical().toString()
+    assert sorted(map(tuple, known.collect())) == sorted(map(tuple, S.reply_rows(statuses).collect()))

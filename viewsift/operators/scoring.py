@@ -94,7 +94,8 @@ def sticky_buckets(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, day: str
     rows = rows.withColumn("_cell", node(f"_least + {LEVELS}"))
     cells = rows.groupBy(day, "_least", "_cell").agg(F.count(F.lit(1)).alias("_n"))
     top, depth = F.expr(f"shiftright(_cell, {LEVELS})"), F.col("_least") + LEVELS
-    cells = cells.withColumn("_top", top)
+    # A top node's cells (at most 2 ** LEVELS) stay in one partition over all levels: one shuffle, not one a level.
+    cells = cells.withColumn("_top", top).repartition(day, "_top")
     for k in reversed(range(LEVELS)):  # the least depth that is small enough is set last
         path = F.expr(f"shiftright(_cell, {LEVELS - k})")
         own = F.sum("_n").over(Window.partitionBy(day, "_top", path))
@@ -219,11 +220,14 @@ def native_replies(prompts: DataFrame) -> DataFrame:
     rows = prompts.withColumn("_start", start).withColumn("_records", F.from_json(block, record))
     flat = rows.select(*BATCH_KEY, F.posexplode_outer("_records").alias("_i", "_r"))
     flat = flat.withColumn("page_title", F.coalesce(F.col("_r.page_title"), F.lit("")))
-    kept = rules.verdict_expr("page_title").startswith("keep:") & F.col("_r").isNotNull()
+    # Columns of their own, each read more than once: the rules run in generated code, not inside the aggregate.
+    flat = flat.withColumn("_norm", rules.normalised_title("page_title"))
+    flat = flat.withColumn("_keep", rules.verdict_expr(normalised=F.col("_norm")).startswith("keep:") & F.col("_r").isNotNull())
     line = F.to_csv(F.struct(*[F.col(f"_r.{f}").alias(f) for f in RECORD_FIELDS]), QUOTING)
     own = flat.groupBy(*BATCH_KEY).agg(F.sort_array(F.collect_list(
-        F.when(kept, F.struct("_i", F.col("_r").alias("r"), line.alias("line"))))).alias("_kept"))  # a batch at most
-    lines = F.when(F.size("_kept") == 0, "").otherwise(F.concat(
+        F.when(F.col("_keep"), F.struct("_i", F.col("_r").alias("r"), line.alias("line"))))).alias("_kept"),  # a batch at most
+        F.count_if("_keep").alias("_n_kept"))
+    lines = F.when(F.col("_n_kept") == 0, "").otherwise(F.concat(
         F.lit(",".join(RECORD_FIELDS) + "\n"), F.array_join(F.transform("_kept", lambda k: k["line"]), "\n"), F.lit("\n")))
     reply = F.to_json(F.struct(F.transform("_kept", lambda k: k["r"]).alias("json_output"), lines.alias("csv_output")))
     return own.select(*BATCH_KEY, reply.alias("reply"), F.lit("ok").alias("call_status"),
@@ -359,9 +363,10 @@ def reply_status(replies: DataFrame, reply_col: str = "reply") -> DataFrame:
     return replies.withColumn("status", reply_status_expr(F.col(reply_col)))
 
 
-def reply_rows(replies: DataFrame, reply_col: str = "reply") -> DataFrame:
-    """Records of the ``ok`` replies, one row each, with their position."""
-    ok = reply_status(replies, reply_col).where(F.col("status") == "ok")
+def reply_rows(replies: DataFrame, reply_col: str = "reply", status_col: str | None = None) -> DataFrame:
+    """Records of the ``ok`` replies, one row each, with their position; ``status_col`` holds statuses known already."""
+    ok = replies.where(F.col(status_col) == "ok") if status_col else \
+        reply_status(replies, reply_col).where(F.col("status") == "ok")
     elems = F.from_json(F.col(reply_col), "struct<json_output: array<string>>")["json_output"]
     ex = ok.select(*BATCH_KEY, F.posexplode(elems).alias("pos", "_rec"))
     return ex.select(*BATCH_KEY, F.col("pos").cast("long").alias("pos"),

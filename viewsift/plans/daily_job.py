@@ -21,7 +21,7 @@ from viewsift.functions import rules
 from viewsift.operators import curate, manifest, prefilter, quality, scoring
 from viewsift.session import drop_scratch, materialize, scratch_mark
 from viewsift.sources import dumps, warehouse
-from viewsift.streaming.ingest import parsed_lines
+from viewsift.streaming.ingest import classified_hours, split_hours
 
 
 class LoadCheckError(RuntimeError):
@@ -77,14 +77,16 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     n_raw = n_bad = 0
     if paths:
         # A gzip file is one task; REBALANCE spreads its lines (a dump holding a third of the day
-        # included) over AQE-sized partitions. This is the job's one cached copy: gzip is read once.
-        lines = dumps.read_dump_lines(spark, paths).hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+        # included) over AQE-sized partitions. This is the job's one cached copy: gzip is read, and its lines parsed, once.
+        lines = dumps.read_dump_lines(spark, paths).hint("rebalance")
+        lines = (classified_hours(lines) if event_time_from_name else dumps.classify_dump_lines(lines)) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if event_time_from_name:
-                good, bad = parsed_lines(lines)
+                good, bad = split_hours(lines)
                 rows = dumps.fill_unknown(good).withColumnRenamed("event_hour", "loaded_at")
             else:
-                good, bad = dumps.parse_dump_lines(lines)
+                good, bad = dumps.split_classified(lines)
                 rows = curate.with_raw_lineage(dumps.fill_unknown(good), loaded_at, processing_date)
             found = quality.extract_checks(rows).first()
             if not found.passed:
@@ -116,9 +118,9 @@ def run_daily(spark: SparkSession, landing: str, root: str, as_of=None, min_view
     # An external scorer's replies are stored by prompt hash: a re-run only sends prompts not answered yet.
     replies = scoring.native_replies(prompts) if scorer is None else \
         scoring.score_batches_stored(prompts, f"{root}/scorer_replies", scorer)
-    replies = scoring.persist_replies(replies)  # one row per batch, read by statuses, rows and stats
-    statuses = scoring.reply_status(replies)
-    records = scoring.reply_rows(replies)
+    # Written once each: a reply's status and its records are read by the join back and the stats.
+    statuses = scoring.persist_replies(scoring.reply_status(replies))
+    records = materialize(scoring.reply_rows(statuses, status_col="status"), "reply-records")
     accepted = scoring.accepted_rows(batched, records)
     curated = accepted.select("domain", "page_title", "count_views", "company",
                               F.col("loaded_at").alias("filtered_at"), "processing_date",

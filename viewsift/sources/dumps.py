@@ -19,9 +19,11 @@ import gzip
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewsift.session import filesystem, ship_package
@@ -41,13 +43,15 @@ def read_dump_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
         F.col("value"), F.col("_metadata.file_name").alias("source_file"))
 
 
-def _classified(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def _classified(lines: DataFrame, value_col: str = "value", odd: Column | None = None) -> DataFrame:
     parts = F.split(F.col(value_col), " ")
     n = F.size(parts)
     # ``get`` is null-safe past the end (ANSI mode raises on element_at / [i]).
     count = F.get(F.col("_parts"), 2).try_cast("int")
-    reason = (F.when(F.trim(F.col(value_col)) == "", F.lit("blank"))
-              .when(~F.col("_n").isin(3, 4), F.lit("field_count"))
+    reason = F.when(F.trim(F.col(value_col)) == "", F.lit("blank"))
+    if odd is not None:
+        reason = reason.when(odd, F.lit("file_name"))
+    reason = (reason.when(~F.col("_n").isin(3, 4), F.lit("field_count"))
               .when((F.get(F.col("_parts"), 0) == "") | (F.get(F.col("_parts"), 1) == ""), F.lit("empty_field"))
               .when(F.col("_count").isNull(), F.lit("count_not_integer"))
               .when(F.col("_count") < 0, F.lit("negative_count")))
@@ -57,15 +61,30 @@ def _classified(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 def parse_dump_lines(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine) from a frame of dump lines; other columns are carried."""
+    return split_classified(classify_dump_lines(lines, value_col))
+
+
+def classify_dump_lines(lines: DataFrame, value_col: str = "value", odd: Column | None = None) -> DataFrame:
+    """One row per line: the fields of a good one, or the ``line`` of another one and its ``reason``.
+
+    Where ``odd`` holds, no line of the file counts as good (reason ``file_name``).
+    """
     extra = [c for c in lines.columns if c != value_col]
-    c = _classified(lines, value_col)
-    good = c.where(F.col("_reason").isNull()).select(
-        F.get(F.col("_parts"), 0).alias("domain"),
-        F.get(F.col("_parts"), 1).alias("page_title"),
-        F.col("_count").alias("count_views"),
-        *extra)
-    bad = c.where(F.col("_reason").isNotNull() & (F.col("_reason") != "blank")).select(
-        *extra, F.col(value_col).alias("line"), F.col("_reason").alias("reason"))
+    c = _classified(lines, value_col, odd)
+    good = F.col("_reason").isNull()
+    return c.select(  # blank lines are left to the readers: their filter would parse the lines once more before a rebalance
+        F.when(good, F.get(F.col("_parts"), 0)).alias("domain"),
+        F.when(good, F.get(F.col("_parts"), 1)).alias("page_title"),
+        F.when(good, F.col("_count")).alias("count_views"),
+        *extra,
+        F.when(~good, F.col(value_col)).alias("line"), F.col("_reason").alias("reason"))
+
+
+def split_classified(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine) of ``classify_dump_lines``."""
+    names = [c for c in classified.columns if c not in ("line", "reason")]
+    good = classified.where(F.col("reason").isNull()).select(*names)
+    bad = classified.where(F.col("reason") != "blank").select(*names[3:], "line", "reason")
     return good, bad
 
 
@@ -175,13 +194,13 @@ def _write_dump_files(target: str):
                 written.append(state["name"])
 
         for pdf in batches:
-            for name, line in zip(pdf["source_file"], pdf["line"]):
+            for name, own in groupby(zip(pdf["source_file"], pdf["line"]), key=itemgetter(0)):
                 if name != state["name"]:
                     close()
                     tmp = f"{root}/.{name}.{uuid.uuid4().hex}.tmp"
                     raw = fs.open_output_stream(tmp, compression=None)
-                    state.update(name=name, raw=raw, tmp=tmp, gz=gzip.GzipFile(fileobj=raw, mode="wb"))
-                state["gz"].write((line + "\n").encode("utf-8"))
+                    state.update(name=name, raw=raw, tmp=tmp, gz=gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=6))
+                state["gz"].write("".join([line + "\n" for _, line in own]).encode("utf-8"))
         close()
         yield pd.DataFrame({"source_file": written})
 

@@ -27,7 +27,7 @@ from viewsift.functions import rules
 from viewsift.operators import manifest, prefilter
 from viewsift.operators.curate import dates_of_loads, raw_load
 from viewsift.session import materialize
-from viewsift.sources.dumps import parse_dump_lines
+from viewsift.sources.dumps import classify_dump_lines, split_classified
 from viewsift.sources.warehouse import raw_table
 
 HOUR_PATTERN = r"pageviews-(\d{8}-\d{6})"
@@ -49,12 +49,19 @@ def line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: in
 
 def parsed_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with ``event_hour`` and ``processing_date``, quarantine) of dump lines."""
+    return split_hours(classified_hours(lines))
+
+
+def classified_hours(lines: DataFrame) -> DataFrame:
+    """``classify_dump_lines`` with the ``event_hour`` in the file's name; files without one are odd."""
     named = lines.withColumn("event_hour", event_hour_expr("source_file"))
-    good, bad = parse_dump_lines(named.where(F.col("event_hour").isNotNull()))
-    odd = named.where(F.col("event_hour").isNull() & (F.trim("value") != "")).select(
-        "source_file", F.col("value").alias("line"), F.lit("file_name").alias("reason"))
-    return (good.withColumn("processing_date", F.to_date("event_hour")),
-            bad.select("source_file", "line", "reason").unionByName(odd))
+    return classify_dump_lines(named, odd=F.col("event_hour").isNull())
+
+
+def split_hours(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``event_hour`` and ``processing_date``, quarantine) of ``classified_hours``."""
+    good, bad = split_classified(classified)
+    return good.withColumn("processing_date", F.to_date("event_hour")), bad.select("source_file", "line", "reason")
 
 
 def dump_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
